@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.sharding import shard
+from tallyloom.llm.shared import shared_dir
+from tallyloom.llm.tokenbin import read_tokens, write_tokens
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,5 +26,18 @@ def op1_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {"op1_shard_documents": op1_shard_documents}
+def op4_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1024 tokens."""
+    docs = _table(spark, sf_dir, "documents")
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kind="byte", end_id=0, capacity=1024, grain=128)
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in token files, read back."""
+    path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), kind="word", end_id=1)
+    return read_tokens(spark, path, ids=False)
+
+
+QUERIES = {f.__name__: f for f in (op1_shard_documents, op4_pack_documents, op10_token_files)}
 ORACLES: dict[str, str] = {}
