@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.sharding import shard
 from tallyloom.llm.shared import shared_dir
+from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.tokenbin import read_tokens, write_tokens
 
 
@@ -26,6 +27,12 @@ def op1_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with fingerprint and component."""
+    found = near_duplicates(_table(spark, sf_dir, "documents"), width=3, radius=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op4_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     docs = _table(spark, sf_dir, "documents")
@@ -39,5 +46,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_shard_documents, op4_pack_documents, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op4_pack_documents, op10_token_files)}
 ORACLES: dict[str, str] = {}
