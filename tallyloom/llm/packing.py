@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.encode import encoder
-from tallyloom.llm.shared import cut, running_start
+from tallyloom.llm.shared import cut, hash_bucket, running_start
 
 
 def best_pattern(worth: np.ndarray) -> tuple[float, np.ndarray]:
@@ -130,7 +130,7 @@ def pack(pieces: DataFrame, capacity: int, *, length: str = "length", order: lis
         nth = rank - row[:, 1]
         return pd.DataFrame({"sequence_id": row[:, 3] + nth // row[:, 2], "offset": row[:, 4] + nth % row[:, 2] * size})
 
-    ranked = running_start(pieces, [length], order, F.lit(1), "__rank", order, buckets)
+    ranked = running_start(pieces, [length], order, F.lit(1), "__rank", hash_bucket(order, buckets))
     placed = ranked.withColumn("__place", place(F.col(length).cast("long"), "__rank"))
     return placed.select(*pieces.columns, "__place.sequence_id", "__place.offset")
 

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.mixing import mix
 from tallyloom.llm.packing import pack_documents
+from tallyloom.llm.quality import judged
 from tallyloom.llm.sharding import shard
 from tallyloom.llm.shared import shared_dir
 from tallyloom.llm.simhash import near_duplicates
@@ -39,6 +41,18 @@ def op4_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kind="byte", end_id=0, capacity=1024, grain=128)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their counts and verdicts."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the words that the mix takes of them."""
+    mixed = mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), limit=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in token files, read back."""
     path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
@@ -46,5 +60,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op4_pack_documents, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op4_pack_documents, op8_quality_rules, op9_mix_sources, op10_token_files)}
 ORACLES: dict[str, str] = {}

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import running_start
+from tallyloom.llm.shared import hash_bucket, running_start
 
 # Fixed values of the published algorithm.
 MULTIPLIER = 2862933555777941757
@@ -57,4 +57,4 @@ def shard(df: DataFrame, key: list[str], shards: int, *, order: list[str] | None
     """
     order = order if order is not None else [c for c in df.columns if c not in key]
     placed = df.withColumns({"shard": shard_of(key, shards), "grown_shard": shard_of(key, shards + 1)})
-    return running_start(placed, ["shard"], [*key, *order], F.lit(1), "slot", [*key, *order], buckets)
+    return running_start(placed, ["shard"], [*key, *order], F.lit(1), "slot", hash_bucket([*key, *order], buckets))

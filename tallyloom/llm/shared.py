@@ -36,16 +36,21 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def running_start(df: DataFrame, groups: list[str], order: list[str | Column], value: Column, out: str, salt: list[str | Column], buckets: int = 256) -> DataFrame:
+def hash_bucket(columns: list[str | Column], buckets: int = 256) -> Column:
+    """A bucket from 0 that depends on the columns' values alone."""
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+
+
+def running_start(df: DataFrame, groups: list[str], order: list[str | Column], value: Column, out: str, bucket: Column) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows of the same group that come
-    before, in order of (hash bucket, ``order``); with ``value`` 1 a gapless position.
+    before, in order of (``bucket``, ``order``); with ``value`` 1 a gapless position.
 
     No group is ever gathered in one task: rows are dealt by (group, bucket), each
-    bucket gets its offset from the per-bucket totals (``buckets`` rows a group), and
+    bucket gets its offset from the per-bucket totals (a row a bucket and group), and
     only the rows of one bucket are sorted together. ``groups`` must hold no nulls.
-    Rows equal in ``order`` and ``salt`` are numbered in any order.
+    Rows equal in ``order`` and ``bucket`` are numbered in any order.
     """
-    dealt = df.withColumn("__b", F.pmod(F.xxhash64(*salt), F.lit(buckets)).cast("int"))
+    dealt = df.withColumn("__b", bucket)
     before = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     totals = dealt.groupBy(*groups, "__b").agg(F.sum(value).alias("__t"))
     offsets = totals.select(*groups, "__b", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__o"))
