@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -45,12 +46,13 @@ class Encoder:
     def __call__(self, text: str) -> np.ndarray:
         """Ids of a text, unsigned 32-bit; none for an empty text."""
         pieces, known = self.pattern.findall(text), self.known
-        fresh = list({x for x in pieces if x not in known})
-        if not fresh:
-            return np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4")
+        parts = list(map(known.get, pieces))
+        if None not in parts:
+            return np.frombuffer(b"".join(parts), "<u4")
+        fresh = list({x for x, part in zip(pieces, parts, strict=True) if part is None})
         ids = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        here = {x: np.array(e.ids, "<u4").tobytes() for x, e in zip(fresh, ids, strict=True)}
-        out = b"".join([known[x] if x in known else here[x] for x in pieces])
+        here = {x: array("I", e.ids).tobytes() for x, e in zip(fresh, ids, strict=True)}
+        out = b"".join([here[x] if part is None else part for x, part in zip(pieces, parts, strict=True)])
         if len(known) < self.MOST:
             known.update((x, v) for x, v in here.items() if len(x) <= self.LONGEST)
         elif (missed := self.missed + len(here)) > self.MOST:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.shared import SPACES, cut, words
 
 SYMBOLS = "#*$%&|<>"
+CAPITALS = "".join(map(chr, [*range(0x41, 0x5B), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]))
 
 
 def _without(text: Column, characters: str) -> Column:
@@ -40,7 +41,7 @@ def covered_words(places: Column) -> Column:
 
 
 def counts(docs: DataFrame, text: str = "text", repeats: bool = True) -> DataFrame:
-    """Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_lines`` and, if
+    """Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_capitals``, ``n_dup_lines``, ``n_lines`` and, if
     wanted, ``n_repeat_words`` of whole texts (null: none) to any columns."""
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n", -1), lambda x: _without(x, SPACES) != "")
@@ -49,6 +50,7 @@ def counts(docs: DataFrame, text: str = "text", repeats: bool = True) -> DataFra
         "n_words": F.size("__words").cast("long"),
         "word_chars": F.length(_without(whole, SPACES)).cast("long"),
         "n_symbols": (F.length(whole) - F.length(_without(whole, SYMBOLS))).cast("long"),
+        "n_capitals": (F.length(whole) - F.length(_without(whole, CAPITALS))).cast("long"),
         "n_lines": F.size("__lines").cast("long"),
         "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
     }
@@ -66,7 +68,7 @@ def base_failed() -> Column:
 
 
 #: What the adaptive rules look at: a ratio of two counts and the least fence that can reject.
-RATIOS = {"symbols": ("n_symbols", "n_words", 0.1), "dup_lines": ("n_dup_lines", "n_lines", 0.3), "word_length": ("word_chars", "n_words", 20.0)}
+RATIOS = {"symbols": ("n_symbols", "n_words", 0.1), "dup_lines": ("n_dup_lines", "n_lines", 0.3), "capitals": ("n_capitals", "word_chars", 0.5), "word_length": ("word_chars", "n_words", 20.0)}
 
 
 def fences(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("lang", "source"), reach: float = 6.0, least: int = 100) -> DataFrame:

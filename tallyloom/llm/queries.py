@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.quality import judged
+from tallyloom.llm.secrets import find_secrets, shown
 from tallyloom.llm.sharding import shard
 from tallyloom.llm.shared import shared_dir
 from tallyloom.llm.simhash import near_duplicates
@@ -41,6 +42,17 @@ def op4_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kind="byte", end_id=0, capacity=1024, grain=128)
 
 
+def op6_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the spans of their secrets."""
+    found = find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("secrets")).alias("spans"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their counts and verdicts."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -60,5 +72,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op4_pack_documents, op8_quality_rules, op9_mix_sources, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op4_pack_documents, op6_find_secrets, op8_quality_rules, op9_mix_sources, op10_token_files)}
 ORACLES: dict[str, str] = {}

@@ -139,7 +139,7 @@ def read_tokens(spark: SparkSession, path: str, *, ids: bool = True) -> DataFram
     32-bit little-endian integers) and, if wanted, ``ids``.
 
     Only one row a part, of which there are as many as write tasks, is summed in one
-    place to find where parts start.
+    place to find where parts start, and broadcast.
     """
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.list_(pa.int64()))] * ids
 
@@ -159,6 +159,6 @@ def read_tokens(spark: SparkSession, path: str, *, ids: bool = True) -> DataFram
     parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("o"))
-    placed = blocks.join(offsets, "part").select("doc_ids", "lengths", "payload", (F.col("o") + F.col("first")).alias("before"))
+    placed = blocks.join(F.broadcast(offsets), "part").select("doc_ids", "lengths", "payload", (F.col("o") + F.col("first")).alias("before"))
     kinds = {"doc_id": "long", "start": "long", "n_tokens": "long", "ids_crc32": "long", "ids": "array<long>"}
     return placed.mapInArrow(decode, ", ".join(f"{f[0]} {kinds[f[0]]}" for f in fields))
