@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -34,14 +35,18 @@ def simhash(text: bytes, width: int) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def fingerprint(text: Column, width: int) -> Column:
-    """Column of the SimHash of whole texts; null counts as empty."""
+def fingerprints(docs: DataFrame, *, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id``, ``text_hash`` and ``fingerprint`` (signed 64 bits) of whole texts; null
+    counts as empty. Texts stream through the workers and do not come back."""
 
-    @F.pandas_udf("long")
-    def hashed(raw: pd.Series) -> pd.Series:
-        return pd.Series([simhash(x, width) for x in raw], dtype=np.int64)
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [simhash(x.as_py(), width) for x in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64())], ["doc_id", "text_hash", "fingerprint"])
 
-    return hashed(F.coalesce(text, F.lit("")).cast("binary"))
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.cast("binary").alias("raw"))
+    return rows.mapInArrow(hashed, "doc_id long, text_hash long, fingerprint long")
 
 
 def ball_links(prints: DataFrame, radius: int) -> DataFrame:
@@ -72,7 +77,7 @@ def near_duplicates(docs: DataFrame, *, width: int = 3, radius: int = 2, key: st
     are linked by their zero fingerprint. Repeated rows give repeated rows, other
     columns are ignored, and an empty table gives an empty result.
     """
-    rows = cut(docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), fingerprint(F.col(text), width).alias("fingerprint")))
+    rows = cut(fingerprints(docs, width=width, key=key, text=text))
     prints = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
     roots = components(ball_links(prints, radius))
     rooted = prints.join(roots, prints["fingerprint"] == roots["node"], "left").select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
