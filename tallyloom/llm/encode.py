@@ -16,7 +16,8 @@ import numpy as np
 
 # Unicode white space as the byte-level pre-tokenizer sees it, and Latin letters.
 _BLANK = r"\t-\r \x85\xa0  -     　"
-_LATIN = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+(?=[.,;:!? \t-\r]|\Z)"
+_LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"
+_LATIN = rf"{_LETTERS}(?=[.,;:!? \t-\r]|\Z)"
 #: Where each kind of pre-tokenizer surely cuts. "byte": one space joins the word after it, as in
 #: byte-level BPE. "word": white space is dropped. A Latin word is a piece of its own where a mark
 #: or white space follows it, any other run of non-space characters as a whole.
@@ -24,6 +25,8 @@ PIECES = {
     "byte": re.compile(rf" ?{_LATIN}| ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"),
     "word": re.compile(rf"{_LATIN}|[^ \t-\r]+"),
 }
+#: Pieces that are one word for the tokenizer itself.
+WORDS = {"byte": re.compile(f" {_LETTERS}"), "word": re.compile(_LETTERS)}
 
 
 class Encoder:
@@ -33,7 +36,7 @@ class Encoder:
     bytes each; once as many more were missed, remembering starts anew.
     """
 
-    LONGEST, MOST = 40, 700_000
+    LONGEST, MOST = 32, 1_000_000
 
     def __init__(self, path: str, kind: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,6 +45,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.pattern, self.known, self.missed = PIECES[kind], {}, 0
+        self.word, self.first = WORDS[kind], kind == "byte"
+        edges = [i for x, i in self.tokenizer.get_vocab().items() if (x.startswith("Ġ") if self.first else x.endswith("</w>"))]
+        self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.edge[edges] = True
 
     def __call__(self, text: str) -> np.ndarray:
         """Ids of a text, unsigned 32-bit; none for an empty text."""
@@ -50,8 +57,7 @@ class Encoder:
         if None not in parts:
             return np.frombuffer(b"".join(parts), "<u4")
         fresh = list({x for x, part in zip(pieces, parts, strict=True) if part is None})
-        ids = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        here = {x: array("I", e.ids).tobytes() for x, e in zip(fresh, ids, strict=True)}
+        here = self._encoded(fresh)
         out = b"".join([here[x] if part is None else part for x, part in zip(pieces, parts, strict=True)])
         if len(known) < self.MOST:
             known.update((x, v) for x, v in here.items() if len(x) <= self.LONGEST)
@@ -62,6 +68,21 @@ class Encoder:
         return np.frombuffer(out, "<u4")
 
 
+    def _encoded(self, fresh: list[str]) -> dict[str, bytes]:
+        """Ids of each piece as bytes. Plain words go through the tokenizer as one text;
+        where a word begins or ends shows in its tokens."""
+        plain = [x for x in fresh if self.word.fullmatch(x)]
+        ids = np.array(self.tokenizer.encode(("" if self.first else " ").join(plain), add_special_tokens=False).ids, "<u4")
+        edges = np.flatnonzero(self.edge[ids])
+        bounds = [*edges.tolist(), len(ids)] if self.first else [0, *(edges + 1).tolist()]
+        here, raw = {}, ids.tobytes()
+        if len(bounds) == len(plain) + 1:
+            here = {x: raw[4 * a : 4 * b] for x, a, b in zip(plain, bounds, bounds[1:], strict=False)}
+        rest = [x for x in fresh if x not in here]
+        here.update((x, array("I", e.ids).tobytes()) for x, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True))
+        return here
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str, kind: str) -> Encoder:
     """The worker's own encoder of a file."""
