@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.ann import nearest
+from tallyloom.llm.chat import format_trees, masked_text, parsed_turns, threads
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.quality import judged
@@ -36,12 +38,32 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op3_format_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts hold control strings, formatted and read back."""
+    odd = F.lit("\\### Assistant: </turn> ok")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), odd.alias("text"))
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    done = format_trees(threads(rows))
+    turns, loss = parsed_turns(F.col("formatted")), masked_text(F.col("formatted"), F.col("loss_spans"))
+    read = done.select("tree", "formatted", turns.alias("turns"), loss.alias("loss"))
+    digest = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        F.when(F.col("tree") != "n", F.substring("tree", 2, 40)).cast("long").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(digest, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op4_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     docs = _table(spark, sf_dir, "documents")
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kind="byte", end_id=0, capacity=1024, grain=128)
 
 
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest of every hundredth vector."""
+    return nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "id % 100 = 0", k=10)
+
+
 def op6_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the spans of their secrets."""
     found = find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -72,5 +94,19 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op4_pack_documents, op6_find_secrets, op8_quality_rules, op9_mix_sources, op10_token_files)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op3_format_conversations, op4_pack_documents, op5_nearest_vectors, op6_find_secrets, op8_quality_rules, op9_mix_sources, op10_token_files)}
+_CONVERSATIONS = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(17 + length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), chr(10), '\' || chr(10)))
+    + length(replace(replace(text, '\', '\\'), '<|', '<\|'))) AS BIGINT) AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
+ORACLES: dict[str, str] = {"op3_format_conversations": _CONVERSATIONS}
