@@ -18,6 +18,7 @@ from tallyloom.llm.sharding import shard
 from tallyloom.llm.shared import shared_dir
 from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.tokenbin import read_tokens, write_tokens
+from tallyloom.llm.toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +76,12 @@ def op6_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(shown(base), 256).alias("base_sha256"), shown(F.col("secrets")).alias("spans"))
 
 
+def op7_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored, by a model of the labels that are not held out."""
+    scored = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("offending").cast("long").alias("n_offending"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their counts and verdicts."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -94,7 +101,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op3_format_conversations, op4_pack_documents, op5_nearest_vectors, op6_find_secrets, op8_quality_rules, op9_mix_sources, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op3_format_conversations, op4_pack_documents, op5_nearest_vectors, op6_find_secrets, op7_score_toxicity, op8_quality_rules, op9_mix_sources, op10_token_files)}
 _CONVERSATIONS = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
