@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import SPACES, cut, words
+from tallyloom.llm.shared import cut, words
 
-SYMBOLS = "#*$%&|<>"
-CAPITALS = "".join(map(chr, [*range(0x41, 0x5B), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]))
+SYMBOLS = "[#*$%&|<>]"
+CAPITALS = "[A-Z\\xC0-\\xD6\\xD8-\\xDE]"
+SPACES = r"[\x20\x09-\x0D]"
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def _found(text: Column, pattern: str) -> Column:
+    return F.regexp_count(text, F.lit(pattern)).cast("long")
 
 
 def window_hashes(found: Column) -> Column:
@@ -44,13 +45,13 @@ def counts(docs: DataFrame, text: str = "text", repeats: bool = True) -> DataFra
     """Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_capitals``, ``n_dup_lines``, ``n_lines`` and, if
     wanted, ``n_repeat_words`` of whole texts (null: none) to any columns."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(whole, "\n", -1), lambda x: _without(x, SPACES) != "")
+    lines = F.filter(F.split(whole, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     out = docs.withColumns({"__words": words(F.col(text)), "__lines": lines})
     made = {
         "n_words": F.size("__words").cast("long"),
-        "word_chars": F.length(_without(whole, SPACES)).cast("long"),
-        "n_symbols": (F.length(whole) - F.length(_without(whole, SYMBOLS))).cast("long"),
-        "n_capitals": (F.length(whole) - F.length(_without(whole, CAPITALS))).cast("long"),
+        "word_chars": F.length(whole) - _found(whole, SPACES),
+        "n_symbols": _found(whole, SYMBOLS),
+        "n_capitals": _found(whole, CAPITALS),
         "n_lines": F.size("__lines").cast("long"),
         "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
     }
@@ -82,7 +83,7 @@ def fences(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("l
     """
     measured = counts(docs.select(text, *groups), text, repeats=False).filter("n_words >= 50")
     ratios = measured.select(*groups, *((F.col(a) / F.greatest(F.col(b), F.lit(1))).alias(k) for k, (a, b, _) in RATIOS.items()))
-    sketches = ratios.groupBy(*groups).agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k).alias(k) for k in RATIOS))
+    sketches = cut(ratios.groupBy(*groups).agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k).alias(k) for k in RATIOS)))
     overall = sketches.agg(*(F.kll_merge_agg_double(k).alias(f"all_{k}") for k in RATIOS))
 
     def fence(k: str, floor: float) -> Column:

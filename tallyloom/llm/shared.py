@@ -9,9 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Words are runs of anything but these six characters.
-SPACES = " \t\n\x0b\x0c\r"
-
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and every executor see.
