@@ -114,4 +114,5 @@ def judged(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("l
     bad = above[0]
     for x in above[1:]:
         bad = bad | x
-    return met.withColumn("kept", ~F.col("base_failed") & ~bad).drop(*(f"__{g}" for g in groups), *(f"fence_{k}" for k in RATIOS))
+    # one expression over both sides of the join, so that a filter on it is not moved below the counts and evaluated with them
+    return met.withColumn("kept", F.when(bad, False).otherwise(~F.col("base_failed"))).drop(*(f"__{g}" for g in groups), *(f"fence_{k}" for k in RATIOS))
