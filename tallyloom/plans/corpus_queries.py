@@ -160,7 +160,7 @@ def artifact_key(spark: SparkSession, d: str) -> DataFrame:
     return reviews(spark, d).select("review_id", F.sha2(canonical_json(source=F.col("source"), lang=F.col("lang")), 256).alias("key"))
 
 
-@query(sql((REV, r"s AS (SELECT review_id, list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(review_text, '([.!?])[ \t\r\n]+', '\1' || chr(1), 'g'), '[\r\n]+', chr(1), 'g'), chr(1)), x -> trim(x, ' ' || chr(9) || chr(10) || chr(13))), x -> regexp_matches(x, '[\pL\pN]')) AS l FROM rev)"), "SELECT review_id, greatest(len(l), 1) AS n_pieces FROM s"))
+@query(sql((REV, r"s AS (SELECT review_id, list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(review_text, '([.!?])[ \t\r\n]+', '\1' || chr(1), 'g'), '[\r\n]+', chr(1), 'g'), chr(1)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))), lambda x: regexp_matches(x, '[\pL\pN]')) AS l FROM rev)"), "SELECT review_id, greatest(len(l), 1) AS n_pieces FROM s"))
 def piece_counts(spark: SparkSession, d: str) -> DataFrame:
     return reviews(spark, d).select("review_id", F.size(pieces(F.col("review_text"))).cast("long").alias("n_pieces"))
 
