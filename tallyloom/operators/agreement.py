@@ -15,9 +15,9 @@ from tallyloom.operators.order import every_nth
 FIELDS = ("topic", "intent", "severity")
 
 
-def pairs(a: DataFrame, b: DataFrame, key: str = "review_id") -> DataFrame:
-    """Labels side by side: ``a_topic``, ``b_topic`` and on, for ids that both have."""
-    left, right = (x.select(key, *(F.col(f).alias(f"{n}_{f}") for f in FIELDS)) for x, n in ((a, "a"), (b, "b")))
+def pairs(a: DataFrame, b: DataFrame, key: str = "review_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Labels side by side: ``a_topic``, ``b_topic`` and on, for ids that both have, and the columns of ``a`` to keep."""
+    left, right = (x.select(key, *more, *(F.col(f).alias(f"{n}_{f}") for f in FIELDS)) for x, n, more in ((a, "a", keep), (b, "b", ())))
     return left.join(right, key)
 
 
@@ -25,10 +25,14 @@ def same(field: str) -> Column:
     return F.col(f"a_{field}").eqNullSafe(F.col(f"b_{field}"))
 
 
+def all_same() -> Column:
+    """Whether all fields of a pair are equal."""
+    return reduce(lambda x, y: x & y, map(same, FIELDS))
+
+
 def agreement(paired: DataFrame, *by: str) -> DataFrame:
     """Pairs, equal ones by field, and those equal in all, overall or by group."""
-    every = reduce(lambda x, y: x & y, map(same, FIELDS))
-    return paired.groupBy(*by).agg(F.count("*").alias("pairs"), *(F.count_if(same(f)).alias(f) for f in FIELDS), F.count_if(every).alias("all_three"))
+    return paired.groupBy(*by).agg(F.count("*").alias("pairs"), *(F.count_if(same(f)).alias(f) for f in FIELDS), F.count_if(all_same()).alias("all_three"))
 
 
 def stacked(paired: DataFrame, *keep: str) -> DataFrame:
@@ -57,7 +61,7 @@ def class_metrics(paired: DataFrame) -> DataFrame:
 
 def cutoff_table(paired: DataFrame, cuts: tuple[float, ...]) -> DataFrame:
     """For each cut-off on ``min_top``: flagged pairs, flagged among the differing, and among the equal."""
-    differ = ~reduce(lambda x, y: x & y, map(same, FIELDS))
+    differ = ~all_same()
     flags = [F.col("min_top") < c for c in cuts]
     aggs = [F.struct(F.lit(c).alias("cutoff"), F.count_if(f).alias("flagged"), F.count_if(f & differ).alias("caught"), F.count_if(f & ~differ).alias("agreeing_flagged")) for c, f in zip(cuts, flags, strict=True)]
     return paired.agg(F.array(*aggs).alias("rows")).select(F.explode("rows").alias("r")).select("r.*")
@@ -65,7 +69,7 @@ def cutoff_table(paired: DataFrame, cuts: tuple[float, ...]) -> DataFrame:
 
 def change_rate(paired: DataFrame) -> DataFrame:
     """Pairs whose label changed, by field and in any, with hundredths of a percent, half up."""
-    changed = {f: ~same(f) for f in FIELDS} | {"any": ~reduce(lambda x, y: x & y, map(same, FIELDS))}
+    changed = {f: ~same(f) for f in FIELDS} | {"any": ~all_same()}
     row = paired.agg(F.count("*").alias("pairs"), *(F.count_if(c).alias(k) for k, c in changed.items()))
     long = row.unpivot(["pairs"], list(changed), "field", "changed")
     return long.select("field", "pairs", "changed", F.expr("(2 * changed * 10000 + pairs) DIV (2 * pairs)").alias("per_ten_thousand"))
@@ -106,10 +110,58 @@ def arms(results: dict[str, DataFrame], key: str = "review_id") -> DataFrame:
     return reduce(lambda x, y: x.join(y, key), renamed)
 
 
-def quantile_low(values: Column, share: float) -> Column:
-    """The value at place floor(share * n) of the sorted ones, as an aggregate."""
-    found = F.sort_array(F.collect_list(values))
-    return F.get(found, F.floor(F.size(found) * share).cast("int"))
+def arm_changes(met: DataFrame, compared: list[tuple[str, str]], anchor: int) -> DataFrame:
+    """Changed labels between arms of ``arms``, whether at most ``anchor`` of a hundred, and whether none: one pass."""
+    differ = {x + y: ~reduce(lambda p, q: p & q, [F.col(f"{f}_{x}").eqNullSafe(F.col(f"{f}_{y}")) for f in FIELDS]) for x, y in compared}
+    row = met.agg(F.count("*").alias("pairs"), *(F.count_if(c).alias(k) for k, c in differ.items()))
+    long = row.unpivot(["pairs"], list(differ), "arms", "changed")
+    return long.select("arms", "pairs", "changed", (F.col("changed") * 100 <= anchor * F.col("pairs")).alias("anchored"), (F.col("changed") == 0).alias("identical"))
+
+
+def nested_report(a: DataFrame, b: DataFrame, key: str = "review_id") -> DataFrame:
+    """Two runs over the same records: changed labels, moved tones and the largest move."""
+    met = pairs(a, b, key, keep=("sentiment",)).join(b.select(key, F.col("sentiment").alias("other")), key)
+    move = F.abs(F.col("sentiment") - F.col("other"))
+    return met.agg(F.count("*").alias("pairs"), F.count_if(~all_same()).alias("changed"), F.count_if(move != 0).alias("tone_moved"), F.round(F.coalesce(F.max(move), F.lit(0.0)), 6).alias("tone_most"))
+
+
+def accepted_scores(cases: DataFrame) -> DataFrame:
+    """Labels against arrays of accepted answers (``topics``, ``intents``, ``severities``), by ``group``."""
+    hit = F.array_contains("topics", F.col("topic")) & F.array_contains("intents", F.col("intent")) & F.array_contains("severities", F.col("severity"))
+    distance = F.array_min(F.transform("severities", lambda s: F.abs(F.col("severity") - s)))
+    return cases.groupBy("group").agg(F.count("*").alias("n"), F.count_if(F.col("intent") == "unclear").alias("abstained"), F.count_if(hit).alias("accepted"), F.sum(distance).cast("long").alias("distance"))
+
+
+def golden_cases(gold: DataFrame, predicted: DataFrame, fields: tuple[str, ...], key: str = "review_id") -> DataFrame:
+    """A row a gold case with its prediction (``p_`` and the field), ``missing``, and whether each field is right."""
+    met = gold.join(predicted.withColumn("__there", F.lit(True)), key, "left")
+    right = [F.coalesce(F.col(f) == F.col(f"p_{f}"), F.lit(False)).alias(f"{f}_ok") for f in fields]
+    return met.select(key, *(c for f in fields for c in (f, f"p_{f}")), F.col("__there").isNull().alias("missing"), *right)
+
+
+def cell_problems(sheet: DataFrame, allowed: dict[str, tuple]) -> DataFrame:
+    """Cells that are blank or not in their column's list, counted by column and problem."""
+    problem = lambda f, xs: F.when(F.col(f).isNull(), "blank").when(~F.col(f).isin(*xs), "not in the list")
+    cells = F.array(*(F.struct(F.lit(f).alias("field"), problem(f, xs).alias("problem")) for f, xs in allowed.items()))
+    return sheet.select(F.explode(cells).alias("c")).select("c.*").filter("problem IS NOT NULL").groupBy("field", "problem").agg(F.count("*").alias("n"))
+
+
+def value_at(df: DataFrame, group: str, value: str, share: float, slack: float = 0.005) -> DataFrame:
+    """(``group``, ``n``, ``at``): the value at place floor(share * n), from 0, of each group's sorted values.
+
+    A quantile sketch brackets the place, values below the bracket are only counted, and
+    those inside are summed by value, so no group is sorted as a whole. Groups are few
+    enough to broadcast their brackets (AQE decides).
+    """
+    ends = F.percentile_approx(value, [max(share - slack, 0.0), min(share + slack, 1.0)], 10_000)
+    brackets = df.groupBy(group).agg(ends.alias("__e"), F.count(value).alias("n"))
+    met = df.join(brackets, group).filter(F.col(value).isNotNull())
+    low, high = F.col("__e")[0], F.col("__e")[1]
+    below = F.when(F.col(value) >= low, F.col(value))  # null: below the bracket
+    steps = met.filter(F.col(value) <= high).groupBy(group, "n", below.alias("__v")).agg(F.count("*").alias("__k"))
+    run = Window.partitionBy(group).orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    placed = steps.withColumn("__r", F.sum("__k").over(run)).filter(F.col("__r") > F.floor(F.col("n") * share))
+    return placed.groupBy(group, "n").agg(F.min("__v").alias("at"))
 
 
 def planted_flips(records: DataFrame, step: int, seed: str) -> DataFrame:

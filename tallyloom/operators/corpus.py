@@ -73,3 +73,9 @@ def rows_digest(df: DataFrame, key: Column) -> DataFrame:
     """A digest of all rows in any order: their number and the sum of 60-bit prefixes of their hashes."""
     part = F.conv(F.substring(key, 1, 15), 16, 10).cast("decimal(20,0)")
     return df.agg(F.count("*").alias("records"), F.sum(part).cast("string").alias("digest"))
+
+
+def first_seen(df: DataFrame, key: str, order: str) -> DataFrame:
+    """Of rows that share a key, the first by ``order``: a partial minimum, so a key with many rows is no group in one task."""
+    others = [c for c in df.columns if c not in (key, order)]
+    return df.groupBy(key).agg(F.min(F.struct(order, *others)).alias("__m")).select(key, "__m.*")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallyloom.plans import corpus_queries  # noqa: F401  (registers its queries)
+from tallyloom.plans import agreement_queries, corpus_queries, label_queries  # noqa: F401  (registers its queries)
 from tallyloom.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

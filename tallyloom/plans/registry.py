@@ -12,12 +12,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Registers a function under its name, with its SQL twin if there is one."""
+    """Registers a function under its name (without a last underscore), with its SQL twin if there is one."""
 
     def register(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        name = f.__name__.rstrip("_")
+        QUERIES[name] = f
         if sql is not None:
-            ORACLES[f.__name__] = sql
+            ORACLES[name] = sql
         return f
 
     return register
