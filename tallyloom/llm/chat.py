@@ -28,24 +28,47 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def root_paths(nodes: DataFrame) -> DataFrame:
-    """(``tree``, ``node``, ``path``, ``score``) for every node: the nodes from its root
-    down to it, and the sum of their scores.
-
-    ``nodes`` has ``tree``, ``node``, ``parent`` and ``score``; a null or missing parent
-    makes a root, a null score counts as zero. Paths double in each round: a node's
-    ancestors so far are joined to those of its topmost one, on (tree, node), until all
-    have reached their roots. A node whose ancestors go in a circle has no root and no
-    path.
+def ancestor_steps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame | None]:
+    """Tables (``tree``, ``node``, ``up``) of each node's 1st, 2nd, 4th, ... ancestor, and
+    the nodes that have no root (None if all have one).
+
+    ``nodes`` has ``tree``, ``node`` and ``parent``; a null or missing parent makes a
+    root. Each table is the one before joined with itself, so there are as many as the
+    deepest tree's depth has binary digits, and each holds only nodes that are deep
+    enough. Depths have no gaps: once a table is as large as the one before, all that
+    is left hangs on circles of parents.
     """
-    part = nodes.select("tree", "node", F.col("parent").alias("top"), F.array("node").alias("path"), F.coalesce("score", F.lit(0.0)).cast("double").alias("score"))
-    now = cut(part)
-    while not now.filter("top is not null").isEmpty():
-        upper = now.select("tree", F.col("node").alias("top"), F.col("top").alias("above"), F.col("path").alias("upper"), F.col("score").alias("more"))
-        joined = now.join(upper, ["tree", "top"], "left")
-        grown = joined.select("tree", "node", F.col("above").alias("top"), F.when(F.col("upper").isNull(), F.col("path")).otherwise(F.concat("upper", "path")).alias("path"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"))
-        now = cut(grown.filter(F.size("path") == F.size(F.array_distinct("path"))))
-    return now.select("tree", "node", "path", "score")
+    ids = nodes.select("tree", F.col("node").alias("parent"))
+    now = cut(nodes.select("tree", "node", "parent").join(ids, ["tree", "parent"], "left_semi").select("tree", "node", F.col("parent").alias("up")))
+    steps, size = [], now.count()
+    while size:
+        steps.append(now)
+        upper = now.select("tree", F.col("node").alias("up"), F.col("up").alias("above"))
+        now = cut(now.join(upper, ["tree", "up"]).select("tree", "node", F.col("above").alias("up")))
+        before, size = size, now.count()
+        if size == before:
+            return steps, now.select("tree", "node")
+    return steps, None
+
+
+def leaf_paths(nodes: DataFrame) -> DataFrame:
+    """(``tree``, ``leaf``, ``node``, ``height``): a row for each node between a root and a
+    leaf, with the steps from the leaf up to it.
+
+    Paths double in each round: every node found so far is joined, on (tree, node), to
+    its ancestor as many steps above as the path is long. So the rows made are those of
+    the result, whatever the depth. A leaf whose ancestors go in a circle has no path.
+    """
+    steps, lost = ancestor_steps(nodes)
+    parents = nodes.filter("parent is not null").select("tree", F.col("parent").alias("node"))
+    leaves = nodes.join(parents, ["tree", "node"], "left_anti")
+    if lost is not None:
+        leaves = leaves.join(lost, ["tree", "node"], "left_anti")
+    found = cut(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("height")))
+    for k, step in enumerate(steps):
+        more = found.join(step, ["tree", "node"]).select("tree", "leaf", F.col("up").alias("node"), (F.col("height") + (1 << k)).alias("height"))
+        found = found.unionByName(cut(more))
+    return found
 
 
 def format_trees(messages: DataFrame, *, branches: int | None = None, trained: str = "assistant") -> DataFrame:
@@ -60,14 +83,14 @@ def format_trees(messages: DataFrame, *, branches: int | None = None, trained: s
     leaves is joined to each path on (tree, node), and only one conversation, which is
     one row of the result, is brought together.
     """
-    nodes = messages.select("tree", "node", "parent", "score")
-    parents = nodes.filter("parent is not null").select("tree", F.col("parent").alias("node"))
-    leaves = root_paths(nodes).join(parents, ["tree", "node"], "left_anti")
-    order = Window.partitionBy("tree").orderBy(F.desc("score"), "node")
-    ranked = leaves.withColumn("rank", F.row_number().over(order))
+    nodes = cut(messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).cast("double").alias("worth")))
+    paths = leaf_paths(nodes)
+    totals = paths.join(nodes.select("tree", "node", "worth"), ["tree", "node"]).groupBy("tree", "leaf").agg(F.sum("worth").alias("total"))
+    order = Window.partitionBy("tree").orderBy(F.desc("total"), "leaf")
+    ranked = totals.withColumn("rank", F.row_number().over(order))
     if branches is not None:
         ranked = ranked.filter(F.col("rank") <= branches)
-    steps = ranked.select("tree", F.col("node").alias("leaf"), "rank", F.col("score").alias("total"), F.posexplode("path").alias("at", "node"))
+    steps = paths.join(ranked, ["tree", "leaf"]).withColumn("at", -F.col("height"))
     head = F.concat(F.lit(TURN), F.replace(escape(F.col("role")), F.lit("\n"), F.lit("\\\n")), F.lit("\n"))
     turns = messages.select("tree", "node", head.alias("head"), escape(F.col("text")).alias("body"), F.coalesce(F.col("role") == trained, F.lit(False)).alias("trained"))
     shown = steps.join(turns, ["tree", "node"]).withColumn("turn", F.concat("head", "body", F.lit(END)))
