@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -92,7 +93,7 @@ def distance(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
 
 
-def nearest(vectors: DataFrame, queries: str, *, key: str = "vec_id", vector: str = "embedding", k: int = 10, levels: int = 16, codes: int = 256, beam: int = 4, rerank: int = 300, sample: int = 16384, rows_block: int = 8192, queries_block: int = 512) -> DataFrame:
+def nearest(vectors: DataFrame, queries: str, *, key: str = "vec_id", vector: str = "embedding", k: int = 10, levels: int = 16, codes: int = 256, beam: int = 4, rerank: int = 300, sample: int = 16384, rows_block: int = 32768, queries_block: int = 1024) -> DataFrame:
     """The ``k`` nearest other vectors of each query, which are the vectors whose ``id``
     meets the condition ``queries``: ``query_id``, ``rank``, ``vec_id``,
     ``score`` (exact distance), nearest first, ties to the smaller id.
@@ -100,8 +101,9 @@ def nearest(vectors: DataFrame, queries: str, *, key: str = "vec_id", vector: st
     Codebooks are fitted on a ``sample`` of fixed size; every vector is encoded and has
     the norm of its sum of codewords stored. Queries meet all codes in blocks: each pair
     of a block of codes and a block of queries is one task's work, scored by lookup
-    tables of inner products; its ``rerank`` best a query go on, the best of all blocks
-    are measured exactly. With ``rerank`` or fewer vectors the result is exact. Sizes of
+    tables of inner products. The ``rerank`` best of all blocks are measured exactly;
+    as blocks are dealt by hash, each holds an even share of them, and sends that and six
+    standard deviations more. With ``rerank`` or fewer vectors the result is exact. Sizes of
     blocks do not grow with the data, and nothing is broadcast but the codebooks.
     A table without vectors that take part gives an empty result.
     """
@@ -113,6 +115,8 @@ def nearest(vectors: DataFrame, queries: str, *, key: str = "vec_id", vector: st
     books = Codebooks.fit(seen, levels, min(codes, len(seen)))
     n = rows.count()
     row_blocks = -(-n // rows_block)
+    share = rerank / row_blocks
+    sent = min(rerank, math.ceil(share + 6 * math.sqrt(share)) + k)
     asked = rows.filter(queries)
     query_blocks = -(-max(asked.count(), 1) // queries_block)
 
@@ -135,7 +139,7 @@ def nearest(vectors: DataFrame, queries: str, *, key: str = "vec_id", vector: st
             for m in range(found.shape[1]):
                 near += tables[at, m][found[:, m]]
             near[ids == query] = np.inf
-            top = np.argpartition(near, rerank)[:rerank] if len(near) > rerank else np.arange(len(near))
+            top = np.argpartition(near, sent)[:sent] if len(near) > sent else np.arange(len(near))
             top = top[np.isfinite(near[top])]
             out.append(pd.DataFrame({"query_id": np.full(len(top), query), "id": ids[top], "near": near[top]}))
         return pd.concat(out)
