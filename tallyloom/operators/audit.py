@@ -115,6 +115,21 @@ def call_violations(calls: DataFrame, valid: DataFrame, roles: tuple[str, ...],
     return reduce(DataFrame.unionByName, parts)
 
 
+def coverage(records: DataFrame, source: DataFrame) -> DataFrame:
+    """Source ids that records cover, all of them, completed records, and the share covered to six places."""
+    known = source.select(ID).join(records.select(ID), ID, "left_semi").agg(F.countDistinct(ID).alias("known"))
+    row = known.crossJoin(source.agg(F.count("*").alias("expected"))).crossJoin(records.agg(F.count_if(F.col("status") == "completed").alias("completed")))
+    return row.withColumn("share", F.round(F.col("known") / F.nullif(F.col("expected"), F.lit(0)), 6))
+
+
+def against_full(sample: DataFrame, full: DataFrame, key: str, content: str) -> DataFrame:
+    """Rows of a sample that the full table lacks (``absent``) or holds with other content (``changed``)."""
+    known = full.select(key, F.col(content).alias("__there"))
+    met = sample.select(key, content).join(known, key, "left")
+    problem = F.when(F.col("__there").isNull(), "absent").when(F.col("__there") != F.col(content), "changed")
+    return met.select(key, problem.alias("problem")).filter("problem IS NOT NULL")
+
+
 def flags(violations: DataFrame, examples: int = 10) -> DataFrame:
     """Violations by code, with the first few as examples: partial counts first, then the least details by code."""
     listed = violations.groupBy("code", "detail").agg(F.count("*").alias("n"))

@@ -99,3 +99,23 @@ def paced(requests: DataFrame, part: str, at: str, gap: float) -> DataFrame:
     numbered = requests.withColumn("__i", F.row_number().over(order) - 1)
     run = order.rowsBetween(Window.unboundedPreceding, 0)
     return numbered.withColumn("slot", F.max(F.col(at) - F.col("__i") * gap).over(run) + F.col("__i") * gap).drop("__i")
+
+
+def outages(calls: DataFrame, longest_ms: int, part: str = "session") -> DataFrame:
+    """The longest time between two successes within each ``part``, and how many passed ``longest_ms``."""
+    order = Window.partitionBy(part).orderBy("ts", "request_id")
+    done = calls.filter("outcome = 'succeeded'").withColumn("__ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    gaps = done.withColumn("__gap", F.col("__ms") - F.lag("__ms").over(order))
+    return gaps.groupBy(part).agg(F.max("__gap").alias("longest_ms"), F.count_if(F.col("__gap") > longest_ms).alias("outages"))
+
+
+def cheapest(trials: DataFrame) -> DataFrame:
+    """Of the models that passed in all their trials, the one of the least cost, ties by name."""
+    models = trials.groupBy("model").agg(F.bool_and("passed").alias("passed"), F.sum("cost").alias("cost"))
+    return models.filter("passed").select("model", "cost").orderBy("cost", "model").limit(1)
+
+
+def bad_batches(items: DataFrame, batch: str, index: str) -> DataFrame:
+    """Batches whose indices are not exactly 1 to their number."""
+    tallied = items.groupBy(batch).agg(F.count("*").alias("n"), F.max(index).alias("most"), F.countDistinct(index).alias("distinct"))
+    return tallied.filter("n <> most OR distinct <> n").select(batch)
