@@ -101,12 +101,12 @@ def paced(requests: DataFrame, part: str, at: str, gap: float) -> DataFrame:
     return numbered.withColumn("slot", F.max(F.col(at) - F.col("__i") * gap).over(run) + F.col("__i") * gap).drop("__i")
 
 
-def outages(calls: DataFrame, longest_ms: int, part: str = "session") -> DataFrame:
-    """The longest time between two successes within each ``part``, and how many passed ``longest_ms``."""
+def outages(calls: DataFrame, longest_us: int, part: str = "session") -> DataFrame:
+    """The longest time between two successes within each ``part``, and how many passed ``longest_us``."""
     order = Window.partitionBy(part).orderBy("ts", "request_id")
-    done = calls.filter("outcome = 'succeeded'").withColumn("__ms", F.unix_millis(F.col("ts").cast("timestamp")))
-    gaps = done.withColumn("__gap", F.col("__ms") - F.lag("__ms").over(order))
-    return gaps.groupBy(part).agg(F.max("__gap").alias("longest_ms"), F.count_if(F.col("__gap") > longest_ms).alias("outages"))
+    done = calls.filter("outcome = 'succeeded'").withColumn("__us", F.unix_micros(F.col("ts").cast("timestamp")))
+    gaps = done.withColumn("__gap", F.col("__us") - F.lag("__us").over(order))
+    return gaps.groupBy(part).agg(F.max("__gap").alias("longest_us"), F.count_if(F.col("__gap") > longest_us).alias("outages"))
 
 
 def cheapest(trials: DataFrame) -> DataFrame:

@@ -156,20 +156,20 @@ def attempts(spark: SparkSession, d: str) -> DataFrame:
     return c.select("user_id", "attempts", F.when(F.col("done") > 40, "completed").when(F.col("attempts") >= 6, "quarantined").otherwise("pending").alias("status"))
 
 
-GAPS = "g AS (SELECT session, epoch_ms(ts) - lag(epoch_ms(ts)) OVER (PARTITION BY session ORDER BY ts, request_id) AS gap FROM calls WHERE outcome = 'succeeded')"
+GAPS = "g AS (SELECT session, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY session ORDER BY ts, request_id) AS gap FROM calls WHERE outcome = 'succeeded')"
 
 
-@query(sql((CALLS, GAPS), "SELECT session, max(gap) AS longest_ms, count(*) FILTER (gap > 60000) AS outages FROM g GROUP BY session"))
+@query(sql((CALLS, GAPS), "SELECT session, max(gap) AS longest_us, count(*) FILTER (gap > 60000000) AS outages FROM g GROUP BY session"))
 def outages(spark: SparkSession, d: str) -> DataFrame:
     """The longest time without a success in each session, and how often it passed a minute."""
-    return ledger.outages(calls(spark, d), 60_000)
+    return ledger.outages(calls(spark, d), 60_000_000)
 
 
-@query(sql((CALLS, "n AS (SELECT request_id, user_id, epoch_ms(ts) AS ms, row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), request_id) - 1 AS i FROM calls)"), "SELECT request_id, ms, max(ms - i * 1000) OVER (PARTITION BY user_id ORDER BY ms, request_id ROWS UNBOUNDED PRECEDING) + i * 1000 AS slot FROM n"))
+@query(sql((CALLS, "n AS (SELECT request_id, user_id, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts), request_id) - 1 AS i FROM calls)"), "SELECT request_id, us, max(us - i * 1000000) OVER (PARTITION BY user_id ORDER BY us, request_id ROWS UNBOUNDED PRECEDING) + i * 1000000 AS slot FROM n"))
 def paced(spark: SparkSession, d: str) -> DataFrame:
     """When an even pace of one a second lets each request of a user go."""
-    c = calls(spark, d).select("request_id", "user_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
-    return ledger.paced(c, "user_id", "ms", 1000).select("request_id", "ms", "slot")
+    c = calls(spark, d).select("request_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    return ledger.paced(c, "user_id", "us", 1_000_000).select("request_id", "us", "slot")
 
 
 DAYS = "t AS (SELECT session, count(*) AS n FROM calls GROUP BY session), r AS (SELECT session, sum(n) OVER (ORDER BY session ROWS UNBOUNDED PRECEDING) AS running FROM t)"
