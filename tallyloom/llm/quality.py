@@ -70,6 +70,7 @@ def base_failed() -> Column:
 
 #: What the adaptive rules look at: a ratio of two counts and the least fence that can reject.
 RATIOS = {"symbols": ("n_symbols", "n_words", 0.1), "dup_lines": ("n_dup_lines", "n_lines", 0.3), "capitals": ("n_capitals", "word_chars", 0.5), "word_length": ("word_chars", "n_words", 20.0)}
+QUARTILES = (0.25, 0.75)
 
 
 def fences(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("lang", "source"), reach: float = 6.0, least: int = 100) -> DataFrame:
@@ -78,20 +79,20 @@ def fences(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("l
     Each group has mergeable KLL sketches; partial ones are merged where groups meet, so
     a source with most rows moves no more than others. A fence is the third quartile and
     ``reach`` times the quartiles' distance above it, or the ratio's least fence if that
-    is higher. Groups of under ``least`` documents use the sketches merged over all
-    groups.
+    is higher. Groups of under ``least`` documents use the quartiles of the sketches
+    merged over all groups: two numbers a ratio, which go through the driver.
     """
     measured = counts(docs.select(text, *groups), text, repeats=False).filter("n_words >= 50")
     ratios = measured.select(*groups, *((F.col(a) / F.greatest(F.col(b), F.lit(1))).alias(k) for k, (a, b, _) in RATIOS.items()))
     sketches = cut(ratios.groupBy(*groups).agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k).alias(k) for k in RATIOS)))
-    overall = sketches.agg(*(F.kll_merge_agg_double(k).alias(f"all_{k}") for k in RATIOS))
+    merged = {k: F.kll_merge_agg_double(k) for k in RATIOS}
+    overall = sketches.agg(*(F.when(F.count("*") > 0, F.kll_sketch_get_quantile_double(merged[k], F.lit(q))).alias(f"{k}_{q}") for k in RATIOS for q in QUARTILES)).first()
 
     def fence(k: str, floor: float) -> Column:
-        used = F.when(F.col("n") >= least, F.col(k)).otherwise(F.col(f"all_{k}"))
-        low, high = (F.kll_sketch_get_quantile_double(used, F.lit(q)) for q in (0.25, 0.75))
+        low, high = (F.when(F.col("n") >= least, F.kll_sketch_get_quantile_double(k, F.lit(q))).otherwise(F.lit(overall[f"{k}_{q}"])) for q in QUARTILES)
         return F.greatest(F.lit(floor), high + reach * (high - low)).alias(f"fence_{k}")
 
-    return sketches.join(F.broadcast(overall)).select(*groups, *(fence(k, floor) for k, (_, _, floor) in RATIOS.items()))
+    return sketches.select(*groups, *(fence(k, floor) for k, (_, _, floor) in RATIOS.items()))
 
 
 def judged(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("lang", "source"), most: int = 100_000, **options) -> DataFrame:
