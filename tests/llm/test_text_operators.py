@@ -240,3 +240,10 @@ def test_jump_hash_and_slots(spark, corpus):
         assert r["grown_shard"] in (r["shard"], 4)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len(rows) == corpus.count()
     assert shard(corpus.limit(0), ["doc_id"], 4).count() == 0
+
+
+def test_quality_of_an_empty_table_and_of_no_long_text(spark):
+    none = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
+    assert judged(none).collect() == []
+    short = spark.createDataFrame([(1, None, None, None), (2, "a b", "en", "web")], none.schema)
+    assert [(r["doc_id"], r["base_failed"], r["kept"]) for r in judged(short).orderBy("doc_id").collect()] == [(1, True, False), (2, True, False)]
