@@ -13,7 +13,7 @@ from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.quality import judged
 from tallyloom.llm.secrets import redact
 from tallyloom.llm.shared import shared_dir
-from tallyloom.llm.simhash import keep_one
+from tallyloom.llm.shingles import keep_one
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -24,8 +24,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return keep_one(docs.select(*COLUMNS), width=3, radius=2)
+    """One document of each group of texts that share 80 % or more of their 5-word shingles."""
+    return keep_one(docs.select(*COLUMNS), width=5, percent=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,7 +93,11 @@ def keep_one(docs: DataFrame, *, width: int = 3, radius: int = 2, key: str = "do
     Of rows that share that id, the least text hash stays, and of rows that repeat
     both, the first by their other columns.
     """
-    found = near_duplicates(docs, width=width, radius=radius, key=key, text=text)
+    return kept_rows(docs, near_duplicates(docs, width=width, radius=radius, key=key, text=text), key=key, text=text)
+
+
+def kept_rows(docs: DataFrame, found: DataFrame, *, key: str, text: str) -> DataFrame:
+    """The documents that stand for the components ``found`` (``doc_id``, ``text_hash``, ``component_id``)."""
     own = F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("text_hash"))
     chosen = found.groupBy("component_id").agg(F.min(own).alias("__hash"))
     chosen = chosen.select(F.col("component_id").alias("__id"), "__hash")

@@ -43,3 +43,26 @@ def test_empty_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "unused")
         assert docs.count() == 0
+
+
+def shingles(text: str) -> set:
+    found = text.lower().split()
+    return {tuple(found[i : i + 5]) for i in range(len(found) - 4)}
+
+
+def test_near_copies_are_dropped(spark):
+    texts, near, far = [prose(i, 400) for i in range(40)], [], []
+    for i, text in enumerate(texts):
+        for edits in (1, 3, 6, 8, 14, 30):
+            words = text.split()
+            for at in np.random.default_rng(i).choice(np.arange(5, 395, 10), edits, replace=False):
+                words[at] = f"other{at}"
+            copy = " ".join(words)
+            alike = len(shingles(text) & shingles(copy)) / len(shingles(text) | shingles(copy))
+            (near if alike >= 0.8 else far).append((1000 * (i + 1) + edits, copy, alike))
+    assert len(near) >= 150 and min(x for *_, x in near) < 0.84 and max(x for *_, x in far) < 0.8
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)] + [(i, t, "en", "a", 0) for i, t, _ in near]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "unused")
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)] + [(i, t, "en", "a", 0) for i, t, x in far if i % 1000 == 30]
+    assert corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "unused").count() == len(rows) >= 80
