@@ -68,8 +68,8 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-#: What the adaptive rules look at: a ratio of two counts and the least fence that can reject.
-RATIOS = {"symbols": ("n_symbols", "n_words", 0.1), "dup_lines": ("n_dup_lines", "n_lines", 0.3), "capitals": ("n_capitals", "word_chars", 0.5), "word_length": ("word_chars", "n_words", 20.0)}
+#: What the adaptive rules look at: a ratio of two counts and the least spread, for groups whose quartiles (nearly) meet.
+RATIOS = {"symbols": ("n_symbols", "n_words", 0.005), "dup_lines": ("n_dup_lines", "n_lines", 0.05), "capitals": ("n_capitals", "word_chars", 0.004), "word_length": ("word_chars", "n_words", 0.3)}
 QUARTILES = (0.25, 0.75)
 
 
@@ -78,8 +78,8 @@ def fences(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("l
 
     Each group has mergeable KLL sketches; partial ones are merged where groups meet, so
     a source with most rows moves no more than others. A fence is the third quartile and
-    ``reach`` times the quartiles' distance above it, or the ratio's least fence if that
-    is higher. Groups of under ``least`` documents use the quartiles of the sketches
+    ``reach`` times the spread above it: the quartiles' distance, or the ratio's least
+    spread if that is greater. Groups of under ``least`` documents use the quartiles of the sketches
     merged over all groups: two numbers a ratio, which go through the driver.
     """
     measured = counts(docs.select(text, *groups), text, repeats=False).filter("n_words >= 50")
@@ -88,11 +88,11 @@ def fences(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("l
     merged = {k: F.kll_merge_agg_double(k) for k in RATIOS}
     overall = sketches.agg(*(F.when(F.count("*") > 0, F.kll_sketch_get_quantile_double(merged[k], F.lit(q))).alias(f"{k}_{q}") for k in RATIOS for q in QUARTILES)).first()
 
-    def fence(k: str, floor: float) -> Column:
+    def fence(k: str, spread: float) -> Column:
         low, high = (F.when(F.col("n") >= least, F.kll_sketch_get_quantile_double(k, F.lit(q))).otherwise(F.lit(overall[f"{k}_{q}"])) for q in QUARTILES)
-        return F.greatest(F.lit(floor), high + reach * (high - low)).alias(f"fence_{k}")
+        return (high + reach * F.greatest(F.lit(spread), high - low)).alias(f"fence_{k}")
 
-    return sketches.select(*groups, *(fence(k, floor) for k, (_, _, floor) in RATIOS.items()))
+    return sketches.select(*groups, *(fence(k, spread) for k, (_, _, spread) in RATIOS.items()))
 
 
 def judged(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("lang", "source"), most: int = 100_000, **options) -> DataFrame:

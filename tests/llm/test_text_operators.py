@@ -247,3 +247,16 @@ def test_quality_of_an_empty_table_and_of_no_long_text(spark):
     assert judged(none).collect() == []
     short = spark.createDataFrame([(1, None, None, None), (2, "a b", "en", "web")], none.schema)
     assert [(r["doc_id"], r["base_failed"], r["kept"]) for r in judged(short).orderBy("doc_id").collect()] == [(1, True, False), (2, True, False)]
+
+
+def test_groups_judge_one_ratio_by_their_own_distribution(spark):
+    def text(i: int, symbols: int, capitals: int) -> str:
+        found = prose(i, 100).split()
+        return " ".join(("#" if k < symbols else "") + (w.upper() if k < capitals else w) for k, w in enumerate(found))
+
+    rows = [(i, text(i, 0, i % 3), "en", "prose", 0, "") for i in range(150)]
+    rows += [(1000 + i, text(i, i % 9, 10 + i % 40), "en", "code", 0, "") for i in range(150)]
+    rows += [(5000 + k, text(77, *given), "en", source, 0, "") for k, (given, source) in enumerate((g, s) for g in ((8, 0), (0, 40)) for s in ("prose", "code"))]
+    verdict = {r["doc_id"]: r["kept"] for r in judged(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(kept for i, kept in verdict.items() if i < 5000)
+    assert [verdict[i] for i in range(5000, 5004)] == [False, True, False, True]
