@@ -41,7 +41,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 1024 tokens."""
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kind="byte", end_id=0, capacity=1024, grain=128)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kind="byte", end_id=0, capacity=1024, grain=128, specials=True)
 
 
 STAGES = [

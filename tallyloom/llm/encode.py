@@ -34,16 +34,21 @@ class Encoder:
 
     Up to ``MOST`` pieces of at most ``LONGEST`` characters are remembered, about 200
     bytes each; once as many more were missed, remembering starts anew.
+
+    With ``specials`` the strings of special tokens get their special ids, as the library
+    does by default; without, they are ordinary text, so that no text can forge the end
+    of a document.
     """
 
     LONGEST, MOST = 32, 1_000_000
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not specials
+        self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()] if specials else []
         self.pattern, self.known, self.missed = PIECES[kind], {}, 0
         self.word, self.first = WORDS[kind], kind == "byte"
         edges = [i for x, i in self.tokenizer.get_vocab().items() if (x.startswith("Ġ") if self.first else x.endswith("</w>"))]
@@ -52,6 +57,8 @@ class Encoder:
 
     def __call__(self, text: str) -> np.ndarray:
         """Ids of a text, unsigned 32-bit; none for an empty text."""
+        if any(x in text for x in self.special):  # they cut the text before anything else does
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         pieces, known = self.pattern.findall(text), self.known
         parts = list(map(known.get, pieces))
         if None not in parts:
@@ -84,6 +91,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, kind: str) -> Encoder:
+def encoder(path: str, kind: str, specials: bool = False) -> Encoder:
     """The worker's own encoder of a file."""
-    return Encoder(path, kind)
+    return Encoder(path, kind, specials)

@@ -135,7 +135,7 @@ def pack(pieces: DataFrame, capacity: int, *, length: str = "length", order: lis
     return placed.select(*pieces.columns, "__place.sequence_id", "__place.offset")
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, *, kind: str, end_id: int, capacity: int, grain: int, key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, *, kind: str, end_id: int, capacity: int, grain: int, key: str = "doc_id", text: str = "text", ids: bool = False, specials: bool = False) -> DataFrame:
     """Tokens of every whole text and ``end_id``, cut into pieces.
 
     They are as many pieces of ``capacity`` as there are, then one of a multiple of
@@ -149,7 +149,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, kind: str, end_id: int, cap
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())] + [("ids", pa.list_(pa.int64()))] * ids
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, kind)
+        enc = encoder(tokenizer, kind, specials)
         for batch in batches:
             rows = []
             for doc, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -166,7 +166,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, kind: str, end_id: int, cap
     return docs.select(F.col(key).cast("long"), F.coalesce(F.col(text), F.lit(""))).mapInArrow(encode, kinds)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, *, kind: str, end_id: int, capacity: int, grain: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, *, kind: str, end_id: int, capacity: int, grain: int, key: str = "doc_id", text: str = "text", specials: bool = False) -> DataFrame:
     """``token_pieces`` packed: texts are encoded once, and what follows reads the pieces' table."""
-    pieces = cut(token_pieces(docs, tokenizer, kind=kind, end_id=end_id, capacity=capacity, grain=grain, key=key, text=text))
+    pieces = cut(token_pieces(docs, tokenizer, kind=kind, end_id=end_id, capacity=capacity, grain=grain, key=key, text=text, specials=specials))
     return pack(pieces, capacity, order=["doc_id", "start", "ids_crc32", "doc_tokens"])

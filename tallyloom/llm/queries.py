@@ -57,7 +57,7 @@ def op3_format_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     docs = _table(spark, sf_dir, "documents")
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kind="byte", end_id=0, capacity=1024, grain=128)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kind="byte", end_id=0, capacity=1024, grain=128, specials=True)
 
 
 def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +97,7 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in token files, read back."""
     path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
-    write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), kind="word", end_id=1)
+    write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), kind="word", end_id=1, specials=True)
     return read_tokens(spark, path, ids=False)
 
 

@@ -95,7 +95,7 @@ def unpack(payload: bytes) -> np.ndarray:
     return out[: int(n)]
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, kind: str, end_id: int, key: str = "doc_id", text: str = "text", block: int = 65536) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, kind: str, end_id: int, key: str = "doc_id", text: str = "text", block: int = 65536, specials: bool = False) -> None:
     """Encodes the whole ``text`` of every row, adds ``end_id`` to each and writes the
     ids in ascending ``key`` order to ``path``, a folder that all executors share.
 
@@ -106,7 +106,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, kind: str, end_i
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, kind)
+        enc = encoder(tokenizer, kind, specials)
         held: dict[str, list] = {"doc": [], "ids": []}
         size = first = number = part = 0
 

@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 from tallyloom.llm.ann import Codebooks, nearest
 from tallyloom.llm.encode import encoder
 from tallyloom.llm.packing import cutting_plan, pack_documents, token_pieces
+from tallyloom.llm.queries import QUERIES
 from tallyloom.llm.tokenbin import pack, read_tokens, unpack, write_tokens
 
 FILES = {"byte": "byte_bpe_50k.json", "word": "word_bpe_49k.json"}
@@ -150,3 +151,19 @@ def test_more_levels_leave_less():
         books = Codebooks.fit(x, levels, 32)
         left.append(float(((x - books.decode(books.encode(x, 4))) ** 2).sum()))
     assert left[0] > left[1] > left[2]
+
+
+@pytest.mark.parametrize("kind", ["byte", "word"])
+def test_special_strings_get_the_ids_of_the_plain_library(kind):
+    path = public_tokenizers.path(FILES[kind])
+    own, plain = encoder(path, kind, specials=True), Tokenizer.from_file(path)
+    for text in [*TEXTS, "end  <|endoftext|>\n\n x", "a,<|endoftext|>b <|startoftext|><|endoftext|>", "<|ENDOFTEXT|>"]:
+        assert own(text or "").tolist() == plain.encode(text or "", add_special_tokens=False).ids, text
+
+
+def test_queries_give_special_ids(spark, tmp_path):
+    text = "one  <|endoftext|> two"
+    spark.createDataFrame([(1, text, "en", "a", len(text))], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    for kind, end, name in (("byte", 0, "op4_pack_documents"), ("word", 1, "op10_token_files")):
+        ids = [*Tokenizer.from_file(public_tokenizers.path(FILES[kind])).encode(text, add_special_tokens=False).ids, end]
+        assert QUERIES[name](spark, str(tmp_path)).first()["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
