@@ -62,8 +62,13 @@ def pieces(text: Column) -> Column:
 
 
 def part_tags(parts: Column) -> Column:
-    """Pieces by tag: part_aa, part_ab and on."""
-    letter = lambda n: F.char(F.lit(97) + n)
+    """Pieces by tag: part_aa, part_ab and on; past part_zz the first letter is the code
+    point that follows z, and so on, surrogates left out."""
+
+    def letter(n: Column) -> Column:
+        code = F.when(n < 0xD800 - 97, n + 97).otherwise(n + 97 + 2048)
+        return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 8, "0")), "UTF-32")
+
     tags = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.concat(F.lit("part_"), letter(F.floor(i / 26)), letter(i % 26)))
     return F.map_from_arrays(tags, parts)
 

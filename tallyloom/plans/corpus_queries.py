@@ -193,8 +193,8 @@ def splitter_variants(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def part_tag_counts(spark: SparkSession, d: str) -> DataFrame:
-    few = reviews(spark, d).select(pieces(F.col("review_text")).alias("p")).filter(F.size("p") <= 26 * 26)
-    return few.select(F.explode(F.map_keys(part_tags(F.col("p")))).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
+    parts = reviews(spark, d).select(pieces(F.col("review_text")).alias("p"))
+    return parts.select(F.explode(F.map_keys(part_tags(F.col("p")))).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
 
 
 @query(sql((REV,), "SELECT CAST(sum(len(regexp_extract_all(review_text, '[.!?][^ \\t\\r\\n.!?]'))) AS BIGINT) AS missed FROM rev"))

@@ -12,6 +12,7 @@ from tallyloom.functions.labels import FEATURES, MARKERS, STOP_WORDS
 from tallyloom.functions.numbers import micro_mean, sign_test, six_places
 from tallyloom.functions.text import entities, json_string, lang_bucket, part_tags, pieces, scrub, shuffled_options, trim_ws
 from tallyloom.operators import agreement, audit, labelling, memo, order
+from tallyloom.plans import corpus_queries
 from tallyloom.sources import files
 from tallyloom.streaming.classify import classify_stream
 
@@ -168,3 +169,11 @@ def test_stream_goes_on_where_it_stopped(spark, tmp_path):
     assert sorted(r["text_key"] for r in classify_stream(spark, *args).collect()) == ["a", "bb"]
     rows(["bb", "ccc"]).write.mode("append").parquet(source)
     assert sorted(r["text_key"] for r in classify_stream(spark, *args).collect()) == ["a", "bb", "ccc"]
+
+
+def test_part_tags_of_very_long_texts_are_counted(spark, monkeypatch):
+    sizes = [2, 676, 677, 700, 5000]
+    table = spark.createDataFrame([(" ".join(f"Part {i}." for i in range(n)),) for n in sizes], "review_text string")
+    monkeypatch.setattr(corpus_queries, "reviews", lambda *_: table)
+    got = {r["tag"]: r["n"] for r in corpus_queries.part_tag_counts(spark, "unused").collect()}
+    assert got == {f"part_{chr(97 + i // 26)}{chr(97 + i % 26)}": sum(i < n for n in sizes) for i in range(5000)}
