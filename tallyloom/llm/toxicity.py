@@ -109,13 +109,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, text: str,
     """Texts and labels of at most about ``most`` labelled documents that are not held out.
 
     They are those whose id hashes lowest; a document with several labels is toxic if
-    one says so. Only ids and labels of the sample are broadcast, so texts of other
-    documents do not move.
+    one says so, and of several texts with one id the least by hash counts. Only ids and
+    labels of the sample are broadcast, so texts of other documents do not move, and
+    repeated ids are reduced before anything goes to the driver.
     """
     known = labels.filter(F.col("toxic").isNotNull() & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.max("toxic").alias("toxic"))
     share = min(1.0, most / max(known.count(), 1))
     picked = known.filter(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000))
-    rows = docs.select(key, text).join(F.broadcast(picked), key).select(F.coalesce(F.col(text), F.lit("")), "toxic").collect()
+    whole = F.coalesce(F.col(text), F.lit(""))
+    met = docs.select(key, whole.alias("__text")).join(F.broadcast(picked), key)
+    rows = met.groupBy(key).agg(F.min(F.struct(F.xxhash64("__text"), "__text"))["__text"], F.first("toxic")).drop(key).collect()
     return sorted((r[0], int(r[1] > 0)) for r in rows)
 
 

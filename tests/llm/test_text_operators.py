@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from math import isclose
 
@@ -17,7 +18,7 @@ from tallyloom.llm.quality import base_failed, counts, judged
 from tallyloom.llm.secrets import find_secrets, redact, shown
 from tallyloom.llm.sharding import jump, shard
 from tallyloom.llm.simhash import keep_one, near_duplicates, simhash
-from tallyloom.llm.toxicity import fit, score_toxicity
+from tallyloom.llm.toxicity import fit, labelled_sample, score_toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -260,3 +261,13 @@ def test_groups_judge_one_ratio_by_their_own_distribution(spark):
     verdict = {r["doc_id"]: r["kept"] for r in judged(spark.createDataFrame(rows, DOCS)).collect()}
     assert all(kept for i, kept in verdict.items() if i < 5000)
     assert [verdict[i] for i in range(5000, 5004)] == [False, True, False, True]
+
+
+def test_repeated_ids_count_once_in_the_fit(spark):
+    rows = [(i, f"text {i}") for i in range(50)] + [(7, f"other {i}") for i in range(300)] + [(7, "text 7")] * 300 + [(8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    got = labelled_sample(docs, labels, key="doc_id", text="text", most=8000)
+    want = labelled_sample(docs.filter("doc_id <> 7").dropDuplicates(["doc_id"]), labels, key="doc_id", text="text", most=8000)
+    assert len(got) == len(want) + 1 == len({r[0] for r in docs.join(labels, "doc_id").select("doc_id").collect() if zlib.crc32(str(r[0]).encode()) % 5})
+    assert got == labelled_sample(docs.repartition(3), labels, key="doc_id", text="text", most=8000)
