@@ -10,20 +10,25 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 
 # Unicode white space as the byte-level pre-tokenizer sees it, and Latin letters.
-_BLANK = r"\t-\r \x85\xa0  -     　"
+_BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _LETTERS = r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+"
-_LATIN = rf"{_LETTERS}(?=[.,;:!? \t-\r]|\Z)"
-#: Where each kind of pre-tokenizer surely cuts. "byte": one space joins the word after it, as in
-#: byte-level BPE. "word": white space is dropped. A Latin word is a piece of its own where a mark
-#: or white space follows it, any other run of non-space characters as a whole.
+_MARKS = r"!-&(-/:-@\[-`{-~"  # all of ASCII's but the apostrophe, which may begin a contraction
+#: Where both kinds of pre-tokenizer surely cut: where a run of Latin letters meets a mark, a digit or
+#: white space, and where a run of marks meets any of the others.
+_LATIN = rf"{_LETTERS}(?=[{_MARKS}0-9 \t-\r]|\Z)"
+_RUN = rf"[{_MARKS}]+(?=[A-Za-z0-9 \t-\r]|\Z)"
+#: "byte": one space joins what comes after it, as in byte-level BPE. "word": white space is dropped.
+#: What is neither a Latin word nor marks is taken up to the next white space as a whole.
 PIECES = {
-    "byte": re.compile(rf" ?{_LATIN}| ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"),
-    "word": re.compile(rf"{_LATIN}|[^ \t-\r]+"),
+    "byte": re.compile(rf" ?{_LATIN}| ?{_RUN}| ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"),
+    "word": re.compile(rf"{_LATIN}|{_RUN}|[^ \t-\r]+"),
 }
 #: Pieces that are one word for the tokenizer itself.
 WORDS = {"byte": re.compile(f" {_LETTERS}"), "word": re.compile(_LETTERS)}
@@ -32,15 +37,17 @@ WORDS = {"byte": re.compile(f" {_LETTERS}"), "word": re.compile(_LETTERS)}
 class Encoder:
     """Encodes texts with one tokenizer file.
 
-    Up to ``MOST`` pieces of at most ``LONGEST`` characters are remembered, about 200
-    bytes each; once as many more were missed, remembering starts anew.
+    Pieces of at most ``LONGEST`` characters are remembered in two generations of at most
+    ``MOST`` each, about 200 bytes a piece: a piece met again moves to the newer one, and
+    when that is full it becomes the older one. So common pieces stay, at any size of
+    the input, and memory is bounded.
 
     With ``specials`` the strings of special tokens get their special ids, as the library
     does by default; without, they are ordinary text, so that no text can forge the end
     of a document.
     """
 
-    LONGEST, MOST = 32, 1_000_000
+    LONGEST, MOST = 32, 500_000
 
     def __init__(self, path: str, kind: str, specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -49,44 +56,73 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not specials
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()] if specials else []
-        self.pattern, self.known, self.missed = PIECES[kind], {}, 0
-        self.word, self.first = WORDS[kind], kind == "byte"
+        self.pattern, self.known, self.older = PIECES[kind], {}, {}
+        self.word, self.first = WORDS[kind].fullmatch, kind == "byte"
+        normal = self.tokenizer.normalizer
+        self.lower = normal is not None and normal.normalize_str("AZ") == "az"
         edges = [i for x, i in self.tokenizer.get_vocab().items() if (x.startswith("Ġ") if self.first else x.endswith("</w>"))]
         self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.edge[edges] = True
 
     def __call__(self, text: str) -> np.ndarray:
         """Ids of a text, unsigned 32-bit; none for an empty text."""
-        if any(x in text for x in self.special):  # they cut the text before anything else does
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        pieces, known = self.pattern.findall(text), self.known
-        parts = list(map(known.get, pieces))
-        if None not in parts:
-            return np.frombuffer(b"".join(parts), "<u4")
-        fresh = list({x for x, part in zip(pieces, parts, strict=True) if part is None})
-        here = self._encoded(fresh)
-        out = b"".join([here[x] if part is None else part for x, part in zip(pieces, parts, strict=True)])
-        if len(known) < self.MOST:
-            known.update((x, v) for x, v in here.items() if len(x) <= self.LONGEST)
-        elif (missed := self.missed + len(here)) > self.MOST:
-            self.known, self.missed = {}, 0
-        else:
-            self.missed = missed
-        return np.frombuffer(out, "<u4")
-
+        return np.frombuffer(self.encoded([text])[0], "<u4")
+
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as bytes of unsigned 32-bit integers. Pieces that are not
+        known yet are encoded together, once for all the texts."""
+        cut, seen, findall = [], set(), self.pattern.findall
+        for text in texts:
+            if any(x in text for x in self.special):  # they cut a text before anything else does
+                cut.append(None)
+                continue
+            if self.lower and text.isascii():  # case is lost anyway, so fewer pieces differ
+                low = text.lower()
+                text = text if any(x in low for x in self.special) else low
+            cut.append(findall(text))
+            seen.update(cut[-1])
+        fresh = seen.difference(self.known)
+        if fresh:
+            if len(self.known) + len(fresh) > self.MOST:
+                self.known, self.older = {}, self.known
+                fresh = seen
+            here = {x: v for x in fresh if (v := self.older.get(x)) is not None}
+            self.known.update(here)
+            self.known.update(self._encoded([x for x in fresh if x not in here]))
+        get = self.known.__getitem__
+        whole = [b"".join(map(get, pieces)) if pieces is not None else array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() for text, pieces in zip(texts, cut, strict=True)]
+        for x in [x for x in fresh if len(x) > self.LONGEST]:
+            self.known.pop(x, None)
+        return whole
+
+    def stream(self, texts: Iterable[str], chunk: int = 1 << 17) -> Iterator[np.ndarray]:
+        """The ids of each text in turn; texts of about ``chunk`` characters at a time go together."""
+        held, size = [], 0
+        for text in chain(texts, [None]):
+            if text is None or size >= chunk:
+                for ids in self.encoded(held):
+                    yield np.frombuffer(ids, "<u4")
+                held, size = [], 0
+            if text is not None:
+                held.append(text)
+                size += len(text)
 
     def _encoded(self, fresh: list[str]) -> dict[str, bytes]:
         """Ids of each piece as bytes. Plain words go through the tokenizer as one text;
         where a word begins or ends shows in its tokens."""
-        plain = [x for x in fresh if self.word.fullmatch(x)]
-        ids = np.array(self.tokenizer.encode(("" if self.first else " ").join(plain), add_special_tokens=False).ids, "<u4")
-        edges = np.flatnonzero(self.edge[ids])
-        bounds = [*edges.tolist(), len(ids)] if self.first else [0, *(edges + 1).tolist()]
-        here, raw = {}, ids.tobytes()
-        if len(bounds) == len(plain) + 1:
-            here = {x: raw[4 * a : 4 * b] for x, a, b in zip(plain, bounds, bounds[1:], strict=False)}
+        word, run = self.word, self.tokenizer.encode_batch_fast
+        plain = [x for x in fresh if word(x)]
+        here: dict[str, bytes] = {}
+        if plain:
+            ids = np.array(run([("" if self.first else " ").join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            edges = np.flatnonzero(self.edge[ids])
+            bounds = [*(4 * edges).tolist(), 4 * len(ids)] if self.first else [0, *(4 * edges + 4).tolist()]
+            if len(bounds) == len(plain) + 1:
+                raw = ids.tobytes()
+                here = dict(zip(plain, [raw[a:b] for a, b in pairwise(bounds)], strict=True))
         rest = [x for x in fresh if x not in here]
-        here.update((x, array("I", e.ids).tobytes()) for x, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True))
+        if rest:
+            here.update((x, array("I", e.ids).tobytes()) for x, e in zip(rest, run(rest, add_special_tokens=False), strict=True))
         return here
 
 

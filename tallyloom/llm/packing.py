@@ -152,8 +152,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, kind: str, end_id: int, cap
         enc = encoder(tokenizer, kind, specials)
         for batch in batches:
             rows = []
-            for doc, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                tokens = np.append(enc(whole), np.uint32(end_id)).astype("<u4")
+            for doc, found in zip(batch.column(0).to_pylist(), enc.stream(x.as_py() for x in batch.column(1)), strict=True):
+                tokens = np.append(found, np.uint32(end_id)).astype("<u4")
                 whole_parts = len(tokens) // capacity * capacity
                 cuts = [*range(0, whole_parts, capacity), *sorted({whole_parts, len(tokens) // grain * grain, len(tokens)})]
                 for start, stop in pairwise(cuts):

@@ -33,8 +33,13 @@ BITS = np.array([60, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 MAGIC = b"S8B1"
 
 
+_WIDTHS = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
     """Bits that each unsigned value takes."""
+    if len(values) and values.max() < len(_WIDTHS):
+        return _WIDTHS[values.astype(np.uint16)]
     high = (values >> np.uint64(32)).astype(np.float64)
     low = (values & np.uint64(0xFFFFFFFF)).astype(np.float64)
     return np.where(high > 0, 32 + np.frexp(high)[1], np.frexp(low)[1]).astype(np.uint8)
@@ -53,7 +58,7 @@ def pack(values: np.ndarray) -> bytes:
             step = min(span, COUNTS[choice] - span)
             widest[: len(widest) - step] = np.maximum(widest[: len(widest) - step], widest[step:])
             span += step
-        selector[widest[:n] <= BITS[choice]] = choice
+        np.copyto(selector, np.uint8(choice), where=widest[:n] <= BITS[choice])
     steps, starts, at = COUNTS[selector].astype(np.uint8).tobytes(), [], 0
     add = starts.append
     while at < n:
@@ -116,10 +121,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, kind: str, end_i
             return pa.RecordBatch.from_pydict(row, pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())]))
 
         for batch in batches:
-            for doc, whole, part in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):  # noqa: B020
+            texts = (x.as_py() for x in batch.column(1))
+            for doc, ids, part in zip(batch.column(0).to_pylist(), enc.stream(texts), batch.column(2).to_pylist(), strict=True):  # noqa: B020
                 held["doc"].append(doc)
-                held["ids"].append(np.append(enc(whole), np.uint32(end_id)))
-                size += len(held["ids"][-1])
+                held["ids"].append(np.append(ids, np.uint32(end_id)))
+                size += len(ids) + 1
                 if size >= block:
                     yield closed()
                     first, number, size = first + size, number + 1, 0
