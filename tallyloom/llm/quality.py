@@ -43,7 +43,8 @@ def covered_words(places: Column) -> Column:
 
 def counts(docs: DataFrame, text: str = "text", repeats: bool = True) -> DataFrame:
     """Adds ``n_words``, ``word_chars``, ``n_symbols``, ``n_capitals``, ``n_dup_lines``, ``n_lines`` and, if
-    wanted, ``n_repeat_words`` of whole texts (null: none) to any columns."""
+    wanted, ``n_repeat_words`` of whole texts (null: none) to any columns; columns of these
+    names are replaced."""
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     out = docs.withColumns({"__words": words(F.col(text)), "__lines": lines})
@@ -68,52 +69,69 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-#: What the adaptive rules look at: a ratio of two counts and the least spread, for groups whose quartiles (nearly) meet.
-RATIOS = {"symbols": ("n_symbols", "n_words", 0.005), "dup_lines": ("n_dup_lines", "n_lines", 0.05), "capitals": ("n_capitals", "word_chars", 0.004), "word_length": ("word_chars", "n_words", 0.3)}
-QUARTILES = (0.25, 0.75)
+#: What the adaptive rules look at: ratios of two counts.
+RATIOS = {"symbols": ("n_symbols", "n_words"), "dup_lines": ("n_dup_lines", "n_lines"), "capitals": ("n_capitals", "word_chars"), "word_length": ("word_chars", "n_words")}
 
 
-def fences(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("lang", "source"), reach: float = 6.0, least: int = 100) -> DataFrame:
-    """A row a group: upper fences of the ratios, from quantile sketches over all documents.
+def _ratio(name: str) -> Column:
+    a, b = RATIOS[name]
+    return F.col(a) / F.greatest(F.col(b), F.lit(1))
+
+
+def fences(counted: DataFrame, *, groups: tuple[str, ...] = ("lang", "source"), reach: float = 6.0, tail: float = 0.95, prior: float = 10.0) -> DataFrame:
+    """A row a group: ``__fence_`` and the ratio, its upper fence, from quantile sketches over all
+    documents of 50 words or more that ``counts`` has measured.
 
     Each group has mergeable KLL sketches; partial ones are merged where groups meet, so
     a source with most rows moves no more than others. A fence is the third quartile and
-    ``reach`` times the spread above it: the quartiles' distance, or the ratio's least
-    spread if that is greater. Groups of under ``least`` documents use the quartiles of the sketches
-    merged over all groups: two numbers a ratio, which go through the driver.
+    ``reach`` times the quartiles' distance, or the quantile at ``tail`` where that is
+    greater: it rejects no more than the group's last 5 % even if the quartiles meet. It is
+    then averaged with the fence of the wider group (all languages, then the language),
+    which weighs as much as ``prior`` documents, so a group leans on the wider one the
+    more, the fewer documents it has. No fence has a fixed part.
     """
-    measured = counts(docs.select(text, *groups), text, repeats=False).filter("n_words >= 50")
-    ratios = measured.select(*groups, *((F.col(a) / F.greatest(F.col(b), F.lit(1))).alias(k) for k, (a, b, _) in RATIOS.items()))
-    sketches = cut(ratios.groupBy(*groups).agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k).alias(k) for k in RATIOS)))
-    merged = {k: F.kll_merge_agg_double(k) for k in RATIOS}
-    overall = sketches.agg(*(F.when(F.count("*") > 0, F.kll_sketch_get_quantile_double(merged[k], F.lit(q))).alias(f"{k}_{q}") for k in RATIOS for q in QUARTILES)).first()
-
-    def fence(k: str, spread: float) -> Column:
-        low, high = (F.when(F.col("n") >= least, F.kll_sketch_get_quantile_double(k, F.lit(q))).otherwise(F.lit(overall[f"{k}_{q}"])) for q in QUARTILES)
-        return (high + reach * F.greatest(F.lit(spread), high - low)).alias(f"fence_{k}")
-
-    return sketches.select(*groups, *(fence(k, spread) for k, (_, _, spread) in RATIOS.items()))
-
-
-def judged(docs: DataFrame, *, text: str = "text", groups: tuple[str, ...] = ("lang", "source"), most: int = 100_000, **options) -> DataFrame:
-    """Adds the counts, ``base_failed`` and ``kept`` to the documents.
-
-    A document is kept unless a base rule or a fence of its group rejects it. Null
-    texts are empty and fail; a null language or source is a group of its own; repeated
-    rows get the same verdict; an empty table gives an empty result. The fences are
+    ratios = counted.filter("n_words >= 50").select(*groups, *(_ratio(k).alias(k) for k in RATIOS))
+    own = cut(ratios.groupBy(*groups).agg(F.count("*").alias("__n"), *(F.kll_sketch_agg_double(k).alias(k) for k in RATIOS)))
+    out, wider = own.select(*groups), None
+    for depth in range(len(groups) + 1):
+        keys = groups[:depth]
+        merged = own if depth == len(groups) else own.groupBy(*keys).agg(F.sum("__n").alias("__n"), *(F.kll_merge_agg_double(k).alias(k) for k in RATIOS)).filter("__n > 0")
+
+        def fence(k: str) -> Column:
+            low, high, last = (F.kll_sketch_get_quantile_double(k, F.lit(q)) for q in (0.25, 0.75, tail))
+            return F.greatest(high + reach * (high - low), last).alias(f"__fence_{k}")
+
+        here = merged.select(*(F.col(g).alias(f"__{g}") for g in keys), F.col("__n"), *map(fence, RATIOS))
+        if wider is None:
+            wider = here.drop("__n")
+            out = out.crossJoin(F.broadcast(wider))  # one row
+            continue
+        near = here.select("*", *(F.col(f"__fence_{k}").alias(f"__own_{k}") for k in RATIOS)).drop(*(f"__fence_{k}" for k in RATIOS))
+        met = out.join(near, [out[g].eqNullSafe(near[f"__{g}"]) for g in keys])
+        mean = {k: ((F.col("__n") * F.col(f"__own_{k}") + prior * F.col(f"__fence_{k}")) / (F.col("__n") + prior)).alias(f"__fence_{k}") for k in RATIOS}
+        out = met.select(*groups, *mean.values())
+    return out
+
+
+def judged(counted: DataFrame, *, groups: tuple[str, ...] = ("lang", "source"), most: int = 100_000, **options) -> DataFrame:
+    """Adds ``base_failed`` and ``kept`` to documents that ``counts`` has measured.
+
+    A document is kept unless a base rule or a fence of its group rejects it, which a
+    ratio equal to the fence does not. Null and empty texts fail; a null language or
+    source is a group of its own; repeated rows get the same verdict; an empty table
+    gives an empty result; very long texts are one row like others. The fences are
     broadcast while there are at most ``most`` groups, which is counted; beyond that
-    the join shuffles. Columns that are named like a count are replaced.
+    the join shuffles. Columns named like the verdicts are replaced; names that begin
+    with two underscores are the operator's own.
     """
-    limits = fences(docs, text=text, groups=groups, **options)
-    renamed = cut(limits.select(*(F.col(g).alias(f"__{g}") for g in groups), *(f"fence_{k}" for k in RATIOS)))
-    if renamed.count() <= most:
+    limits = cut(fences(counted, groups=groups, **options))
+    renamed = limits.select(*(F.col(g).alias(f"__{g}") for g in groups), *(f"__fence_{k}" for k in RATIOS))
+    if limits.count() <= most:
         renamed = F.broadcast(renamed)
-    counted = counts(docs, text).withColumn("base_failed", base_failed())
-    on = [counted[g].eqNullSafe(F.col(f"__{g}")) for g in groups]
-    met = counted.join(renamed, on, "left")
-    above = [F.coalesce(F.col(a) / F.greatest(F.col(b), F.lit(1)) > F.col(f"fence_{k}"), F.lit(False)) for k, (a, b, _) in RATIOS.items()]
-    bad = above[0]
-    for x in above[1:]:
-        bad = bad | x
+    marked = counted.withColumn("base_failed", base_failed())
+    met = marked.join(renamed, [marked[g].eqNullSafe(F.col(f"__{g}")) for g in groups], "left")
+    bad = F.lit(False)
+    for k in RATIOS:
+        bad = bad | F.coalesce(_ratio(k) > F.col(f"__fence_{k}") * (1 + 1e-9), F.lit(False))
     # one expression over both sides of the join, so that a filter on it is not moved below the counts and evaluated with them
-    return met.withColumn("kept", F.when(bad, False).otherwise(~F.col("base_failed"))).drop(*(f"__{g}" for g in groups), *(f"fence_{k}" for k in RATIOS))
+    return met.withColumn("kept", F.when(bad, False).otherwise(~F.col("base_failed"))).drop(*(f"__{g}" for g in groups), *(f"__fence_{k}" for k in RATIOS))

@@ -12,10 +12,10 @@ from tallyloom.llm.ann import nearest
 from tallyloom.llm.chat import format_trees, masked_text, parsed_turns, threads
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.packing import pack_documents
-from tallyloom.llm.quality import judged
+from tallyloom.llm.quality import counts, judged
 from tallyloom.llm.secrets import find_secrets, shown
 from tallyloom.llm.sharding import shard
-from tallyloom.llm.shared import shared_dir
+from tallyloom.llm.shared import cut, shared_dir
 from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.tokenbin import read_tokens, write_tokens
 from tallyloom.llm.toxicity import score_toxicity
@@ -83,9 +83,10 @@ def op7_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with their counts and verdicts."""
+    """All documents with their counts and verdicts: texts are read once, and the fences and
+    verdicts come from the table of counts."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return judged(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged(cut(counts(docs).drop("text"))).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

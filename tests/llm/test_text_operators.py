@@ -148,12 +148,12 @@ def test_quality_counts(corpus):
 
 
 def test_quality_verdicts(spark, corpus):
-    got = judged(corpus).collect()
+    got = judged(counts(corpus)).collect()
     assert len(got) == corpus.count() and all(not r["kept"] for r in got if r["base_failed"])
     odd = [(i, prose(i, 90), "en", "s", 0, "") for i in range(150)] + [(999, " ".join(["#$%&"] * 40 + [prose(7, 40)]), "en", "s", 0, "")]
-    verdict = {r["doc_id"]: r["kept"] for r in judged(spark.createDataFrame(odd, DOCS)).collect()}
+    verdict = {r["doc_id"]: r["kept"] for r in judged(counts(spark.createDataFrame(odd, DOCS))).collect()}
     assert all(verdict[i] for i in range(150)) and not verdict[999]
-    assert judged(corpus.limit(0)).count() == 0
+    assert judged(counts(corpus.limit(0))).count() == 0
 
 
 def test_toxicity_is_learned_and_located(spark):
@@ -245,9 +245,9 @@ def test_jump_hash_and_slots(spark, corpus):
 
 def test_quality_of_an_empty_table_and_of_no_long_text(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
-    assert judged(none).collect() == []
+    assert judged(counts(none)).collect() == []
     short = spark.createDataFrame([(1, None, None, None), (2, "a b", "en", "web")], none.schema)
-    assert [(r["doc_id"], r["base_failed"], r["kept"]) for r in judged(short).orderBy("doc_id").collect()] == [(1, True, False), (2, True, False)]
+    assert [(r["doc_id"], r["base_failed"], r["kept"]) for r in judged(counts(short)).orderBy("doc_id").collect()] == [(1, True, False), (2, True, False)]
 
 
 def test_groups_judge_one_ratio_by_their_own_distribution(spark):
@@ -258,7 +258,7 @@ def test_groups_judge_one_ratio_by_their_own_distribution(spark):
     rows = [(i, text(i, 0, i % 3), "en", "prose", 0, "") for i in range(150)]
     rows += [(1000 + i, text(i, i % 9, 10 + i % 40), "en", "code", 0, "") for i in range(150)]
     rows += [(5000 + k, text(77, *given), "en", source, 0, "") for k, (given, source) in enumerate((g, s) for g in ((8, 0), (0, 40)) for s in ("prose", "code"))]
-    verdict = {r["doc_id"]: r["kept"] for r in judged(spark.createDataFrame(rows, DOCS)).collect()}
+    verdict = {r["doc_id"]: r["kept"] for r in judged(counts(spark.createDataFrame(rows, DOCS))).collect()}
     assert all(kept for i, kept in verdict.items() if i < 5000)
     assert [verdict[i] for i in range(5000, 5004)] == [False, True, False, True]
 
