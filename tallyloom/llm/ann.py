@@ -50,42 +50,90 @@ class Codebooks:
         return sum(self.tables[m][codes[:, m]] for m in range(len(self.tables)))
 
     @staticmethod
-    def fit(x: np.ndarray, levels: int, codes: int, seed: int = 0, rounds: int = 8) -> Codebooks:
+    def fit(x: np.ndarray, levels: int, codes: int, seed: int = 0) -> Codebooks:
         """Codebooks of a sample: k-means of what the levels before leave over."""
-        draw = np.random.default_rng(seed)
         rest, tables = x.astype(np.float32).copy(), []
-        for _ in range(levels):
-            book = rest[draw.choice(len(rest), codes, replace=len(rest) < codes)].copy()
-            for _ in range(rounds):
-                near = (np.einsum("kd,kd->k", book, book) - 2 * rest @ book.T).argmin(1)
-                sums = np.zeros_like(book)
-                np.add.at(sums, near, rest)
-                counts = np.bincount(near, minlength=codes)
-                book = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], book)
-            near = (np.einsum("kd,kd->k", book, book) - 2 * rest @ book.T).argmin(1)
-            rest -= book[near]
+        for level in range(levels):
+            book = centres(rest, codes, seed + level)
+            rest -= book[closest(rest, book)]
             tables.append(book)
-        return Codebooks(np.stack(tables).astype(np.float32))
+        return Codebooks(np.stack(tables))
+
+
+def closest(x: np.ndarray, book: np.ndarray) -> np.ndarray:
+    """The nearest row of ``book`` for each row of ``x``."""
+    square = np.einsum("kd,kd->k", book, book)
+    return np.concatenate([(square - 2 * x[at : at + 4096] @ book.T).argmin(1) for at in range(0, len(x), 4096)])
+
+
+def centres(x: np.ndarray, n: int, seed: int, rounds: int = 8) -> np.ndarray:
+    """``n`` centres of the rows by k-means."""
+    draw = np.random.default_rng(seed)
+    book = x[draw.choice(len(x), n, replace=len(x) < n)].astype(np.float32)
+    for _ in range(rounds):
+        near = closest(x, book)
+        order = np.argsort(near, kind="stable")
+        held, starts = np.unique(near[order], return_index=True)
+        book[held] = np.add.reduceat(x[order], starts) / np.diff(np.append(starts, len(x)))[:, None]
+    return book
+
+
+@dataclass(frozen=True)
+class Index:
+    """``lists`` are centres that every vector belongs to the nearest of; ``books`` code what a centre leaves over."""
+
+    lists: np.ndarray
+    books: Codebooks
+
+    @staticmethod
+    def fit(x: np.ndarray, lists: int, levels: int, codes: int) -> Index:
+        rough = centres(x, lists, 1)
+        return Index(rough, Codebooks.fit(x - rough[closest(x, rough)], levels, codes))
+
+    def probes(self, x: np.ndarray, k: int, share: float, asked: int = 256) -> int:
+        """How many of the nearest lists hold ``share`` of the true neighbours of rows of the
+        sample ``x`` within it. Neighbours are nearer among all vectors, so this errs upward."""
+        if len(self.lists) == 1 or len(x) < 2:
+            return 1
+        some = np.random.default_rng(2).choice(len(x), min(asked, len(x)), replace=False)
+        own, square = closest(x, self.lists), np.einsum("nd,nd->n", x, x)
+        far = square[None] - 2 * x[some] @ x.T
+        far[np.arange(len(some)), some] = np.inf
+        near = np.argpartition(far, min(k, len(x) - 1) - 1, axis=1)[:, : min(k, len(x) - 1)]
+        place = np.argsort(np.argsort(self.away(x[some]), axis=1), axis=1)
+        needed = np.take_along_axis(place, own[near], axis=1)
+        return min(len(self.lists), int(np.quantile(needed, share)) + 2)
+
+    def away(self, x: np.ndarray) -> np.ndarray:
+        """Squared distances of rows to all centres, up to the row's own square."""
+        return np.einsum("kd,kd->k", self.lists, self.lists)[None] - 2 * x @ self.lists.T
 
 
 def searchable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     """``id`` and ``v`` (doubles) of the vectors that take part: not null, not zero, all
-    components finite, with an id, and of the length that most vectors have (the greater
-    of equally common ones). Rows that share an id count once, with the least vector.
+    components finite, with an id. Rows that share an id count once, with the least vector.
     """
     v = F.col(vector)
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
-    kept = vectors.select(F.col(key).cast("long").alias("id"), v.cast("array<double>").alias("v"), F.coalesce(fine, F.lit(False)).alias("fine")).filter("fine AND id IS NOT NULL").drop("fine")
-    sizes = kept.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).limit(1).collect()
-    if sizes:
-        kept = kept.filter(F.size("v") == sizes[0]["dim"])
+    kept = vectors.select(F.col(key).cast("long").alias("id"), v.cast("array<double>").alias("v"), F.coalesce(fine, F.lit(False)).alias("fine")).filter("fine AND id IS NOT NULL")
     return kept.groupBy("id").agg(F.min("v").alias("v"))
 
 
-def fit_sample(vectors: DataFrame, most: int) -> np.ndarray:
-    """At most ``most`` vectors, those of the least hashed ids, on the driver."""
+def classes(rows: DataFrame, keep: int) -> DataFrame:
+    """Equal vectors as one: ``id`` (the least), ``v`` and ``ids`` (the ``keep`` least).
+
+    A neighbour list of ``keep`` rows never reaches further into a class, and the limit
+    acts before the shuffle, so a very common vector is no large group.
+    """
+    by_id = Window.partitionBy("h", "v").orderBy("id")
+    first = rows.withColumn("h", F.xxhash64("v")).withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= keep)
+    return first.groupBy("h", "v").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("id"), "v", "ids")
+
+
+def fit_sample(vectors: DataFrame, most: int, scale: float) -> np.ndarray:
+    """At most ``most`` vectors, those of the least hashed ids, scaled, on the driver."""
     picked = vectors.orderBy(F.xxhash64("id"), "id").limit(most).select("v")
-    return np.array([r[0] for r in picked.collect()], np.float32)
+    return (np.array([r[0] for r in picked.collect()]) * scale).astype(np.float32)
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -93,64 +141,103 @@ def distance(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
 
 
-def nearest(vectors: DataFrame, queries: str, *, key: str = "vec_id", vector: str = "embedding", k: int = 10, levels: int = 16, codes: int = 256, beam: int = 4, rerank: int = 300, sample: int = 16384, rows_block: int = 32768, queries_block: int = 1024) -> DataFrame:
+def nearest(vectors: DataFrame, queries: str, *, key: str = "vec_id", vector: str = "embedding", k: int = 10, rerank: int | None = None, **options) -> DataFrame:
     """The ``k`` nearest other vectors of each query, which are the vectors whose ``id``
     meets the condition ``queries``: ``query_id``, ``rank``, ``vec_id``,
     ``score`` (exact distance), nearest first, ties to the smaller id.
 
-    Codebooks are fitted on a ``sample`` of fixed size; every vector is encoded and has
-    the norm of its sum of codewords stored. Queries meet all codes in blocks: each pair
-    of a block of codes and a block of queries is one task's work, scored by lookup
-    tables of inner products. The ``rerank`` best of all blocks are measured exactly;
-    as blocks are dealt by hash, each holds an even share of them, and sends that and six
-    standard deviations more. With ``rerank`` or fewer vectors the result is exact. Sizes of
-    blocks do not grow with the data, and nothing is broadcast but the codebooks.
-    A table without vectors that take part gives an empty result.
+    Only vectors of equal length have a distance, so each length is searched by itself.
+    Null, zero and non-finite vectors take no part; rows that share an id count once;
+    other columns are not read; a table without vectors that take part gives an empty
+    result. Equal vectors are one class: they are scored once, whatever their number,
+    and their ids come back in order, so ties are exact.
     """
     rows = cut(searchable(vectors, key, vector))
-    result = "query_id long, rank int, vec_id long, score double"
-    seen = fit_sample(rows, sample)
-    if not len(seen):
-        return vectors.sparkSession.createDataFrame([], result)
-    books = Codebooks.fit(seen, levels, min(codes, len(seen)))
-    n = rows.count()
-    row_blocks = -(-n // rows_block)
-    share = rerank / row_blocks
-    sent = min(rerank, math.ceil(share + 6 * math.sqrt(share)) + k)
-    asked = rows.filter(queries)
-    query_blocks = -(-max(asked.count(), 1) // queries_block)
-
-    @F.pandas_udf("codes binary, norm double")
+    found = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for row in rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max(F.array_max(F.transform("v", F.abs))).alias("most")).collect():
+        same = rows.filter(F.size("v") == row["dim"])
+        scale = 2.0 ** -min(max(math.frexp(row["most"])[1], -1000), 1000)
+        found = found.unionByName(_nearest(same, queries, k, rerank or 300 + 4 * round(row["n"] ** (1 / 3)), scale, row["n"], **options))
+    return found
+
+
+def _nearest(rows: DataFrame, queries: str, k: int, rerank: int, scale: float, n: int, *, levels: int = 16, codes: int = 256, beam: int = 4, share: float = 0.98, list_rows: int = 2048, sample: int = 16384, rows_block: int = 32768, queries_block: int = 8192) -> DataFrame:
+    """``nearest`` among vectors of one length.
+
+    The index is fitted on a ``sample`` of bounded size and covers every vector: a vector
+    belongs to the list of its nearest centre, and beam search codes what that leaves
+    over; the norm of the sum is stored. A query asks the nearest lists, as many as
+    held ``share`` of the neighbours within the sample, and scores their codes by lookup
+    tables; the ``rerank`` best of all lists are measured exactly. Lists grow in number
+    with the table, up to an eighth of the sample. A list of over ``rows_block`` rows and
+    the queries of a list are dealt over tasks in blocks of fixed size. Only the index
+    and a row a list are broadcast or come to the driver. ``scale`` is a power of two
+    that keeps single-precision squares finite.
+    """
+    held = cut(classes(rows, k + 1))
+    seen = fit_sample(held, sample, scale)
+    index = Index.fit(seen, max(1, min(n // list_rows, len(seen) // 8)), levels, min(codes, len(seen)))
+    probes = index.probes(seen, k, share)
+    asked = rows.filter(queries).withColumn("h", F.xxhash64("v"))
+    member = cut(asked.join(held.select(F.xxhash64("v").alias("h"), "v", F.col("id").alias("class")), ["h", "v"]).select(F.col("id").alias("query_id"), "class"))
+    wanted = held.join(member.select(F.col("class").alias("id")).distinct(), "id", "left_semi").select("id", "v")
+
+    def single(v: pd.Series) -> np.ndarray:
+        return (np.stack(v.to_numpy()) * scale).astype(np.float32) if len(v) else np.zeros((0, seen.shape[1]), np.float32)
+
+    @F.pandas_udf("list int, codes binary, norm double")
     def encoded(v: pd.Series) -> pd.DataFrame:
-        found = books.encode(np.stack(v.to_numpy()).astype(np.float32), beam) if len(v) else np.zeros((0, levels), np.uint8)
-        sums = books.decode(found).astype(np.float64)
-        return pd.DataFrame({"codes": [x.tobytes() for x in found], "norm": np.einsum("nd,nd->n", sums, sums)})
-
-    def scored(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        x = single(v)
+        own = closest(x, index.lists) if len(x) else np.zeros(0, np.int64)
+        found = index.books.encode(x - index.lists[own], beam)
+        sums = (index.lists[own] + index.books.decode(found)).astype(np.float64)
+        return pd.DataFrame({"list": own.astype(np.int32), "codes": [c.tobytes() for c in found], "norm": np.einsum("nd,nd->n", sums, sums)})
+
+    @F.pandas_udf("array<int>")
+    def nearby(v: pd.Series) -> pd.Series:
+        away = index.away(single(v))
+        return pd.Series(list(np.argpartition(away, probes - 1, axis=1)[:, :probes].astype(np.int32)))
+
+    def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "id": [], "near": []})
         found = np.frombuffer(b"".join(left["codes"]), np.uint8).reshape(len(left), -1)
-        ids, norm = left["id"].to_numpy(np.int64), left["norm"].to_numpy()
+        ids, norm, centre = left["id"].to_numpy(np.int64), left["norm"].to_numpy(), index.lists[left["list"].iloc[0]]
+        by_id = np.argsort(ids)
+        found, ids, norm = found[by_id], ids[by_id], norm[by_id]
         out = []
-        asks = np.stack(right["v"].to_numpy()).astype(np.float32)
-        tables = -2 * np.einsum("qd,mkd->qmk", asks, books.tables)
-        for at, query in enumerate(right["id"].to_numpy(np.int64)):
-            near = norm.copy()
-            for m in range(found.shape[1]):
-                near += tables[at, m][found[:, m]]
-            near[ids == query] = np.inf
-            top = np.argpartition(near, sent)[:sent] if len(near) > sent else np.arange(len(near))
-            top = top[np.isfinite(near[top])]
-            out.append(pd.DataFrame({"query_id": np.full(len(top), query), "id": ids[top], "near": near[top]}))
+        for at in range(0, len(right), 64):
+            asks = single(right["ask"].iloc[at : at + 64])
+            tables, rough = -2 * np.einsum("qd,mkd->qmk", asks, index.books.tables), -2 * asks @ centre
+            for i, query in enumerate(right["query_id"].iloc[at : at + 64]):
+                near = norm + rough[i]
+                for m in range(found.shape[1]):
+                    near += tables[i, m][found[:, m]]
+                top = np.arange(len(near))
+                if len(near) > rerank:  # of equal scores the smaller ids
+                    last = np.partition(near, rerank - 1)[rerank - 1]
+                    below = np.flatnonzero(near < last)
+                    top = np.concatenate([below, np.flatnonzero(near == last)[: rerank - len(below)]])
+                out.append(pd.DataFrame({"query_id": np.full(len(top), query), "id": ids[top], "near": near[top]}))
         return pd.concat(out)
 
-    coded = rows.withColumn("e", encoded("v")).select("id", "e.codes", "e.norm", F.pmod(F.xxhash64("id"), F.lit(row_blocks)).alias("r"))
-    left = coded.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    right = asked.withColumn("q", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int")).withColumn("r", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(row_blocks - 1).cast("long"))))
-    met = left.groupBy("r", "q").cogroup(right.groupBy("r", "q")).applyInPandas(scored, "query_id long, id long, near double")
+    coded = cut(held.withColumn("e", encoded("v")).select("id", "e.*"))
+    probed = cut(wanted.select(F.col("id").alias("query_id"), F.col("v").alias("ask"), F.explode(nearby("v")).alias("list")))
+    parts = coded.groupBy("list").agg(F.ceil(F.count("*") / rows_block).cast("int").alias("r_parts"))
+    ask_parts = probed.groupBy("list").agg(F.ceil(F.count("*") / queries_block).cast("int").alias("q_parts"))
+    plan = F.broadcast(parts.join(ask_parts, "list"))  # a row a list
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
+    left = coded.join(plan, "list").select("list", "id", "codes", "norm", dealt("id", "r_parts").alias("r"), spread("q_parts").alias("q"))
+    right = probed.join(plan, "list").select(F.col("list").alias("at"), "query_id", "ask", dealt("query_id", "q_parts").alias("aq"), spread("r_parts").alias("ar"))
+    met = left.groupBy("list", "r", "q").cogroup(right.groupBy("at", "ar", "aq")).applyInPandas(scored, "query_id long, id long, near double")
     best = Window.partitionBy("query_id").orderBy("near", "id")
     some = met.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= rerank).select("query_id", "id")
-    exact = some.join(rows.select("id", F.col("v").alias("there")), "id").join(asked.select(F.col("id").alias("query_id"), "v"), "query_id")
-    measured = exact.select("query_id", F.col("id").alias("vec_id"), distance(F.col("v"), F.col("there")).alias("score"))
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return measured.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    exact = some.join(held.select("id", F.col("v").alias("there"), "ids"), "id").join(wanted.select(F.col("id").alias("query_id"), "v"), "query_id")
+    measured = exact.select(F.col("query_id").alias("class"), "id", "ids", distance(F.col("v"), F.col("there")).alias("score"))
+    order = Window.partitionBy("class").orderBy("score", "id")
+    close = measured.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= k + 1)
+    each = F.flatten(F.collect_list(F.transform("ids", lambda i: F.struct("score", i.alias("vec_id")))))
+    lists = close.groupBy("class").agg(F.slice(F.sort_array(each), 1, k + 1).alias("near"))
+    others = member.join(lists, "class").select("query_id", F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k).alias("near"))
+    return others.select("query_id", F.posexplode("near").alias("at", "x")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")
