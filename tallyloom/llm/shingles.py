@@ -1,10 +1,9 @@
-"""Near copies by word shingles: MinHash bands propose pairs, the shingles decide."""
+"""Near copies by word shingles: SimHash balls and MinHash bands propose pairs, the shingles decide."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -14,20 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
 from tallyloom.llm.shared import cut
-from tallyloom.llm.simhash import SEED, kept_rows
-
-
-def shingle_set(text: bytes, width: int) -> np.ndarray:
-    """Distinct 64-bit hashes of a text's shingles, sorted.
-
-    A-Z count as a-z. A text of fewer words than ``width`` has its words as the one
-    shingle; one without words has none.
-    """
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else [b" ".join(words)]
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64))
+from tallyloom.llm.simhash import SEED, ball_links, kept_rows, majority, shingle_hashes
 
 
 @lru_cache(maxsize=4)
@@ -47,20 +33,23 @@ def band_values(hashes: np.ndarray, bands: int, rows: int) -> list[int]:
 
 
 def signatures(docs: DataFrame, *, width: int, bands: int, rows: int, key: str, text: str) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``size`` (distinct shingles) and ``bands`` of whole texts; null counts as empty."""
+    """``doc_id``, ``text_hash``, ``size`` (distinct shingles), ``fingerprint`` (SimHash) and
+    ``bands`` of whole texts; null counts as empty."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, values = [], []
+            sizes, prints, values = [], [], []
             for x in batch.column(2):
-                found = shingle_set(x.as_py(), width)
+                every = shingle_hashes(x.as_py(), width)
+                found = np.unique(every)
                 sizes.append(len(found))
+                prints.append(majority(every))
                 values.append(band_values(found, bands, rows))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["doc_id", "text_hash", "size", "bands"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["doc_id", "text_hash", "size", "fingerprint", "bands"])
 
     whole = F.coalesce(F.col(text), F.lit(""))
     given = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.cast("binary").alias("raw"))
-    return given.mapInArrow(hashed, "doc_id long, text_hash long, size long, bands array<long>")
+    return given.mapInArrow(hashed, "doc_id long, text_hash long, size long, fingerprint long, bands array<long>")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, *, width: int, percent: int, text: str) -> DataFrame:
@@ -68,7 +57,7 @@ def verified(pairs: DataFrame, docs: DataFrame, *, width: int, percent: int, tex
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(x.as_py(), width).view(np.int64) for x in batch.column(1)]
+            found = [np.unique(shingle_hashes(x.as_py(), width)).view(np.int64) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -80,38 +69,74 @@ def verified(pairs: DataFrame, docs: DataFrame, *, width: int, percent: int, tex
     return met.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, bands: int = 24, rows: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _alike(a: str, b: str, percent: int) -> Column:
+    """Whether two sets of these sizes can have the similarity."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def fingerprint_pairs(nodes: DataFrame, radius: int, percent: int) -> DataFrame:
+    """Pairs (``a``, ``b``) of texts whose SimHashes differ in at most ``radius`` bits: texts of
+    one fingerprint meet its least text, and least texts of linked fingerprints meet."""
+    least = F.min(F.struct("node", "size"))
+    one = nodes.groupBy("fingerprint").agg(least.alias("least"))
+    same = nodes.join(one, "fingerprint").filter(F.col("least.node") != F.col("node")).filter(_alike("least.size", "size", percent)).select(F.col("least.node").alias("a"), F.col("node").alias("b"))
+    links = ball_links(one.select("fingerprint"), radius)
+    ends = links.join(one.select(F.col("fingerprint").alias("a"), F.col("least").alias("x")), "a").join(one.select(F.col("fingerprint").alias("b"), F.col("least").alias("y")), "b")
+    return same.unionByName(ends.filter(_alike("x.size", "y.size", percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+
+
+def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: int = 2, bands: int = 24, rows: int = 5, turns: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row a document: ``doc_id``, ``text_hash`` and ``component_id``, the least doc_id that links reach.
 
     Texts are linked when the Jaccard similarity of their shingle sets is ``percent`` or
-    more. Texts that share a band are candidates: of pairs at 0.8, 24 bands of 5 miss
-    one in 14,000, of closer ones fewer. Each is first compared with the least text of
-    its bands, which joins large families by a link a text; then all pairs of a band
-    that those links left apart are compared. Copies stand for one node.
+    more, which is verified on the whole sets. Two kinds of candidates are compared: texts
+    whose SimHashes over the same shingles differ in at most ``radius`` bits (ball
+    hashing), and texts that share a MinHash band, as pairs at 0.8 are about ten bits
+    apart: of them, 24 bands of 5 miss one in 14,000, of closer ones fewer.
+
+    In a band all texts meet one of them, then, ``turns`` times, those not linked to it
+    yet meet another, drawn anew in each band; so a large family is joined by a link a
+    text, and few are left apart, of which all pairs within a band are compared at the
+    end. Copies stand for one node. Null and blank texts have no shingles and are never
+    near copies of other texts; equal texts always are. Repeated rows give repeated
+    rows; other columns are ignored; an empty table gives an empty result.
     """
     given = cut(signatures(docs, width=width, bands=bands, rows=rows, key=key, text=text))
-    nodes = given.groupBy("text_hash").agg(F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("bands").alias("bands"))
-    emitted = nodes.select(F.col("text_hash").alias("node"), "size", F.explode("bands").alias("band"))
+    nodes = cut(given.groupBy(F.col("text_hash").alias("node")).agg(F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("fingerprint").alias("fingerprint"), F.first("bands").alias("bands")))
+    some = nodes.filter("size > 0")
+    emitted = some.select("node", "size", F.explode("bands").alias("band"))
     shared = emitted.groupBy("band").agg(F.min(F.struct("node", "size")).alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
     members = cut(emitted.join(shared, "band").select("band", "node", "size", "least"))
-
-    def alike(a: str, b: str) -> Column:
-        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-    tried = cut(members.filter(F.col("least.node") != F.col("node")).filter(alike("least.size", "size")).select(F.col("least.node").alias("a"), F.col("node").alias("b")).distinct())
-    links = cut(verified(tried, docs, width=width, percent=percent, text=text))
-    roots = components(links)
-    apart = members.drop("least").join(roots, "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
-    split = apart.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
-    apart = cut(apart.join(split, "band", "left_semi"))
-    other = apart.select("band", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
-    pairs = apart.join(other, "band").filter("node < b AND root <> root_b").filter(alike("size", "size_b")).select(F.col("node").alias("a"), "b").distinct()
-    fresh = cut(pairs.join(tried, ["a", "b"], "left_anti"))
-    more = verified(fresh, docs, width=width, percent=percent, text=text)
-    rooted = nodes.select("text_hash", "first").join(components(links.unionByName(more)), F.col("text_hash") == F.col("node"), "left").select("text_hash", "first", F.coalesce("root", "text_hash").alias("root"))
-    rooted = cut(rooted)
+    banded = members.filter(F.col("least.node") != F.col("node")).filter(_alike("least.size", "size", percent)).select(F.col("least.node").alias("a"), F.col("node").alias("b"))
+
+    def met(pairs: DataFrame) -> DataFrame:
+        return cut(verified(pairs, docs, width=width, percent=percent, text=text))
+
+    def fresh(pairs: DataFrame) -> DataFrame:
+        """Pairs that were not compared yet, smaller node first."""
+        ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return cut(ordered.join(tried, ["a", "b"], "left_anti"))
+
+    tried = cut(banded.unionByName(fingerprint_pairs(some, radius, percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    links, left = met(tried), members.select("band", "node", "size")
+    for turn in range(turns + 1):
+        placed = left.join(components(links), "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
+        pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node").alias("p"), F.col("size").alias("p_size"), F.col("root").alias("p_root"))).alias("pivot")
+        split = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), pivot).filter("x <> y").select("band", "pivot.p", "pivot.p_size", "pivot.p_root")
+        left = cut(placed.join(split, "band"))
+        if left.isEmpty():
+            break
+        if turn < turns:
+            pairs = left.filter("root <> p_root").filter(_alike("size", "p_size", percent)).select(F.col("p").alias("a"), F.col("node").alias("b"))
+        else:
+            other = left.select("band", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
+            pairs = left.join(other, "band").filter("node < b AND root <> root_b").filter(_alike("size", "size_b", percent)).select(F.col("node").alias("a"), "b")
+        new = fresh(pairs)
+        links, tried = cut(links.unionByName(met(new))), cut(tried.unionByName(new))
+        left = left.select("band", "node", "size")
+    rooted = cut(nodes.select("node", "first").join(components(links), "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return given.select("doc_id", "text_hash").join(rooted.join(least, "root").select("text_hash", "component_id"), "text_hash").select("doc_id", "text_hash", "component_id")
+    return given.select("doc_id", "text_hash").join(rooted.join(least, "root").select(F.col("node").alias("text_hash"), "component_id"), "text_hash").select("doc_id", "text_hash", "component_id")
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

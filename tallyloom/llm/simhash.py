@@ -18,23 +18,32 @@ from tallyloom.llm.shared import cut
 SEED = 42
 
 
-def simhash(text: bytes, width: int) -> int:
-    """Signed 64 bits: each is set where over half of the shingles' hashes set it.
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """64-bit hashes of a text's shingles, repeats included.
 
     A-Z count as a-z. A text of fewer words than ``width`` has its words as the one
-    shingle; one without words gets zero.
+    shingle; one without words has none.
     """
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     shingles = map(b" ".join, zip(*(words[i:] for i in range(width)), strict=False)) if len(words) >= width else [b" ".join(words)]
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Signed 64 bits: each is set where over half of the hashes set it; zero for none."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         ones += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
+def simhash(text: bytes, width: int) -> int:
+    """The fingerprint of a text, from all its shingles; zero without words."""
+    return majority(shingle_hashes(text, width))
+
+
 def fingerprints(docs: DataFrame, *, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``text_hash`` and ``fingerprint`` (signed 64 bits) of whole texts; null
     counts as empty. Texts stream through the workers and do not come back."""
@@ -97,11 +106,14 @@ def keep_one(docs: DataFrame, *, width: int = 3, radius: int = 2, key: str = "do
 
 
 def kept_rows(docs: DataFrame, found: DataFrame, *, key: str, text: str) -> DataFrame:
-    """The documents that stand for the components ``found`` (``doc_id``, ``text_hash``, ``component_id``)."""
+    """The documents that stand for the components ``found`` (``doc_id``, ``text_hash``, ``component_id``).
+
+    Who stays is decided on those narrow rows; texts move once, dealt by id and text.
+    """
+    shown = lambda c: F.coalesce(F.concat(F.lit("k"), c.cast("string")), F.lit("n"))
     own = F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("text_hash"))
-    chosen = found.groupBy("component_id").agg(F.min(own).alias("__hash"))
-    chosen = chosen.select(F.col("component_id").alias("__id"), "__hash")
-    hashed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    kept = hashed.join(chosen, F.col(key).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left_semi")
-    first = Window.partitionBy(key, "__text_hash").orderBy(*[c for c in docs.columns if c != key])
+    chosen = found.groupBy("component_id").agg(F.min(own).alias("__text_hash")).select(shown(F.col("component_id")).alias("__id"), "__text_hash")
+    hashed = docs.withColumns({"__id": shown(F.col(key).cast("long")), "__text_hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    kept = hashed.join(chosen, ["__id", "__text_hash"], "left_semi")
+    first = Window.partitionBy("__id", "__text_hash").orderBy(*[c for c in docs.columns if c not in (key, text)])
     return kept.withColumn("__n", F.row_number().over(first)).filter("__n = 1").select(*docs.columns)
