@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.mixing import mixed_documents
 from tallyloom.llm.packing import pack_documents
-from tallyloom.llm.quality import judged
+from tallyloom.llm.quality import counts, judged
 from tallyloom.llm.secrets import redact
 from tallyloom.llm.shared import shared_dir
 from tallyloom.llm.shingles import keep_one
@@ -20,7 +20,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return judged(docs.select(*COLUMNS)).filter("kept").select(*COLUMNS)
+    return judged(counts(docs.select(*COLUMNS))).filter("kept").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
