@@ -88,9 +88,18 @@ def rule_changes(records: DataFrame) -> DataFrame:
 
 
 def severity_error(paired: DataFrame) -> DataFrame:
-    """Sum of signed and of absolute differences of severity, and the pairs they come from."""
-    gap = F.col("b_severity") - F.col("a_severity")
-    return paired.agg(F.count("*").alias("pairs"), F.sum(gap).cast("long").alias("signed"), F.sum(F.abs(gap)).cast("long").alias("absolute"))
+    """Signed and absolute differences of severity, as sums and as means to six places, and
+    the mean absolute difference of sentiments, which are exact decimals of three places."""
+    gap = (F.col("b_severity") - F.col("a_severity")).cast("long")
+    tone = F.abs(F.col("b_sentiment").cast("decimal(10,3)") - F.col("a_sentiment").cast("decimal(10,3)"))
+    row = paired.agg(F.count("*").alias("pairs"), F.sum(gap).alias("signed"), F.sum(F.abs(gap)).alias("absolute"), F.sum(tone).cast("double").alias("tone"))
+    mean = lambda c: fraction(F.col(c), F.col("pairs"))
+    return row.select("pairs", "signed", "absolute", mean("signed").alias("mean_signed"), mean("absolute").alias("mean_absolute"), mean("tone").alias("sentiment_mae"))
+
+
+def macro_f1(metrics: DataFrame) -> DataFrame:
+    """By field, how many classes the truth has and the mean of their F1 to six places; ``metrics`` is of ``class_metrics``."""
+    return metrics.filter("support > 0").groupBy("field").agg(F.count("*").alias("classes"), F.round(F.avg("f1"), 6).alias("macro_f1"))
 
 
 def gaps(paired: DataFrame) -> DataFrame:
@@ -99,9 +108,11 @@ def gaps(paired: DataFrame) -> DataFrame:
 
 
 def side_tally(three: DataFrame) -> DataFrame:
-    """Where two raters differ, whom a third agrees with, by field; ``c_`` are the third's labels."""
+    """Where two raters differ, whom a third agrees with, by field and over ``all`` of them; ``c_`` are the third's labels."""
     cells = F.array(*(F.struct(F.lit(f).alias("field"), F.when(F.col(f"c_{f}").eqNullSafe(F.col(f"a_{f}")), "a").when(F.col(f"c_{f}").eqNullSafe(F.col(f"b_{f}")), "b").otherwise("neither").alias("side"), (~same(f)).alias("differ")) for f in FIELDS))
-    return three.select(F.explode(cells).alias("c")).select("c.*").filter("differ").groupBy("field", "side").agg(F.count("*").alias("n"))
+    long = three.select(F.explode(cells).alias("c")).select("c.*").filter("differ")
+    counted = long.groupBy("field", "side").agg(F.count("*").alias("n"))
+    return counted.unionByName(counted.groupBy("side").agg(F.sum("n").alias("n")).withColumn("field", F.lit("all")))
 
 
 def arms(results: dict[str, DataFrame], key: str = "review_id") -> DataFrame:
@@ -110,19 +121,31 @@ def arms(results: dict[str, DataFrame], key: str = "review_id") -> DataFrame:
     return reduce(lambda x, y: x.join(y, key), renamed)
 
 
-def arm_changes(met: DataFrame, compared: list[tuple[str, str]], anchor: int) -> DataFrame:
-    """Changed labels between arms of ``arms``, whether at most ``anchor`` of a hundred, and whether none: one pass."""
+def arm_changes(met: DataFrame, compared: list[tuple[str, str]], anchor: int, sets: str = "set", most: int = 90) -> DataFrame:
+    """Changed labels between arms of ``arms``, by set of records and over ``all``: whether at most
+    ``anchor`` of a hundred changed, whether none did, and whether the second arm has collapsed,
+    which is one topic for over ``most`` of a hundred records. Topics are counted first."""
+    topics = sorted({y for _, y in compared})
     differ = {x + y: ~reduce(lambda p, q: p & q, [F.col(f"{f}_{x}").eqNullSafe(F.col(f"{f}_{y}")) for f in FIELDS]) for x, y in compared}
-    row = met.agg(F.count("*").alias("pairs"), *(F.count_if(c).alias(k) for k, c in differ.items()))
-    long = row.unpivot(["pairs"], list(differ), "arms", "changed")
-    return long.select("arms", "pairs", "changed", (F.col("changed") * 100 <= anchor * F.col("pairs")).alias("anchored"), (F.col("changed") == 0).alias("identical"))
-
-
-def nested_report(a: DataFrame, b: DataFrame, key: str = "review_id") -> DataFrame:
-    """Two runs over the same records: changed labels, moved tones and the largest move."""
-    met = pairs(a, b, key, keep=("sentiment",)).join(b.select(key, F.col("sentiment").alias("other")), key)
-    move = F.abs(F.col("sentiment") - F.col("other"))
-    return met.agg(F.count("*").alias("pairs"), F.count_if(~all_same()).alias("changed"), F.count_if(move != 0).alias("tone_moved"), F.round(F.coalesce(F.max(move), F.lit(0.0)), 6).alias("tone_most"))
+    named = met.withColumn(sets, F.explode(F.array(F.col(sets), F.lit("all"))))
+    rows = named.groupBy(sets).agg(F.count("*").alias("pairs"), *(F.count_if(c).alias(k) for k, c in differ.items()))
+    long = rows.unpivot([sets, "pairs"], list(differ), "arms", "changed").withColumn("arm", F.substring("arms", 2, 1))
+    said = named.select(sets, F.explode(F.array(*(F.struct(F.lit(y).alias("arm"), F.col(f"topic_{y}").alias("topic")) for y in topics))).alias("c")).select(sets, "c.*")
+    top = said.groupBy(sets, "arm", "topic").agg(F.count("*").alias("n")).groupBy(sets, "arm").agg(F.max("n").alias("top"))
+    guards = ((F.col("changed") * 100 <= anchor * F.col("pairs")).alias("anchored"), (F.col("changed") == 0).alias("identical"), (F.col("top") * 100 > most * F.col("pairs")).alias("collapsed"))
+    return long.join(top, [sets, "arm"]).select(sets, "arms", "pairs", "changed", *guards)
+
+
+def nested_report(a: DataFrame, b: DataFrame, key: str = "review_id", cutoff: float = 0.7) -> DataFrame:
+    """Two runs over the same records: changed labels, quotes and flags, moved tones and the largest move."""
+    other = b.select(key, *(F.col(c).alias(f"o_{c}") for c in ("sentiment", "min_top", "evidence_quote")))
+    met = pairs(a, b, key, keep=("sentiment", "min_top", "evidence_quote")).join(other, key)
+    move = F.abs(F.col("sentiment") - F.col("o_sentiment"))
+    flag = (F.col("min_top") < cutoff) != (F.col("o_min_top") < cutoff)
+    return met.agg(
+        F.count("*").alias("pairs"), F.count_if(~all_same()).alias("changed"), F.count_if(~F.col("evidence_quote").eqNullSafe(F.col("o_evidence_quote"))).alias("quotes"), F.count_if(flag).alias("flags"),
+        F.count_if(move != 0).alias("tone_moved"), F.round(F.coalesce(F.max(move), F.lit(0.0)), 6).alias("tone_most"),
+    )
 
 
 def accepted_scores(cases: DataFrame) -> DataFrame:
@@ -146,8 +169,9 @@ def cell_problems(sheet: DataFrame, allowed: dict[str, tuple]) -> DataFrame:
     return sheet.select(F.explode(cells).alias("c")).select("c.*").filter("problem IS NOT NULL").groupBy("field", "problem").agg(F.count("*").alias("n"))
 
 
-def value_at(df: DataFrame, group: str, value: str, share: float, slack: float = 0.005) -> DataFrame:
-    """(``group``, ``n``, ``at``): the value at place floor(share * n), from 0, of each group's sorted values.
+def value_at(df: DataFrame, group: str, value: str, share: float, slack: float = 0.005, place: Column | None = None) -> DataFrame:
+    """(``group``, ``n``, ``at``): the value at place floor(share * n), from 0, of each group's sorted
+    values, or at ``place``, an expression of ``n`` that is near to it.
 
     A quantile sketch brackets the place, values below the bracket are only counted, and
     those inside are summed by value, so no group is sorted as a whole. Groups are few
@@ -160,7 +184,7 @@ def value_at(df: DataFrame, group: str, value: str, share: float, slack: float =
     below = F.when(F.col(value) >= low, F.col(value))  # null: below the bracket
     steps = met.filter(F.col(value) <= high).groupBy(group, "n", below.alias("__v")).agg(F.count("*").alias("__k"))
     run = Window.partitionBy(group).orderBy(F.col("__v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    placed = steps.withColumn("__r", F.sum("__k").over(run)).filter(F.col("__r") > F.floor(F.col("n") * share))
+    placed = steps.withColumn("__r", F.sum("__k").over(run)).filter(F.col("__r") > (F.floor(F.col("n") * share) if place is None else place))
     return placed.groupBy(group, "n").agg(F.min("__v").alias("at"))
 
 
@@ -171,7 +195,36 @@ def planted_flips(records: DataFrame, step: int, seed: str) -> DataFrame:
     return joined.withColumn("topic", F.when(F.col("planted"), F.when(F.col("topic") == "other", "access").otherwise("other")).otherwise(F.col("topic")))
 
 
-def prefix_match(groups: DataFrame, order: str, value: str, target: Column) -> DataFrame:
-    """Boundaries in time at which the running total meets a target; groups are few."""
+def prefix_match(groups: DataFrame, order: str, totals: dict[str, Column]) -> DataFrame:
+    """Boundaries in time at which the running totals of all columns meet their targets; groups are few."""
     run = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return groups.withColumn("running", F.sum(value).over(run)).filter(F.col("running") == target)
+    summed = groups.withColumns({f"running_{c}": F.sum(c).over(run) for c in totals})
+    return summed.filter(reduce(lambda x, y: x & y, [F.col(f"running_{c}") == target for c, target in totals.items()]))
+
+
+def spread(df: DataFrame, group: str, value: str) -> DataFrame:
+    """By group the median (the mean of the middle two), and the values at floor(0.95 n) and at 0.9 (n - 1), rounded half to even."""
+    at = lambda share, place=None: value_at(df, group, value, share, place=place)
+    low, high = at(0.5, place=F.floor((F.col("n") - 1) / 2)), at(0.5)
+    parts = [low.select(group, "n", F.col("at").alias("low")), high.select(group, F.col("at").alias("high")), at(0.95).select(group, F.col("at").alias("p95")), at(0.9, F.bround(0.9 * (F.col("n") - 1))).select(group, F.col("at").alias("q90"))]
+    met = reduce(lambda x, y: x.join(y, group), parts)
+    return met.select(group, "n", ((F.col("low") + F.col("high")) / 2).alias("median"), "p95", "q90")
+
+
+def settled_guards(failed: DataFrame, supplied: bool, accepted: tuple[str, ...]) -> DataFrame:
+    """Failed guards (``guard``) with ``blocked``: supplied labels block whatever was accepted, others unless it was."""
+    known = F.col("guard").isin(*accepted) if accepted else F.lit(False)
+    return failed.select("guard", (F.lit(supplied) | ~known).alias("blocked"))
+
+
+def count_mismatches(measured: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Counts ``n`` by ``key`` that differ from the known ones, or that one side lacks."""
+    there = known.select(key, F.col("n").alias("known"))
+    return measured.select(key, "n").join(there, key, "full_outer").filter(~F.col("n").eqNullSafe(F.col("known")))
+
+
+def totals_match(cases: DataFrame, saved: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """Whether the totals of cases equal a saved score, field by field."""
+    row = cases.agg(*(F.count_if(F.col(f"{f}_ok")).alias(f) for f in fields))
+    long = row.unpivot([], list(fields), "field", "counted")
+    return long.join(saved.unpivot([], list(fields), "field", "saved"), "field").withColumn("equal", F.col("counted") == F.col("saved"))

@@ -23,8 +23,8 @@ def calls_by(calls: DataFrame, *by: str) -> DataFrame:
 
 
 def usage_rows(calls: DataFrame) -> DataFrame:
-    """Usage by stage and one row for all of them."""
-    rolled = calls.rollup("role").agg(F.count("*").alias("requests"), F.coalesce(F.sum("input_tokens"), F.lit(0)).alias("input_tokens"), F.countDistinct("user_id").alias("distinct_subjects"))
+    """Usage by stage and one row for all of them; a request is known by its list of ids."""
+    rolled = calls.rollup("role").agg(F.count("*").alias("requests"), F.coalesce(F.sum("input_tokens"), F.lit(0)).alias("input_tokens"), F.countDistinct("review_ids").alias("distinct_requests"))
     return rolled.withColumn("role", F.coalesce("role", F.lit("end_to_end")))
 
 
@@ -74,9 +74,12 @@ def cost_measured(calls: DataFrame, rates: DataFrame) -> DataFrame:
 
 def cost_project(measured: DataFrame, scenarios: DataFrame, sample: Column) -> DataFrame:
     """Measured cost carried to each scenario's rows, half up; ``over_cap`` says which pass their cap. Both tables are few rows."""
-    total = measured.agg(F.sum("pico_usd").alias("pico_usd"), F.sum("requests").alias("requests"))
-    crossed = total.crossJoin(F.broadcast(scenarios)).withColumn("n", sample)
-    return crossed.select("scenario", F.expr("(2 * requests * rows + n) DIV (2 * n)").alias("requests"), F.expr("(2 * pico_usd * rows + n) DIV (2 * n)").alias("pico_usd"), F.expr("(2 * pico_usd * rows + n) DIV (2 * n) > cap").alias("over_cap"))
+    whole = "decimal(38,0)"  # products pass 64 bits
+    total = measured.agg(F.sum("pico_usd").cast(whole).alias("pico_usd"), F.sum("requests").cast(whole).alias("requests"))
+    crossed = total.crossJoin(F.broadcast(scenarios)).withColumns({"n": sample.cast("decimal(18,0)"), "rows": F.col("rows").cast("decimal(18,0)")})
+    scaled = lambda c: F.expr(f"CAST(((2 * {c} * rows + n) - (2 * {c} * rows + n) % (2 * n)) / (2 * n) AS {whole})")
+    made = crossed.withColumns({"q": scaled("requests"), "p": scaled("pico_usd")})
+    return made.select("scenario", F.col("q").alias("requests"), F.col("p").alias("pico_usd"), (F.col("p") > F.col("cap")).alias("over_cap"))
 
 
 def worst_case(texts: DataFrame, rate_in: int, rate_out: int, most_out: int) -> DataFrame:

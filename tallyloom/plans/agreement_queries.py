@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.numbers import sign_test
+from tallyloom.functions.labels import best_option, by_rule, revision, valid_cutoff
+from tallyloom.functions.numbers import clopper_pearson, mid_p, percent, sign_test, wald
 from tallyloom.functions.text import hash_mod
 from tallyloom.operators import agreement, order, trace
 from tallyloom.plans import base
@@ -72,9 +75,28 @@ def class_metrics(spark: SparkSession, d: str) -> DataFrame:
     return agreement.class_metrics(paired(spark, d))
 
 
-@query(sql(TWO, "SELECT count(*) AS pairs, CAST(sum(b_severity - a_severity) AS BIGINT) AS signed, CAST(sum(abs(b_severity - a_severity)) AS BIGINT) AS absolute FROM p"))
+ERROR = """SELECT count(*) AS pairs, CAST(sum(b_severity - a_severity) AS BIGINT) AS signed, CAST(sum(abs(b_severity - a_severity)) AS BIGINT) AS absolute,
+  round(sum(b_severity - a_severity) / CAST(count(*) AS DOUBLE), 6) AS mean_signed, round(sum(abs(b_severity - a_severity)) / CAST(count(*) AS DOUBLE), 6) AS mean_absolute,
+  round(CAST(sum(abs(CAST(s2 AS DECIMAL(10,3)) - CAST(s1 AS DECIMAL(10,3)))) AS DOUBLE) / count(*), 6) AS sentiment_mae FROM p JOIN rev USING (review_id) JOIN tone USING (text_key)"""
+TONE = f"""tone AS (SELECT a.text_key, a.sentiment AS s1, CASE WHEN {h('v', 'a.text_key', 10)} < 3 THEN b.sentiment ELSE a.sentiment END AS s2, a.min_top AS p1,
+  CASE WHEN {h('v', 'a.text_key', 10)} < 3 THEN b.min_top ELSE a.min_top END AS p2 FROM res a JOIN res_b b USING (text_key))"""
+
+
+@query(sql((*TWO, TONE), ERROR))
 def golden_error(spark: SparkSession, d: str) -> DataFrame:
-    return agreement.severity_error(paired(spark, d))
+    """How far severities and sentiments of two labelers lie apart."""
+    tones = [records(spark, d, second=x).select("review_id", F.col("sentiment").alias(f"{n}_sentiment")) for x, n in ((False, "a"), (True, "b"))]
+    return agreement.severity_error(paired(spark, d).join(tones[0], "review_id").join(tones[1], "review_id"))
+
+
+F1 = """t AS (SELECT field, a AS class, count(*) AS support, count(*) FILTER (a = b) AS hits FROM c GROUP BY 1, 2), s AS (SELECT field, b AS class, count(*) AS predicted FROM c GROUP BY 1, 2),
+  m AS (SELECT field, round(2 * hits / CAST(support + coalesce(predicted, 0) AS DOUBLE), 6) AS f1 FROM t LEFT JOIN s USING (field, class))"""
+
+
+@query(sql((*TWO, CELLS, F1), "SELECT field, count(*) AS classes, round(avg(f1), 6) AS macro_f1 FROM m GROUP BY field"))
+def macro_f1(spark: SparkSession, d: str) -> DataFrame:
+    """The mean F1 over the classes that the truth has."""
+    return agreement.macro_f1(agreement.class_metrics(paired(spark, d)))
 
 
 @query(sql(TWO, "SELECT a_topic AS topic, round(CAST(sum(b_severity - a_severity) AS DOUBLE) / count(*), 4) AS shift FROM p GROUP BY 1"))
@@ -115,18 +137,24 @@ def transitions(spark: SparkSession, d: str) -> DataFrame:
 TALLY = "t AS (" + " UNION ALL ".join(f"SELECT '{f}' AS field, CASE WHEN c_{f} = a_{f} THEN 'a' WHEN c_{f} = b_{f} THEN 'b' ELSE 'neither' END AS side FROM q WHERE a_{f} <> b_{f}" for f in agreement.FIELDS) + ")"
 
 
-@query(sql((*THREE, TALLY), "SELECT field, side, count(*) AS n FROM t GROUP BY field, side"))
+@query(sql((*THREE, TALLY), "SELECT field, side, count(*) AS n FROM t GROUP BY field, side UNION ALL SELECT 'all', side, count(*) FROM t GROUP BY side"))
 def side_tally(spark: SparkSession, d: str) -> DataFrame:
     """Whom a third labeler agrees with where two differ."""
     return agreement.side_tally(three(spark, d))
 
 
-@query()
+PMF = "exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + n * ln(0.5::DOUBLE))"
+PAIRED_TESTS = f"""w AS (SELECT field, count(*) FILTER (side = 'a') AS a, count(*) FILTER (side = 'b') AS b FROM (SELECT * FROM t UNION ALL SELECT 'all', side FROM t) GROUP BY field),
+  n AS (SELECT *, a + b AS n, least(a, b) AS least_ FROM w), k AS (SELECT n.*, unnest(range(least_ + 1)) AS k FROM n),
+  c AS (SELECT field, a, b, sum({PMF}) AS cdf, max({PMF}) FILTER (k = least_) AS last FROM k GROUP BY field, a, b)"""
+
+
+@query(sql((*THREE, TALLY, PAIRED_TESTS), "SELECT field, a, b, round(least(1, 2 * cdf), 9) AS p, round(CASE WHEN a = b THEN 1 - last / 2 ELSE 2 * (cdf - last / 2) END, 9) AS mid_p FROM c"))
 def mcnemar(spark: SparkSession, d: str) -> DataFrame:
-    """The exact sign test of those tallies."""
+    """The exact sign test of those tallies, and its mid-p form."""
     sides = agreement.side_tally(three(spark, d)).groupBy("field").pivot("side", ["a", "b"]).agg(F.first("n"))
     filled = sides.na.fill(0, ["a", "b"])
-    return filled.select("field", "a", "b", F.round(sign_test(F.col("a"), F.col("b")), 9).alias("p"))
+    return filled.select("field", "a", "b", F.round(sign_test(F.col("a"), F.col("b")), 9).alias("p"), F.round(mid_p(F.col("a"), F.col("b")), 9).alias("mid_p"))
 
 
 @query(sql(TWO, f"SELECT review_id, a_topic AS topic, a_intent AS intent, a_severity AS severity FROM p WHERE {ALL3}"))
@@ -153,22 +181,28 @@ def adjudication_sheet(spark: SparkSession, d: str) -> DataFrame:
     return order.position(both, "order_key", ["review_id"], "place").select("review_id", "disputed", "place")
 
 
-ARMS = {("a", "b"): ALL3, ("a", "c"): " AND ".join(f"a_{f} = c_{f}" for f in agreement.FIELDS), ("b", "c"): " AND ".join(f"b_{f} = c_{f}" for f in agreement.FIELDS)}
+#: Arms and the pairs of them that are compared: a, b and c are labelers, d is a again, e says one topic only.
+ARMS = (("a", "b"), ("a", "c"), ("b", "c"), ("a", "d"), ("a", "e"))
+ARM_LABELS = {f"{f}_{x}": {"d": f"a_{f}", "e": "'other'" if f == "topic" else f"a_{f}"}.get(x, f"{x}_{f}") for x in "abcde" for f in agreement.FIELDS}
+CANARY = f"""w AS (SELECT unnest([rev.lang, 'all']) AS set_, {", ".join(f"{v} AS {k}" for k, v in ARM_LABELS.items())} FROM q JOIN rev USING (review_id)),
+  n AS ({" UNION ALL ".join(f"SELECT set_, '{x}{y}' AS arms, '{y}' AS arm, count(*) AS pairs, count(*) FILTER ({' OR '.join(f'{f}_{x} <> {f}_{y}' for f in agreement.FIELDS)}) AS changed FROM w GROUP BY set_" for x, y in ARMS)}),
+  o AS ({" UNION ALL ".join(f"SELECT set_, '{y}' AS arm, max(n) AS top FROM (SELECT set_, topic_{y}, count(*) AS n FROM w GROUP BY 1, 2) GROUP BY set_" for y in "bcde")})"""
 
 
-@query(sql(THREE, " UNION ALL ".join(f"SELECT '{x}{y}' AS arms, count(*) AS pairs, count(*) FILTER (NOT ({s})) AS changed, count(*) FILTER (NOT ({s})) * 100 <= 6 * count(*) AS anchored, count(*) FILTER (NOT ({s})) = 0 AS identical FROM q" for (x, y), s in ARMS.items())))
+@query(sql((*THREE, CANARY), "SELECT set_ AS set, arms, pairs, changed, changed * 100 <= 6 * pairs AS anchored, changed = 0 AS identical, top * 100 > 90 * pairs AS collapsed FROM n JOIN o USING (set_, arm)"))
 def canary(spark: SparkSession, d: str) -> DataFrame:
-    """Changes between all pairs of three arms, and which stay under six of a hundred."""
-    revs = reviews(spark, d)
+    """Changes between five pairs of arms, by language and over all: which stay under six of a hundred, which are identical, which arm has collapsed."""
+    revs, first = reviews(spark, d), records(spark, d)
     third = revs.join(base.hash_labels(revs.select("text_key").distinct(), "c_"), "text_key")
-    met = agreement.arms({"a": records(spark, d), "b": records(spark, d, second=True), "c": third})
-    return agreement.arm_changes(met, list(ARMS), anchor=6)
+    met = agreement.arms({"a": first, "b": records(spark, d, second=True), "c": third, "d": first, "e": first.withColumn("topic", F.lit("other"))})
+    return agreement.arm_changes(met.join(revs.select("review_id", F.col("lang").alias("set")), "review_id"), list(ARMS), anchor=6)
 
 
-TONE = f"tone AS (SELECT a.text_key, a.sentiment AS s1, CASE WHEN {h('v', 'a.text_key', 10)} < 3 THEN b.sentiment ELSE a.sentiment END AS s2, a.min_top AS p1, CASE WHEN {h('v', 'a.text_key', 10)} < 3 THEN b.min_top ELSE a.min_top END AS p2 FROM res a JOIN res_b b USING (text_key))"
+QUOTE = lambda s: f"substr(substr(review_text, 1, 12), 1, 2 * {s})"
 
 
-@query(sql((*TWO, TONE), f"SELECT count(*) AS pairs, count(*) FILTER (NOT ({ALL3})) AS changed, count(*) FILTER (s1 <> s2) AS tone_moved, round(coalesce(max(abs(s1 - s2)), 0), 6) AS tone_most FROM p JOIN rev USING (review_id) JOIN tone USING (text_key)"))
+@query(sql((*TWO, TONE), f"""SELECT count(*) AS pairs, count(*) FILTER (NOT ({ALL3})) AS changed, count(*) FILTER ({QUOTE('a_severity')} <> {QUOTE('b_severity')}) AS quotes, count(*) FILTER ((p1 < 0.7) <> (p2 < 0.7)) AS flags,
+  count(*) FILTER (s1 <> s2) AS tone_moved, round(coalesce(max(abs(s1 - s2)), 0), 6) AS tone_most FROM p JOIN rev USING (review_id) JOIN tone USING (text_key)"""))
 def nested_report(spark: SparkSession, d: str) -> DataFrame:
     """What moved between two runs over the same records."""
     return agreement.nested_report(records(spark, d), records(spark, d, second=True))
@@ -182,11 +216,11 @@ def prob_shift(spark: SparkSession, d: str) -> DataFrame:
     return met.agg(F.round(F.median(shift), 6).alias("middle"), F.round(F.max(shift), 6).alias("most"))
 
 
-@query(sql(TWO, f"SELECT count(*) AS pairs, count(*) FILTER ({SAME['intent']}) * 100 >= 70 * count(*) AS intent_mark, count(*) FILTER ({SAME['topic']}) * 100 >= 90 * count(*) AS topic_mark, max(abs(a_severity - b_severity)) <= 4 AS gap_mark FROM p"))
+@query(sql(TWO, f"SELECT count(*) AS pairs, count(*) FILTER ({SAME['intent']}) * 100 >= 70 * count(*) AS intent_mark, count(*) FILTER ({SAME['topic']}) * 100 >= 90 * count(*) AS topic_mark, max(abs(a_severity - b_severity)) <= 3 AS gap_mark FROM p"))
 def wording_trial(spark: SparkSession, d: str) -> DataFrame:
     """Which pass marks a candidate wording meets."""
     hit = lambda f, mark: (F.count_if(agreement.same(f)) * 100 >= mark * F.count("*")).alias(f"{f}_mark")
-    return paired(spark, d).agg(F.count("*").alias("pairs"), hit("intent", 70), hit("topic", 90), (F.max(F.abs(F.col("a_severity") - F.col("b_severity"))) <= 4).alias("gap_mark"))
+    return paired(spark, d).agg(F.count("*").alias("pairs"), hit("intent", 70), hit("topic", 90), (F.max(F.abs(F.col("a_severity") - F.col("b_severity"))) <= 3).alias("gap_mark"))
 
 
 HALF = "k AS (SELECT review_id, row_number() OVER (ORDER BY sha256('halves-v1:' || review_id), review_id) - 1 AS place, count(*) OVER () AS n FROM rev)"
@@ -240,18 +274,39 @@ def golden_cases(spark: SparkSession, d: str) -> DataFrame:
     return agreement.golden_cases(*gold_and_predictions(spark, d), fields=("quality", "toxic"))
 
 
-@query(sql((REV, GOLD), "SELECT count(*) AS cases, count(*) FILTER (missing) AS missing, count(*) FILTER (quality = p_quality) AS quality, count(*) FILTER (toxic = p_toxic) AS toxic FROM cases"))
+READ = "CASE WHEN {x}_intent IN ('unclear', 'praise', 'request') THEN 1 ELSE {x}_severity END"
+SCORE = f"""g AS (SELECT 'as_labeled' AS reading, a_topic = b_topic AS t, a_intent = b_intent AS i, a_severity AS x, b_severity AS y FROM p
+  UNION ALL SELECT 'by_rule', a_topic = b_topic, a_intent = b_intent, {READ.format(x="a")}, {READ.format(x="b")} FROM p)"""
+
+
+@query(sql((*TWO, SCORE), "SELECT reading, count(*) AS cases, count(*) FILTER (t) AS topic, count(*) FILTER (i) AS intent, count(*) FILTER (x = y) AS severity, count(*) FILTER (t AND i AND x = y) AS all_three, CAST(sum(abs(x - y)) AS BIGINT) AS distance FROM g GROUP BY reading"))
 def golden_score(spark: SparkSession, d: str) -> DataFrame:
+    """A labeler's score against gold labels under two readings: severities as labelled, and by the fixed rule."""
+    pair = paired(spark, d)
+    ruled = pair.withColumns({f"{x}_severity": by_rule(F.col(f"{x}_intent"), F.col(f"{x}_severity")) for x in "ab"})
+    both = pair.withColumn("reading", F.lit("as_labeled")).unionByName(ruled.withColumn("reading", F.lit("by_rule")))
+    gap = F.abs(F.col("a_severity") - F.col("b_severity")).cast("long")
+    return both.groupBy("reading").agg(F.count("*").alias("cases"), *(F.count_if(agreement.same(f)).alias(f) for f in agreement.FIELDS), F.count_if(agreement.all_same()).alias("all_three"), F.sum(gap).alias("distance"))
+
+
+@query(sql((REV, GOLD), "SELECT 'quality' AS field, count(*) FILTER (quality = p_quality) AS counted, count(*) FILTER (quality = p_quality) AS saved, true AS equal FROM cases UNION ALL SELECT 'toxic', count(*) FILTER (toxic = p_toxic), count(*) FILTER (toxic = p_toxic) + 1, false FROM cases"))
+def golden_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Totals of the cases against a saved score, of which one field is wrong on purpose."""
     cases = agreement.golden_cases(*gold_and_predictions(spark, d), fields=("quality", "toxic"))
-    return cases.agg(F.count("*").alias("cases"), F.count_if(F.col("missing")).alias("missing"), F.count_if(F.col("quality_ok")).alias("quality"), F.count_if(F.col("toxic_ok")).alias("toxic"))
+    saved = cases.agg(F.count_if(F.col("quality_ok")).alias("quality"), (F.count_if(F.col("toxic_ok")) + 1).alias("toxic"))
+    return agreement.totals_match(cases, saved, ("quality", "toxic"))
 
 
-@query(f"WITH s AS (SELECT CASE WHEN {h('cell', 'CAST(doc_id AS VARCHAR)', 20)} = 0 THEN 7 WHEN {h('cell', 'CAST(doc_id AS VARCHAR)', 20)} = 1 THEN NULL ELSE quality END AS quality, toxic FROM labels) SELECT 'quality' AS field, 'not in the list' AS problem, count(*) AS n FROM s WHERE quality NOT IN (0, 1) UNION ALL SELECT 'quality', 'blank', count(*) FROM s WHERE quality IS NULL")
+@query(f"WITH s AS (SELECT CASE WHEN {h('cell', 'CAST(doc_id AS VARCHAR)', 20)} = 0 THEN 7 WHEN {h('cell', 'CAST(doc_id AS VARCHAR)', 20)} = 1 THEN NULL ELSE quality END AS quality, toxic FROM labels) SELECT 'quality' AS field, 'not in the list' AS problem, count(*) AS n FROM s WHERE quality NOT IN (0, 1) UNION ALL SELECT 'quality', 'blank', count(*) FROM s WHERE quality IS NULL UNION ALL SELECT 'quote', 'not exact', count(*) FROM labels JOIN documents USING (doc_id) WHERE {h('quote', 'CAST(doc_id AS VARCHAR)', 9)} = 0 OR text IS NULL")
 def label_checks(spark: SparkSession, d: str) -> DataFrame:
     """Cells of a gold sheet that are blank or not in the list; some are broken on purpose."""
     at = hash_mod("cell", F.col("doc_id").cast("string"), 20)
     sheet = table(spark, d, "labels").select(F.when(at == 0, 7).when(at == 1, F.lit(None)).otherwise(F.col("quality")).alias("quality"), "toxic")
-    return agreement.cell_problems(sheet, {"quality": (0, 1), "toxic": (0, 1)})
+    cells = agreement.cell_problems(sheet, {"quality": (0, 1), "toxic": (0, 1)})
+    wrong = F.when(hash_mod("quote", F.col("doc_id").cast("string"), 9) == 0, "\u0000").otherwise("")
+    quoted = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", "text"), "doc_id").withColumn("quote", F.concat(F.substring("text", 1, 20), wrong))
+    inexact = quoted.filter(~F.coalesce(F.contains("text", "quote"), F.lit(False))).agg(F.count("*").alias("n"))
+    return cells.unionByName(inexact.select(F.lit("quote").alias("field"), F.lit("not exact").alias("problem"), "n"))
 
 
 FLIPS = "k AS (SELECT review_id, row_number() OVER (ORDER BY sha256('flip-v1:' || review_id), review_id) - 1 AS place FROM rec)"
@@ -265,14 +320,22 @@ def planted_flips(spark: SparkSession, d: str) -> DataFrame:
     return trace.differing(found, flipped, "review_id", "topic", "intent", "severity")
 
 
-@query(sql((REV, "k AS (SELECT review_id, row_number() OVER (ORDER BY sha256('run-v1:' || review_id), review_id) - 1 AS place FROM rev)"), "SELECT count(*) FILTER (place < 100) AS sampled, 0 AS misplaced, 0 AS lacking FROM k"))
+LOST = h("lost", "review_id", 40)
+ORDERS = f"""k AS (SELECT review_id, lang, row_number() OVER (ORDER BY sha256('run-v1:' || review_id), review_id) - 1 AS place FROM rev),
+  s AS (SELECT review_id, CASE WHEN {LOST} = 1 THEN 'xx' ELSE lang END AS lang, row_number() OVER (ORDER BY sha256('run-v1:' || review_id), review_id) - 1 AS there FROM rev WHERE {LOST} <> 0 QUALIFY there < 100)"""
+
+
+@query(sql((REV, ORDERS), "SELECT count(there) AS sampled, count(*) FILTER (there <> place) AS misplaced, count(*) FILTER (there IS NULL OR place IS NULL) AS lacking, count(*) FILTER (s.lang IS DISTINCT FROM k.lang AND there IS NOT NULL AND place IS NOT NULL) AS changed FROM s FULL JOIN (SELECT * FROM k WHERE place < 100) k USING (review_id)"))
 def order_check(spark: SparkSession, d: str) -> DataFrame:
-    """A sample of the hash order against the first places of the whole order."""
-    ids = reviews(spark, d).select("review_id")
-    sample = order.hash_sample(ids, base.SEED, 100).select("review_id", F.col("place").alias("there"))
-    whole = order.position(order.seeded(ids, base.SEED), "order_key", ["review_id"], "place").filter("place < 100").select("review_id", "place")
+    """A sample that lacks some rows and has others changed against the first places of the whole order."""
+    rows = reviews(spark, d).select("review_id", "lang")
+    at = hash_mod("lost", F.col("review_id"), 40)
+    damaged = rows.filter(at != 0).withColumn("lang", F.when(at == 1, "xx").otherwise(F.col("lang")))
+    sample = order.hash_sample(damaged, base.SEED, 100).select("review_id", F.col("place").alias("there"), F.col("lang").alias("other"))
+    whole = order.position(order.seeded(rows, base.SEED), "order_key", ["review_id"], "place").filter("place < 100").select("review_id", "place", "lang")
     met = sample.join(whole, "review_id", "full_outer")
-    return met.agg(F.count("there").alias("sampled"), F.count_if(F.col("there") != F.col("place")).alias("misplaced"), F.count_if(F.col("there").isNull() | F.col("place").isNull()).alias("lacking"))
+    both = F.col("there").isNotNull() & F.col("place").isNotNull()
+    return met.agg(F.count("there").alias("sampled"), F.count_if(F.col("there") != F.col("place")).alias("misplaced"), F.count_if(~both).alias("lacking"), F.count_if(both & ~F.col("lang").eqNullSafe(F.col("other"))).alias("changed"))
 
 
 @query(sql((REV, "t AS (SELECT review_id, 'golden' AS tag FROM rev SEMI JOIN (SELECT CAST(doc_id AS VARCHAR) AS review_id FROM labels WHERE toxic = 1) USING (review_id) UNION SELECT review_id, 'long' FROM rev WHERE n_chars > 5000 UNION SELECT review_id, 'copied' FROM rev WHERE text_key IN (SELECT text_key FROM rev GROUP BY text_key HAVING count(*) > 1))", "g AS (SELECT review_id, string_agg(tag, ',' ORDER BY tag) AS tags FROM t GROUP BY review_id)"), "SELECT review_id, tags, row_number() OVER (ORDER BY sha256('items-v1:' || review_id), review_id) - 1 AS place FROM g"))
@@ -283,3 +346,78 @@ def rater_items(spark: SparkSession, d: str) -> DataFrame:
     copied = revs.groupBy("text_key").agg(F.count("*").alias("n")).filter("n > 1").select("text_key")
     sets = {"golden": revs.join(toxic, "review_id", "left_semi"), "long": revs.filter("n_chars > 5000"), "copied": revs.join(copied, "text_key", "left_semi")}
     return order.position(order.seeded(trace.tagged_union(sets, "review_id"), "items-v1"), "order_key", ["review_id"], "place").select("review_id", "tags", "place")
+
+
+BY_REFERENCE = f"""b AS (SELECT 'b' AS reference, min_top, NOT ({ALL3}) AS wrong, c_topic <> a_topic AS disputed FROM q
+  UNION ALL SELECT 'c', min_top, a_topic <> c_topic OR a_intent <> c_intent OR a_severity <> c_severity, c_topic <> a_topic FROM q), k AS (SELECT CAST(unnest({list(CUTS)}) AS DOUBLE) AS cutoff)"""
+
+
+@query(sql((*THREE, BY_REFERENCE), "SELECT reference, disputed, cutoff, count(*) FILTER (min_top < cutoff) AS flagged, count(*) FILTER (min_top < cutoff AND wrong) AS caught, count(*) FILTER (min_top < cutoff AND NOT wrong) AS agreeing_flagged FROM b, k GROUP BY 1, 2, 3"))
+def cutoff_by_reference(spark: SparkSession, d: str) -> DataFrame:
+    """The cut-off table against each of two references, disputed records apart."""
+    met = three(spark, d).withColumn("disputed", F.col("c_topic") != F.col("a_topic"))
+    other = met.withColumns({f"b_{f}": F.col(f"c_{f}") for f in agreement.FIELDS})
+    parts = []
+    for name, pair in (("b", met), ("c", other)):
+        for disputed in (True, False):
+            rows = agreement.cutoff_table(pair.filter(F.col("disputed") == disputed), CUTS)
+            parts.append(rows.select(F.lit(name).alias("reference"), F.lit(disputed).alias("disputed"), "cutoff", "flagged", "caught", "agreeing_flagged"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+CUTOFF_CELLS = ("0.70", "0.7", "0.705", "1", "0", "1.2", "-0.1", "x", "")
+
+
+@query("SELECT cell, coalesce(TRY_CAST(cell AS DECIMAL(20,10)) BETWEEN 0 AND 1 AND TRY_CAST(cell AS DECIMAL(20,10)) * 100 = floor(TRY_CAST(cell AS DECIMAL(20,10)) * 100), false) AS valid FROM (SELECT unnest([" + ", ".join(f"'{c}'" for c in CUTOFF_CELLS) + "]) AS cell)")
+def cutoff_validity(spark: SparkSession, d: str) -> DataFrame:
+    """Which cut-offs are numbers from 0 to 1 of at most two decimals."""
+    return spark.createDataFrame([(c,) for c in CUTOFF_CELLS], "cell string").select("cell", valid_cutoff(F.col("cell")).alias("valid"))
+
+
+OPTIONS = ("billing", "access", "other", "support")
+
+
+@query(sql((REV, "o AS (SELECT review_id, unnest([" + ", ".join(f"{{'p': {h('opt-' + o, 'text_key', 7)}, 'o': '{o}'}}" for o in OPTIONS) + "], recursive := true) FROM rev)"), "SELECT review_id, arg_min(o, o) AS choice FROM (SELECT * FROM o QUALIFY p = max(p) OVER (PARTITION BY review_id)) GROUP BY review_id"))
+def argmax_choice(spark: SparkSession, d: str) -> DataFrame:
+    """The option of the largest probability, ties to the first by name."""
+    chances = F.create_map(*(x for o in OPTIONS for x in (F.lit(o), hash_mod(f"opt-{o}", F.col("text_key"), 7) / 7.0)))
+    return reviews(spark, d).select("review_id", best_option(chances).alias("choice"))
+
+
+@query(sql(TWO, f"SELECT a_topic AS topic, CAST((2 * count(*) FILTER ({ALL3}) * 1000 + count(*)) // (2 * count(*)) // 10 AS VARCHAR) || '.' || CAST((2 * count(*) FILTER ({ALL3}) * 1000 + count(*)) // (2 * count(*)) % 10 AS VARCHAR) || '%' AS one, CAST((2 * count(*) FILTER ({ALL3}) * 10000 + count(*)) // (2 * count(*)) // 100 AS VARCHAR) || '.' || lpad(CAST((2 * count(*) FILTER ({ALL3}) * 10000 + count(*)) // (2 * count(*)) % 100 AS VARCHAR), 2, '0') || '%' AS two FROM p GROUP BY 1"))
+def percent_strings(spark: SparkSession, d: str) -> DataFrame:
+    """Agreement by topic in percent, as texts of one and of two decimals."""
+    row = agreement.agreement(paired(spark, d), "a_topic")
+    return row.select(F.col("a_topic").alias("topic"), percent(F.col("all_three"), F.col("pairs")).alias("one"), percent(F.col("all_three"), F.col("pairs"), 2).alias("two"))
+
+
+@query(sql(TWO, "SELECT review_id, CASE a_severity WHEN 1 THEN 'topic' WHEN 2 THEN 'severity' END AS field, CASE a_severity WHEN 1 THEN b_topic WHEN 2 THEN CAST(b_severity AS VARCHAR) END AS was FROM p"))
+def revisions(spark: SparkSession, d: str) -> DataFrame:
+    """What hand-written notes say was revised."""
+    field = F.when(F.col("a_severity") == 1, "topic").when(F.col("a_severity") == 2, "severity")
+    was = F.when(F.col("a_severity") == 1, F.col("b_topic")).otherwise(F.col("b_severity").cast("string"))
+    note = F.coalesce(F.concat(F.lit("seen; revised on day 2: "), field, F.lit(" was "), was, F.lit(" before")), F.lit("no change"))
+    return paired(spark, d).select("review_id", revision(note).alias("r")).select("review_id", "r.field", "r.was")
+
+
+@query("SELECT guard, supplied OR guard <> 'one_topic' AS blocked, supplied FROM (SELECT unnest(['one_topic', 'none_flagged']) AS guard), (SELECT unnest([true, false]) AS supplied)")
+def guard_settlement(spark: SparkSession, d: str) -> DataFrame:
+    """Failed guards of a supplied and of an own labeler, of which one guard is accepted."""
+    failed = spark.createDataFrame([("one_topic",), ("none_flagged",)], "guard string")
+    return agreement.settled_guards(failed, True, ("one_topic",)).withColumn("supplied", F.lit(True)).unionByName(agreement.settled_guards(failed, False, ("one_topic",)).withColumn("supplied", F.lit(False)))
+
+
+@query(sql(BASE, "SELECT lang, round(hits / n - 1.959964 * sqrt(hits / n * (1 - hits / n) / n), 6) AS low, round(hits / n + 1.959964 * sqrt(hits / n * (1 - hits / n) / n), 6) AS high FROM (SELECT lang, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (intent = 'complaint') AS DOUBLE) AS hits FROM rec GROUP BY lang)"))
+def wald_ci(spark: SparkSession, d: str) -> DataFrame:
+    """Wald's interval of the share of complaints by language."""
+    tally = records(spark, d).groupBy("lang").agg(F.count("*").alias("n"), F.count_if(F.col("intent") == "complaint").alias("hits"))
+    low, high = wald(F.col("hits"), F.col("n"))
+    return tally.select("lang", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
+
+
+@query()
+def exact_ci(spark: SparkSession, d: str) -> DataFrame:
+    """Clopper and Pearson's interval of small shares; a unit test holds the ends against known values."""
+    tally = records(spark, d).groupBy("topic").agg(F.least(F.count("*"), F.lit(100)).alias("n"), F.least(F.count_if(F.col("severity") == 5), F.lit(100)).alias("hits"))
+    low, high = clopper_pearson(F.col("hits"), F.col("n"))
+    return tally.select("topic", "n", "hits", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))

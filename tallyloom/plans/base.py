@@ -52,19 +52,21 @@ def records(spark: SparkSession, sf_dir: str, second: bool = False) -> DataFrame
     revs = reviews(spark, sf_dir)
     labelled = revs.join(second_results(revs) if second else results(revs), "text_key")
     found = labelled.join(originals(revs, SEED), "text_key", "left")
-    return found.withColumn("cache_source_id", F.when(F.col("original") != F.col("review_id"), F.col("original"))).drop("original")
+    quote = F.substring("review_text", 1, 12).substr(F.lit(1), 2 * F.col("severity"))
+    return found.withColumns({"cache_source_id": F.when(F.col("original") != F.col("review_id"), F.col("original")), "evidence_quote": quote}).drop("original")
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as calls of models."""
     e = table(spark, sf_dir, "events")
+    ids = F.array((F.col("event_id") % 200).cast("string"), F.concat(F.lit("u"), "user_id"))
     role = F.element_at(F.array(*map(F.lit, ("enrich", "verify", "group", "memo"))), (hash_mod("role", F.col("event_id").cast("string"), 4) + 1).cast("int"))
     kind = hash_mod("outcome", F.col("event_id").cast("string"), 10)
     known = kind < 9
     return e.select(
         F.col("event_id").alias("request_id"), "ts", "user_id", "event_type", F.to_date("ts").alias("session"), role.alias("role"),
         F.when(kind < 8, "succeeded").when(kind < 9, "failed").otherwise("pending").alias("outcome"), F.when(known, F.col("event_id") % 1000).alias("input_tokens"),
-        F.when(known, F.col("event_id") % 300).alias("output_tokens"), (F.col("event_id") % 1000 + 50).alias("reserved_tokens"), F.col("value").alias("seconds"),
+        F.when(known, F.col("event_id") % 300).alias("output_tokens"), (F.col("event_id") % 1000 + 50).alias("reserved_tokens"), F.col("value").alias("seconds"), ids.alias("review_ids"),
     )
 
 
@@ -91,7 +93,7 @@ REC2 = "rec2 AS (SELECT rev.review_id, res2.topic, res2.intent, res2.severity FR
 PAIRS = "p AS (SELECT review_id, a.min_top, a.topic AS a_topic, b.topic AS b_topic, a.intent AS a_intent, b.intent AS b_intent, a.severity AS a_severity, b.severity AS b_severity FROM rec a JOIN rec2 b USING (review_id))"
 MEMBER = "m AS (SELECT 'IS-' || topic AS issue_id, review_id FROM rec WHERE intent IN ('complaint', 'cancellation'))"
 RANKING = "t AS (SELECT issue_id, count(*) AS complaint_count, CAST(sum(severity) AS BIGINT) AS severity_sum FROM m JOIN rec USING (review_id) GROUP BY issue_id), ranking AS (SELECT row_number() OVER (ORDER BY severity_sum DESC, issue_id) AS rank, issue_id, complaint_count, severity_sum, (2 * severity_sum * 1000000 + complaint_count) // (2 * complaint_count) AS micro FROM t)"
-CALLS = f"calls AS (SELECT event_id AS request_id, ts, user_id, event_type, CAST(ts AS DATE) AS session, ['enrich', 'verify', 'group', 'memo'][{h('role', 'CAST(event_id AS VARCHAR)', 4)} + 1] AS role, CASE WHEN {h('outcome', 'CAST(event_id AS VARCHAR)', 10)} < 8 THEN 'succeeded' WHEN {h('outcome', 'CAST(event_id AS VARCHAR)', 10)} < 9 THEN 'failed' ELSE 'pending' END AS outcome, CASE WHEN {h('outcome', 'CAST(event_id AS VARCHAR)', 10)} < 9 THEN event_id % 1000 END AS input_tokens, CASE WHEN {h('outcome', 'CAST(event_id AS VARCHAR)', 10)} < 9 THEN event_id % 300 END AS output_tokens, event_id % 1000 + 50 AS reserved_tokens, value AS seconds FROM events)"
+CALLS = f"calls AS (SELECT event_id AS request_id, ts, user_id, event_type, CAST(ts AS DATE) AS session, ['enrich', 'verify', 'group', 'memo'][{h('role', 'CAST(event_id AS VARCHAR)', 4)} + 1] AS role, CASE WHEN {h('outcome', 'CAST(event_id AS VARCHAR)', 10)} < 8 THEN 'succeeded' WHEN {h('outcome', 'CAST(event_id AS VARCHAR)', 10)} < 9 THEN 'failed' ELSE 'pending' END AS outcome, CASE WHEN {h('outcome', 'CAST(event_id AS VARCHAR)', 10)} < 9 THEN event_id % 1000 END AS input_tokens, CASE WHEN {h('outcome', 'CAST(event_id AS VARCHAR)', 10)} < 9 THEN event_id % 300 END AS output_tokens, event_id % 1000 + 50 AS reserved_tokens, value AS seconds, [CAST(event_id % 200 AS VARCHAR), 'u' || CAST(user_id AS VARCHAR)] AS review_ids FROM events)"
 MEAN = "CAST(micro // 1000000 AS VARCHAR) || '.' || lpad(CAST(micro % 1000000 AS VARCHAR), 6, '0')"
 
 BASE = (REV, RES, ORIG, REC)

@@ -54,7 +54,7 @@ def call_usage(spark: SparkSession, d: str) -> DataFrame:
     return calls(spark, d).select("request_id", F.coalesce("input_tokens", F.lit(0)).alias("input_tokens"), F.coalesce("output_tokens", F.lit(0)).alias("output_tokens"), known.alias("usage_known"))
 
 
-@query(sql((CALLS,), "SELECT coalesce(role, 'end_to_end') AS role, count(*) AS requests, CAST(coalesce(sum(input_tokens), 0) AS BIGINT) AS input_tokens, count(DISTINCT user_id) AS distinct_subjects FROM calls GROUP BY ROLLUP (role)"))
+@query(sql((CALLS,), "SELECT coalesce(role, 'end_to_end') AS role, count(*) AS requests, CAST(coalesce(sum(input_tokens), 0) AS BIGINT) AS input_tokens, count(DISTINCT review_ids) AS distinct_requests FROM calls GROUP BY ROLLUP (role)"))
 def usage_rows(spark: SparkSession, d: str) -> DataFrame:
     return ledger.usage_rows(calls(spark, d))
 
@@ -172,16 +172,16 @@ def paced(spark: SparkSession, d: str) -> DataFrame:
     return ledger.paced(c, "user_id", "us", 1_000_000).select("request_id", "us", "slot")
 
 
-DAYS = "t AS (SELECT session, count(*) AS n FROM calls GROUP BY session), r AS (SELECT session, sum(n) OVER (ORDER BY session ROWS UNBOUNDED PRECEDING) AS running FROM t)"
+DAYS = "t AS (SELECT session, count(*) AS n, sum(coalesce(input_tokens, 0)) AS k FROM calls GROUP BY session), r AS (SELECT session, sum(n) OVER w AS running_n, sum(k) OVER w AS running_k FROM t WINDOW w AS (ORDER BY session ROWS UNBOUNDED PRECEDING))"
 
 
-@query(sql((CALLS, DAYS), "SELECT session, CAST(running AS BIGINT) AS running FROM r WHERE running = (SELECT count(*) FROM calls WHERE session <= DATE '2024-01-10')"))
+@query(sql((CALLS, DAYS), "SELECT session, CAST(running_n AS BIGINT) AS running_n, CAST(running_k AS BIGINT) AS running_k FROM r WHERE (running_n, running_k) = (SELECT (count(*), sum(coalesce(input_tokens, 0))) FROM calls WHERE session <= DATE '2024-01-10')"))
 def prefix_match(spark: SparkSession, d: str) -> DataFrame:
-    """The session up to which the calls add up to a known total."""
-    c = calls(spark, d)
-    total = c.filter("session <= DATE'2024-01-10'").agg(F.count("*").alias("target"))
-    by_day = c.groupBy("session").agg(F.count("*").alias("n")).crossJoin(F.broadcast(total))
-    return agreement.prefix_match(by_day, "session", "n", F.col("target")).select("session", "running")
+    """The session up to which calls and tokens add up to known totals."""
+    c = calls(spark, d).withColumn("k", F.coalesce("input_tokens", F.lit(0)))
+    total = c.filter("session <= DATE'2024-01-10'").agg(F.count("*").alias("target_n"), F.sum("k").alias("target_k"))
+    by_day = c.groupBy("session").agg(F.count("*").alias("n"), F.sum("k").alias("k")).crossJoin(F.broadcast(total))
+    return agreement.prefix_match(by_day, "session", {"n": F.col("target_n"), "k": F.col("target_k")}).select("session", "running_n", "running_k")
 
 
 @query(sql((CALLS,), "SELECT role, CAST(sum(input_tokens) AS BIGINT) AS input_only, CAST(sum(input_tokens) + sum(output_tokens) AS BIGINT) AS all_tokens, abs(sum(input_tokens) - (sum(input_tokens) + sum(output_tokens))) * 100 <= 5 * sum(input_tokens) AS fits FROM calls GROUP BY role"))
@@ -226,16 +226,18 @@ def run_equal(spark: SparkSession, d: str) -> DataFrame:
     return trace.differing(first, second, "review_id", "status")
 
 
-@query("SELECT event_type, count(value) AS n, list_sort(list(value))[CAST(floor(count(value) * 0.95) AS BIGINT) + 1] AS p95 FROM events GROUP BY event_type")
+@query("SELECT event_type, count(value) AS n, round(median(value), 6) AS median, list_sort(list(value))[CAST(floor(count(value) * 0.95) AS BIGINT) + 1] AS p95, list_sort(list(value))[CAST(round_even(0.9 * (count(value) - 1), 0) AS BIGINT) + 1] AS q90, round(CAST(sum(event_id % 1000) AS DOUBLE) / count(*), 6) AS mean_tokens FROM events GROUP BY event_type")
 def arm_stats(spark: SparkSession, d: str) -> DataFrame:
-    """The value at place floor(0.95 n) of each kind's sorted values."""
-    return agreement.value_at(table(spark, d, "events"), "event_type", "value", 0.95).select("event_type", "n", F.col("at").alias("p95"))
+    """Median, the values at places floor(0.95 n) and 0.9 (n - 1) of each kind's sorted values, and mean tokens."""
+    events = table(spark, d, "events")
+    means = events.groupBy("event_type").agg(F.round(F.sum(F.col("event_id") % 1000) / F.count("*"), 6).alias("mean_tokens"))
+    return agreement.spread(events, "event_type", "value").join(means, "event_type").withColumn("median", F.round("median", 6))
 
 
-@query(sql((CALLS, "t AS (SELECT event_type AS model, session, bool_and(seconds > -1e9) AND count(*) >= 3 AS passed, CAST(sum(coalesce(input_tokens, 0)) AS BIGINT) AS cost FROM calls GROUP BY 1, 2)", "m AS (SELECT model, bool_and(passed) AS passed, CAST(sum(cost) AS BIGINT) AS cost FROM t GROUP BY model)"), "SELECT model, cost FROM m WHERE passed ORDER BY cost, model LIMIT 1"))
+@query(sql((CALLS, "t AS (SELECT event_type AS model, session, avg(seconds) < 60 AND count(*) >= 3 AS passed, CAST(sum(coalesce(input_tokens, 0)) AS BIGINT) AS cost FROM calls GROUP BY 1, 2)", "m AS (SELECT model, bool_and(passed) AS passed, CAST(sum(cost) AS BIGINT) AS cost FROM t GROUP BY model)"), "SELECT model, cost FROM m WHERE passed ORDER BY cost, model LIMIT 1"))
 def cheapest(spark: SparkSession, d: str) -> DataFrame:
     """The cheapest of the models that passed in all trials."""
-    trials = calls(spark, d).groupBy(F.col("event_type").alias("model"), "session").agg((F.bool_and(F.col("seconds") > -1e9) & (F.count("*") >= 3)).alias("passed"), F.sum(F.coalesce("input_tokens", F.lit(0))).alias("cost"))
+    trials = calls(spark, d).groupBy(F.col("event_type").alias("model"), "session").agg(((F.avg("seconds") < 60) & (F.count("*") >= 3)).alias("passed"), F.sum(F.coalesce("input_tokens", F.lit(0))).alias("cost"))
     return ledger.cheapest(trials)
 
 
