@@ -12,7 +12,7 @@ import re
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain, pairwise
+from itertools import chain
 
 import numpy as np
 
@@ -30,8 +30,11 @@ PIECES = {
     "byte": re.compile(rf" ?{_LATIN}| ?{_RUN}| ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"),
     "word": re.compile(rf"{_LATIN}|{_RUN}|[^ \t-\r]+"),
 }
-#: Pieces that are one word for the tokenizer itself.
-WORDS = {"byte": re.compile(f" {_LETTERS}"), "word": re.compile(_LETTERS)}
+#: Pieces that are one word for both tokenizers themselves, which only their models have to cut further.
+PLAIN = re.compile(rf" ?(?:{_LETTERS}|[{_MARKS}]+)")
+#: What byte-level models call the bytes of a text: the printable ones as in Latin-1, the others in turn from 256.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTES = {byte: chr(256 + n) for n, byte in enumerate(x for x in range(256) if x not in _PRINTABLE)}
 
 
 class Encoder:
@@ -57,12 +60,11 @@ class Encoder:
         self.tokenizer.encode_special_tokens = not specials
         self.special = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()] if specials else []
         self.pattern, self.known, self.older = PIECES[kind], {}, {}
-        self.word, self.first = WORDS[kind].fullmatch, kind == "byte"
         normal = self.tokenizer.normalizer
         self.lower = normal is not None and normal.normalize_str("AZ") == "az"
-        edges = [i for x, i in self.tokenizer.get_vocab().items() if (x.startswith("Ġ") if self.first else x.endswith("</w>"))]
-        self.edge = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.edge[edges] = True
+        self.model = self.tokenizer.model.tokenize
+        trial = [" word", "Étude", "&&"] if kind == "byte" else ["Word", "Étude", "&&"]
+        self.direct = all(self._modelled(x) == self._library([x])[0] for x in trial)
 
     def __call__(self, text: str) -> np.ndarray:
         """Ids of a text, unsigned 32-bit; none for an empty text."""
@@ -81,19 +83,21 @@ class Encoder:
                 text = text if any(x in low for x in self.special) else low
             cut.append(findall(text))
             seen.update(cut[-1])
-        fresh = seen.difference(self.known)
+        # few pieces differ within the texts at hand, so these are looked up in a table that fits the cache
+        known = self.known.get
+        held = {x: known(x) for x in seen}
+        fresh = [x for x, v in held.items() if v is None]
         if fresh:
+            older = self.older.get
+            again = {x: v for x in fresh if (v := older(x)) is not None}
+            again.update(self._encoded([x for x in fresh if x not in again]))
+            held.update(again)
             if len(self.known) + len(fresh) > self.MOST:
                 self.known, self.older = {}, self.known
-                fresh = seen
-            here = {x: v for x in fresh if (v := self.older.get(x)) is not None}
-            self.known.update(here)
-            self.known.update(self._encoded([x for x in fresh if x not in here]))
-        get = self.known.__getitem__
-        whole = [b"".join(map(get, pieces)) if pieces is not None else array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() for text, pieces in zip(texts, cut, strict=True)]
-        for x in [x for x in fresh if len(x) > self.LONGEST]:
-            self.known.pop(x, None)
-        return whole
+            longest = self.LONGEST
+            self.known.update((x, v) for x, v in again.items() if len(x) <= longest)
+        get = held.__getitem__
+        return [b"".join(map(get, pieces)) if pieces is not None else array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes() for text, pieces in zip(texts, cut, strict=True)]
 
     def stream(self, texts: Iterable[str], chunk: int = 1 << 17) -> Iterator[np.ndarray]:
         """The ids of each text in turn; texts of about ``chunk`` characters at a time go together."""
@@ -107,22 +111,20 @@ class Encoder:
                 held.append(text)
                 size += len(text)
 
+    def _modelled(self, piece: str) -> bytes:
+        """The ids of a plain piece, by the model alone."""
+        low = piece.lower() if self.lower else piece
+        return array("I", [x.id for x in self.model(low.encode().decode("latin-1").translate(BYTES))]).tobytes()
+
+    def _library(self, pieces: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)] if pieces else []
+
     def _encoded(self, fresh: list[str]) -> dict[str, bytes]:
-        """Ids of each piece as bytes. Plain words go through the tokenizer as one text;
-        where a word begins or ends shows in its tokens."""
-        word, run = self.word, self.tokenizer.encode_batch_fast
-        plain = [x for x in fresh if word(x)]
-        here: dict[str, bytes] = {}
-        if plain:
-            ids = np.array(run([("" if self.first else " ").join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            edges = np.flatnonzero(self.edge[ids])
-            bounds = [*(4 * edges).tolist(), 4 * len(ids)] if self.first else [0, *(4 * edges + 4).tolist()]
-            if len(bounds) == len(plain) + 1:
-                raw = ids.tobytes()
-                here = dict(zip(plain, [raw[a:b] for a, b in pairwise(bounds)], strict=True))
+        """Ids of each piece as bytes: of plain ones by the model, of others by all that the library does."""
+        plain, one = PLAIN.fullmatch, self._modelled
+        here = {x: one(x) for x in fresh if plain(x)} if self.direct else {}
         rest = [x for x in fresh if x not in here]
-        if rest:
-            here.update((x, array("I", e.ids).tobytes()) for x, e in zip(rest, run(rest, add_special_tokens=False), strict=True))
+        here.update(zip(rest, self._library(rest), strict=True))
         return here
 
 
