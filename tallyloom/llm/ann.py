@@ -168,7 +168,8 @@ def _nearest(rows: DataFrame, queries: str, k: int, rerank: int, scale: float, n
     belongs to the list of its nearest centre, and beam search codes what that leaves
     over; the norm of the sum is stored. A query asks the nearest lists, as many as
     held ``share`` of the neighbours within the sample, and scores their codes by lookup
-    tables; the ``rerank`` best of all lists are measured exactly. Lists grow in number
+    tables; a list sends four times its even share of ``rerank`` and ``k`` more, and the
+    ``rerank`` best of all are measured exactly. Lists grow in number
     with the table, up to an eighth of the sample. A list of over ``rows_block`` rows and
     the queries of a list are dealt over tasks in blocks of fixed size. Only the index
     and a row a list are broadcast or come to the driver. ``scale`` is a power of two
@@ -178,6 +179,7 @@ def _nearest(rows: DataFrame, queries: str, k: int, rerank: int, scale: float, n
     seen = fit_sample(held, sample, scale)
     index = Index.fit(seen, max(1, min(n // list_rows, len(seen) // 8)), levels, min(codes, len(seen)))
     probes = index.probes(seen, k, share)
+    most = min(rerank, math.ceil(4 * rerank / probes) + k)
     asked = rows.filter(queries).withColumn("h", F.xxhash64("v"))
     member = cut(asked.join(held.select(F.xxhash64("v").alias("h"), "v", F.col("id").alias("class")), ["h", "v"]).select(F.col("id").alias("query_id"), "class"))
     wanted = held.join(member.select(F.col("class").alias("id")).distinct(), "id", "left_semi").select("id", "v")
@@ -214,10 +216,10 @@ def _nearest(rows: DataFrame, queries: str, k: int, rerank: int, scale: float, n
                 for m in range(found.shape[1]):
                     near += tables[i, m][found[:, m]]
                 top = np.arange(len(near))
-                if len(near) > rerank:  # of equal scores the smaller ids
-                    last = np.partition(near, rerank - 1)[rerank - 1]
+                if len(near) > most:  # of equal scores the smaller ids
+                    last = np.partition(near, most - 1)[most - 1]
                     below = np.flatnonzero(near < last)
-                    top = np.concatenate([below, np.flatnonzero(near == last)[: rerank - len(below)]])
+                    top = np.concatenate([below, np.flatnonzero(near == last)[: most - len(below)]])
                 out.append(pd.DataFrame({"query_id": np.full(len(top), query), "id": ids[top], "near": near[top]}))
         return pd.concat(out)
 
