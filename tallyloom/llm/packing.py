@@ -94,13 +94,13 @@ def cutting_plan(lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: fl
     return plan
 
 
-def pack(pieces: DataFrame, capacity: int, *, length: str = "length", order: list[str] | None = None, buckets: int = 64) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int, *, length: str = "length", order: list[str] | None = None) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces of 1 to ``capacity`` tokens.
 
     Only the histogram of lengths, at most ``capacity`` rows, goes to the driver, which
     plans patterns of lengths. Pieces of a length are ranked (by hash buckets, so a very
     common length is dealt over tasks) and the k-th takes the k-th place for its length.
-    Each piece gets one place; places in a sequence leave no gaps; the same rows get the
+    There is a bucket for about 250,000 pieces, 64 at least. Each piece gets one place; places in a sequence leave no gaps; the same rows get the
     same packing. Ties in ``order`` (all columns if not given) are rows that are equal.
     An empty table gives an empty result.
     """
@@ -130,6 +130,7 @@ def pack(pieces: DataFrame, capacity: int, *, length: str = "length", order: lis
         nth = rank - row[:, 1]
         return pd.DataFrame({"sequence_id": row[:, 3] + nth // row[:, 2], "offset": row[:, 4] + nth % row[:, 2] * size})
 
+    buckets = max(64, sum(n for _, n in tally) // 250_000)
     ranked = running_start(pieces, [length], order, F.lit(1), "__rank", hash_bucket(order, buckets))
     placed = ranked.withColumn("__place", place(F.col(length).cast("long"), "__rank"))
     return placed.select(*pieces.columns, "__place.sequence_id", "__place.offset")

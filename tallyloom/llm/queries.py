@@ -26,7 +26,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents into 16 shards under the law ``key``."""
+    """All documents into 16 shards under the law ``key``.
+
+    A null text has size 1 and the checksum of no bytes; a null doc_id is a key like any
+    other; equal rows share a shard and take their slots in any order; very long texts are
+    read whole for size and checksum only; an empty table gives no rows.
+    """
     text = F.coalesce("text", F.lit(""))
     docs = _table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     placed = shard(docs, ["doc_id"], 16)
@@ -34,13 +39,23 @@ def op1_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with fingerprint and component."""
+    """All documents with fingerprint and component.
+
+    Null, empty and blank texts have fingerprint zero and are one component; equal rows
+    each come back; ties of component_id cannot be, as the least doc_id is one; a null
+    doc_id stays null and names a component only if no row there has one.
+    """
     found = near_duplicates(_table(spark, sf_dir, "documents"), width=3, radius=2)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def op3_format_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations and one whose texts hold control strings, formatted and read back."""
+    """All conversations and one whose texts hold control strings, formatted and read back.
+
+    A conversation is a tree without branches here. Null texts and roles are empty; rows
+    of one turn come by role and text, equal rows are turns of their own; rows without
+    conv_id are one conversation; empty tables leave conversation -7.
+    """
     odd = F.lit("\\### Assistant: </turn> ok")
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), odd.alias("text"))
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
@@ -55,18 +70,25 @@ def op3_format_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in sequences of at most 1024 tokens."""
+    """All documents in sequences of at most 1024 tokens.
+
+    A null or empty text is its end id alone; equal rows are packed each; long texts are
+    cut into pieces, of which each id lies in one; a null doc_id stays null; an empty
+    table gives no rows.
+    """
     docs = _table(spark, sf_dir, "documents")
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), kind="byte", end_id=0, capacity=1024, grain=128, specials=True)
 
 
 def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten nearest of every hundredth vector."""
+    """Ten nearest of every hundredth vector; ties by vec_id. Vectors that take no part, repeated
+    ids, equal vectors and empty tables are as ``nearest`` says."""
     return nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "id % 100 = 0", k=10)
 
 
 def op6_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with the spans of their secrets."""
+    """All documents with the spans of their secrets; null and empty texts have none, equal rows
+    have the same, and offsets in very long texts are 64-bit."""
     found = find_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("secrets", lambda s: s["kind"] != "random")
 
@@ -77,7 +99,11 @@ def op6_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents scored, by a model of the labels that are not held out."""
+    """All documents scored, by a model of the labels that are not held out.
+
+    Null and empty texts get the score of one empty sentence; equal texts score alike; a
+    null doc_id is not held out; without documents there are no rows.
+    """
     scored = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("offending").cast("long").alias("n_offending"))
 
@@ -90,13 +116,23 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with the words that the mix takes of them."""
+    """All documents with the words that the mix takes of them.
+
+    A null or empty text has size 0 and is not taken; a null source is one of its own,
+    last; equal rows have their own places; an empty table gives no rows.
+    """
     mixed = mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), limit=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in token files, read back."""
+    """All documents in token files, read back.
+
+    A null text is empty and has its end id; a null doc_id comes first; rows of one doc_id
+    come by the hash of their text; a very long text is one document in one block; an
+    empty table leaves files without blocks and no rows. The folder stays as long as the
+    result is needed.
+    """
     path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
     write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), kind="word", end_id=1, specials=True)
     return read_tokens(spark, path, ids=False)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ PATTERNS = {
     "hex": r"[0-9a-f]{32,}",
 }
 KINDS = ("assign", "access", "hex", "random")
+#: Matches that are walked one after the other.
+RUN = 256
 #: Tokens that the battery looks at: this many characters or more of these.
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 #: Encodings a token may have: their alphabets, in order of value.
@@ -24,9 +28,15 @@ ALPHABETS = {
 TEXT_COLLISIONS = 0.05
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def located(text: Column, pattern: str) -> Column:
     """Leftmost non-overlapping matches as structs of start, end (exclusive, in code
-    points) and match; the texts between them tell where they are."""
+    points) and match; the texts between them tell where they are. They are walked in runs
+    of ``RUN``, so that a text of very many matches is no array grown one by one."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     empty = F.array().cast("array<struct<start:bigint,end:bigint,match:string>>")
 
@@ -35,8 +45,22 @@ def located(text: Column, pattern: str) -> Column:
         end = (start + F.length(pair["match"])).cast("long")
         return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(start.cast("long").alias("start"), end.alias("end"), pair["match"].alias("match")))).alias("spans"))
 
-    pairs = F.zip_with(F.split(text, pattern, -1), found, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
-    walked = F.aggregate(F.filter(pairs, lambda p: p["match"].isNotNull()), F.struct(F.lit(0).cast("long").alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"])
+    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+    pairs = F.zip_with(gaps, found, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
+    zero = F.lit(0).cast("long")
+
+    def runs(all_pairs: Column) -> Column:
+        at = F.sequence(F.lit(0), F.floor((F.size(all_pairs) - 1) / RUN).cast("int"))
+        return F.transform(at, lambda i: F.aggregate(F.slice(all_pairs, i * RUN + 1, RUN), F.struct(zero.alias("at"), empty.alias("spans")), step))
+
+    def starts(walked: Column) -> Column:
+        return F.aggregate(walked, F.array(zero), lambda acc, run: F.concat(acc, F.array(F.element_at(acc, -1) + run["at"])))
+
+    def moved(run: Column, by: Column) -> Column:
+        return F.transform(run["spans"], lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["match"].alias("match")))
+
+    joined = _let(_let(pairs, runs), lambda r: F.flatten(F.zip_with(r, F.slice(starts(r), 1, F.size(r)), moved)))
+    walked = F.when(F.size(found) <= RUN, F.aggregate(pairs, F.struct(zero.alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"])).otherwise(joined)
     return F.when(F.size(found) > 0, walked).otherwise(empty)
 
 
@@ -149,8 +173,8 @@ def _ranked(spans: Column, rank: int) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end")))
 
 
-def find_secrets(docs: DataFrame, *, text: str = "text", rate: float = 0.01) -> DataFrame:
-    """Adds ``secrets``: an array of kind, start and end (exclusive, in code points), by
+def find_secrets(docs: DataFrame, *, text: str = "text", rate: float = 0.01, out: str = "secrets") -> DataFrame:
+    """Adds ``out``: an array of kind, start and end (exclusive, in code points), by
     start and then by kind as listed in ``KINDS``.
 
     The patterns' spans always stay. Other tokens count as ``random`` where the battery
@@ -158,29 +182,32 @@ def find_secrets(docs: DataFrame, *, text: str = "text", rate: float = 0.01) ->
     discovery rate within their class, and where no pattern's span overlaps them. Whole
     texts are read, nothing is shuffled but the histogram of p-values; a null or empty
     text has no spans, and rows keep their places in any case. A column named
-    ``secrets`` is replaced.
+    like ``out`` is replaced.
     """
     random_limit, text_limit = false_discovery_limits(docs, text, rate)
     whole = F.coalesce(F.col(text), F.lit(""))
     least = {"assign": lambda s: F.length(F.regexp_extract(s["match"], PATTERNS["assign"], 2)) >= 8, "access": lambda s: F.length(s["match"]) >= 16}
-    out = docs
+    made = docs
     for kind, pattern in PATTERNS.items():
-        out = out.withColumn(f"__{kind}", located(whole, pattern))
+        made = made.withColumn(f"__{kind}", located(whole, pattern))
     parts = []
     for i, kind in enumerate(PATTERNS):
         hits = F.filter(F.col(f"__{kind}"), least[kind]) if kind in least else F.col(f"__{kind}")
         parts.append(_ranked(hits, i))
-    out = out.withColumns({"__base": F.concat(*parts), "__candidates": _candidates(whole)})
+    made = made.withColumns({"__base": F.concat(*parts), "__candidates": _candidates(whole)})
     passed = F.filter(F.col("__candidates"), lambda c: (c["random_p"] > _limit(random_limit, c["class"])) & (c["text_p"] <= _limit(text_limit, c["class"])) & ~F.exists(F.col("__base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
     every = F.array_sort(F.concat(F.col("__base"), _ranked(passed, 3)))
     names = F.array(*(F.lit(k) for k in KINDS))
     spans = F.transform(every, lambda s: F.struct(F.get(names, s["rank"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return out.withColumn("secrets", spans).drop("__assign", "__access", "__hex", "__base", "__candidates")
+    return made.withColumn(out, spans).drop("__assign", "__access", "__hex", "__base", "__candidates")
 
 
 def redact(docs: DataFrame, *, text: str = "text", mark: str = "[SECRET]", rate: float = 0.01) -> DataFrame:
-    """The documents with each secret's span (overlapping ones as one) replaced by ``mark``."""
-    found = find_secrets(docs, text=text, rate=rate)
+    """The documents with each secret's span (overlapping ones as one) replaced by ``mark``.
+
+    Nulls stay null; all other columns stay as they are; rows are neither lost nor moved.
+    """
+    found = find_secrets(docs, text=text, rate=rate, out="__secrets")
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
@@ -188,8 +215,8 @@ def redact(docs: DataFrame, *, text: str = "text", mark: str = "[SECRET]", rate:
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], between).alias("out"))
 
     tail = lambda acc: F.concat(acc["out"], F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.length(text)))
-    clean = F.aggregate("secrets", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), step, tail)
-    return found.withColumn(text, F.when(F.size("secrets") > 0, clean).otherwise(F.col(text))).drop("secrets")
+    clean = F.aggregate("__secrets", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), step, tail)
+    return found.withColumn(text, F.when(F.size("__secrets") > 0, clean).otherwise(F.col(text))).drop("__secrets")
 
 
 def shown(spans: Column) -> Column:

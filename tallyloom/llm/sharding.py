@@ -33,19 +33,20 @@ def jump(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def shard_of(key: list[str | Column], shards: int) -> Column:
-    """Column of the shard of a key, from 0; needs no table of shards, and with one
-    more shard a key stays or moves into the new one."""
+    """The shard of a key, from 0, and ``grown_shard``, that among one shard more, as a
+    struct; needs no table of shards, and with one more a key stays or moves into the new one."""
     if shards < 1:
         raise ValueError("shards must be at least 1")
 
-    @F.pandas_udf("int")
-    def pick(hashed: pd.Series) -> pd.Series:
-        return pd.Series(jump(hashed.to_numpy(np.int64).view(np.uint64), shards).astype(np.int32))
+    @F.pandas_udf("shard int, grown_shard int")
+    def pick(hashed: pd.Series) -> pd.DataFrame:
+        keys = hashed.to_numpy(np.int64).view(np.uint64)
+        return pd.DataFrame({"shard": jump(keys, shards).astype(np.int32), "grown_shard": jump(keys, shards + 1).astype(np.int32)})
 
     return pick(F.xxhash64(*key))
 
 
-def shard(df: DataFrame, key: list[str], shards: int, *, order: list[str] | None = None, buckets: int = 256) -> DataFrame:
+def shard(df: DataFrame, key: list[str], shards: int, *, order: list[str] | None = None, buckets: int = 4096) -> DataFrame:
     """Adds ``shard``, ``grown_shard`` (with one shard more) and ``slot``, the row's
     gapless position in its shard.
 
@@ -53,8 +54,10 @@ def shard(df: DataFrame, key: list[str], shards: int, *, order: list[str] | None
     share a key share its shard. ``order`` (all columns but the key if not given)
     settles ties of the key; rows equal in all of them take their slots in any order.
     Slots are found without sorting a shard as a whole, so a key that holds most rows
-    is still dealt over many tasks. An empty table gives an empty result.
+    is still dealt over many tasks. Rows keep all their columns, of any length; those
+    named like a result are replaced. An empty table gives an empty result.
     """
     order = order if order is not None else [c for c in df.columns if c not in key]
-    placed = df.withColumns({"shard": shard_of(key, shards), "grown_shard": shard_of(key, shards + 1)})
+    picked = df.withColumn("__shard", shard_of(key, shards))
+    placed = picked.withColumns({"shard": F.col("__shard.shard"), "grown_shard": F.col("__shard.grown_shard")}).drop("__shard")
     return running_start(placed, ["shard"], [*key, *order], F.lit(1), "slot", hash_bucket([*key, *order], buckets))

@@ -114,8 +114,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, text: str,
     repeated ids are reduced before anything goes to the driver.
     """
     known = labels.filter(F.col("toxic").isNotNull() & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.max("toxic").alias("toxic"))
-    share = min(1.0, most / max(known.count(), 1))
-    picked = known.filter(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000))
+    share = most / max(known.count(), 1)
+    picked = known
+    if share < 1:
+        picked = known.filter(F.xxhash64(F.col(key), F.lit("sample")).cast("double") < (share - 0.5) * 2.0**64)
     whole = F.coalesce(F.col(text), F.lit(""))
     met = docs.select(key, whole.alias("__text")).join(F.broadcast(picked), key)
     rows = met.groupBy(key).agg(F.min(F.struct(F.xxhash64("__text"), "__text"))["__text"], F.first("toxic")).drop(key).collect()
