@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tallyloom.functions.labels import INTENTS, RANKED, TOPICS
+from tallyloom.functions.numbers import fraction
 from tallyloom.functions.text import is_blank
+from tallyloom.operators.corpus import EMPTY_REASON
 
 ID = "review_id"
 
@@ -32,35 +34,96 @@ def once(df: DataFrame, key: str) -> DataFrame:
 
 
 def unique_keys(json_text: Column) -> Column:
-    """Whether a flat JSON object names each key once."""
-    keys = F.regexp_extract_all(json_text, F.lit(r'"((?:[^"\\]|\\.)*)"\s*:'), F.lit(1))
-    return F.size(keys) == F.size(F.array_distinct(keys))
+    """Whether no object in a JSON text names a key twice, at any depth.
 
+    Innermost objects are checked and replaced by a number until none is left, ten
+    levels at most; deeper texts count as repeated. Keys are compared as written.
+    """
+    quoted = r'"(?:[^"\\]|\\.)*"'
+    inner = rf'\{{(?:[^{{}}"]|{quoted})*\}}'
+    once = lambda found: F.forall(found, lambda o: F.size(F.array_distinct(_keys(o, quoted))) == F.size(_keys(o, quoted)))
+    state = F.struct(json_text.alias("rest"), F.lit(True).alias("ok"))
 
-def record_violations(records: DataFrame, source: DataFrame) -> DataFrame:
-    """Exported records against their source: ids, hashes, states, types, quotes, reuse."""
+    def step(acc: Column, _: Column) -> Column:
+        found = F.regexp_extract_all(acc["rest"], F.lit(inner), F.lit(0))
+        return F.struct(F.regexp_replace(acc["rest"], inner, "0").alias("rest"), (acc["ok"] & once(found)).alias("ok"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(10)), state, step, lambda acc: acc["ok"] & ~F.regexp_replace(acc["rest"], quoted, "").contains("{"))
+
+
+def _keys(json_object: Column, quoted: str) -> Column:
+    return F.regexp_extract_all(json_object, F.lit(rf"({quoted})\s*:"), F.lit(1))
+
+
+def coded(df: DataFrame, rules: dict[str, Column], detail: str = ID) -> DataFrame:
+    """Violations of several rules over the same rows, in one pass: a row for each rule that a row breaks."""
+    codes = F.array_compact(F.array(*(F.when(broken, code) for code, broken in rules.items())))
+    return df.select(F.explode(codes).alias("code"), F.col(detail).cast("string").alias("detail"))
+
+
+LABELS = ("topic", "intent", "severity", "sentiment", "evidence_quote")
+
+
+def met_records(records: DataFrame, source: DataFrame) -> DataFrame:
+    """Records beside their source (``true_sha``, ``review_text``) and their original (``o_``): one join each.
+
+    Of rows that share an id one stands as the original, so a repeated original repeats nothing.
+    """
     known = source.select(ID, F.col("source_sha256").alias("true_sha"), "review_text")
-    met = records.join(known, ID, "left")
-    done = met.filter("status = 'completed' AND true_sha IS NOT NULL")
-    originals = records.select(F.col(ID).alias("cache_source_id"), *(F.col(c).alias(f"o_{c}") for c in ("cache_source_id", "text_key", "topic", "intent", "severity")))
-    copies = records.filter("cache_source_id IS NOT NULL").join(originals, "cache_source_id", "left")
-    chained = F.col("o_cache_source_id").isNotNull() | F.col("o_text_key").isNull()
-    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in ("text_key", "topic", "intent", "severity")])
-    schema = ~F.coalesce(F.col("topic").isin(*TOPICS) & F.col("intent").isin(*INTENTS) & F.col("severity").between(1, 5) & F.col("sentiment").between(-1, 1), F.lit(False))
+    fields = ("cache_source_id", "text_key", *LABELS)
+    originals = records.groupBy(F.col(ID).alias("__id")).agg(F.min(F.struct(*fields)).alias("o"), F.lit(True).alias("o_there"))
+    met = records.join(known, ID, "left").join(originals, F.col("cache_source_id") == F.col("__id"), "left")
+    return met.select(*records.columns, "true_sha", "review_text", "o", F.coalesce("o_there", F.lit(False)).alias("o_there"))
+
+
+def record_rules() -> dict[str, Column]:
+    """What may be wrong with a record of ``met_records``."""
+    c = F.col
+    known, same = c("true_sha").isNotNull(), c("source_sha256").eqNullSafe(c("true_sha"))
+    quarantined, completed = c("status").eqNullSafe("quarantined"), c("status").eqNullSafe("completed")
+    schema = F.coalesce(c("topic").isin(*TOPICS) & c("intent").isin(*INTENTS) & c("severity").between(1, 5) & c("sentiment").between(-1, 1) & ~is_blank(c("evidence_quote")), F.lit(False))
+    differs = reduce(lambda a, b: a | b, [~c(f).eqNullSafe(c(f"o.{f}")) for f in ("text_key", *LABELS)])
+    reason = is_blank(c("reason"))
+    return {
+        "unknown_review_id": ~known,
+        "source_mismatch": known & ~same,
+        "quarantine_without_reason": known & same & quarantined & reason,
+        "incorrect_empty_reason": known & same & quarantined & ~reason & is_blank(c("review_text")) & (c("reason") != EMPTY_REASON),
+        "invalid_status": known & same & ~quarantined & ~completed,
+        "invalid_schema": known & same & completed & ~schema,
+        "unsupported_quote": known & same & completed & schema & ~F.coalesce(F.contains("review_text", "evidence_quote"), F.lit(False)),
+        "invalid_cache_reuse": c("cache_source_id").isNotNull() & (~c("o_there") | c("o.cache_source_id").isNotNull() | differs),
+    }
+
+
+def record_violations(records: DataFrame, source: DataFrame) -> DataFrame:
+    """Exported records against their source: ids, hashes, states, types, quotes, reuse, and what is left over.
+
+    All rules about one record are read off one joined table; only rules about the set
+    (repeated, missing and unfinished ids) group or join by id again.
+    """
     parts = [
-        flagged(met.filter("true_sha IS NULL"), "unknown_review_id"),
+        coded(met_records(records, source), record_rules()),
         flagged(repeated(records, ID), "duplicate_review_id"),
-        flagged(met.filter("source_sha256 <> true_sha"), "source_mismatch"),
-        flagged(met.filter((F.col("status") == "quarantined") & is_blank(F.col("reason"))), "quarantine_without_reason"),
-        flagged(met.filter("status NOT IN ('completed', 'quarantined')"), "invalid_status"),
-        flagged(done.filter(schema), "invalid_schema"),
-        flagged(done.filter(~F.coalesce(F.contains("review_text", "evidence_quote"), F.lit(False)) | is_blank(F.col("evidence_quote"))), "unsupported_quote"),
         flagged(source.join(records.select(ID).distinct(), ID, "left_anti"), "missing_records"),
-        flagged(copies.filter(chained | differs), "invalid_cache_reuse"),
+        flagged(source.filter(~is_blank(F.col("review_text"))).join(valid_records(records, source), ID, "left_anti"), "unfinished_classification"),
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
+def record_states(records: DataFrame, source: DataFrame) -> DataFrame:
+    """A row a known id: ``rows`` (of the export), ``state`` (completed, quarantined or null, if a
+    rule is broken or the id is repeated) and ``cached``."""
+    wrong = reduce(lambda a, b: a | b, record_rules().values())
+    fine = met_records(records, source).filter("true_sha IS NOT NULL").select(ID, F.when(~wrong, F.col("status")).alias("state"), F.col("cache_source_id").isNotNull().alias("cached"))
+    return fine.groupBy(ID).agg(F.count("*").alias("rows"), F.max("state").alias("s"), F.max("cached").alias("c")).select(ID, "rows", F.when(F.col("rows") == 1, F.col("s")).alias("state"), F.col("c").alias("cached"))
+
+
+def valid_records(records: DataFrame, source: DataFrame) -> DataFrame:
+    """Ids of completed records that break no rule, with ``cached``."""
+    return record_states(records, source).filter("state = 'completed'").select(ID, "cached")
+
+
 def membership_violations(members: DataFrame, records: DataFrame) -> DataFrame:
     """Issues against records: members that exist, are ranked, are grouped once, none left out."""
     ranked = records.filter((F.col("status") == "completed") & F.col("intent").isin(*RANKED))
@@ -80,22 +143,80 @@ def ranking_violations(submitted: DataFrame, recomputed: DataFrame) -> DataFrame
     """A submitted ranking against the recount, cell by cell as texts. Both have a row an issue."""
     text = lambda df: df.select(*(F.col(c).cast("string").alias(c) for c in recomputed.columns))
     a, b = text(submitted), text(recomputed)
-    return reduce(DataFrame.unionByName, [flagged(repeated(a, "issue_id"), "duplicate_ranked_issue", "issue_id"), flagged(a.exceptAll(b), "ranking_mismatch", "issue_id"), flagged(b.exceptAll(a), "ranking_missing", "issue_id")])
+    counts = a.agg(F.count("*").alias("n")).crossJoin(b.agg(F.count("*").alias("m"))).filter("n <> m")
+    length = flagged(counts, "ranking_length", F.format_string("expected %d, received %d", "m", "n"))
+    return reduce(DataFrame.unionByName, [flagged(repeated(a, "issue_id"), "duplicate_ranked_issue", "issue_id"), flagged(a.exceptAll(b), "ranking_mismatch", "issue_id"), flagged(b.exceptAll(a), "ranking_missing", "issue_id"), length])
 
 
 def claim_violations(claims: DataFrame, true_claims: DataFrame) -> DataFrame:
-    """Claims that are malformed, or say another value than the ranking's cell."""
+    """Claims that are missing altogether, malformed or repeated, or say another value than the ranking's cell."""
     cell = true_claims.select("issue_id", "metric", F.col("value").alias("true_value"))
     met = claims.join(cell, ["issue_id", "metric"], "left")
-    return flagged(claims.filter(~F.col("claim_id").rlike("^CL-[0-9]{3,}$")), "invalid_claim_id", "claim_id").unionByName(flagged(met.filter("NOT value <=> true_value"), "claim_mismatch", "claim_id"))
+    none = claims.agg(F.count("*").alias("n")).filter("n = 0")
+    parts = [
+        flagged(none, "missing_claims", F.lit("no claims")),
+        flagged(claims.filter(~F.coalesce(F.col("claim_id").rlike("^CL-[0-9]{3,}$"), F.lit(False))), "invalid_claim_id", "claim_id"),
+        flagged(repeated(claims, "claim_id"), "invalid_claim_id", "claim_id"),
+        flagged(met.filter("NOT value <=> true_value"), "claim_mismatch", "claim_id"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def checkpoint_violations(before: DataFrame, after: DataFrame, valid: DataFrame) -> DataFrame:
-    """Snapshots of finished ids: none repeated, before within after, after within the valid ones."""
+    """Snapshots of finished ids: none repeated, before not empty and a proper subset of after, after within the valid ones."""
+    more = after.select(ID).distinct().join(before, ID, "left_anti").agg(F.count("*").alias("n")).filter("n = 0")
+    some = before.agg(F.count("*").alias("n")).filter("n = 0")
     parts = [
         flagged(repeated(before, ID), "duplicate_checkpoint_id"),
+        flagged(repeated(after, ID), "duplicate_checkpoint_id"),
         flagged(before.join(after, ID, "left_anti"), "resume_snapshot_mismatch"),
         flagged(after.join(valid, ID, "left_anti"), "resume_snapshot_mismatch"),
+        flagged(more, "resume_snapshot_mismatch", F.lit("nothing was added")),
+        flagged(some, "resume_snapshot_mismatch", F.lit("nothing was finished before")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def evidence_violations(calls: DataFrame, valid: DataFrame, before: DataFrame, after: DataFrame, roles: tuple[str, ...]) -> DataFrame:
+    """Calls (``request_id``, ``role``, ``outcome``, ``phase``, ``label_config``, ``review_ids``) as evidence
+    for the valid records (``review_id``, ``label_config``, ``cached``) and the two snapshots of finished ids."""
+    enrich = calls.filter("role = 'enrich'")
+    used = enrich.select("request_id", "outcome", "phase", F.col("label_config").alias("used"), F.explode("review_ids").alias(ID))
+    met = used.filter("outcome = 'succeeded'").join(valid, ID)
+    logged = met.filter("used <=> label_config").select(ID, "phase").distinct()
+    own = valid.filter("NOT cached").select(ID)
+    first, again = before.join(valid.filter("cached").select(ID), ID, "left_anti"), after.join(before, ID, "left_anti").join(own, ID, "left_semi")
+    resumed = again.join(logged.filter("phase = 'resume'"), ID, "left_semi").agg(F.count("*").alias("n")).filter("n = 0")
+    said = calls.filter("outcome = 'succeeded'").groupBy("role").agg(F.count("*").alias("n"))
+    wanted = calls.sparkSession.createDataFrame([(r,) for r in roles], "role string")
+    parts = [
+        flagged(enrich.filter("NOT coalesce(phase IN ('initial', 'resume'), false)"), "invalid_run_phase", "request_id"),
+        flagged(met.filter("NOT used <=> label_config"), "call_config_mismatch"),
+        flagged(used.filter("phase = 'resume'").join(before.distinct(), ID, "left_semi").select("request_id").distinct(), "reprocessed_checkpoint", "request_id"),
+        flagged(own.join(logged, ID, "left_anti"), "unlogged_completed_records"),
+        flagged(first.join(logged.filter("phase = 'initial'"), ID, "left_anti"), "resume_call_evidence"),
+        flagged(resumed, "resume_call_evidence", F.lit("no new record after the resume")),
+        flagged(wanted.join(said, "role", "left_anti"), "missing_model_roles", "role"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def identity_violations(declared: DataFrame, reference: DataFrame, code: str) -> DataFrame:
+    """Fields of a declared identity that differ from the reference's; both tables have one row."""
+    fields = [c for c in declared.columns if c in reference.columns]
+    long = lambda df, n: df.select(*(F.col(f).cast("string").alias(f) for f in fields)).unpivot([], fields, "field", n)
+    return flagged(long(declared, "a").join(long(reference, "b"), "field").filter("NOT a <=> b"), code, "field")
+
+
+def form_violations(files: DataFrame, wanted: tuple[str, ...], bad_lines: DataFrame) -> DataFrame:
+    """Files of an export by name (``file``): wanted ones that are not there, ones that are there both plain
+    and compressed, and lines (``file``, ``line``) that are no JSON."""
+    plain = files.select(F.regexp_replace("file", r"\.gz$", "").alias("file"))
+    there = files.sparkSession.createDataFrame([(w,) for w in wanted], "file string")
+    parts = [
+        flagged(there.join(plain, "file", "left_anti"), "unreadable_file", "file"),
+        flagged(repeated(plain, "file"), "ambiguous_file", "file"),
+        flagged(bad_lines, "malformed_jsonl", F.concat_ws(":", "file", F.col("line").cast("string"))),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -116,10 +237,21 @@ def call_violations(calls: DataFrame, valid: DataFrame, roles: tuple[str, ...],
 
 
 def coverage(records: DataFrame, source: DataFrame) -> DataFrame:
-    """Source ids that records cover, all of them, completed records, and the share covered to six places."""
-    known = source.select(ID).join(records.select(ID), ID, "left_semi").agg(F.countDistinct(ID).alias("known"))
-    row = known.crossJoin(source.agg(F.count("*").alias("expected"))).crossJoin(records.agg(F.count_if(F.col("status") == "completed").alias("completed")))
-    return row.withColumn("share", F.round(F.col("known") / F.nullif(F.col("expected"), F.lit(0)), 6))
+    """One row: how much of the source the records cover, and the points for it: a fifth for a complete
+    ingestion, a fifth for the share accounted for, three fifths for the share of texts labelled."""
+    states = record_states(records, source)
+    per_id = source.select(ID, (~is_blank(F.col("review_text"))).alias("labelable")).join(states, ID, "left")
+    completed, quarantined = F.coalesce(F.col("state") == "completed", F.lit(False)), F.coalesce(F.col("state") == "quarantined", F.lit(False))
+    row = per_id.agg(
+        F.count("*").alias("expected"), F.count("rows").alias("unique_ids"), F.count_if(F.col("rows") > 1).alias("duplicate_ids"), F.count_if(completed).alias("completed"), F.count_if(quarantined).alias("quarantined"),
+        F.count_if(F.col("labelable")).alias("labelable"), F.count_if(completed & F.col("cached")).alias("cache_reuses"), F.count_if(completed & F.col("labelable")).alias("labelled"),
+    )
+    row = row.crossJoin(records.agg(F.count("*").alias("received")))
+    share = lambda a, b: F.coalesce(F.col(a) / F.nullif(F.col(b), F.lit(0)), F.lit(0.0))
+    row = row.withColumns({"missing": F.col("expected") - F.col("unique_ids"), "unresolved": F.col("unique_ids") - F.col("completed") - F.col("quarantined"), "accounted": F.col("completed") + F.col("quarantined")})
+    full = (F.col("unique_ids") == F.col("expected")).cast("double")
+    points = F.round(0.2 * full + 0.2 * share("accounted", "expected") + 0.6 * share("labelled", "labelable"), 4)
+    return row.select("*", fraction(F.col("labelled"), F.col("labelable")).alias("labelable_fraction"), fraction(F.col("accounted"), F.col("expected")).alias("accounted_fraction"), fraction(F.col("completed"), F.col("expected")).alias("completed_fraction"), points.alias("points"))
 
 
 def against_full(sample: DataFrame, full: DataFrame, key: str, content: str) -> DataFrame:
