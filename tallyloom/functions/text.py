@@ -113,9 +113,10 @@ def lang_bucket(text: Column, markers: Sequence[str], stop: Sequence[str]) -> Co
     return F.when(F.length(letters) == 0, "no_letters").when(foreign, "non_english").when((F.size(found) >= 4) & ~held(stop), "ascii_unsure").when(F.size(found) >= 4, "english").otherwise("short")
 
 
-def scrub(text: Column) -> Column:
-    """A text without bearer tokens and keys."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?i)bearer\s+\S+", "Bearer ***"), r"\b(sk|key)-[A-Za-z0-9_-]{8,}", "***")
+def scrub(text: Column, key: str = "") -> Column:
+    """A text as it may be saved: a key, if given, and every bearer token taken out."""
+    kept = F.replace(text, F.lit(key), F.lit("[removed]")) if key else text
+    return F.regexp_replace(kept, r"Bearer\s+[A-Za-z0-9._~+/=-]+", "Bearer [removed]")
 
 
 def token_estimate(size_bytes: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.labels import FEATURES, MARKERS, STOP_WORDS
 from tallyloom.functions.numbers import wilson
-from tallyloom.functions.text import SENTENCE_END, canonical_json, entities, is_blank, lang_bucket, part_tags, pieces, row_sha, scrub, shuffled_options, token_estimate, trim_ws
+from tallyloom.functions.text import SENTENCE_END, canonical_json, entities, is_blank, lang_bucket, part_tags, pieces, row_sha, shuffled_options, token_estimate, trim_ws
 from tallyloom.operators import corpus, order
 from tallyloom.plans.base import REV, SEED, VERIFY_SEED, reviews, sql, table
 from tallyloom.plans.registry import query
@@ -296,11 +296,6 @@ def option_shuffle(spark: SparkSession, d: str) -> DataFrame:
     return reviews(spark, d).select("review_id", shuffled_options(("a", "b", "c", "d"), F.col("text_key"), "shuffle-v1").alias("options"))
 
 
-@query()
-def scrubbed(spark: SparkSession, d: str) -> DataFrame:
-    return reviews(spark, d).filter(scrub(F.col("review_text")) != F.col("review_text")).select("review_id")
-
-
 @query("SELECT user_id, CAST(max(s) AS DOUBLE) AS max_sliding, (SELECT CAST(max(t) AS DOUBLE) FROM (SELECT sum(v) AS t FROM (SELECT user_id AS u, round(value * 1000) AS v, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 10 AS b FROM events) x WHERE x.u = k.user_id GROUP BY b HAVING count(*) = 10)) AS max_aligned FROM (SELECT user_id, n, sum(v) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS s FROM (SELECT user_id, event_id, round(value * 1000) AS v, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events)) k WHERE n >= 10 GROUP BY user_id")
 def window_sum(spark: SparkSession, d: str) -> DataFrame:
     return order.sliding_sums(table(spark, d, "events"), "event_id", F.round(F.col("value") * 1000), 10, "user_id")

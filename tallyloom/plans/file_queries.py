@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import hash_mod
-from tallyloom.operators import labelling, memo, ranking
-from tallyloom.plans.base import REV, h, reviews, sql, table
-from tallyloom.plans.label_queries import ranked
+from tallyloom.functions.labels import INTENT_RULES, TOPIC_RULES
+from tallyloom.functions.text import hash_mod, scrub
+from tallyloom.operators import audit, export, labelling, memo, ranking
+from tallyloom.plans.base import BASE, RANKED, REV, calls, h, reviews, sql, table
+from tallyloom.plans.label_queries import ranked, rules_sql, with_issues
 from tallyloom.plans.registry import query
 from tallyloom.session import shared_dir
 from tallyloom.sources import files
@@ -21,6 +22,17 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def run_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The tables of a run as it is exported; a ninth of the records is quarantined."""
+    found, members = with_issues(spark, d)
+    bad = hash_mod("state", F.col("review_id"), 9) == 0
+    state = found.withColumns({"status": F.when(bad, "quarantined").otherwise("completed"), "reason": F.when(bad, "no valid answer"), "needs_review": F.col("min_top") < 0.7})
+    order_ = ranking.rank(ranking.tally(members, found))
+    done = state.filter("status = 'completed'").select("review_id")
+    before = done.filter(hash_mod("half", F.col("review_id"), 2) == 0)
+    return {"records": state, "calls": calls(spark, d), "membership": members, "ranking": order_, "claims": ranking.claims(order_), "before": before, "after": done}
+
+
 FIELDS = ("review_id", "review_text", "lang", "source")
 CELLS = sql((REV,), "SELECT review_id, review_text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM rev")
 
@@ -78,16 +90,88 @@ def scan_needle(spark: SparkSession, d: str) -> DataFrame:
     return files.scan_needle(spark, path, '"lang":"de', "review_id string, lang string").select("review_id")
 
 
+FORMS = "o AS (SELECT review_id, topic, intent, severity, cache_source_id, " + h("state", "review_id", 9) + " AS st FROM rec)"
+
+
+@query(sql((*BASE, FORMS), "SELECT review_id, CASE WHEN st = 0 THEN 'quarantined' ELSE 'completed' END AS status, CASE WHEN st = 0 THEN 'no valid answer' END AS reason, CASE WHEN st > 0 THEN topic END AS topic, CASE WHEN st > 0 THEN intent END AS intent, CASE WHEN st > 0 THEN CAST(severity AS BIGINT) END AS severity, CASE WHEN st > 0 THEN cache_source_id END AS cache_source_id FROM o"))
+def export_records(spark: SparkSession, d: str) -> DataFrame:
+    """Records of an exported run, read back: quarantined ones carry their reason only."""
+    path = folder(spark, "run")
+    export.export_run(spark, path, run_tables(spark, d), gzip_over=1000)
+    return files.scan_jsonl(spark, f"{path}/records.jsonl.gz", "review_id string, status string, reason string, topic string, intent string, severity long, cache_source_id string")
+
+
+@query("SELECT * FROM (VALUES ('records.jsonl.gz'), ('calls.jsonl.gz'), ('membership.csv'), ('ranking.csv'), ('claims.csv'), ('checkpoint_before.json'), ('checkpoint_after.json'), ('run.json')) AS v(file)")
+def export_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files of an exported run; long ones are compressed and their plain form is gone."""
+    path = folder(spark, "run")
+    return spark.createDataFrame([(x,) for x in export.export_run(spark, path, run_tables(spark, d), gzip_over=1000)], "file string")
+
+
+@query(sql(RANKED, f"SELECT issue_id, CAST(rank AS VARCHAR) AS rank, CAST(severity_sum AS VARCHAR) AS priority_score FROM ranking"))
+def export_ranking(spark: SparkSession, d: str) -> DataFrame:
+    """The ranking of an exported run, read back as exact strings."""
+    path = folder(spark, "run")
+    export.export_run(spark, path, run_tables(spark, d))
+    return files.scan_csv(spark, f"{path}/ranking.csv", ("issue_id", "rank", "priority_score"), key="issue_id")
+
+
+@query("SELECT unnest(['unreadable_file', 'ambiguous_file', 'malformed_jsonl', 'malformed_jsonl']) AS code, unnest(['claims.csv', 'records.jsonl', 'calls.jsonl:2', 'calls.jsonl:4']) AS detail")
+def form_audit(spark: SparkSession, d: str) -> DataFrame:
+    """An export folder that lacks a file, has one in two forms, and has lines that are no JSON."""
+    listed = spark.createDataFrame([("records.jsonl",), ("records.jsonl.gz",), ("calls.jsonl",)], "file string")
+    path = folder(spark, "calls")
+    spark.createDataFrame([('{"a":1}\n{"a":1,"a":2}\n{"a":{"b":1},"c":{"b":2}}\n[1]',)], "value string").coalesce(1).write.text(path)
+    lines = files.bad_lines(spark, path, "a string, c string")
+    return audit.form_violations(listed, ("records.jsonl", "calls.jsonl", "claims.csv"), lines.select(F.lit("calls.jsonl").alias("file"), "line"))
+
+
+@query("SELECT unnest(['deep', 'flat', 'inner', 'outer', 'text']) AS kind, unnest([true, true, false, false, true]) AS unique_keys")
+def json_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Whether objects name a key twice: equal keys of different objects are no repetition."""
+    rows = [("flat", '{"a":1,"b":"x"}'), ("deep", '{"a":{"x":1},"b":{"x":2},"c":[{"x":1},{"x":2}]}'), ("inner", '{"a":{"x":1,"x":2},"b":1}'), ("outer", '{"a":{"x":1},"a":2}'), ("text", '{"a":"{\\"b\\":1,\\"b\\":2}"}')]
+    return spark.createDataFrame(rows, "kind string, t string").select("kind", audit.unique_keys(F.col("t")).alias("unique_keys"))
+
+
+@query("SELECT '{\"a\":2,\"n\":null,\"z\":{\"b\":\"x\",\"y\":1}}' AS document")
+def sink_json(spark: SparkSession, d: str) -> DataFrame:
+    """A document with sorted keys at every level, written and read back; not a number is null."""
+    path = folder(spark, "document")
+    row = spark.range(1).select(F.struct(F.lit(1).alias("y"), F.lit("x").alias("b")).alias("z"), F.lit(2).alias("a"), F.lit(float("nan")).alias("n"))
+    files.write_document(row, path)
+    return spark.read.text(path).select(F.col("value").alias("document"))
+
+
+@query(sql((REV,), "SELECT review_id, source, CASE WHEN n_chars % 2 = 0 THEN 'second' ELSE 'first' END AS layout FROM rev"))
+def scan_layouts(spark: SparkSession, d: str) -> DataFrame:
+    """Answers from files of two layouts, told by their first row; a later file's answer wins."""
+    path, revs = folder(spark, "layouts"), reviews(spark, d)
+    files.write_jsonl(revs.select("review_id", "source", F.lit("first").alias("layout")), f"{path}/1")
+    nested = revs.filter("n_chars % 2 = 0").select(F.struct("review_id").alias("request"), F.struct("source", F.lit("second").alias("layout")).alias("answer"))
+    files.write_jsonl(nested, f"{path}/2")
+    return files.scan_layouts(spark, [f"{path}/1", f"{path}/2"], "review_id", ("source", "layout"))
+
+
 @query()
 def manifest(spark: SparkSession, d: str) -> DataFrame:
-    """Hash and length of each file of an export."""
-    path = folder(spark, "export")
-    files.write_csv(ranked(spark, d), f"{path}/ranking.csv", ("rank", "issue_id", "complaint_count", "severity_sum", "mean_severity", "priority_score"))
-    files.write_document(reviews(spark, d).agg(F.count("*").alias("records"), F.countDistinct("text_key").alias("texts")), f"{path}/run.json")
-    return files.file_hashes(spark, f"{path}/*/part-*").select("sha256", "length")
+    """Hash and length of each file of an exported run."""
+    path = folder(spark, "run")
+    export.export_run(spark, path, run_tables(spark, d))
+    return files.file_hashes(spark, f"{path}/*/part-*").select("file", "sha256", "length")
 
 
-@query()
+RULES_SQL = f"{rules_sql(TOPIC_RULES, 'other')} AS topic, {rules_sql(INTENT_RULES, 'unclear')} AS intent"
+LABELLED = f"SELECT *, CASE WHEN intent IN ('unclear', 'praise', 'request') THEN 1 ELSE 3 END AS severity, CASE WHEN intent = 'praise' THEN 0.5 WHEN intent IN ('unclear', 'request') THEN 0.0 ELSE -0.5 END::DOUBLE AS sentiment FROM (SELECT DISTINCT text_key, {RULES_SQL} FROM rev)"
+
+
+@query(sql((REV,), LABELLED))
+def rule_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels by rule, with severity and tone, one set a text."""
+    texts = reviews(spark, d).groupBy("text_key").agg(F.min("review_text").alias("review_text"))
+    return labelling.RuleLabeler().label(texts).select("text_key", "topic", "intent", "severity", "sentiment")
+
+
+@query(sql((REV,), f"SELECT text_key, topic, intent, severity FROM ({LABELLED})"))
 def stream_classify(spark: SparkSession, d: str) -> DataFrame:
     """Labels from a stream of files: each text once, whichever batch brings it."""
     path = folder(spark, "stream")
@@ -98,22 +182,64 @@ def stream_classify(spark: SparkSession, d: str) -> DataFrame:
     return done.select("text_key", "topic", "intent", "severity")
 
 
-MEMO = "concat('Claim CL-001 says ', value, '.\n\n', 'Nine of \"12\" say 1,234 in CL-999')"
+#: Three memos: a good one, one that breaks each rule of a line, one that lacks everything. {v} is a claim's value, {i} its issue.
+MEMOS = (
+    "## Recommendation\n1. Fix {i} first. It has {v} [CL-001] of 77 records. \"12 of 13\" say [review:r1].\n## Limits\nIt ranks 1, number 4.",
+    "## Recommendation\nFix it. IS-nothing has 1,234.5 [CL-001].\nSee [CL-999] and [review:r9]. Revenue falls by 3.\n## Limits\nNone.",
+    "All is <|end|> well",
+)
+MEMO_SQL = """f AS (SELECT issue_id AS i FROM ranking WHERE rank = 1)
+  SELECT unnest(['rank_one_missing', 'unsupported_subject', 'no_claim', 'no_review', 'no_recommendation', 'no_limits', 'template_token', 'unknown_claim', 'unknown_review', 'unknown_issue', 'claim_without_issue', 'unsupported_number', 'unsupported_number']) AS code,
+  unnest(['2', '2', '3', '3', '3', '3', '3', '2:CL-999', '2:r9', '2:IS-nothing', '2:CL-001', '2:1234.500000', '2:3.000000']) AS detail FROM f"""
 
 
-@query()
+@query(f"WITH {', '.join(RANKED)}, {MEMO_SQL}")
 def memo_check(spark: SparkSession, d: str) -> DataFrame:
-    """Memos with true, unknown and unsupported statements against the claims."""
-    claims = ranking.claims(ranked(spark, d))
-    true = claims.filter("claim_id = 'CL-001'").select(F.expr(MEMO).alias("memo"))
-    memos = true.select(F.lit(1).alias("memo_id"), "memo").unionByName(true.select(F.lit(2).alias("memo_id"), F.lit("Users always love it <|end|>").alias("memo")))
-    return memo.memo_violations(memos, claims, banned=("always",))
-
-
-@query(sql((REV,), "SELECT review_id, len(list_distinct(regexp_extract_all(review_text, '[0-9]+'))) AS n FROM rev"))
-def number_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Distinct runs of digits in each text."""
-    return reviews(spark, d).select("review_id", F.size(memo.cited(F.col("review_text"), "[0-9]+")).cast("long").alias("n"))
+    """Memos that keep and break the rules, against claims, issues, cited records and facts."""
+    order_ = ranked(spark, d)
+    claims = ranking.claims(order_)
+    one = claims.filter("claim_id = 'CL-001'").select("issue_id", "value").first()
+    text = [(n + 1, m.format(v=one["value"], i=one["issue_id"])) for n, m in enumerate(MEMOS)]
+    facts = spark.createDataFrame([("77",)], "value string")
+    cited_ids = spark.createDataFrame([("r1",)], "review_id string")
+    return memo.memo_violations(spark.createDataFrame(text, "memo_id int, memo string"), claims, first_issue=one["issue_id"], issues=order_, evidence=cited_ids, facts=facts)
+
+
+@query(sql((REV,), "SELECT review_id, [CAST(n_chars AS DECIMAL(30,6)), CAST(1234567 AS DECIMAL(30,6)), CAST(2.5 AS DECIMAL(30,6))] AS numbers FROM rev"))
+def memo_numbers(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers that a sentence states itself, without those of citations, ranks, quotes and list items."""
+    said = F.concat(F.lit("3. Of "), F.col("n_chars").cast("string"), F.lit(' (rank 2, [CL-004], "40 of 50") 1,234,567 at 2.5 and v1.2 in [review:8]'))
+    return reviews(spark, d).select("review_id", memo.numbers(said).alias("numbers"))
+
+
+@query(sql((REV,), "SELECT review_id, 'Fix ' || lang || chr(10) || 'now' AS recommendation, CAST(NULL AS VARCHAR) AS limits FROM rev"))
+def memo_sections(spark: SparkSession, d: str) -> DataFrame:
+    """Sections of a memo by their headings; null where a heading is lacking."""
+    text = F.concat(F.lit("# Title\nx\n## recommendation: now\nFix "), F.col("lang"), F.lit("\nnow\n\n### Other\ny"))
+    return reviews(spark, d).select("review_id", memo.section(text, "Recommendation").alias("recommendation"), memo.section(text, "Limits").alias("limits"))
+
+
+@query(sql((REV,), "SELECT review_id, ['CL-' || lpad(CAST(n_chars % 1000 AS VARCHAR), 3, '0'), 'CL-007'] AS claims, [review_id] AS reviews, ['IS-access', 'IS-' || lang] AS issues FROM rev WHERE n_chars % 1000 <> 7"))
+def citations(spark: SparkSession, d: str) -> DataFrame:
+    """Claims, records and issues that a text cites, once each, in order."""
+    claim = F.concat(F.lit("[CL-"), F.lpad((F.col("n_chars") % 1000).cast("string"), 3, "0"), F.lit("]"))
+    text = F.concat(F.lit("IS-access "), claim, F.lit(" [review:"), F.col("review_id"), F.lit("] IS-"), F.col("lang"), F.lit(" [CL-007]"), claim, F.lit(" CL-008 [review:"), F.col("review_id"), F.lit("]"))
+    made = reviews(spark, d).filter("n_chars % 1000 <> 7").select("review_id", text.alias("t"))
+    return made.select("review_id", memo.cited(F.col("t")).alias("claims"), memo.cited(F.col("t"), memo.REVIEW).alias("reviews"), memo.cited(F.col("t"), memo.ISSUE, 0).alias("issues"))
+
+
+@query(sql((REV,), "SELECT review_id, 'Bearer [removed] at [removed] ' || lang || ' bearer x' AS text FROM rev"))
+def scrubbed(spark: SparkSession, d: str) -> DataFrame:
+    """Error texts as they may be saved: bearer tokens and a given key taken out."""
+    said = F.concat(F.lit("Bearer   "), F.col("text_key"), F.lit("~+/= at KEY-1 "), F.col("lang"), F.lit(" bearer x"))
+    return reviews(spark, d).select("review_id", scrub(said, "KEY-1").alias("text"))
+
+
+@query(sql((REV,), f"SELECT review_id, {h('leak', 'review_id', 5)} = 0 AS leaking FROM rev"))
+def nested_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Answers with a template token somewhere in their nested values."""
+    note = F.when(hash_mod("leak", F.col("review_id"), 5) == 0, "ends </s>").otherwise("ends <s")
+    return reviews(spark, d).select("review_id", memo.nested_leaks(F.struct(F.array(F.create_map(F.lit("k"), F.struct(note.alias("note")))).alias("a"))).alias("leaking"))
 
 
 @query(sql((REV,), "SELECT count(*) AS records, count(*) FILTER (regexp_matches(review_text, '<\\|[a-z_]*\\|?>|</?s>|\\[/?INST\\]')) AS leaking FROM rev"))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.audit import unique_keys
+from tallyloom.operators.trace import last_wins
+from tallyloom.session import drop_folder
 
 
 def scan_csv(spark: SparkSession, path: str, fields: Sequence[str], key: str | None = None) -> DataFrame:
@@ -21,6 +23,8 @@ def scan_csv(spark: SparkSession, path: str, fields: Sequence[str], key: str | N
     options = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "FAILFAST", "inferSchema": "false", "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "columnPruning": "false"}
     head = spark.read.options(**options | {"header": "false"}).csv(path).limit(1).collect()
     names = [x.lstrip("﻿") if x else "" for x in head[0]] if head else []
+    if not names:
+        raise ValueError("the file has no rows")
     if len(set(names)) < len(names):
         raise ValueError("the header repeats a column")
     if lacking := [f for f in fields if f not in names]:
@@ -33,7 +37,7 @@ def scan_csv(spark: SparkSession, path: str, fields: Sequence[str], key: str | N
 
 
 def bad_cells(rows: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Cells that do not have their column's type: ``column`` and ``line`` of the row's hash order, never the value."""
+    """How many cells of each column do not have its type: ``column`` and ``n``, never the values."""
     cells = F.array(*(F.struct(F.lit(c).alias("column"), (F.col(c).isNotNull() & (F.col(c) != "") & F.col(c).try_cast(t).isNull()).alias("bad")) for c, t in types.items()))
     return rows.select(F.explode(cells).alias("c")).select("c.*").filter("bad").groupBy("column").agg(F.count("*").alias("n"))
 
@@ -43,13 +47,35 @@ def scan_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def scan_jsonl_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines with ``line_ok``: a line must be one object that fits, without repeated keys or NaN; bad lines stay, marked."""
-    lines = spark.read.text(path).filter(F.trim("value") != "")
+def _strict(lines: DataFrame, schema: str) -> DataFrame:
     parsed = F.from_json("value", schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "false"})
-    read = lines.withColumn("row", parsed)
+    read = lines.filter(F.trim("value") != "").withColumn("row", parsed)
     ok = F.col("row._corrupt").isNull() & F.trim("value").startswith("{") & unique_keys(F.col("value"))
-    return read.select(F.coalesce(ok, F.lit(False)).alias("line_ok"), "row.*").drop("_corrupt")
+    return read.withColumn("line_ok", F.coalesce(ok, F.lit(False)))
+
+
+def scan_jsonl_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines with ``line_ok``: a line must be one object that fits, without repeated keys or NaN; bad lines stay, marked."""
+    return _strict(spark.read.text(path), schema).select("line_ok", "row.*").drop("_corrupt")
+
+
+def bad_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """``file`` and ``line`` (from 1) of lines that ``scan_jsonl_strict`` marks; each file is read as one text, for its line numbers."""
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n", -1)).alias("at", "value"))
+    return _strict(whole, schema).filter("NOT line_ok").select("file", (F.col("at") + 1).alias("line"))
+
+
+def scan_layouts(spark: SparkSession, paths: Sequence[str], key: str, fields: Sequence[str]) -> DataFrame:
+    """Answers from JSON lines of two layouts, flat (``key`` and fields) or nested (``request`` and ``answer``),
+    told by the first row of each path; a later path's answer replaces an earlier one's."""
+    tables = []
+    text = ", ".join(f"{c} string" for c in (key, *fields))
+    for path in paths:
+        first = spark.read.text(path).limit(1).collect()
+        nested = bool(first) and '"request"' in first[0][0]
+        rows = spark.read.schema(f"request struct<{key}: string>, answer struct<{', '.join(f'{f}: string' for f in fields)}>" if nested else text).json(path)
+        tables.append(rows.select(f"request.{key}", "answer.*") if nested else rows)
+    return last_wins(tables, key, *fields)
 
 
 def scan_needle(spark: SparkSession, path: str, needle: str, schema: str) -> DataFrame:
@@ -73,6 +99,36 @@ def write_csv(df: DataFrame, path: str, fields: Sequence[str]) -> None:
 
 
 def write_document(df: DataFrame, path: str) -> None:
-    """One JSON document with sorted keys from a table of one row."""
-    row = df.select(F.to_json(F.struct(*sorted(df.columns))).alias("value"))
+    """One JSON document with sorted keys at every level from a table of one row; nulls are written, not a number is null."""
+    row = df.select(F.to_json(_sorted(df.schema, lambda name: F.col(name)), {"ignoreNullFields": "false"}).alias("value"))
     row.coalesce(1).write.mode("overwrite").text(path)
+
+
+def _sorted(fields: T.StructType, get: Callable[[str], Column]) -> Column:
+    """A struct of the fields in order of name."""
+    out = []
+    for field in sorted(fields, key=lambda f: f.name):
+        value = get(field.name)
+        if isinstance(field.dataType, T.StructType):
+            value = _sorted(field.dataType, value.getField)
+        elif isinstance(field.dataType, T.FloatType | T.DoubleType):
+            value = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+        out.append(value.alias(field.name))
+    return F.struct(*out)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of a folder's files."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
+def write_sized(spark: SparkSession, df: DataFrame, folder: str, name: str, gzip_over: int) -> str:
+    """JSON lines, plain up to a size, else compressed with the plain form removed; returns the name. Compressed parts
+    hold no time, so equal parts are equal bytes."""
+    write_jsonl(df, f"{folder}/{name}")
+    if size_of(spark, f"{folder}/{name}") <= gzip_over:
+        return name
+    spark.read.text(f"{folder}/{name}").write.mode("overwrite").option("compression", "gzip").text(f"{folder}/{name}.gz")
+    drop_folder(spark, f"{folder}/{name}")
+    return f"{name}.gz"
