@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,9 +53,18 @@ def text_volume(reviews: DataFrame) -> DataFrame:
 
 
 def variants() -> dict[str, Column]:
-    """Normal forms under which texts may be equal."""
+    """Normal forms under which texts may be equal; Spark has no case folding or composition, so these two run on Arrow batches."""
     text = F.col("review_text")
-    return {"exact": text, "stripped": trim_ws(text), "lowered": F.lower(trim_ws(text)), "collapsed": F.regexp_replace(F.lower(trim_ws(text)), r"[ \t\r\n]+", " ")}
+
+    @F.pandas_udf("string")
+    def folded(texts: pd.Series) -> pd.Series:
+        return texts.str.casefold()
+
+    @F.pandas_udf("string")
+    def composed(texts: pd.Series) -> pd.Series:
+        return texts.str.normalize("NFC")
+
+    return {"casefold": folded(trim_ws(text)), "nfc": composed(text), "exact": text, "stripped": trim_ws(text), "lowered": F.lower(trim_ws(text)), "collapsed": F.regexp_replace(F.lower(trim_ws(text)), r"[ \t\r\n]+", " ")}
 
 
 def dedup_variants(reviews: DataFrame) -> DataFrame:

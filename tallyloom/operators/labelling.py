@@ -98,8 +98,9 @@ def propagate(reviews: DataFrame, done: DataFrame) -> DataFrame:
 def sentence_rollup(reviews: DataFrame, label: Callable[[DataFrame], DataFrame], precedence: Sequence[str]) -> DataFrame:
     """Labels each record's sentences and rolls them up.
 
-    The record gets the intent that comes first in ``precedence``, the greatest
-    severity, and the topic of the first sentence with that severity. Equal sentences
+    The record gets the intent that comes first in ``precedence``, the greatest severity, and
+    the topic of the first sentence with that severity whose topic is specific (not
+    ``other``), or of the first one if none is. Equal sentences
     are labelled once; partial aggregates roll up, so a record's sentences are not
     gathered.
     """
@@ -107,6 +108,14 @@ def sentence_rollup(reviews: DataFrame, label: Callable[[DataFrame], DataFrame],
     labels = label(cut.select("text_key").distinct())
     order: Column = F.array_position(F.array(*map(F.lit, precedence)), F.col("intent"))
     rolled = cut.join(labels, "text_key").groupBy("review_id").agg(
-        F.min(order).alias("first"), F.max("severity").alias("severity"), F.min_by("topic", F.struct((-F.col("severity")).alias("s"), "at")).alias("topic"), F.count("*").alias("sentences")
+        F.min(order).alias("first"), F.max("severity").alias("severity"), F.min_by("topic", F.struct((-F.col("severity")).alias("s"), (F.col("topic") == "other").alias("vague"), "at")).alias("topic"), F.count("*").alias("sentences")
     )
     return rolled.select("review_id", F.element_at(F.array(*map(F.lit, precedence)), F.col("first").cast("int")).alias("intent"), "severity", "topic", "sentences")
+
+
+def label_sanity(cells: DataFrame, *, most: int = 90, least: int = 3) -> DataFrame:
+    """By field (``field``, ``label``): classes, rows of the commonest, and whether it has over ``most`` of a hundred
+    or there are under ``least`` classes."""
+    counts = cells.groupBy("field", "label").agg(F.count("*").alias("n"))
+    row = counts.groupBy("field").agg(F.count("*").alias("classes"), F.max("n").alias("top"), F.sum("n").alias("n"))
+    return row.withColumns({"one_label": F.col("top") * 100 > most * F.col("n"), "few_classes": F.col("classes") < least})

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tallyloom.functions.text import token_estimate
+from tallyloom.operators.order import running
 
 
 def spend_of(tokens_in: Column, tokens_out: Column, rate_in: int, rate_out: int) -> Column:
@@ -49,9 +49,9 @@ def reserved(calls: DataFrame, rate_in: int) -> DataFrame:
 
 
 def admitted(calls: DataFrame, cap_pico: int, rate_in: int, part: str = "session") -> DataFrame:
-    """Calls that a cap admits within each ``part``, in order of time: the running reservation stays under the cap."""
-    order = Window.partitionBy(part).orderBy("ts", "request_id").rowsBetween(Window.unboundedPreceding, 0)
-    run = calls.withColumn("running", F.sum(F.col("reserved_tokens") * rate_in).over(order))
+    """Calls that a cap admits within each ``part``, in order of time: the running reservation stays under the cap. Dealt by hour."""
+    hour = F.date_trunc("hour", F.col("ts"))
+    run = running(calls, part, hour, ["ts", "request_id"], F.col("reserved_tokens") * rate_in, "running")
     return run.groupBy(part).agg(F.count_if(F.col("running") <= cap_pico).alias("admitted"), F.count_if(F.col("running") > cap_pico).alias("stopped"))
 
 
@@ -93,23 +93,42 @@ def closed_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.withColumns({"ended_how": F.when(F.col("ended").isNull(), "crashed").otherwise(F.col("ended_how")), "ended": F.coalesce("ended", "last", "started")})
 
 
-def paced(requests: DataFrame, part: str, at: str, gap: float) -> DataFrame:
-    """When an even pace lets each request go: ``gap`` seconds after the one before, not earlier than it came.
+def paced(requests: DataFrame, part: str, at: str, gap: int, bucket: int = 3_600_000_000) -> DataFrame:
+    """When an even pace lets each request go: ``gap`` after the one before, not earlier than it came.
 
-    slot_i = max over j <= i of (came_j + (i - j) * gap), a running maximum.
+    slot_i = max over j <= i of (came_j + (i - j) * gap), a running maximum; rows are dealt
+    by ``bucket``, a span of time.
     """
-    order = Window.partitionBy(part).orderBy(at, "request_id")
-    numbered = requests.withColumn("__i", F.row_number().over(order) - 1)
-    run = order.rowsBetween(Window.unboundedPreceding, 0)
-    return numbered.withColumn("slot", F.max(F.col(at) - F.col("__i") * gap).over(run) + F.col("__i") * gap).drop("__i")
+    span = F.floor(F.col(at) / bucket)
+    numbered = running(requests, part, span, [at, "request_id"], F.lit(1), "__n", before=True)
+    done = running(numbered, part, span, [at, "request_id"], F.col(at) - F.col("__n") * gap, "__m", largest=True)
+    return done.withColumn("slot", F.col("__m") + F.col("__n") * gap).drop("__n", "__m")
+
+
+def with_gaps(calls: DataFrame, part: str = "session") -> DataFrame:
+    """Successes with ``gap``: microseconds since the success before in the same ``part``. Dealt by hour."""
+    done = calls.filter("outcome = 'succeeded'").withColumn("__us", F.unix_micros(F.col("ts").cast("timestamp")))
+    seen = running(done, part, F.date_trunc("hour", F.col("ts")), ["ts", "request_id"], F.col("__us"), "__last", largest=True, before=True)
+    return seen.withColumn("gap", F.col("__us") - F.col("__last")).drop("__us", "__last")
 
 
 def outages(calls: DataFrame, longest_us: int, part: str = "session") -> DataFrame:
     """The longest time between two successes within each ``part``, and how many passed ``longest_us``."""
-    order = Window.partitionBy(part).orderBy("ts", "request_id")
-    done = calls.filter("outcome = 'succeeded'").withColumn("__us", F.unix_micros(F.col("ts").cast("timestamp")))
-    gaps = done.withColumn("__gap", F.col("__us") - F.lag("__us").over(order))
-    return gaps.groupBy(part).agg(F.max("__gap").alias("longest_us"), F.count_if(F.col("__gap") > longest_us).alias("outages"))
+    return with_gaps(calls, part).groupBy(part).agg(F.max("gap").alias("longest_us"), F.count_if(F.col("gap") > longest_us).alias("outages"))
+
+
+def stops(calls: DataFrame, *, most_us: int, most: int, cap_pico: int, rate_in: int, longest_us: int, part: str = "session") -> DataFrame:
+    """Why and when each ``part`` stops first: its time is up, its count is reached, the cap would be
+    passed, a fatal answer came, or too long a time passed without a success; ties by reason."""
+    hour, order_ = F.date_trunc("hour", F.col("ts")), ["ts", "request_id"]
+    timed = calls.withColumn("__us", F.unix_micros(F.col("ts").cast("timestamp")))
+    start = timed.groupBy(part).agg(F.min("__us").alias("__start"))
+    counted = running(timed.join(start, part), part, hour, order_, F.lit(1), "__n")
+    spent = running(counted, part, hour, order_, F.col("reserved_tokens") * rate_in, "__spent")
+    checks = {"cap": F.col("__spent") > cap_pico, "count": F.col("__n") >= most, "fatal": F.col("fatal"), "time": F.col("__us") - F.col("__start") > most_us}
+    reasons = F.array_compact(F.array(*(F.when(c, k) for k, c in checks.items())))
+    found = spent.select(part, F.explode(reasons).alias("reason"), "ts").unionByName(with_gaps(calls, part).filter(F.col("gap") > longest_us).select(part, F.lit("outage").alias("reason"), "ts"))
+    return found.groupBy(part).agg(F.min(F.struct("ts", "reason")).alias("m")).select(part, "m.reason", "m.ts")
 
 
 def cheapest(trials: DataFrame) -> DataFrame:

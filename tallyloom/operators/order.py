@@ -69,3 +69,20 @@ def sliding_sums(df: DataFrame, order: str, value: Column, k: int, group: str) -
     sliding = slid.groupBy(group).agg(F.max("__s").alias("max_sliding"))
     blocks = numbered.groupBy(group, F.floor((F.col("__n") - 1) / k).alias("b")).agg(F.sum("__v").alias("s"), F.count("*").alias("c")).filter(F.col("c") == k)
     return sliding.join(blocks.groupBy(group).agg(F.max("s").alias("max_aligned")), group)
+
+
+def running(df: DataFrame, group: str, bucket: Column, order: list[str], value: Column, out: str, *, largest: bool = False, before: bool = False) -> DataFrame:
+    """Adds ``out``: per group the sum (or the largest) of ``value`` over the rows up to this one, or ``before`` it.
+
+    Rows are ordered by ``bucket``, which must not decrease along ``order``, and then by
+    ``order``. Only a bucket is sorted in one task; what came before it is one number, from
+    totals by bucket.
+    """
+    fold = F.max if largest else F.sum
+    dealt = df.withColumns({"__b": bucket, "__v": value})
+    earlier = Window.partitionBy(group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy(group, "__b").agg(fold("__v").alias("__t")).select(group, "__b", fold("__t").over(earlier).alias("__o"))
+    inside = Window.partitionBy(group, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1 if before else 0)
+    here = dealt.join(totals, [group, "__b"]).withColumn("__i", fold("__v").over(inside))
+    whole = F.greatest("__o", "__i") if largest else F.coalesce("__o", F.lit(0)) + F.coalesce("__i", F.lit(0))
+    return here.withColumn(out, whole).drop("__b", "__v", "__o", "__i")

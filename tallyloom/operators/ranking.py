@@ -51,20 +51,24 @@ def quotes(members: DataFrame, records: DataFrame, seed: str, limit: int, longes
 
 
 def evidence(members: DataFrame, records: DataFrame, seed: str, severe: int = 3, hashed: int = 2) -> DataFrame:
-    """Per issue the most severe records and then further ones in seeded order."""
-    met = members.join(records, "review_id").filter(F.col("cache_source_id").isNull()).withColumn("k", order_key(seed, F.col("review_id")))
-    by_severity = Window.partitionBy("issue_id").orderBy(F.desc("severity"), "k", "review_id")
-    placed = met.withColumn("s", F.row_number().over(by_severity))
-    rest = Window.partitionBy("issue_id", F.col("s") <= severe).orderBy("k", "review_id")
-    chosen = placed.withColumn("h", F.row_number().over(rest)).filter((F.col("s") <= severe) | (F.col("h") <= hashed))
-    return chosen.select("issue_id", "review_id", "severity", F.when(F.col("s") <= severe, "severe").otherwise("hashed").alias("why"))
+    """Per issue the most severe records and then further ones in seeded order.
+
+    Both are limits of a window, which act before rows move: the first ``severe`` by
+    severity, and of the first ``severe + hashed`` by hash those that are left.
+    """
+    met = members.join(records, "review_id").filter(F.col("cache_source_id").isNull()).select("issue_id", "review_id", "severity", order_key(seed, F.col("review_id")).alias("k"))
+    first = lambda df, n, *by: df.withColumn("__n", F.row_number().over(Window.partitionBy("issue_id").orderBy(*by, "k", "review_id"))).filter(F.col("__n") <= n).drop("__n")
+    worst = first(met, severe, F.desc("severity"))
+    rest = first(met, severe + hashed).join(worst.select("issue_id", "review_id"), ["issue_id", "review_id"], "left_anti")
+    return worst.withColumn("why", F.lit("severe")).unionByName(first(rest, hashed).withColumn("why", F.lit("hashed"))).drop("k")
 
 
 def evidence_pack(ranking: DataFrame, chosen: DataFrame, statuses: DataFrame) -> DataFrame:
-    """One nested row: the ranking, the chosen records by issue, the counts of statuses."""
+    """One row with a JSON ``document``: the ranking, the chosen records by issue, the counts of statuses."""
     listed = chosen.groupBy("issue_id").agg(F.sort_array(F.collect_list(F.struct("why", "review_id", "severity"))).alias("records"))
     issues = ranking.join(listed, "issue_id", "left").agg(F.sort_array(F.collect_list(F.struct("rank", "issue_id", "complaint_count", "mean_severity", "records"))).alias("issues"))
-    return issues.crossJoin(statuses.agg(F.sort_array(F.collect_list(F.struct("status", "n"))).alias("statuses")))
+    whole = issues.crossJoin(statuses.agg(F.sort_array(F.collect_list(F.struct("status", "n"))).alias("statuses")))
+    return whole.select(F.to_json(F.struct("issues", "statuses")).alias("document"))
 
 
 def readings() -> dict[str, Column]:
@@ -99,3 +103,8 @@ def break_even(histogram: DataFrame) -> DataFrame:
     ahead = (F.col("a.t") > F.col("b.t")) | ((F.col("a.t") == F.col("b.t")) & (F.col("a.issue_id") < F.col("b.issue_id")))
     pairs = a.join(b, ahead).select(F.col("a.issue_id").alias("ahead"), F.col("b.issue_id").alias("behind"), (F.col("a.t") - F.col("b.t")).alias("gap"), (F.col("a.s4") - F.col("b.s4")).alias("fours"))
     return pairs.filter("fours > 0 AND gap > 0 AND gap <= fours").select("ahead", "behind", F.expr("(2 * gap * 10000 + fours) DIV (2 * fours)").alias("share_ten_thousandths"))
+
+
+def degenerate_readings(ranked: DataFrame) -> DataFrame:
+    """Readings under which all issues have one total, so that the ranking says nothing."""
+    return ranked.groupBy("reading").agg(F.countDistinct("total").alias("totals"), (F.countDistinct("total") == 1).alias("degenerate"))

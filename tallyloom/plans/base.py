@@ -104,3 +104,8 @@ RANKED = (*BASE, MEMBER, RANKING)
 def sql(parts: tuple[str, ...], select: str) -> str:
     """A query over shared views."""
     return f"WITH {', '.join(parts)} {select}"
+
+
+#: Pieces of texts (``p``) in SQL, for texts whose white space is plain.
+SPLIT_SQL = r"list_transform(string_split_regex(regexp_replace(regexp_replace(review_text, '([.!?])[ \t\r\n]+', '\1' || chr(1), 'g'), '[\r\n]+', chr(1), 'g'), chr(1)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13)))"
+PIECES_SQL = rf"pc AS (SELECT review_id, review_text, lang, CASE WHEN len(l) = 0 THEN [trim(review_text, ' ' || chr(9) || chr(10) || chr(13))] ELSE l END AS p FROM (SELECT *, list_filter({SPLIT_SQL}, lambda x: regexp_matches(x, '[\pL\pN]')) AS l FROM rev))"

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyloom.functions.labels import FEATURES, MARKERS, STOP_WORDS
 from tallyloom.functions.numbers import wilson
-from tallyloom.functions.text import SENTENCE_END, canonical_json, entities, is_blank, lang_bucket, part_tags, pieces, row_sha, shuffled_options, token_estimate, trim_ws
-from tallyloom.operators import corpus, order
-from tallyloom.plans.base import REV, SEED, VERIFY_SEED, reviews, sql, table
+from tallyloom.functions.text import SENTENCE_END, canonical_json, entities, hash_mod, is_blank, lang_bucket, part_tags, pieces, row_sha, shuffled_options, token_estimate, trim_ws
+from tallyloom.operators import agreement, corpus, ledger, order
+from tallyloom.plans.base import CALLS, PIECES_SQL, REV, SEED, SPLIT_SQL, VERIFY_SEED, calls, h, reviews, sql, table
 from tallyloom.plans.registry import query
 
 # What stands in for feature and stop words of the corpus' invented prose: terms that it has.
@@ -51,9 +52,8 @@ def profile(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT source, lang, count(*) AS records, CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY GROUPING SETS ((source), (lang), ())")
 def profile_by(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents")
-    docs.createOrReplaceTempView("__profile_by")
-    return spark.sql("SELECT source, lang, count(*) AS records, sum(n_chars) AS chars FROM __profile_by GROUP BY GROUPING SETS ((source), (lang), ())")
+    docs = table(spark, d, "documents").select("source", "lang", "n_chars")
+    return docs.groupingSets([["source"], ["lang"], []], "source", "lang").agg(F.count("*").alias("records"), F.sum("n_chars").alias("chars"))
 
 
 @query(sql((REV,), f"SELECT review_id FROM rev WHERE NOT ({NB})"))
@@ -122,7 +122,7 @@ def parity_split(spark: SparkSession, d: str) -> DataFrame:
     return order.alternating(reviews(spark, d).select("review_id"), "parity-v1")
 
 
-@query(sql((REV,), "SELECT 'exact' AS form, count(DISTINCT review_text) AS distinct_texts FROM rev UNION ALL SELECT 'stripped', count(DISTINCT trim(review_text, ' ' || chr(9) || chr(10) || chr(13))) FROM rev UNION ALL SELECT 'lowered', count(DISTINCT lower(trim(review_text, ' ' || chr(9) || chr(10) || chr(13)))) FROM rev UNION ALL SELECT 'collapsed', count(DISTINCT regexp_replace(lower(trim(review_text, ' ' || chr(9) || chr(10) || chr(13))), '[ \\t\\r\\n]+', ' ', 'g')) FROM rev"))
+@query(sql((REV,), "SELECT 'exact' AS form, count(DISTINCT review_text) AS distinct_texts FROM rev UNION ALL SELECT 'stripped', count(DISTINCT trim(review_text, ' ' || chr(9) || chr(10) || chr(13))) FROM rev UNION ALL SELECT 'lowered', count(DISTINCT lower(trim(review_text, ' ' || chr(9) || chr(10) || chr(13)))) FROM rev UNION ALL SELECT 'casefold', count(DISTINCT replace(lower(trim(review_text, ' ' || chr(9) || chr(10) || chr(13))), 'ß', 'ss')) FROM rev UNION ALL SELECT 'nfc', count(DISTINCT nfc_normalize(review_text)) FROM rev UNION ALL SELECT 'collapsed', count(DISTINCT regexp_replace(lower(trim(review_text, ' ' || chr(9) || chr(10) || chr(13))), '[ \\t\\r\\n]+', ' ', 'g')) FROM rev"))
 def dedup_variants(spark: SparkSession, d: str) -> DataFrame:
     return corpus.dedup_variants(reviews(spark, d))
 
@@ -165,33 +165,61 @@ def piece_counts(spark: SparkSession, d: str) -> DataFrame:
     return reviews(spark, d).select("review_id", F.size(pieces(F.col("review_text"))).cast("long").alias("n_pieces"))
 
 
-@query()
+HAS = lambda test: f"count(*) FILTER (len(list_filter(p, lambda x: {test})) > 0)"
+
+
+@query(sql((REV, PIECES_SQL), f"SELECT max(len(p)) AS most, count(*) FILTER (len(p) = 1) AS single, {HAS('length(x) > 300')} AS with_long, {HAS('length(x) < 3')} AS with_tiny, {HAS(chr(39).join(['regexp_matches(x, ', '[.!?][A-Za-z]', ')']))} AS with_glued, {HAS('NOT contains(review_text, x)')} AS inexact, (SELECT count(*) FROM rev WHERE len(list_filter({SPLIT_SQL}, lambda x: x <> '' AND NOT regexp_matches(x, '[\\pL\\pN]'))) > 0) AS with_empty FROM pc"))
 def piece_quality(spark: SparkSession, d: str) -> DataFrame:
-    cut = reviews(spark, d).select(pieces(F.col("review_text")).alias("p"), "review_text")
-    whole = F.forall("p", lambda x: F.contains("review_text", x))
-    return cut.agg(F.max(F.size("p")).alias("most"), F.count_if(F.size("p") == 1).alias("single"), F.count_if(F.exists("p", lambda x: F.length(x) > 300)).alias("with_long"), F.count_if(F.exists("p", lambda x: F.length(x) < 3)).alias("with_tiny"), F.count_if(~whole).alias("inexact"))
+    """Records with long, tiny, glued and inexact pieces, and with parts that hold no letter or digit."""
+    raw = F.transform(F.split("review_text", SENTENCE_END, -1), trim_ws)
+    cut = reviews(spark, d).select(pieces(F.col("review_text")).alias("p"), "review_text", F.exists(raw, lambda x: (x != "") & ~x.rlike(r"[\p{L}\p{N}]")).alias("empty"))
+    has = lambda test: F.count_if(F.exists("p", test))
+    return cut.agg(
+        F.max(F.size("p")).alias("most"), F.count_if(F.size("p") == 1).alias("single"), has(lambda x: F.length(x) > 300).alias("with_long"), has(lambda x: F.length(x) < 3).alias("with_tiny"),
+        has(lambda x: x.rlike("[.!?][A-Za-z]")).alias("with_glued"), F.count_if(~F.forall("p", lambda x: F.contains("review_text", x))).alias("inexact"), F.count_if("empty").alias("with_empty"),
+    )
 
 
-@query()
+@query(sql((REV, PIECES_SQL, "o AS (SELECT lang, list_sort(list(length(review_text)) FILTER (len(p) = 1)) AS l, count(*) AS n FROM pc GROUP BY lang)"), "SELECT lang, len(l) AS n, l[CAST(floor(len(l) * 0.5) AS BIGINT) + 1] AS p50, l[CAST(floor(len(l) * 0.9) AS BIGINT) + 1] AS p90, round(len(l) / CAST(n AS DOUBLE), 6) AS share FROM o WHERE len(l) > 0"))
+def single_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of one piece: their share, and lengths at places floor(share * n) of their sorted lengths, by language."""
+    cut = reviews(spark, d).select("lang", F.size(pieces(F.col("review_text"))).alias("k"), F.length("review_text").alias("size"))
+    at = {q: agreement.value_at(cut.filter("k = 1"), "lang", "size", q) for q in (0.5, 0.9)}
+    share = cut.groupBy("lang").agg(F.round(F.count_if(F.col("k") == 1) / F.count("*"), 6).alias("share"))
+    return at[0.5].select("lang", "n", F.col("at").alias("p50")).join(at[0.9].select("lang", F.col("at").alias("p90")), "lang").join(share, "lang")
+
+
+@query(sql((REV, PIECES_SQL), f"SELECT review_id, NOT ({h('gap', 'review_id', 5)} = 0 AND len(p) >= 3) AS covered FROM pc"))
 def cover_check(spark: SparkSession, d: str) -> DataFrame:
-    """Whether pieces follow each other through the text without leaving out a letter or digit."""
-    cut = reviews(spark, d).select("review_id", "review_text", pieces(F.col("review_text")).alias("p"))
-    step = lambda rest, x: F.when(F.contains(rest, x), F.substring(rest, F.call_function("locate", x, rest) + F.length(x), F.length(rest)))
+    """Whether pieces follow each other through the text without leaving out a letter or digit; from some the second is taken away."""
+    every = pieces(F.col("review_text"))
+    gap = (hash_mod("gap", F.col("review_id"), 5) == 0) & (F.size(every) >= 3)
+    cut = reviews(spark, d).select("review_id", "review_text", F.when(gap, F.concat(F.slice(every, 1, 1), F.slice(every, 3, F.greatest(F.size(every) - 2, F.lit(0))))).otherwise(every).alias("p"))
+
+    def step(rest: Column, x: Column) -> Column:
+        at = F.call_function("locate", x, rest)
+        clean = (at > 0) & ~F.substring(rest, F.lit(1), at - 1).rlike(r"[\p{L}\p{N}]")
+        return F.when(clean, F.substring(rest, at + F.length(x), F.length(rest)))
+
     rest = F.aggregate("p", F.col("review_text"), step)
     return cut.select("review_id", F.coalesce(~rest.rlike(r"[\p{L}\p{N}]"), F.lit(False)).alias("covered"))
 
 
-@query()
+PARTS_SQL = {"marks": r"string_split_regex(regexp_replace(review_text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))", "lines": r"string_split_regex(review_text, '[\r\n]+')"}
+TRIMMED = lambda parts: f"list_transform({parts}, lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13)))"
+VARIANTS = "w AS (" + " UNION ALL ".join(f"SELECT '{k}' AS variant, {TRIMMED(v)} AS p FROM rev" for k, v in PARTS_SQL.items()) + f" UNION ALL SELECT 'all', {SPLIT_SQL} FROM rev)"
+
+
+@query(sql((REV, VARIANTS), "SELECT variant, CAST(sum(len(p)) AS BIGINT) AS pieces, count(*) FILTER (len(list_filter(p, lambda x: x = '')) > 0) AS with_blank, max(len(p)) AS most FROM w GROUP BY variant"))
 def splitter_variants(spark: SparkSession, d: str) -> DataFrame:
-    texts = reviews(spark, d)
-    rows = []
-    for name, pattern in (("marks", r"(?<=[.!?])\s+"), ("lines", r"[\r\n]+"), ("all", SENTENCE_END)):
-        parts = texts.select(F.transform(F.split("review_text", pattern, -1), trim_ws).alias("p"))
-        rows.append(parts.agg(F.lit(name).alias("variant"), F.sum(F.size("p")).alias("pieces"), F.count_if(F.exists("p", lambda x: x == "")).alias("with_blank"), F.max(F.size("p")).alias("most")))
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    """Three splitters over one scan: pieces, records with a blank one, the most in a record."""
+    names = {"marks": r"(?<=[.!?])\s+", "lines": r"[\r\n]+", "all": SENTENCE_END}
+    parts = F.array(*(F.struct(F.lit(k).alias("variant"), F.transform(F.split("review_text", v, -1), trim_ws).alias("p")) for k, v in names.items()))
+    long = reviews(spark, d).select(F.explode(parts).alias("c")).select("c.*")
+    return long.groupBy("variant").agg(F.sum(F.size("p")).alias("pieces"), F.count_if(F.exists("p", lambda x: x == "")).alias("with_blank"), F.max(F.size("p")).alias("most"))
 
 
-@query()
+@query(sql((REV, PIECES_SQL, "t AS (SELECT unnest(range(len(p))) AS i FROM pc)"), "SELECT 'part_' || chr(CAST(97 + i // 26 AS INTEGER)) || chr(CAST(97 + i % 26 AS INTEGER)) AS tag, count(*) AS n FROM t GROUP BY 1"))
 def part_tag_counts(spark: SparkSession, d: str) -> DataFrame:
     parts = reviews(spark, d).select(pieces(F.col("review_text")).alias("p"))
     return parts.select(F.explode(F.map_keys(part_tags(F.col("p")))).alias("tag")).groupBy("tag").agg(F.count("*").alias("n"))
@@ -202,16 +230,23 @@ def missed_marks(spark: SparkSession, d: str) -> DataFrame:
     return reviews(spark, d).agg(F.sum(F.regexp_count("review_text", F.lit(r"[.!?][^ \t\r\n.!?]"))).cast("long").alias("missed"))
 
 
-@query(sql((REV, "terms AS (SELECT unnest([" + ", ".join(f"'{t}'" for t in TERMS) + "]) AS feature)"), "SELECT feature, count(*) AS n FROM rev JOIN terms ON regexp_matches(' ' || lower(review_text) || ' ', '[^a-z0-9]' || feature || 's?[^a-z0-9]') WHERE feature NOT IN ('in', 'of the') GROUP BY feature"))
+def named_sql(features: tuple[str, ...]) -> str:
+    """``entities`` in SQL: word boundaries stand for the look-arounds, as underscores are taken away first."""
+    pattern = "|".join(sorted(features, key=lambda f: (-len(f), f)))
+    found = f"regexp_extract_all(replace(lower(review_text), '_', ' '), '\\b({pattern})s?\\b', 1)"
+    return f"list_filter({found}, lambda x, i: list_position({found}, x) = i)"
+
+
+@query(sql((REV, f"w AS (SELECT unnest({named_sql(TERMS)}) AS feature FROM rev)"), "SELECT feature, count(*) AS n FROM w GROUP BY feature HAVING count(*) >= 20"))
 def feature_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that name each feature; a phrase wins over a word inside it, so these have none."""
-    terms = [t for t in TERMS if t not in ("in", "of the")]
-    found = reviews(spark, d).select(F.explode(entities(F.col("review_text"), terms)).alias("feature"))
-    return found.groupBy("feature").agg(F.count("*").alias("n"))
+    """Documents that name each feature, of features that twenty or more name; a phrase wins over a word inside it."""
+    found = reviews(spark, d).select(F.explode(entities(F.col("review_text"), TERMS)).alias("feature"))
+    return found.groupBy("feature").agg(F.count("*").alias("n")).filter("n >= 20")
 
 
-@query()
+@query(sql((REV,), f"SELECT review_id, {named_sql(FEATURES + TERMS)} AS entities FROM rev"))
 def entity_lists(spark: SparkSession, d: str) -> DataFrame:
+    """The features that each text names, once each, in order."""
     return reviews(spark, d).select("review_id", entities(F.col("review_text"), FEATURES + TERMS).alias("entities"))
 
 
@@ -254,7 +289,13 @@ def text_hazards(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query()
+LISTED = lambda words: "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+BUCKETS = f"""w AS (SELECT lang, regexp_extract_all(lower(review_text), '\\pL+''?\\pL*') AS l FROM rev), t AS (SELECT lang, l, array_to_string(l, '') AS s FROM w),
+  b AS (SELECT lang, CASE WHEN length(s) = 0 THEN 'no_letters' WHEN length(regexp_replace(s, '[a-z]', '', 'g')) / CAST(length(s) AS DOUBLE) > 0.3 OR (len(l) >= 2 AND list_has_any(l, {LISTED(MARKERS)})) THEN 'non_english'
+    WHEN len(l) >= 4 AND NOT list_has_any(l, {LISTED(STOP_WORDS)}) THEN 'ascii_unsure' WHEN len(l) >= 4 THEN 'english' ELSE 'short' END AS bucket FROM t)"""
+
+
+@query(sql((REV, BUCKETS), "SELECT lang, bucket, count(*) AS n FROM b GROUP BY lang, bucket"))
 def lang_buckets(spark: SparkSession, d: str) -> DataFrame:
     return reviews(spark, d).groupBy("lang", lang_bucket(F.col("review_text"), MARKERS, STOP_WORDS).alias("bucket")).agg(F.count("*").alias("n"))
 
@@ -267,17 +308,22 @@ def stopword_lang(spark: SparkSession, d: str) -> DataFrame:
     return seen.groupBy("lang").agg(*(F.count_if(F.size(F.array_intersect("w", F.array(*map(F.lit, ws)))) >= 2).alias(k) for k, ws in lists.items()))
 
 
-@query(sql((REV, "w AS (SELECT lang, unnest(list_distinct(regexp_extract_all(lower(review_text), '[a-z]+'))) AS word FROM rev)", "c AS (SELECT lang, word, count(*) AS n, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS place FROM w GROUP BY lang, word)"), "SELECT lang, place, word, n FROM c WHERE place <= 10"))
+@query(sql((REV, f"w AS (SELECT source AS part, unnest(list_distinct(regexp_extract_all(lower(review_text), '[a-z]+'))) AS word FROM rev SEMI JOIN (SELECT doc_id FROM labels WHERE quality = 0) USING (doc_id))", f"c AS (SELECT part, word, count(*) AS n, row_number() OVER (PARTITION BY part ORDER BY count(*) DESC, word) AS place FROM w WHERE word NOT IN (SELECT unnest({LISTED(STOP_WORDS)})) GROUP BY part, word)"), "SELECT part, place, word, n FROM c WHERE place <= 10"))
 def top_words(spark: SparkSession, d: str) -> DataFrame:
-    found = F.array_distinct(F.regexp_extract_all(F.lower("review_text"), F.lit("[a-z]+"), F.lit(0)))
-    counts = reviews(spark, d).select("lang", F.explode(found).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    counts.createOrReplaceTempView("__top_words")
-    return spark.sql("SELECT lang, CAST(place AS BIGINT) AS place, word, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS place FROM __top_words) WHERE place <= 10")
+    """Words that most documents of low quality have, by part of the corpus, without stop words."""
+    low = table(spark, d, "labels").filter("quality = 0").select("doc_id")
+    found = F.array_except(F.array_distinct(F.regexp_extract_all(F.lower("review_text"), F.lit("[a-z]+"), F.lit(0))), F.array(*map(F.lit, STOP_WORDS)))
+    words = reviews(spark, d).join(low, "doc_id", "left_semi").select(F.col("source").alias("part"), F.explode(found).alias("word"))
+    counts = words.groupBy("part", "word").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("n"), "word"))
+    return counts.withColumn("place", place).filter("place <= 10").select("part", F.col("place").cast("long").alias("place"), "word", "n")
 
 
-@query(sql((REV, "c AS (SELECT review_id, unnest(list_distinct(regexp_extract_all(review_text, '[!-/:-@\\[-`{-~]'))) AS mark FROM rev)"), "SELECT mark, count(*) AS n FROM c GROUP BY mark"))
+@query(sql((REV, f"c AS (SELECT review_id, unnest(list_distinct(list_filter(regexp_extract_all(review_text || CASE WHEN {h('mark', 'review_id', 3)} = 0 THEN '“x”…' ELSE '¡' END, '\\pP'), lambda x: ord(x) > 127))) AS mark FROM rev)"), "SELECT mark, count(*) AS n FROM c GROUP BY mark"))
 def punct_rows(spark: SparkSession, d: str) -> DataFrame:
-    marks = F.array_distinct(F.regexp_extract_all("review_text", F.lit(r"[!-/:-@\[-`{-~]"), F.lit(0)))
+    """Records that hold each punctuation mark beyond ASCII; two kinds are planted."""
+    text = F.concat("review_text", F.when(hash_mod("mark", F.col("review_id"), 3) == 0, "“x”…").otherwise("¡"))
+    marks = F.array_distinct(F.regexp_extract_all(text, F.lit(r"[\p{P}&&[^\x00-\x7F]]"), F.lit(0)))
     return reviews(spark, d).select(F.explode(marks).alias("mark")).groupBy("mark").agg(F.count("*").alias("n"))
 
 
@@ -291,8 +337,9 @@ def tokens(spark: SparkSession, d: str) -> DataFrame:
     return reviews(spark, d).select("review_id", token_estimate(F.octet_length("review_text")).alias("tokens"))
 
 
-@query()
+@query(sql((REV,), "SELECT review_id, list_transform(list_sort(list_transform(['a', 'b', 'c', 'd'], lambda o: sha256('shuffle-v1:' || text_key || ':' || o) || o)), lambda x: right(x, 1)) AS options FROM rev"))
 def option_shuffle(spark: SparkSession, d: str) -> DataFrame:
+    """Options in an order that depends on the text alone."""
     return reviews(spark, d).select("review_id", shuffled_options(("a", "b", "c", "d"), F.col("text_key"), "shuffle-v1").alias("options"))
 
 
@@ -315,9 +362,84 @@ def wilson_ci(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def bootstrap(spark: SparkSession, d: str) -> DataFrame:
-    """Means of 200 resamples by Poisson weights, all in one pass: a hash of id and round seeds each weight."""
-    steps = F.array(*map(F.lit, (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015)))  # Poisson(1), cumulative
-    drawn = reviews(spark, d).select(F.length("review_text").alias("x"), "review_id", F.explode(F.sequence(F.lit(1), F.lit(200))).alias("round"))
-    u = F.pmod(F.xxhash64("review_id", "round"), F.lit(1_000_003)) / 1_000_003
-    count = F.size(F.filter(steps, lambda t: t < u))
-    return drawn.withColumn("w", count).groupBy("round").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"))
+    """Means of 200 resamples by Poisson weights, all in one pass: a hash of length and round seeds the weight of
+    each record among the records of that length, whose weights add up to a Poisson number again.
+
+    Records are counted by length first, so rounds multiply lengths and not records.
+    """
+    counts = reviews(spark, d).groupBy(F.length("review_text").alias("x")).agg(F.count("*").alias("k"))
+    drawn = counts.select("x", "k", F.explode(F.sequence(F.lit(1), F.lit(200))).alias("round"))
+
+    def uniform(salt: str) -> Column:
+        return (F.pmod(F.xxhash64("x", "round", F.lit(salt)), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
+
+    # Poisson(k): by its normal limit from 50 on, below by the cumulative chances, which reach past what the seeds resolve
+    normal = F.sqrt(-2 * F.log(uniform("a"))) * F.cos(2 * 3.141592653589793 * uniform("b"))
+    step = lambda acc, i: F.struct((acc["t"] * F.col("k") / i).alias("t"), (acc["c"] + acc["t"] * F.col("k") / i).alias("c"), (acc["n"] + (uniform("a") > acc["c"]).cast("int")).alias("n"))
+    first = F.exp(-F.col("k").cast("double"))
+    small = F.aggregate(F.sequence(F.lit(1), F.lit(160)), F.struct(first.alias("t"), first.alias("c"), F.lit(0).alias("n")), step, lambda acc: acc["n"])
+    weight = F.when(F.col("k") >= 50, F.greatest(F.round(F.col("k") + F.sqrt("k") * normal), F.lit(0))).otherwise(small)
+    return drawn.withColumn("w", weight).groupBy("round").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"))
+
+
+@query(sql((REV, "g AS (SELECT text_key, count(*) AS copies, min(length(review_text)) AS n FROM rev GROUP BY text_key HAVING count(*) > 1)"), "SELECT CASE WHEN n < 100 THEN 'a' WHEN n < 1000 THEN 'b' ELSE 'c' END AS length_class, count(*) AS groups, CAST(sum(copies) AS BIGINT) AS records, max(copies) AS most, max(n) AS longest FROM g GROUP BY 1"))
+def dup_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Groups of equal texts by class of length: how many, their records, the most copies and the longest text."""
+    groups = corpus.duplicate_groups(reviews(spark, d), F.min(F.length("review_text")).alias("n"))
+    kind = F.when(F.col("n") < 100, "a").when(F.col("n") < 1000, "b").otherwise("c")
+    return groups.groupBy(kind.alias("length_class")).agg(F.count("*").alias("groups"), F.sum("copies").alias("records"), F.max("copies").alias("most"), F.max("n").alias("longest"))
+
+
+MONTHS = """e AS (SELECT strftime(ts, '%Y-%m') AS month, strftime(ts, '%Y-%m-%d') AS day, event_type, user_id FROM events), u AS (SELECT month, user_id, count(*) AS k FROM e GROUP BY 1, 2), dy AS (SELECT month, day, count(*) AS k FROM e GROUP BY 1, 2)"""
+
+
+@query(sql((MONTHS,), "SELECT month, count(*) AS n, round(count(*) FILTER (event_type = 'error') / CAST(count(*) AS DOUBLE), 6) AS low_share, (SELECT arg_min(user_id, (-k, user_id)) FROM u WHERE u.month = e.month) AS top_user, (SELECT median(k) FROM dy WHERE dy.month = e.month) AS median_day FROM e GROUP BY month"))
+def monthly(spark: SparkSession, d: str) -> DataFrame:
+    """By month: rows, the share of bad ones, the commonest subject and the median day."""
+    e = table(spark, d, "events").select(F.date_format("ts", "yyyy-MM").alias("month"), F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type", "user_id")
+    top = e.groupBy("month", "user_id").agg(F.count("*").alias("k")).groupBy("month").agg(F.min(F.struct((-F.col("k")).alias("m"), "user_id"))["user_id"].alias("top_user"))
+    days = e.groupBy("month", "day").agg(F.count("*").alias("k")).groupBy("month").agg(F.median("k").alias("median_day"))
+    rows = e.groupBy("month").agg(F.count("*").alias("n"), F.round(F.count_if(F.col("event_type") == "error") / F.count("*"), 6).alias("low_share"))
+    return rows.join(top, "month").join(days, "month")
+
+
+@query(sql((REV, CALLS, f"todo AS (SELECT review_id FROM rev WHERE {h('seen', 'review_id', 3)} > 0)"), "SELECT review_id, (SELECT CAST(sum(coalesce(input_tokens, 0)) AS BIGINT) FROM calls WHERE role = 'verify') AS spent FROM todo ORDER BY sha256('verify-v1:' || review_id), review_id LIMIT 20"))
+def verify_queue(spark: SparkSession, d: str) -> DataFrame:
+    """The next twenty records to verify, in seeded order, with what was spent so far."""
+    todo = reviews(spark, d).filter(hash_mod("seen", F.col("review_id"), 3) > 0).select("review_id")
+    spent = calls(spark, d).filter("role = 'verify'").agg(F.sum(F.coalesce("input_tokens", F.lit(0))).alias("spent"))
+    return order.hash_sample(todo, VERIFY_SEED, 20).select("review_id").crossJoin(spent)
+
+
+@query(sql((REV, f"b AS (SELECT doc_id // 10 AS batch, CASE WHEN {h('index', 'review_id', 30)} = 0 THEN 1 ELSE doc_id % 10 + 1 END AS idx, {h('exact', 'review_id', 25)} = 0 OR review_text = '' AS inexact FROM rev)"), "SELECT batch, 'index' AS problem FROM b GROUP BY batch HAVING count(*) <> max(idx) OR count(DISTINCT idx) <> count(*) UNION ALL SELECT DISTINCT batch, 'quote' FROM b WHERE inexact"))
+def batch_replies(spark: SparkSession, d: str) -> DataFrame:
+    """Batches of replies where an index is missing or repeated, or where a quote is not exact."""
+    index = F.when(hash_mod("index", F.col("review_id"), 30) == 0, 1).otherwise(F.col("doc_id") % 10 + 1)
+    quote = F.when(hash_mod("exact", F.col("review_id"), 25) == 0, "\u0000").otherwise(F.substring("review_text", 1, 10))
+    items = reviews(spark, d).select(F.floor(F.col("doc_id") / 10).alias("batch"), index.alias("idx"), quote.alias("quote"), "review_text")
+    inexact = items.filter((F.col("quote") == "") | ~F.contains("review_text", "quote")).select("batch").distinct()
+    return ledger.bad_batches(items, "batch", "idx").withColumn("problem", F.lit("index")).unionByName(inexact.withColumn("problem", F.lit("quote")))
+
+
+STOPS = """n AS (SELECT session, ts, request_id, event_type = 'error' AND user_id = 3 AS fatal, row_number() OVER w AS n, sum(reserved_tokens * 42000) OVER w AS spent, epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY session) AS us FROM calls WINDOW w AS (PARTITION BY session ORDER BY ts, request_id)),
+  g AS (SELECT session, ts, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY session ORDER BY ts, request_id) AS gap FROM calls WHERE outcome = 'succeeded'),
+  f AS (SELECT session, ts, 'cap' AS reason FROM n WHERE spent > 600000000 UNION ALL SELECT session, ts, 'count' FROM n WHERE n >= 35 UNION ALL SELECT session, ts, 'fatal' FROM n WHERE fatal UNION ALL SELECT session, ts, 'time' FROM n WHERE us > 36000000000 UNION ALL SELECT session, ts, 'outage' FROM g WHERE gap > 9000000000)"""
+
+
+@query(sql((CALLS, STOPS), "SELECT session, arg_min(reason, (ts, reason)) AS reason, min(ts) AS ts FROM f GROUP BY session"))
+def stop_conditions(spark: SparkSession, d: str) -> DataFrame:
+    """Why and when each session stops: time, count, cap, a fatal answer, or an outage."""
+    fatal = calls(spark, d).withColumn("fatal", (F.col("event_type") == "error") & (F.col("user_id") == 3))
+    return ledger.stops(fatal, most_us=36_000_000_000, most=35, cap_pico=600_000_000, rate_in=42_000, longest_us=9_000_000_000)
+
+
+TRIES = "t AS (SELECT text_key FROM rev JOIN (SELECT review_ids[1] AS review_id FROM calls WHERE outcome = 'failed') USING (review_id) GROUP BY text_key HAVING count(*) >= 2)"
+
+
+@query(sql((REV, CALLS, TRIES), "SELECT review_id, CASE WHEN t.text_key IS NULL THEN 'pending' ELSE 'quarantined' END AS status FROM rev LEFT JOIN t USING (text_key)"))
+def quarantine_copies(spark: SparkSession, d: str) -> DataFrame:
+    """A text that failed twice is quarantined with all its copies."""
+    revs = reviews(spark, d)
+    failed = calls(spark, d).filter("outcome = 'failed'").select(F.col("review_ids")[0].alias("review_id"))
+    tried = failed.join(revs.select("review_id", "text_key"), "review_id").groupBy("text_key").agg(F.count("*").alias("n")).filter("n >= 2")
+    return revs.select("review_id", "text_key").join(tried, "text_key", "left").select("review_id", F.when(F.col("n").isNull(), "pending").otherwise("quarantined").alias("status"))

@@ -9,7 +9,7 @@ from tallyloom.functions.labels import INTENT_RULES, INTENTS, TOPIC_RULES, by_ru
 from tallyloom.functions.text import first_match, hash_mod, is_blank
 from tallyloom.operators import agreement, audit, corpus, labelling, ranking
 from tallyloom.plans import base
-from tallyloom.plans.base import BASE, MEAN, MEMBER, RANKED, REC2, RES2, RES_B, REV, SEED, h, records, reviews, sql, table
+from tallyloom.plans.base import BASE, MEAN, MEMBER, PIECES_SQL, RANKED, REC2, RES2, RES_B, REV, SEED, h, labels_sql, records, reviews, sql, table
 from tallyloom.plans.registry import query
 
 RULED = "CASE WHEN intent IN ('unclear', 'praise', 'request') THEN 1 ELSE raw END"
@@ -164,18 +164,26 @@ EVIDENCE = """x AS (SELECT issue_id, review_id, severity, sha256('sample-v1:' ||
   e AS (SELECT *, row_number() OVER (PARTITION BY issue_id, s <= 3 ORDER BY k, review_id) AS h FROM s)"""
 
 
-@query(sql((*BASE, MEMBER, EVIDENCE), "SELECT issue_id, review_id, severity, CASE WHEN s <= 3 THEN 'severe' ELSE 'hashed' END AS why FROM e WHERE s <= 3 OR h <= 2"))
+CHOSEN = "SELECT issue_id, review_id, severity, CASE WHEN s <= 3 THEN 'severe' ELSE 'hashed' END AS why FROM e WHERE s <= 3 OR h <= 2"
+
+
+@query(sql((*BASE, MEMBER, EVIDENCE), CHOSEN))
 def evidence_top(spark: SparkSession, d: str) -> DataFrame:
     found, members = with_issues(spark, d)
     return ranking.evidence(members, found, "sample-v1")
 
 
-@query()
+PACK = """d AS (SELECT issue_id, string_agg('{"why":"' || why || '","review_id":"' || review_id || '","severity":' || severity || '}', ',' ORDER BY why, review_id) AS l FROM chosen GROUP BY issue_id),
+  i AS (SELECT string_agg('{"rank":' || rank || ',"issue_id":"' || issue_id || '","complaint_count":' || complaint_count || ',"mean_severity":"' || mean_severity || '","records":[' || l || ']}', ',' ORDER BY rank) AS issues FROM rk JOIN d USING (issue_id))"""
+
+
+@query(sql((*RANKED, EVIDENCE, f"chosen AS ({CHOSEN}), rk AS (SELECT {RANK_COLUMNS} FROM ranking)", PACK), """SELECT '{"issues":[' || issues || '],"statuses":[{"status":"completed","n":' || (SELECT count(*) FROM rec) || '}]}' AS document FROM i"""))
 def evidence_pack(spark: SparkSession, d: str) -> DataFrame:
-    """One nested document of the ranking, the chosen records and the counts."""
+    """The document that a memo is written from."""
     found, members = with_issues(spark, d)
-    tallied = ranking.rank(ranking.tally(members, found))
-    return ranking.evidence_pack(tallied, ranking.evidence(members, found, "sample-v1"), status_counts(spark, d))
+    chosen = ranking.evidence(members, found, "sample-v1")
+    statuses = found.groupBy(F.lit("completed").alias("status")).agg(F.count("*").alias("n"))
+    return ranking.evidence_pack(ranking.rank(ranking.tally(members, found)), chosen, statuses)
 
 
 AB = "ab AS (SELECT 'a' AS engine, topic, intent, severity FROM rec UNION ALL SELECT 'b', topic, intent, severity FROM rec2), t AS (SELECT engine, 'IS-' || topic AS issue_id, count(*) AS complaint_count, CAST(sum(severity) AS BIGINT) AS severity_sum FROM ab WHERE intent IN ('complaint', 'cancellation') GROUP BY engine, topic)"
@@ -244,20 +252,48 @@ def eligible(spark: SparkSession, d: str) -> DataFrame:
     return corpus.first_seen(docs.filter("item IS NOT NULL"), "item", "doc_id").filter("rating BETWEEN 1 AND 5 AND item <> ''").select("item", "doc_id", "lang")
 
 
-@query()
+SENTENCES = f"sent AS (SELECT review_id, unnest(p) AS sentence, unnest(range(len(p))) AS at_, sha256(unnest(p)) AS text_key FROM pc), lab AS ({labels_sql().replace('FROM rev)', 'FROM sent)')}), sl AS (SELECT * FROM sent JOIN lab USING (text_key))"
+FIRST_INTENT = "[" + ", ".join(f"'{x}'" for x in INTENTS) + "]"
+
+
+@query(sql((REV, PIECES_SQL, SENTENCES), f"SELECT review_id, {FIRST_INTENT}[min(list_position({FIRST_INTENT}, intent))] AS intent, max(severity) AS severity, arg_min(topic, (-severity, (topic = 'other')::INT, at_)) AS topic FROM sl GROUP BY review_id"))
 def sentence_rollup(spark: SparkSession, d: str) -> DataFrame:
-    """Labels of sentences rolled up to records: intent by precedence, greatest severity, and the topic of the first sentence that has it."""
+    """Labels of sentences rolled up to records: intent by precedence, greatest severity, and the first specific topic that has it."""
     return labelling.sentence_rollup(reviews(spark, d), base.hash_labels, INTENTS).select("review_id", "intent", "severity", "topic")
 
 
-@query(sql((REV, "c AS (SELECT review_text, text_key, length(review_text) AS n FROM rev)"), f"SELECT CAST(sum(n) AS BIGINT) AS chars, count(*) AS records, (SELECT CAST(sum(n) AS BIGINT) FROM (SELECT min(n) AS n FROM c GROUP BY text_key)) AS distinct_chars, count(DISTINCT text_key) AS distinct_texts, CAST(sum(n) FILTER ({h('pilot', 'text_key', 10)} = 0) AS BIGINT) AS pilot_chars, count(*) FILTER ({h('pilot', 'text_key', 10)} = 0) AS pilot_records FROM c"))
+PILOT = h("pilot", "text_key", 10)
+
+
+@query(sql((REV, "c AS (SELECT text_key, CAST(length(review_text) AS DOUBLE) AS n FROM rev)", f"m AS (SELECT (SELECT avg(n) FROM c WHERE {PILOT} = 0) AS pilot, (SELECT avg(n) FROM c) AS rows_, (SELECT avg(n) FROM (SELECT DISTINCT text_key, n FROM c)) AS texts)"), "SELECT round(pilot, 4) AS pilot, round(pilot / rows_ - 1, 6) AS error_rows, round(pilot / texts - 1, 6) AS error_texts FROM m"))
 def projection_error(spark: SparkSession, d: str) -> DataFrame:
-    """What a pilot's mean is held against: sums over records, over distinct texts, over the pilot."""
+    """How far a pilot's mean length is from the mean over records and over distinct texts."""
     size = F.length("review_text").cast("long")
     pilot = hash_mod("pilot", F.col("text_key"), 10) == 0
     per_text = reviews(spark, d).groupBy("text_key").agg(F.min(size).alias("n"), F.count("*").alias("k"), F.first(pilot).alias("pilot"))
     total: Column = F.col("n") * F.col("k")
-    return per_text.agg(F.sum(total).alias("chars"), F.sum("k").alias("records"), F.sum("n").alias("distinct_chars"), F.count("*").alias("distinct_texts"), F.sum(F.when(F.col("pilot"), total)).alias("pilot_chars"), F.sum(F.when(F.col("pilot"), F.col("k"))).alias("pilot_records"))
+    mean = lambda a, b: F.sum(a) / F.sum(b)
+    row = per_text.agg(mean(F.when(F.col("pilot"), total), F.when(F.col("pilot"), F.col("k"))).alias("p"), mean(total, F.col("k")).alias("r"), F.avg("n").alias("t"))
+    return row.select(F.round("p", 4).alias("pilot"), F.round(F.col("p") / F.col("r") - 1, 6).alias("error_rows"), F.round(F.col("p") / F.col("t") - 1, 6).alias("error_texts"))
+
+
+TOTALS_SQL = " UNION ALL ".join(f"SELECT '{k}' AS reading, issue_id, sum({v}) AS total FROM m JOIN rec USING (review_id) GROUP BY issue_id" for k, v in READINGS_SQL.items())
+
+
+@query(sql((*BASE, MEMBER, f"w AS ({TOTALS_SQL} UNION ALL SELECT 'none', issue_id, 0 FROM m)"), "SELECT reading, count(DISTINCT total) AS totals, count(DISTINCT total) = 1 AS degenerate FROM w GROUP BY reading"))
+def reading_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Readings that tell no issue from another; one that weighs nothing is added."""
+    found, members = with_issues(spark, d)
+    ranked_ = ranking.what_if(members, found)
+    none = ranked_.filter("reading = 'as_labeled'").withColumns({"reading": F.lit("none"), "total": F.lit(0).cast("long")})
+    return ranking.degenerate_readings(ranked_.unionByName(none))
+
+
+@query(sql(BASE, "SELECT *, top * 100 > 90 * n AS one_label, classes < 3 AS few_classes FROM (SELECT field, count(*) AS classes, max(n) AS top, CAST(sum(n) AS BIGINT) AS n FROM (SELECT field, label, count(*) AS n FROM (SELECT 'topic' AS field, topic AS label FROM rec UNION ALL SELECT 'intent', intent FROM rec UNION ALL SELECT 'flag', CAST(min_top < 0.99 AS VARCHAR) FROM rec UNION ALL SELECT 'fixed', 'x' FROM rec) GROUP BY 1, 2) GROUP BY field)"))
+def label_sanity(spark: SparkSession, d: str) -> DataFrame:
+    """Fields where one label has nearly all records, or that have too few classes."""
+    cells = F.array(*(F.struct(F.lit(k).alias("field"), v.alias("label")) for k, v in {"topic": F.col("topic"), "intent": F.col("intent"), "flag": (F.col("min_top") < 0.99).cast("string"), "fixed": F.lit("x")}.items()))
+    return labelling.label_sanity(records(spark, d).select(F.explode(cells).alias("c")).select("c.*"))
 
 
 @query("SELECT agree / 100.0::DOUBLE AS agree, noise / 100.0::DOUBLE AS noise, round((agree / 100.0::DOUBLE) * (1 - noise / 100.0::DOUBLE) + (1 - agree / 100.0::DOUBLE) * (noise / 100.0::DOUBLE) / 7, 6) AS seen FROM (SELECT unnest([70, 80, 90]) AS agree), (SELECT unnest([0, 5, 10, 20]) AS noise)")
