@@ -96,8 +96,8 @@ def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: i
 
     In a band all texts meet one of them, then, ``turns`` times, those not linked to it
     yet meet another, drawn anew in each band; so a large family is joined by a link a
-    text, and few are left apart, of which all pairs within a band are compared at the
-    end. Copies stand for one node. Null and blank texts have no shingles and are never
+    text, and few are left apart. Once the bands that are left have fewer pairs than there
+    are rows, or the turns are over, all pairs within them are compared. Copies stand for one node. Null and blank texts have no shingles and are never
     near copies of other texts; equal texts always are. Repeated rows give repeated
     rows; other columns are ignored; an empty table gives an empty result.
     """
@@ -119,21 +119,26 @@ def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: i
 
     tried = cut(banded.unionByName(fingerprint_pairs(some, radius, percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links, left = met(tried), members.select("band", "node", "size")
+    few = 2 * left.count()
     for turn in range(turns + 1):
         placed = left.join(components(links), "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
         pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node").alias("p"), F.col("size").alias("p_size"), F.col("root").alias("p_root"))).alias("pivot")
-        split = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), pivot).filter("x <> y").select("band", "pivot.p", "pivot.p_size", "pivot.p_root")
+        split = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), pivot).filter("x <> y").select("band", "n", "pivot.p", "pivot.p_size", "pivot.p_root")
         left = cut(placed.join(split, "band"))
-        if left.isEmpty():
+        total = left.agg(F.sum((F.col("n") - 1) / 2)).first()[0]
+        if not total:
             break
-        if turn < turns:
+        last = turn == turns or total <= few  # no more pairs than rows: no need to draw on
+        if not last:
             pairs = left.filter("root <> p_root").filter(_alike("size", "p_size", percent)).select(F.col("p").alias("a"), F.col("node").alias("b"))
         else:
             other = left.select("band", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
             pairs = left.join(other, "band").filter("node < b AND root <> root_b").filter(_alike("size", "size_b", percent)).select(F.col("node").alias("a"), "b")
         new = fresh(pairs)
-        links, tried = cut(links.unionByName(met(new))), cut(tried.unionByName(new))
-        left = left.select("band", "node", "size")
+        links = cut(links.unionByName(met(new)))
+        if last:
+            break
+        tried, left = cut(tried.unionByName(new)), left.select("band", "node", "size")
     rooted = cut(nodes.select("node", "first").join(components(links), "node", "left").select("node", "first", F.coalesce("root", "node").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return given.select("doc_id", "text_hash").join(rooted.join(least, "root").select(F.col("node").alias("text_hash"), "component_id"), "text_hash").select("doc_id", "text_hash", "component_id")
