@@ -9,9 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions.labels import FEATURES, MARKERS, STOP_WORDS
-from tallyloom.functions.numbers import micro_mean, sign_test, six_places
+from tallyloom.functions.numbers import clopper_pearson, hypergeometric_pmf, micro_mean, mid_p, sign_test, six_places
 from tallyloom.functions.text import entities, json_string, lang_bucket, part_tags, pieces, scrub, shuffled_options, trim_ws
-from tallyloom.operators import agreement, audit, labelling, memo, order
+from tallyloom.operators import agreement, audit, labelling, ledger, memo, order
 from tallyloom.plans import corpus_queries
 from tallyloom.sources import files
 from tallyloom.streaming.classify import classify_stream
@@ -65,7 +65,8 @@ def test_language_buckets(spark):
 
 
 def test_scrub_and_option_order(spark):
-    assert one(spark, scrub(F.col("t")), "Bearer abc.def and sk-12345678ab") == "Bearer *** and ***"
+    assert one(spark, scrub(F.col("t"), "sk-12345678ab"), "Bearer abc.def/=~ and sk-12345678ab, bearer x") == "Bearer [removed] and [removed], bearer x"
+    assert one(spark, scrub(F.col("t")), "sk-12345678ab") == "sk-12345678ab"
     a, b = (one(spark, shuffled_options(("x", "y", "z"), F.col("t"), "s"), t) for t in ("one", "two"))
     assert sorted(a) == sorted(b) == ["x", "y", "z"]
 
@@ -125,14 +126,56 @@ def test_sentences_roll_up(spark):
 
 
 def test_memo_checks(spark):
-    claims = spark.createDataFrame([("CL-001", "1234"), ("CL-002", "0.500000")], "claim_id string, value string")
-    text = '1. First\nThere were 1,234 of them (CL-001), "77" said one.\n\nA mean of 0.5 in CL-002 but 9 in CL-003.\n\n12 without a source; always. <|end|>'
-    memos = spark.createDataFrame([(1, text), (2, "Nothing.")], "memo_id int, memo string")
-    got = sorted((r["code"], r["detail"]) for r in memo.memo_violations(memos, claims, banned=("always",)).collect())
-    assert got == [("banned_word", "1"), ("template_token", "1"), ("unknown_claim", "1:CL-003"), ("unsupported_number", "1:12.000000"), ("unsupported_number", "1:9.000000")]
+    claims = spark.createDataFrame([("CL-001", "IS-a", "1234"), ("CL-002", "IS-b", "0.500000")], "claim_id string, issue_id string, value string")
+    text = '# Memo 9\n1. IS-a had 1,234 cases [CL-001], "77" said one. It fell by 1234.\nA mean of 0.5 [CL-002] but 9 [CL-003].\n## Recommendation\nFix IS-a first, as 88 say [review:r1].\n## Limits\nIt ranks 1.'
+    memos = spark.createDataFrame([(1, text), (2, "Churn.")], "memo_id int, memo string")
+    issues, evidence, facts = (spark.createDataFrame([(x,) for x in xs], f"{n} string") for xs, n in ((("IS-a", "IS-b"), "issue_id"), (("r1",), "review_id"), (("88",), "value")))
+    found = memo.memo_violations(memos, claims, first_issue="IS-a", issues=issues, evidence=evidence, facts=facts).collect()
+    got = sorted((r["code"], r["detail"]) for r in found)
+    assert got == [
+        ("claim_without_issue", "1:CL-002"), ("no_claim", "2"), ("no_limits", "2"), ("no_recommendation", "2"), ("no_review", "2"), ("unknown_claim", "1:CL-003"),
+        ("unsupported_number", "1:1234.000000"), ("unsupported_number", "1:9.000000"), ("unsupported_subject", "2"),
+    ]
     assert one(spark, memo.section(F.col("t"), "Risks"), "# Intro\na\n## Risks\nb\nc\n# End\nd") == "b\nc"
 
 
+def test_projection_at_the_size_of_a_full_run(spark):
+    measured = spark.createDataFrame([(20_338_561_782_000, 484_189)], "pico_usd long, requests long")
+    scenarios = spark.createDataFrame([("all", 660_609, 35_000_000_000_000)], "scenario string, rows long, cap long")
+    row = ledger.cost_project(measured, scenarios, F.lit(1000)).first()
+    assert int(row["pico_usd"]) == (2 * 20_338_561_782_000 * 660_609 + 1000) // 2000 and int(row["requests"]) == (2 * 484_189 * 660_609 + 1000) // 2000 and row["over_cap"]
+
+
+def test_intervals_and_tests_against_sums(spark):
+    cases = [(0, 10), (3, 10), (10, 10), (27, 60), (1, 1)]
+    table = spark.createDataFrame(cases, "k long, n long")
+    low, high = clopper_pearson(F.col("k"), F.col("n"))
+    tail = lambda k, n, p: sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+    for r in table.select("k", "n", low.alias("low"), high.alias("high"), mid_p(F.col("k"), F.col("n") - F.col("k")).alias("mid"), hypergeometric_pmf(F.lit(1), F.lit(3), F.lit(4), F.lit(9)).alias("hyper")).collect():
+        k, n = r["k"], r["n"]
+        assert (k == 0 and r["low"] == 0) or abs(1 - tail(k - 1, n, r["low"]) - 0.025) < 1e-6
+        assert (k == n and r["high"] == 1) or abs(tail(k, n, r["high"]) - 0.025) < 1e-6
+        least, half = min(k, n - k), comb(n, min(k, n - k)) / 2**n / 2
+        assert abs(r["mid"] - (1 - half if 2 * k == n else 2 * (tail(least, n, 0.5) - half))) < 1e-9
+        assert abs(r["hyper"] - comb(4, 1) * comb(5, 2) / comb(9, 3)) < 1e-12
+
+
+def test_running_totals_across_buckets(spark):
+    rows = [("a" if i % 3 else "b", i, (i * 7919) % 101 - 50) for i in range(300)]
+    table = spark.createDataFrame(rows, "g string, at long, v long").repartition(5)
+    for largest in (False, True):
+        for before in (False, True):
+            got = {r["at"]: r["out"] for r in order.running(table, "g", F.floor(F.col("at") / 17), ["at"], F.col("v"), "out", largest=largest, before=before).collect()}
+            for g, at, _ in rows:
+                seen = [v for h, i, v in rows if h == g and (i < at if before else i <= at)]
+                assert got[at] == ((max(seen) if seen else None) if largest else sum(seen))
+
+
+def test_keys_are_unique_within_their_object(spark):
+    for text, want in (('{"a":1}', True), ('{"a":{"x":1},"b":{"x":2}}', True), ('{"a":{"x":1,"x":2}}', False), ('{"a":"}{","b":[{"c":1},{"c":2}]}', True), ('{"a":[{"c":1,"c":2}]}', False), ('{"a":1,"b":{"a":1},"a":2}', False)):
+        assert one(spark, audit.unique_keys(F.col("t")), text) is want
+
+
 def test_each_broken_rule_has_one_flag(spark):
     source = spark.createDataFrame([(str(i), "h", "some text") for i in range(5)], "review_id string, source_sha256 string, review_text string")
     good = ("h", "k", "completed", None, "other", "praise", 1, 0.0, "text", None)
@@ -144,7 +187,8 @@ def test_each_broken_rule_has_one_flag(spark):
         row = [*base[0]]
         row[at] = value
         found = {r["code"] for r in audit.flags(audit.record_violations(spark.createDataFrame([tuple(row), *base[1:]], schema), source)).collect()}
-        assert found == {code, "missing_records"} if code == "unknown_review_id" else found == {code}
+        also = {"unknown_review_id": {"missing_records"}}.get(code, set())
+        assert found == {code, "unfinished_classification", *also}
 
 
 def test_csv_is_strict(spark, tmp_path):
