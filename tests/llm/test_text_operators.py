@@ -6,7 +6,7 @@ import re
 import zlib
 from collections import Counter
 from itertools import pairwise
-from math import isclose
+from math import ceil, isclose
 
 import numpy as np
 import pytest
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
 from tallyloom.llm.mixing import mix, mixed_documents
-from tallyloom.llm.quality import base_failed, counts, judged
+from tallyloom.llm.quality import base_failed, counts, fences, judged
 from tallyloom.llm.secrets import find_secrets, redact, shown
 from tallyloom.llm.sharding import jump, shard
 from tallyloom.llm.simhash import keep_one, near_duplicates, simhash
@@ -275,3 +275,22 @@ def test_repeated_ids_count_once_in_the_fit(spark):
     want = labelled_sample(docs.filter("doc_id <> 7").dropDuplicates(["doc_id"]), labels, key="doc_id", text="text", most=8000)
     assert len(got) == len(want) + 1 == len({r[0] for r in docs.join(labels, "doc_id").select("doc_id").collect() if zlib.crc32(str(r[0]).encode()) % 5})
     assert got == labelled_sample(docs.repartition(3), labels, key="doc_id", text="text", most=8000)
+
+
+def test_fences_are_quantiles_of_the_group_and_the_wider_ones(spark):
+    rows = [(i, " ".join(["#" * (i % 7)] + [prose(i, 60)]), "en", "s" if i < 120 else "t", 0, "") for i in range(150)]
+    counted = counts(spark.createDataFrame(rows, DOCS))
+    ratios: dict[str, list[float]] = {"s": [], "t": []}
+    for r in counted.collect():
+        ratios[r["source"]].append(r["n_symbols"] / r["n_words"])
+
+    def fence(values: list[float]) -> float:
+        at = lambda q: sorted(values)[max(0, ceil(q * len(values)) - 1)]
+        return max(at(0.75) + 6 * (at(0.75) - at(0.25)), at(0.95))
+
+    whole = fence(ratios["s"] + ratios["t"])
+    for r in fences(counted).collect():
+        own = ratios[r["source"]]
+        language = (150 * whole + 10 * whole) / 160
+        want = (len(own) * fence(own) + 10 * language) / (len(own) + 10)
+        assert isclose(r["__fence_symbols"], want, rel_tol=0.05)
