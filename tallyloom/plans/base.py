@@ -20,6 +20,12 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reviews_of(table(spark, sf_dir, "documents"))
 
 
+def blanked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reviews, of which one in forty has a text of white space only."""
+    found = reviews(spark, sf_dir)
+    return found.withColumn("review_text", F.when(hash_mod("blank", F.col("review_id"), 40) == 0, " \t\u3000\n").otherwise(F.col("review_text")))
+
+
 def hash_labels(keys: DataFrame, prefix: str = "") -> DataFrame:
     """Labels that hashes of ``text_key`` decide: a labeler for tests that any engine can repeat."""
     h = lambda salt, k: hash_mod(prefix + salt, F.col("text_key"), k)
@@ -109,3 +115,5 @@ def sql(parts: tuple[str, ...], select: str) -> str:
 #: Pieces of texts (``p``) in SQL, for texts whose white space is plain.
 SPLIT_SQL = r"list_transform(string_split_regex(regexp_replace(regexp_replace(review_text, '([.!?])[ \t\r\n]+', '\1' || chr(1), 'g'), '[\r\n]+', chr(1), 'g'), chr(1)), lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13)))"
 PIECES_SQL = rf"pc AS (SELECT review_id, review_text, lang, CASE WHEN len(l) = 0 THEN [trim(review_text, ' ' || chr(9) || chr(10) || chr(13))] ELSE l END AS p FROM (SELECT *, list_filter({SPLIT_SQL}, lambda x: regexp_matches(x, '[\pL\pN]')) AS l FROM rev))"
+
+BLANKED = f"rev AS (SELECT CAST(doc_id AS VARCHAR) AS review_id, CASE WHEN {h('blank', 'CAST(doc_id AS VARCHAR)', 40)} = 0 THEN ' ' ELSE coalesce(text, '') END AS review_text FROM documents)"

@@ -10,7 +10,7 @@ from tallyloom.functions.labels import FEATURES, MARKERS, STOP_WORDS
 from tallyloom.functions.numbers import wilson
 from tallyloom.functions.text import SENTENCE_END, canonical_json, entities, hash_mod, is_blank, lang_bucket, part_tags, pieces, row_sha, shuffled_options, token_estimate, trim_ws
 from tallyloom.operators import agreement, corpus, ledger, order
-from tallyloom.plans.base import CALLS, PIECES_SQL, REV, SEED, SPLIT_SQL, VERIFY_SEED, calls, h, reviews, sql, table
+from tallyloom.plans.base import BLANKED, CALLS, PIECES_SQL, REV, SEED, SPLIT_SQL, VERIFY_SEED, blanked, calls, h, reviews, sql, table
 from tallyloom.plans.registry import query
 
 # What stands in for feature and stop words of the corpus' invented prose: terms that it has.
@@ -56,9 +56,10 @@ def profile_by(spark: SparkSession, d: str) -> DataFrame:
     return docs.groupingSets([["source"], ["lang"], []], "source", "lang").agg(F.count("*").alias("records"), F.sum("n_chars").alias("chars"))
 
 
-@query(sql((REV,), f"SELECT review_id FROM rev WHERE NOT ({NB})"))
+@query(sql((BLANKED,), f"SELECT review_id FROM rev WHERE NOT ({NB})"))
 def empty_text(spark: SparkSession, d: str) -> DataFrame:
-    return reviews(spark, d).filter(is_blank(F.col("review_text"))).select("review_id")
+    """Records without a text; some are blank on purpose, with white space beyond ASCII."""
+    return blanked(spark, d).filter(is_blank(F.col("review_text"))).select("review_id")
 
 
 @query("SELECT doc_id AS record_id, lang AS language FROM documents WHERE n_chars >= 100 AND n_chars < 1000")
@@ -137,9 +138,10 @@ def dup_top(spark: SparkSession, d: str) -> DataFrame:
     return corpus.duplicate_groups(reviews(spark, d)).orderBy(F.desc("copies"), "text_key").limit(15).select("text_key", "copies")
 
 
-@query(sql((REV,), "SELECT text_key, count(*) AS copies FROM rev JOIN labels USING (doc_id) GROUP BY text_key HAVING count(*) > 1 AND bool_or(quality = 0) AND bool_or(quality = 1)"))
+@query(sql((REV,), "SELECT text_key, count(*) AS copies FROM rev GROUP BY text_key HAVING count(*) > 1 AND bool_or(" + h("rate", "review_id", 2) + " = 0) AND bool_or(" + h("rate", "review_id", 2) + " = 1)"))
 def mixed_groups(spark: SparkSession, d: str) -> DataFrame:
-    met = reviews(spark, d).select("doc_id", "text_key", "review_id").join(table(spark, d, "labels"), "doc_id")
+    """Equal texts whose ratings are both low and high."""
+    met = reviews(spark, d).select("text_key", "review_id", hash_mod("rate", F.col("review_id"), 2).alias("quality"))
     mixed = corpus.duplicate_groups(met, F.bool_or(F.col("quality") == 0).alias("low"), F.bool_or(F.col("quality") == 1).alias("high"))
     return mixed.filter("low AND high").select("text_key", "copies")
 

@@ -256,7 +256,12 @@ def tidy(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "labels").select("doc_id", memo.tidy_number(cell).alias("cell"))
 
 
-@query(sql((REV,), r"SELECT review_id FROM rev WHERE regexp_matches(review_text, '[\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}\x{FEFF}]')"))
+HIDDEN = h("hidden", "review_id", 25)
+
+
+@query(sql((REV,), rf"SELECT review_id FROM rev WHERE regexp_matches(review_text, '[\x{{200B}}-\x{{200F}}\x{{202A}}-\x{{202E}}\x{{2060}}\x{{FEFF}}]') OR {HIDDEN} IN (0, 1)"))
 def invisible(spark: SparkSession, d: str) -> DataFrame:
-    """Texts with characters that do not show or that turn the direction."""
-    return reviews(spark, d).filter(F.col("review_text").rlike(r"[​-‏‪-‮⁠\x{FEFF}]")).select("review_id")
+    """Texts with characters that do not show or that turn the direction; two are planted, a soft space that shows is not one."""
+    at = hash_mod("hidden", F.col("review_id"), 25)
+    text = F.concat("review_text", F.when(at == 0, "a\u200bb").when(at == 1, "\u202e").when(at == 2, "\u00a0").otherwise(""))
+    return reviews(spark, d).filter(text.rlike(r"[\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}\x{FEFF}]")).select("review_id")

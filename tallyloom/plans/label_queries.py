@@ -9,7 +9,7 @@ from tallyloom.functions.labels import INTENT_RULES, INTENTS, TOPIC_RULES, by_ru
 from tallyloom.functions.text import first_match, hash_mod, is_blank
 from tallyloom.operators import agreement, audit, corpus, labelling, ranking
 from tallyloom.plans import base
-from tallyloom.plans.base import BASE, MEAN, MEMBER, PIECES_SQL, RANKED, REC2, RES2, RES_B, REV, SEED, h, labels_sql, records, reviews, sql, table
+from tallyloom.plans.base import BASE, BLANKED, MEAN, MEMBER, PIECES_SQL, RANKED, REC2, RES2, RES_B, REV, SEED, blanked, h, labels_sql, records, reviews, sql, table
 from tallyloom.plans.registry import query
 
 RULED = "CASE WHEN intent IN ('unclear', 'praise', 'request') THEN 1 ELSE raw END"
@@ -46,9 +46,10 @@ def status_counts(spark: SparkSession, d: str) -> DataFrame:
     return reviews(spark, d).groupBy(F.when(blank, "quarantined").otherwise("pending").alias("status")).agg(F.count("*").alias("n"))
 
 
-@query(sql((REV,), "SELECT 'empty text' AS reason, count(*) AS n FROM rev WHERE trim(review_text, ' ' || chr(9) || chr(10) || chr(13)) = '' GROUP BY 1"))
+@query(sql((BLANKED,), "SELECT 'empty text' AS reason, count(*) AS n FROM rev WHERE trim(review_text, ' ' || chr(9) || chr(10) || chr(13)) = '' GROUP BY 1"))
 def quarantine_reasons(spark: SparkSession, d: str) -> DataFrame:
-    empty = reviews(spark, d).filter(is_blank(F.col("review_text")))
+    """Why records are quarantined; some texts are blank on purpose."""
+    empty = blanked(spark, d).filter(is_blank(F.col("review_text")))
     return empty.groupBy(F.lit(corpus.EMPTY_REASON).alias("reason")).agg(F.count("*").alias("n"))
 
 
@@ -220,13 +221,14 @@ def break_even(spark: SparkSession, d: str) -> DataFrame:
     return ranking.break_even(ranking.severity_histogram(members, found))
 
 
-@query(sql(RANKED, "SELECT 'ranking_mismatch' AS code, issue_id AS detail FROM ranking WHERE false"))
+@query(sql(RANKED, "SELECT unnest(['ranking_mismatch', 'ranking_missing']) AS code, issue_id AS detail FROM ranking WHERE rank = 1"))
 def rebuild_check(spark: SparkSession, d: str) -> DataFrame:
-    """A recount from the severity histogram against the ranking: violations, none expected."""
+    """A recount from the severity histogram against a stored ranking, whose first mean was changed."""
     found, members = with_issues(spark, d)
     counts = ranking.severity_histogram(members, found)
     rebuilt = ranking.rank(counts.select("issue_id", F.expr("s1 + s2 + s3 + s4 + s5").alias("complaint_count"), F.expr("s1 + 2 * s2 + 3 * s3 + 4 * s4 + 5 * s5").alias("severity_sum")))
-    return audit.ranking_violations(rebuilt, ranking.rank(ranking.tally(members, found)))
+    stored = ranking.rank(ranking.tally(members, found))
+    return audit.ranking_violations(rebuilt, stored.withColumn("mean_severity", F.when(F.col("rank") == 1, "9.000000").otherwise(F.col("mean_severity"))))
 
 
 @query("WITH t AS (SELECT o_orderpriority AS issue_id, count(*) AS complaint_count, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS severity_sum FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1), r AS (SELECT *, row_number() OVER (ORDER BY severity_sum DESC, issue_id) AS rank, (2 * severity_sum * 1000000 + complaint_count) // (2 * complaint_count) AS micro FROM t) " + f"SELECT {RANK_COLUMNS} FROM r")
