@@ -85,7 +85,7 @@ def fingerprint_pairs(nodes: DataFrame, radius: int, percent: int) -> DataFrame:
     return same.unionByName(ends.filter(_alike("x.size", "y.size", percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
 
-def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: int = 2, bands: int = 24, rows: int = 5, turns: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: int = 2, bands: int = 24, rows: int = 5, turns: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row a document: ``doc_id``, ``text_hash`` and ``component_id``, the least doc_id that links reach.
 
     Texts are linked when the Jaccard similarity of their shingle sets is ``percent`` or
@@ -96,8 +96,8 @@ def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: i
 
     In a band all texts meet one of them, then, ``turns`` times, those not linked to it
     yet meet another, drawn anew in each band; so a large family is joined by a link a
-    text, and few are left apart. Once the bands that are left have fewer pairs than there
-    are rows, or the turns are over, all pairs within them are compared. Copies stand for one node. Null and blank texts have no shingles and are never
+    text, and few are left apart. Once the bands that are left have no more pairs of texts apart
+    than there are rows, or the turns are over, all pairs within them are compared. Copies stand for one node. Null and blank texts have no shingles and are never
     near copies of other texts; equal texts always are. Repeated rows give repeated
     rows; other columns are ignored; an empty table gives an empty result.
     """
@@ -119,13 +119,15 @@ def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: i
 
     tried = cut(banded.unionByName(fingerprint_pairs(some, radius, percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     links, left = met(tried), members.select("band", "node", "size")
-    few = 2 * left.count()
+    few = left.count()
     for turn in range(turns + 1):
         placed = left.join(components(links), "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
         pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node").alias("p"), F.col("size").alias("p_size"), F.col("root").alias("p_root"))).alias("pivot")
-        split = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("n"), pivot).filter("x <> y").select("band", "n", "pivot.p", "pivot.p_size", "pivot.p_root")
-        left = cut(placed.join(split, "band"))
-        total = left.agg(F.sum((F.col("n") - 1) / 2)).first()[0]
+        by_root = placed.groupBy("band", "root").agg(F.count("*").alias("k"), pivot)
+        pairs_apart = (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2
+        split = by_root.groupBy("band").agg(F.count("*").alias("roots"), (pairs_apart / F.sum("k")).alias("a_row"), F.min("pivot").alias("pivot")).filter("roots > 1")
+        left = cut(placed.join(split.select("band", "a_row", "pivot.p", "pivot.p_size", "pivot.p_root"), "band"))
+        total = left.agg(F.sum("a_row")).first()[0]
         if not total:
             break
         last = turn == turns or total <= few  # no more pairs than rows: no need to draw on
