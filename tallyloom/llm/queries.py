@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.ann import nearest
 from tallyloom.llm.chat import format_trees, masked_text, parsed_turns, threads
+from tallyloom.llm.licenses import scan_licenses
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.quality import counts, judged
@@ -17,8 +18,11 @@ from tallyloom.llm.secrets import find_secrets, shown
 from tallyloom.llm.sharding import shard
 from tallyloom.llm.shared import cut, shared_dir
 from tallyloom.llm.simhash import near_duplicates
+from tallyloom.llm.spelling import corpus_words, spelling_variants
+from tallyloom.llm.sql import SPELLING, licenses
 from tallyloom.llm.tokenbin import read_tokens, write_tokens
 from tallyloom.llm.toxicity import score_toxicity
+from tallyloom.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,7 +142,37 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path, ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op3_format_conversations, op4_pack_documents, op5_nearest_vectors, op6_find_secrets, op7_score_toxicity, op8_quality_rules, op9_mix_sources, op10_token_files)}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All words of 7 code points and 2 occurrences or more, with their forms and roots.
+
+    Null, empty and blank texts have no words; a null doc_id counts as empty text; repeated
+    rows count each; of equally frequent near words the first in code-point order is the
+    form; a very long run is one word; an empty table gives no rows.
+    """
+    return spelling_variants(corpus_words(_table(spark, sf_dir, "documents"), least=7, seen=2, every=31), ratio=10)
+
+
+def op12_scan_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the phrases and notices of licenses in them.
+
+    Null, empty and blank texts have no words, no labels and score 0; repeated rows come
+    back each; equal texts score alike; a null doc_id stays null; very long texts are read
+    whole; an empty table gives no rows.
+    """
+    return scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text")).drop("spans")
+
+
+def op13_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the first 16 components of their distinct values' covariance.
+
+    Vectors that are null or hold null or non-finite entries are dropped; zero vectors take
+    part; equal vectors and repeated ids come back each; a null vec_id stays null; lengths
+    are fitted apart; without vectors there are no rows.
+    """
+    return whiten(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), components=16)
+
+
+QUERIES = {f.__name__: f for f in (op1_shard_documents, op2_near_duplicates, op3_format_conversations, op4_pack_documents, op5_nearest_vectors, op6_find_secrets, op7_score_toxicity, op8_quality_rules, op9_mix_sources, op10_token_files, op11_spelling_variants, op12_scan_licenses, op13_whiten_embeddings)}
 _CONVERSATIONS = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -153,4 +187,4 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
-ORACLES: dict[str, str] = {"op3_format_conversations": _CONVERSATIONS}
+ORACLES: dict[str, str] = {"op3_format_conversations": _CONVERSATIONS, "op11_spelling_variants": SPELLING, "op12_scan_licenses": licenses()}
