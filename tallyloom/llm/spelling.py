@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -144,27 +144,29 @@ def backward(rows: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.where(at >= 0, np.take_along_axis(rows, np.maximum(at, 0), axis=1), 0).astype(np.uint8)
 
 
-def block_variants(rows: pd.DataFrame) -> pd.DataFrame:
+NEAR = "word string, n_near long, form_n long, form string"
+
+
+def block_variants(rows: pa.Table) -> pa.Table:
     """For each word of a block that ``asks``: how many of those it ``holds`` are near it by
-    the block's direction, and the most frequent of them.
+    the block's direction, and the most frequent of them (``NEAR``).
 
     What both directions find is left to the forward one: words that share their first
     half can have their error behind it.
     """
-    raw = np.array([w.encode("latin-1") for w in rows["word"]])
-    back = bool(rows["back"].iloc[0])
+    words = np.array(rows["word"].to_pylist(), object)
+    raw = np.array([w.encode("latin-1") for w in words])
+    back = rows["back"][0].as_py()
     ahead, size = matrix(raw)
     codes = backward(ahead, size) if back else ahead
-    held = np.flatnonzero(rows["holds"].to_numpy(bool))
-    if not len(held):
-        return pd.DataFrame({"word": [], "n_near": [], "form_n": [], "form": []})
+    held, asks = (np.flatnonzero(rows[c].to_numpy()) for c in ("holds", "asks"))
     held = held[np.lexsort(codes[held].T[::-1])]
-    known = Automaton.of(codes[held])
-    n, place = rows["n"].to_numpy(np.int64), np.empty(len(raw), np.int64)
+    n, place = rows["n"].to_numpy(), np.empty(len(raw), np.int64)
     place[np.argsort(raw, kind="stable")] = np.arange(len(raw))
-    asks = np.flatnonzero(rows["asks"].to_numpy(bool))
-    out = []
-    for at in range(0, len(asks), CHUNK):
+    shape = pa.schema([("word", pa.string()), ("n_near", pa.int64()), ("form_n", pa.int64()), ("form", pa.string())])
+    out = [shape.empty_table()]
+    known = Automaton.of(codes[held]) if len(held) else None
+    for at in range(0, len(asks) if known else 0, CHUNK):
         some = asks[at : at + CHUNK]
         who, number = known.near(codes[some], size[some], size[some] // 2)
         word, other = some[who], held[number]
@@ -175,8 +177,8 @@ def block_variants(rows: pd.DataFrame) -> pd.DataFrame:
         order = np.lexsort((place[other], -n[other], word))
         word, other = word[order], other[order]
         which, first, many = np.unique(word, return_index=True, return_counts=True)
-        out.append(pd.DataFrame({"word": rows["word"].to_numpy()[which], "n_near": many, "form_n": n[other[first]], "form": rows["word"].to_numpy()[other[first]]}))
-    return pd.concat(out) if out else pd.DataFrame({"word": [], "n_near": [], "form_n": [], "form": []})
+        out.append(pa.table([pa.array(words[which], pa.string()), many, n[other[first]], pa.array(words[other[first]], pa.string())], schema=shape))
+    return pa.concat_tables(out).combine_chunks()
 
 
 def _length_class(size: Column) -> Column:
@@ -201,14 +203,14 @@ def near_words(words: DataFrame, *, points: int = 1_000_000) -> DataFrame:
     keyed = ways.select("word", "n", "back", (F.col("half") == (size / 2).cast("int")).alias("asks"), _length_class(F.col("half")).alias("class"), F.xxhash64("back", start).alias("h"))
     sizes = {r["class"]: r["points"] for r in keyed.groupBy("class").agg(F.sum(size).alias("points")).collect()}  # a row a class
     if not sizes:
-        return words.sparkSession.createDataFrame([], "word string, n_near long, form_n long, form string")
+        return words.sparkSession.createDataFrame([], NEAR)
     blocks = F.create_map(*(F.lit(x) for c, p in sizes.items() for x in (c, max(1, -(-p // (2 * points))))))
     placed = keyed.withColumn("block", F.pmod("h", blocks[F.col("class")]).cast("int"))
     parts = placed.groupBy("back", "class", "block").agg(F.ceil(F.sum(size) / points).cast("int").alias("parts")).filter("parts > 2")  # at most a row for 2 * points code points
     own = F.pmod(F.xxhash64("word"), F.col("parts")).cast("int")
     dealt = placed.join(F.broadcast(parts), ["back", "class", "block"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     rows = dealt.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")).withColumn("holds", F.col("own") == F.col("part")).filter("holds OR asks")
-    return rows.groupBy("back", "class", "block", "part").applyInPandas(block_variants, "word string, n_near long, form_n long, form string")
+    return rows.groupBy("back", "class", "block", "part").applyInArrow(block_variants, NEAR)
 
 
 def spelling_variants(words: DataFrame, *, ratio: int = 10, points: int = 1_000_000) -> DataFrame:

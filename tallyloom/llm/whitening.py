@@ -71,7 +71,8 @@ def symmetric_qr(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     chain of rotations, make that diagonal (Golub and Van Loan, section 8.3).
     """
     n = len(a)
-    t, q = np.array(a, float), np.eye(n)
+    scale = 2.0 ** math.frexp(float(np.abs(a).max()))[1]  # no square is too small or too large
+    t, q = np.array(a, float) / scale, np.eye(n)
     for k in range(n - 2):
         x = t[k + 1 :, k]
         size = np.linalg.norm(x)
@@ -111,7 +112,7 @@ def symmetric_qr(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 x = e[k]
             turn[[k, k + 1]] = np.array([[c, s], [-s, c]]) @ turn[[k, k + 1]]
     order = np.argsort(-d, kind="stable")
-    return d[order], turn[order].T
+    return d[order] * scale, turn[order].T
 
 
 def lists_of(held: pa.Array) -> tuple[np.ndarray, np.ndarray]:
