@@ -153,7 +153,7 @@ def votes(docs: DataFrame, templates: tuple[Template, ...], *, key: str, text: s
     return seen.join(known, "two").filter("k = 2 OR four = all_four").select("id", "text_hash", "template", "k", "words", "at", "pos")
 
 
-def verified(spans: DataFrame, docs: DataFrame, templates: tuple[Template, ...], *, key: str, text: str, most: int = 2_000_000) -> DataFrame:
+def verified(spans: DataFrame, docs: DataFrame, templates: tuple[Template, ...], *, key: str, text: str, most: int = 200_000) -> DataFrame:
     """``id``, ``text_hash``, ``template``, ``k``, ``words``, ``diagonals`` of spans, with only those
     places left whose words are the template's.
 
