@@ -186,7 +186,7 @@ def _length_class(size: Column) -> Column:
     return F.when(size < 64, size).otherwise(64 + F.floor(8 * F.log2(size / 64))).cast("int")
 
 
-def near_words(words: DataFrame, *, points: int = 1_000_000) -> DataFrame:
+def near_words(words: DataFrame, *, points: int = 250_000) -> DataFrame:
     """``word``, ``n_near``, ``form_n`` and ``form`` (the near word of largest ``n``), partly: a
     word has a row for each block in which some are near it.
 
@@ -213,7 +213,7 @@ def near_words(words: DataFrame, *, points: int = 1_000_000) -> DataFrame:
     return rows.groupBy("back", "class", "block", "part").applyInArrow(block_variants, NEAR)
 
 
-def spelling_variants(words: DataFrame, *, ratio: int = 10, points: int = 1_000_000) -> DataFrame:
+def spelling_variants(words: DataFrame, *, ratio: int = 10, points: int = 250_000) -> DataFrame:
     """``word``, ``form``, ``root``, ``n``, ``n_near`` and ``form_n`` of words with their counts.
 
     ``words`` has distinct ``word`` (of code points up to U+00FF, not empty) and ``n``
