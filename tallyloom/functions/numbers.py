@@ -1,9 +1,7 @@
-"""Exact and statistical scalars as column expressions."""
+"""Exact numbers and simple intervals as column expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -30,20 +28,6 @@ def wilson(hits: Column, n: Column, z: float = 1.959964) -> tuple[Column, Column
     return (middle - spread) / (1 + zz / n), (middle + spread) / (1 + zz / n)
 
 
-def log_factorial(n: Column) -> Column:
-    """The logarithm of n!, as a sum."""
-    steps = F.when(n < 2, F.array(F.lit(1))).otherwise(F.sequence(F.lit(1), F.greatest(n, F.lit(1)).cast("int")))
-    return F.aggregate(steps, F.lit(0.0), lambda s, i: s + F.log(i.cast("double")))
-
-
-def sign_test(wins: Column, losses: Column) -> Column:
-    """The two-sided exact sign test (McNemar's exact test of a pair's discordant counts)."""
-    n, least = wins + losses, F.least(wins, losses).cast("int")
-    top = log_factorial(n)
-    terms = F.transform(F.sequence(F.lit(0), least), lambda k: F.exp(top - log_factorial(k) - log_factorial(n - k) - n * F.log(F.lit(2.0))))
-    return F.least(F.lit(1.0), 2 * F.aggregate(terms, F.lit(0.0), lambda s, x: s + x))
-
-
 def percent(part: Column, whole: Column, places: int = 1) -> Column:
     """A share as text in percent, half up, without fractions on the way; null over zero."""
     scale = 10**places
@@ -56,47 +40,3 @@ def wald(hits: Column, n: Column, z: float = 1.959964) -> tuple[Column, Column]:
     p = hits / n
     reach = z * F.sqrt(p * (1 - p) / n)
     return p - reach, p + reach
-
-
-def binomial_pmf(k: Column, n: Column, p: Column) -> Column:
-    """The chance of k hits in n draws; 0 < p < 1."""
-    return F.exp(log_factorial(n) - log_factorial(k) - log_factorial(n - k) + k * F.log(p) + (n - k) * F.log(1 - p))
-
-
-def binomial_cdf(k: Column, n: Column, p: Column) -> Column:
-    """The chance of at most k hits; terms follow from each other, so there is no factorial a term."""
-    step = lambda acc, i: F.struct((acc["t"] * (n - i + 1) / i * p / (1 - p)).alias("t"), (acc["s"] + acc["t"] * (n - i + 1) / i * p / (1 - p)).alias("s"))
-    first = F.exp(n * F.log(1 - p))
-    rest = F.when(k > 0, F.sequence(F.lit(1), F.greatest(k, F.lit(1)).cast("int"))).otherwise(F.array().cast("array<int>"))
-    return F.when(k < 0, 0.0).otherwise(F.aggregate(rest, F.struct(first.alias("t"), first.alias("s")), step, lambda acc: acc["s"]))
-
-
-def mid_p(wins: Column, losses: Column) -> Column:
-    """McNemar's mid-p test: the exact test with half the chance of what was seen taken off."""
-    n, least = wins + losses, F.least(wins, losses)
-    half = F.lit(0.5)
-    return F.when(wins == losses, 1 - binomial_pmf(least, n, half) / 2).otherwise(2 * (binomial_cdf(least, n, half) - binomial_pmf(least, n, half) / 2))
-
-
-def clopper_pearson(hits: Column, n: Column, alpha: float = 0.05, halvings: int = 40) -> tuple[Column, Column]:
-    """The ends of the exact interval of a share, by bisection on the binomial distribution (for small n)."""
-
-    def end(goes_up: Callable[[Column], Column]) -> Column:
-        start = F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high"))
-
-        def step(acc: Column, _: Column) -> Column:
-            middle = (acc["low"] + acc["high"]) / 2
-            up = goes_up(middle)
-            return F.struct(F.when(up, middle).otherwise(acc["low"]).alias("low"), F.when(up, acc["high"]).otherwise(middle).alias("high"))
-
-        return F.aggregate(F.sequence(F.lit(1), F.lit(halvings)), start, step, lambda acc: (acc["low"] + acc["high"]) / 2)
-
-    low = F.when(hits == 0, 0.0).otherwise(end(lambda p: 1 - binomial_cdf(hits - 1, n, p) < alpha / 2))
-    high = F.when(hits == n, 1.0).otherwise(end(lambda p: binomial_cdf(hits, n, p) > alpha / 2))
-    return low, high
-
-
-def hypergeometric_pmf(k: Column, drawn: Column, marked: Column, total: Column) -> Column:
-    """The chance that ``drawn`` of ``total`` rows, of which some are marked, hold k marked ones."""
-    choose = lambda a, b: log_factorial(a) - log_factorial(b) - log_factorial(a - b)
-    return F.exp(choose(marked, k) + choose(total - marked, drawn - k) - choose(total, drawn))

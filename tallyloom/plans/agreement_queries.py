@@ -7,10 +7,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions.exact import clopper_pearson, mid_p, sign_test
 from tallyloom.functions.labels import best_option, by_rule, revision, valid_cutoff
-from tallyloom.functions.numbers import clopper_pearson, mid_p, percent, sign_test, wald
+from tallyloom.functions.numbers import percent, wald
 from tallyloom.functions.text import hash_mod
-from tallyloom.operators import agreement, order, trace
+from tallyloom.operators import agreement, order, significance, trace
 from tallyloom.plans import base
 from tallyloom.plans.base import BASE, REV, TWO, h, labels_sql, records, reviews, sql, table
 from tallyloom.plans.registry import query
@@ -415,9 +416,42 @@ def wald_ci(spark: SparkSession, d: str) -> DataFrame:
     return tally.select("lang", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
 
 
-@query()
+#: Clopper and Pearson's ends in SQL: bisection on sums of the binomial distribution.
+EXACT_CI = """WITH RECURSIVE %s, tally AS (SELECT topic, count(*) AS n, count(*) FILTER (severity = 5) AS hits FROM rec GROUP BY topic),
+  ends AS (SELECT *, unnest([0, 1]) AS upper, 0 AS i, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high FROM tally
+    UNION ALL SELECT topic, n, hits, upper, i + 1, CASE WHEN up THEN middle ELSE low END, CASE WHEN up THEN high ELSE middle END
+    FROM (SELECT *, CASE WHEN upper = 1 THEN tail > 0.025 ELSE 1 - tail < 0.025 END AS up
+      FROM (SELECT *, (low + high) / 2 AS middle, coalesce(list_sum(list_transform(range(hits + upper), lambda k: exp(lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln((low + high) / 2) + (n - k) * ln(1 - (low + high) / 2)))), 0) AS tail
+        FROM ends WHERE i < 40))),
+  done AS (SELECT topic, n, hits, max(CASE WHEN hits = 0 THEN 0 ELSE (low + high) / 2 END) FILTER (upper = 0) AS low, max(CASE WHEN hits = n THEN 1 ELSE (low + high) / 2 END) FILTER (upper = 1) AS high FROM ends WHERE i = 40 GROUP BY ALL)
+SELECT topic, n, hits, round(low, 6) AS low, round(high, 6) AS high FROM done""" % ", ".join(BASE)
+
+
+@query(EXACT_CI)
 def exact_ci(spark: SparkSession, d: str) -> DataFrame:
-    """Clopper and Pearson's interval of small shares; a unit test holds the ends against known values."""
-    tally = records(spark, d).groupBy("topic").agg(F.least(F.count("*"), F.lit(100)).alias("n"), F.least(F.count_if(F.col("severity") == 5), F.lit(100)).alias("hits"))
+    """Clopper and Pearson's interval of the share of the worst severity, by topic."""
+    tally = records(spark, d).groupBy("topic").agg(F.count("*").alias("n"), F.count_if(F.col("severity") == 5).alias("hits"))
     low, high = clopper_pearson(F.col("hits"), F.col("n"))
     return tally.select("topic", "n", "hits", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
+
+
+#: Shares of pairs that one labeler alone gets right, held against the third.
+ONLY = "o AS (" + " UNION ALL ".join(f"SELECT '{f}' AS field, avg(CAST(a_{f} = c_{f} AND b_{f} <> c_{f} AS INT)) AS only_a, avg(CAST(b_{f} = c_{f} AND a_{f} <> c_{f} AS INT)) AS only_b FROM q" for f in agreement.FIELDS) + ")"
+#: All splits of all numbers of discordant pairs: ``p`` at even chances, ``w`` at those of the design.
+SPLITS = """size AS (SELECT unnest([50, 100, 200]) AS n), design AS (SELECT * FROM o, size),
+  even AS (SELECT d, k, exp(lgamma(d + 1) - lgamma(k + 1) - lgamma(d - k + 1) + d * ln(0.5::DOUBLE)) AS p FROM (SELECT d, unnest(range(d + 1)) AS k FROM (SELECT unnest(range(201)) AS d))),
+  sums AS (SELECT d, k, sum(p) OVER (PARTITION BY d ORDER BY k) AS cdf FROM even),
+  most AS (SELECT d, coalesce(max(k) FILTER (2 * cdf <= 0.05 AND 2 * k < d), -1) AS most FROM sums GROUP BY d),
+  splits AS (SELECT field, n, d, k, most, exp(lgamma(n + 1) - lgamma(d + 1) - lgamma(n - d + 1) + d * ln(only_a + only_b) + (n - d) * ln(1 - only_a - only_b)
+    + lgamma(d + 1) - lgamma(k + 1) - lgamma(d - k + 1) + k * ln(only_a / (only_a + only_b)) + (d - k) * ln(only_b / (only_a + only_b))) AS w FROM design JOIN (SELECT d, k, most FROM even JOIN most USING (d)) ON d <= n)"""
+
+
+@query(sql((*THREE, ONLY, SPLITS), "SELECT field, n, round(sum(w) FILTER (k <= most OR d - k <= most), 9) AS power, round(coalesce(sum(w) FILTER (d - k <= most), 0), 9) AS power_a, round(sum(w) FILTER (2 * k > d), 9) AS win, round(sum(w) FILTER (2 * k = d), 9) AS tie, round(sum(w) FILTER (2 * k < d), 9) AS lose FROM splits GROUP BY field, n"))
+def mcnemar_power(spark: SparkSession, d: str) -> DataFrame:
+    """What samples of 50 to 200 pairs would show of the difference between two labelers."""
+    rows = three(spark, d)
+    alone = lambda f, one, other: F.avg(((F.col(f"{one}_{f}") == F.col(f"c_{f}")) & (F.col(f"{other}_{f}") != F.col(f"c_{f}"))).cast("int"))
+    shares = rows.agg(F.array(*(F.struct(F.lit(f).alias("field"), alone(f, "a", "b").alias("only_a"), alone(f, "b", "a").alias("only_b")) for f in agreement.FIELDS)).alias("x"))
+    designs = shares.select(F.explode("x").alias("x"), F.array(*map(F.lit, (50, 100, 200))).alias("sizes")).select("x.*", F.explode("sizes").alias("n"))
+    found = significance.mcnemar_power(designs)
+    return found.select("field", "n", *(F.round(c, 9).alias(c) for c in ("power", "power_a", "win", "tie", "lose")))

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions.labels import FEATURES, MARKERS, STOP_WORDS
-from tallyloom.functions.numbers import clopper_pearson, hypergeometric_pmf, micro_mean, mid_p, sign_test, six_places
+from tallyloom.functions.exact import clopper_pearson, hypergeometric_pmf, mid_p, sign_test
+from tallyloom.functions.numbers import micro_mean, six_places
 from tallyloom.functions.text import entities, json_string, lang_bucket, part_tags, pieces, scrub, shuffled_options, trim_ws
 from tallyloom.operators import agreement, audit, labelling, ledger, memo, order
 from tallyloom.plans import corpus_queries
