@@ -75,9 +75,8 @@ def part_tags(parts: Column) -> Column:
 
 def feature_pattern(features: Sequence[str]) -> str:
     """One pattern for whole words or phrases, a plural s allowed, longer ones first."""
-    special = set("\\.^$|?*+()[]{}-")
-    quoted = ["".join("\\" + c if c in special else c for c in f) for f in sorted(features, key=lambda f: (-len(f), f))]
-    return f"(?<![a-z0-9])({'|'.join(quoted)})s?(?![a-z0-9])"
+    listed = sorted(features, key=len, reverse=True)
+    return "(?<=^|[^a-z0-9])(" + "|".join(rf"\Q{f}\E" for f in listed) + ")s?(?=$|[^a-z0-9])"
 
 
 def entities(text: Column, features: Sequence[str]) -> Column:
@@ -115,6 +114,7 @@ def lang_bucket(text: Column, markers: Sequence[str], stop: Sequence[str]) -> Co
 
 def scrub(text: Column, key: str = "") -> Column:
     """A text as it may be saved: a key, if given, and every bearer token taken out."""
+    # Fixed value: the form of a bearer token, which must match.
     kept = F.replace(text, F.lit(key), F.lit("[removed]")) if key else text
     return F.regexp_replace(kept, r"Bearer\s+[A-Za-z0-9._~+/=-]+", "Bearer [removed]")
 

@@ -85,9 +85,9 @@ def needs_review(spark: SparkSession, d: str) -> DataFrame:
 
 
 BROKEN = h("broken", "text_key", 12)
-REASONS = f"""CASE {BROKEN} WHEN 0 THEN 'topic is not one of the allowed labels' WHEN 1 THEN 'intent is not one of the allowed labels' WHEN 2 THEN 'severity is not a whole number from 1 to 5'
-  WHEN 3 THEN 'sentiment is not a finite number from -1 to 1' WHEN 4 THEN 'needs_review is not true or false' WHEN 5 THEN 'entities is not a list of non-blank strings' WHEN 6 THEN 'evidence quote is blank'
-  WHEN 7 THEN 'evidence quote is not an exact piece of the review' WHEN 8 THEN 'label_config is blank' END"""
+REASONS = f"""CASE {BROKEN} WHEN 0 THEN 'no topic of the list' WHEN 1 THEN 'no intent of the list' WHEN 2 THEN 'severity must be 1, 2, 3, 4 or 5'
+  WHEN 3 THEN 'sentiment must lie between -1 and 1' WHEN 4 THEN 'needs_review is missing' WHEN 5 THEN 'an entity is blank' WHEN 6 THEN 'no quote is given'
+  WHEN 7 THEN 'the quote does not stand in the text' WHEN 8 THEN 'no label_config is given' END"""
 
 
 @query(sql(BASE, f"SELECT reason, count(*) AS n FROM (SELECT {REASONS} AS reason FROM rec WHERE trim(review_text, ' ' || chr(9) || chr(10) || chr(13)) <> '') GROUP BY reason"))
