@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyloom.functions.json import json_fault
 from tallyloom.functions.labels import INTENTS, RANKED, TOPICS
 from tallyloom.functions.numbers import fraction
 from tallyloom.functions.text import is_blank
@@ -34,25 +35,8 @@ def once(df: DataFrame, key: str) -> DataFrame:
 
 
 def unique_keys(json_text: Column) -> Column:
-    """Whether no object in a JSON text names a key twice, at any depth.
-
-    Innermost objects are checked and replaced by a number until none is left, ten
-    levels at most; deeper texts count as repeated. Keys are compared as written.
-    """
-    quoted = r'"(?:[^"\\]|\\.)*"'
-    inner = rf'\{{(?:[^{{}}"]|{quoted})*\}}'
-    once = lambda found: F.forall(found, lambda o: F.size(F.array_distinct(_keys(o, quoted))) == F.size(_keys(o, quoted)))
-    state = F.struct(json_text.alias("rest"), F.lit(True).alias("ok"))
-
-    def step(acc: Column, _: Column) -> Column:
-        found = F.regexp_extract_all(acc["rest"], F.lit(inner), F.lit(0))
-        return F.struct(F.regexp_replace(acc["rest"], inner, "0").alias("rest"), (acc["ok"] & once(found)).alias("ok"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(10)), state, step, lambda acc: acc["ok"] & ~F.regexp_replace(acc["rest"], quoted, "").contains("{"))
-
-
-def _keys(json_object: Column, quoted: str) -> Column:
-    return F.regexp_extract_all(json_object, F.lit(rf"({quoted})\s*:"), F.lit(1))
+    """Whether no object in a JSON text names a key twice, at any depth; keys are compared as unescaped."""
+    return ~json_fault(json_text).eqNullSafe("repeated_key")
 
 
 def coded(df: DataFrame, rules: dict[str, Column], detail: str = ID) -> DataFrame:

@@ -7,8 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from tallyloom.operators.audit import unique_keys
+from tallyloom.functions.json import json_fault
 from tallyloom.operators.trace import last_wins
 from tallyloom.session import drop_folder
 
@@ -48,21 +49,36 @@ def scan_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def _strict(lines: DataFrame, schema: str) -> DataFrame:
-    parsed = F.from_json("value", schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "false"})
-    read = lines.filter(F.trim("value") != "").withColumn("row", parsed)
-    ok = F.col("row._corrupt").isNull() & F.trim("value").startswith("{") & unique_keys(F.col("value"))
-    return read.withColumn("line_ok", F.coalesce(ok, F.lit(False)))
+    """Lines with their ``fault`` (null for one strict object that fits the schema) and ``row``."""
+    parsed = F.from_json(F.make_valid_utf8("value"), schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "false"})
+    read = lines.filter(F.trim("value") != "").withColumn("row", parsed).withColumn("fault", json_fault(F.col("value")))
+    return read.withColumn("fault", F.coalesce("fault", F.when(F.col("row._corrupt").isNotNull(), "not_typed")))
 
 
 def scan_jsonl_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON lines with ``line_ok``: a line must be one object that fits, without repeated keys or NaN; bad lines stay, marked."""
-    return _strict(spark.read.text(path), schema).select("line_ok", "row.*").drop("_corrupt")
+    """JSON lines with ``line_ok``: a line must be UTF-8 and one object that fits, at any depth, without
+    repeated keys or NaN; bad lines stay, marked, and name their ``fault``."""
+    read = _strict(spark.read.text(path), schema).withColumn("line_ok", F.col("fault").isNull())
+    return read.select("line_ok", "fault", "row.*").drop("_corrupt")
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` (name), ``line`` (from 1) and ``value`` of the lines of text files of any size.
+
+    A split's lines are numbered where they are read; how many lines the splits of a file
+    before it hold comes from a count a split. No file is read by one task, nothing is sorted.
+    """
+    read = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    blocks = read.groupBy("path", "block").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select("path", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    met = read.join(starts, ["path", "block"])
+    return met.select(F.element_at(F.split("path", "/"), -1).alias("file"), (F.col("start") + F.col("at") - F.col("first") + 1).alias("line"), "value")
 
 
 def bad_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """``file`` and ``line`` (from 1) of lines that ``scan_jsonl_strict`` marks; each file is read as one text, for its line numbers."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n", -1)).alias("at", "value"))
-    return _strict(whole, schema).filter("NOT line_ok").select("file", (F.col("at") + 1).alias("line"))
+    """``file``, ``line`` (from 1) and ``fault`` of lines that ``scan_jsonl_strict`` marks."""
+    return _strict(numbered_lines(spark, path), schema).filter("fault IS NOT NULL").select("file", "line", "fault")
 
 
 def scan_layouts(spark: SparkSession, paths: Sequence[str], key: str, fields: Sequence[str]) -> DataFrame:
