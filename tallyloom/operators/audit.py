@@ -12,7 +12,9 @@ from tallyloom.functions.json import json_fault
 from tallyloom.functions.labels import INTENTS, RANKED, TOPICS
 from tallyloom.functions.numbers import fraction
 from tallyloom.functions.text import is_blank
+from tallyloom.operators import ranking
 from tallyloom.operators.corpus import EMPTY_REASON
+from tallyloom.session import settled
 
 ID = "review_id"
 
@@ -254,3 +256,48 @@ def flags(violations: DataFrame, examples: int = 10) -> DataFrame:
     first = listed.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= examples)
     shown = first.groupBy("code").agg(F.concat_ws(",", F.sort_array(F.collect_list("detail"))).alias("examples"))
     return listed.groupBy("code").agg(F.sum("n").alias("n")).join(shown, "code").select("code", "n", "examples")
+
+
+def usage_violations(calls: DataFrame) -> DataFrame:
+    """Token counts (as written) that are no whole numbers from 0, one for each of the two."""
+    fields = F.array(*(F.struct(F.lit(f).alias("field"), F.coalesce(F.col(f).rlike("^[0-9]+$"), F.lit(False)).alias("fine")) for f in ("input_tokens", "output_tokens")))
+    bad = calls.select("request_id", F.explode(fields).alias("x")).filter("NOT x.fine")
+    return flagged(bad, "invalid_usage", F.concat_ws(":", "request_id", "x.field"))
+
+
+def export_violations(tables: dict[str, DataFrame], source: DataFrame, *, roles: tuple[str, ...] = ("enrich", "verify", "group", "memo"), outcomes: tuple[str, ...] = ("succeeded", "failed")) -> DataFrame:
+    """All that is wrong with the tables of an export folder, recounted from ``source`` (``review_id``, ``source_sha256``, ``review_text``).
+
+    Rankings, claims, memberships and snapshots are held against valid records alone: a record
+    that breaks a rule counts nowhere else. A call that names an unknown record, or does not
+    say which it covers, is no evidence.
+    """
+    said = tables["records"].join(source.select(ID, F.sha2("review_text", 256).alias("true_key")), ID, "left")
+    typed = {"severity": F.col("severity").try_cast("int"), "sentiment": F.col("sentiment").try_cast("double"), "source_sha256": F.coalesce("source_sha256", "text_key"), "text_key": F.col("true_key")}
+    records = settled(said.withColumns(typed).drop("true_key"))
+    states = settled(record_states(records, source))
+    finished = states.filter("state = 'completed'").select(ID, "cached")
+    valid = settled(records.join(finished, ID))
+    members, calls = tables["membership"], tables["calls"]
+    recounted = ranking.rank(ranking.tally(ranking.membership(valid), valid))
+    before, after = tables["checkpoint_before"].select(ID), tables["checkpoint_after"].select(ID)
+    covers = F.coalesce("review_ids", F.array(F.lit(None).cast("string")))  # one unknown record where a call does not say
+    named = calls.select("request_id", F.explode(covers).alias(ID))
+    astray = named.join(source, ID, "left_anti").select("request_id").distinct()
+    evidence = calls.filter("review_ids IS NOT NULL").join(astray, "request_id", "left_anti")
+    names = calls.filter(is_blank(F.coalesce("request_id", F.lit("")))), repeated(calls.filter("request_id IS NOT NULL"), "request_id")
+    shown = F.coalesce("request_id", F.lit("none"))
+    parts = [
+        record_violations(records, source),
+        membership_violations(members, valid),
+        ranking_violations(tables["ranking"], recounted).withColumn("code", F.regexp_replace("code", "^ranking_missing$", "ranking_mismatch")),
+        claim_violations(tables["claims"], ranking.claims(recounted)),
+        checkpoint_violations(before, after, finished.select(ID)),
+        evidence_violations(evidence, valid.select(ID, "label_config", "cached"), before, after, roles),
+        *(flagged(bad, "invalid_request_id", shown) for bad in names),
+        flagged(calls.filter(~F.coalesce(F.col("role").isin(*roles), F.lit(False))), "invalid_call_role", shown),
+        flagged(calls.filter(~F.coalesce(F.col("outcome").isin(*outcomes), F.lit(False))), "invalid_call_outcome", shown),
+        flagged(astray, "invalid_call_ids", shown),
+        usage_violations(calls),
+    ]
+    return reduce(DataFrame.unionByName, parts)

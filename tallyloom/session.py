@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Defaults that hold at any size; a cluster's own settings take precedence.
 DEFAULTS = {
@@ -46,6 +46,12 @@ def shared_dir(spark: SparkSession) -> str:
     return where or os.path.dirname(current.get())
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared folder, where lost executors do not matter."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Deletes a folder of intermediate files, wherever it is."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

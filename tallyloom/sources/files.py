@@ -48,7 +48,7 @@ def scan_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def _strict(lines: DataFrame, schema: str) -> DataFrame:
+def strict_lines(lines: DataFrame, schema: str) -> DataFrame:
     """Lines with their ``fault`` (null for one strict object that fits the schema) and ``row``."""
     parsed = F.from_json(F.make_valid_utf8("value"), schema + ", _corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "allowNonNumericNumbers": "false"})
     read = lines.filter(F.trim("value") != "").withColumn("row", parsed).withColumn("fault", json_fault(F.col("value")))
@@ -58,7 +58,7 @@ def _strict(lines: DataFrame, schema: str) -> DataFrame:
 def scan_jsonl_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines with ``line_ok``: a line must be UTF-8 and one object that fits, at any depth, without
     repeated keys or NaN; bad lines stay, marked, and name their ``fault``."""
-    read = _strict(spark.read.text(path), schema).withColumn("line_ok", F.col("fault").isNull())
+    read = strict_lines(spark.read.text(path), schema).withColumn("line_ok", F.col("fault").isNull())
     return read.select("line_ok", "fault", "row.*").drop("_corrupt")
 
 
@@ -78,7 +78,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def bad_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """``file``, ``line`` (from 1) and ``fault`` of lines that ``scan_jsonl_strict`` marks."""
-    return _strict(numbered_lines(spark, path), schema).filter("fault IS NOT NULL").select("file", "line", "fault")
+    return strict_lines(numbered_lines(spark, path), schema).filter("fault IS NOT NULL").select("file", "line", "fault")
 
 
 def scan_layouts(spark: SparkSession, paths: Sequence[str], key: str, fields: Sequence[str]) -> DataFrame:
