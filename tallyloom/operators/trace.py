@@ -10,15 +10,14 @@ def trace(records: DataFrame, members: DataFrame, ranking: DataFrame, calls: Dat
     """One row about one record: source and labels, the second labeler's, issue and rank, the issue's claims,
     the calls that name it or its original, and the memos that cite it.
 
-    The id filters every table before anything is exploded or joined, so what is joined is a few rows.
+    The id filters every table before anything is exploded or joined, so what is joined is a few rows. An unknown id gives no row.
     """
     is_it = F.col("review_id") == review_id
     one = records.filter(is_it).select("review_id", "source", "topic", "intent", "severity", F.coalesce("cache_source_id", "review_id").alias("__source"))
     second = verified.filter(is_it).select("review_id", F.col("topic").alias("verify_topic"), F.col("intent").alias("verify_intent"))
     issue = members.filter(is_it).join(F.broadcast(ranking.select("issue_id", "rank")), "issue_id", "left")
     said = claims.join(F.broadcast(issue.select("issue_id")), "issue_id").agg(F.sort_array(F.collect_list("claim_id")).alias("claims"))
-    source = one.first()["__source"]
-    used = calls.filter(F.array_contains("review_ids", source)).agg(F.sort_array(F.collect_set("request_id")).alias("requests"))
+    used = calls.join(F.broadcast(one.select("__source")), F.array_contains("review_ids", F.col("__source"))).agg(F.sort_array(F.collect_set("request_id")).alias("requests"))
     cited = memos.filter(F.contains("memo", F.lit(f"[review:{review_id}]"))).agg(F.sort_array(F.collect_list("memo_id")).alias("memos"))
     met = one.drop("__source").join(second, "review_id", "left").join(issue, "review_id", "left")
     return met.crossJoin(said).crossJoin(used).crossJoin(cited)

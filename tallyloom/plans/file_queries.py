@@ -205,11 +205,11 @@ def memo_check(spark: SparkSession, d: str) -> DataFrame:
     return memo.memo_violations(spark.createDataFrame(text, "memo_id int, memo string"), claims, first_issue=one["issue_id"], issues=order_, evidence=cited_ids, facts=facts)
 
 
-@query(sql((REV,), "SELECT review_id, [CAST(n_chars AS DECIMAL(30,6)), CAST(1234567 AS DECIMAL(30,6)), CAST(2.5 AS DECIMAL(30,6))] AS numbers FROM rev"))
+@query(sql((REV,), "SELECT review_id, [CAST(CAST(n_chars AS DECIMAL(30,6)) AS VARCHAR), '1234567.000000', '2.500000'] AS numbers FROM rev"))
 def memo_numbers(spark: SparkSession, d: str) -> DataFrame:
     """Numbers that a sentence states itself, without those of citations, ranks, quotes and list items."""
     said = F.concat(F.lit("3. Of "), F.col("n_chars").cast("string"), F.lit(' (rank 2, [CL-004], "40 of 50") 1,234,567 at 2.5 and v1.2 in [review:8]'))
-    return reviews(spark, d).select("review_id", memo.numbers(said).alias("numbers"))
+    return reviews(spark, d).select("review_id", F.transform(memo.numbers(said), lambda x: x.cast("string")).alias("numbers"))
 
 
 @query(sql((REV,), "SELECT review_id, 'Fix ' || lang || chr(10) || 'now' AS recommendation, CAST(NULL AS VARCHAR) AS limits FROM rev"))
