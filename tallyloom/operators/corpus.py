@@ -85,6 +85,21 @@ def rows_digest(df: DataFrame, key: Column) -> DataFrame:
     return df.agg(F.count("*").alias("records"), F.sum(part).cast("string").alias("digest"))
 
 
+def tree_digest(df: DataFrame, place: str, digest: str, width: int = 1024, levels: int = 4) -> DataFrame:
+    """One digest of all rows in their order: ``records`` and ``digest``, null without rows.
+
+    ``place`` numbers the rows from 0. SHA-256 of the joined hex digests of ``width``
+    neighbours makes one of the level above, ``levels`` times (10^12 rows by default), so
+    no task reads more than its own ranges and a change of any row, or of the order of any
+    two that differ, changes the root. A null digest counts as an empty one.
+    """
+    tree = df.select(F.col(place).cast("long").alias("p"), F.coalesce(digest, F.lit("")).alias("d"), F.lit(1).cast("long").alias("n"))
+    for _ in range(levels):
+        nodes = tree.groupBy(F.floor(F.col("p") / width).alias("p")).agg(F.array_sort(F.collect_list(F.struct("p", "d"))).alias("m"), F.sum("n").alias("n"))
+        tree = nodes.select("p", F.sha2(F.array_join("m.d", ""), 256).alias("d"), "n")
+    return tree.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("records"), F.min("d").alias("digest"))
+
+
 def first_seen(df: DataFrame, key: str, order: str) -> DataFrame:
     """Of rows that share a key, the first by ``order``: a partial minimum, so a key with many rows is no group in one task."""
     others = [c for c in df.columns if c not in (key, order)]

@@ -131,6 +131,26 @@ def stops(calls: DataFrame, *, most_us: int, most: int, cap_pico: int, rate_in:
     return found.groupBy(part).agg(F.min(F.struct("ts", "reason")).alias("m")).select(part, "m.reason", "m.ts")
 
 
+def session_ends(calls: DataFrame, *, breaker: int, item: str, part: str = "session", **limits: int) -> DataFrame:
+    """How and when each ``part`` ends: the first of the conditions of ``stops``, of ``interrupted`` (a row marked so) and of
+    ``breaker`` (that many failures since the last success); where none came, at its last row as ``stuck`` (an ``item``
+    whose last outcome is a failure) or ``finished``. Ties of a moment go by reason.
+    """
+    hour, order_ = F.date_trunc("hour", F.col("ts")), ["ts", "request_id"]
+    failed = running(calls, part, hour, order_, (F.col("outcome") == "failed").cast("long"), "__f")
+    since = running(failed, part, hour, order_, F.when(F.col("outcome") == "succeeded", F.col("__f")), "__s", largest=True)
+    broken = since.filter(F.col("__f") - F.coalesce("__s", F.lit(0)) >= breaker).select(part, F.lit("breaker").alias("reason"), "ts")
+    halted = calls.filter("interrupted").select(part, F.lit("interrupted").alias("reason"), "ts")
+    found = stops(calls, part=part, **limits).unionByName(broken).unionByName(halted)
+    first = found.groupBy(part).agg(F.min(F.struct("ts", "reason")).alias("m"))
+    settled = calls.filter("outcome IN ('succeeded', 'failed')").groupBy(part, item).agg(F.max_by("outcome", F.struct(*order_)).alias("last"))
+    stuck = settled.groupBy(part).agg(F.count_if(F.col("last") == "failed").alias("stuck"))
+    ends = calls.groupBy(part).agg(F.max("ts").alias("end"), F.count("*").alias("calls"))
+    met = ends.join(first, part, "left").join(stuck, part, "left").withColumn("stuck", F.coalesce("stuck", F.lit(0)))
+    quiet = F.when(F.col("stuck") > 0, "stuck").otherwise("finished")
+    return met.select(part, F.coalesce("m.reason", quiet).alias("reason"), F.coalesce("m.ts", "end").alias("ts"), "stuck")
+
+
 def cheapest(trials: DataFrame) -> DataFrame:
     """Of the models that passed in all their trials, the one of the least cost, ties by name."""
     models = trials.groupBy("model").agg(F.bool_and("passed").alias("passed"), F.sum("cost").alias("cost"))

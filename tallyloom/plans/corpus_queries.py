@@ -435,6 +435,27 @@ def stop_conditions(spark: SparkSession, d: str) -> DataFrame:
     return ledger.stops(fatal, most_us=36_000_000_000, most=35, cap_pico=600_000_000, rate_in=42_000, longest_us=9_000_000_000)
 
 
+#: A session is a user's day here, so that some end by each condition.
+ENDS = """c AS (SELECT user_id || '/' || CAST(session AS VARCHAR) AS session, request_id, ts, outcome, reserved_tokens, event_type = 'error' AND request_id % 40 = 3 AS fatal, request_id % 61 = 5 AS interrupted, request_id % 7 AS item FROM calls),
+  n AS (SELECT *, row_number() OVER w AS n, sum(reserved_tokens * 42000) OVER w AS spent, epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY session) AS us, count(*) FILTER (outcome = 'failed') OVER w AS f FROM c WINDOW w AS (PARTITION BY session ORDER BY ts, request_id)),
+  b AS (SELECT *, f - coalesce(max(CASE WHEN outcome = 'succeeded' THEN f END) OVER (PARTITION BY session ORDER BY ts, request_id ROWS UNBOUNDED PRECEDING), 0) AS since FROM n),
+  g AS (SELECT session, ts, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY session ORDER BY ts, request_id) AS gap FROM c WHERE outcome = 'succeeded'),
+  f AS (SELECT session, ts, 'cap' AS reason FROM b WHERE spent > 130000000 UNION ALL SELECT session, ts, 'count' FROM b WHERE n >= 6 UNION ALL SELECT session, ts, 'fatal' FROM b WHERE fatal UNION ALL SELECT session, ts, 'time' FROM b WHERE us > 72000000000 UNION ALL SELECT session, ts, 'outage' FROM g WHERE gap > 60000000000
+    UNION ALL SELECT session, ts, 'interrupted' FROM b WHERE interrupted UNION ALL SELECT session, ts, 'breaker' FROM b WHERE since >= 2),
+  first AS (SELECT session, arg_min(reason, (ts, reason)) AS reason, min(ts) AS ts FROM f GROUP BY session),
+  last AS (SELECT session, count(*) FILTER (outcome = 'failed') AS stuck FROM (SELECT session, arg_max(outcome, (ts, request_id)) AS outcome FROM c WHERE outcome <> 'pending' GROUP BY session, item) GROUP BY session),
+  e AS (SELECT session, max(ts) AS ended FROM c GROUP BY session)"""
+
+
+@query(sql((CALLS, ENDS), "SELECT session, coalesce(reason, CASE WHEN coalesce(stuck, 0) > 0 THEN 'stuck' ELSE 'finished' END) AS reason, coalesce(ts, ended) AS ts, coalesce(stuck, 0) AS stuck FROM e LEFT JOIN first USING (session) LEFT JOIN last USING (session)"))
+def session_ends(spark: SparkSession, d: str) -> DataFrame:
+    """How each session ends: all nine ways, finished and stuck among them."""
+    c = calls(spark, d)
+    n = F.col("request_id")
+    marked = c.withColumns({"session": F.concat_ws("/", "user_id", "session"), "fatal": (F.col("event_type") == "error") & (n % 40 == 3), "interrupted": n % 61 == 5, "item": n % 7})
+    return ledger.session_ends(marked, breaker=2, item="item", most_us=72_000_000_000, most=6, cap_pico=130_000_000, rate_in=42_000, longest_us=60_000_000_000)
+
+
 TRIES = "t AS (SELECT text_key FROM rev JOIN (SELECT review_ids[1] AS review_id FROM calls WHERE outcome = 'failed') USING (review_id) GROUP BY text_key HAVING count(*) >= 2)"
 
 

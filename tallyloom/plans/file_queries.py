@@ -152,12 +152,59 @@ def scan_layouts(spark: SparkSession, d: str) -> DataFrame:
     return files.scan_layouts(spark, [f"{path}/1", f"{path}/2"], "review_id", ("source", "layout"))
 
 
-@query()
+#: Texts by source and thousand of ids: a file each, so no file grows with its source.
+LINES = "f AS (SELECT coalesce(source, 'none') AS source, doc_id // 1000 AS block, doc_id, {bad} AS changed, review_id || ' ' || text_key || chr(10) AS line FROM rev)"
+NAMED = "'source=' || source || '/block=' || block AS file"
+LOST, MOVED = h("lost", "review_id", 60) + " = 0", h("moved", "source", 6) + " = 0"
+FAULTS = f"k AS (SELECT source, block, bool_or(changed) AS changed FROM f GROUP BY source, block), m AS (SELECT *, {MOVED} AS moved FROM k)"
+
+
+def write_blocks(spark: SparkSession, d: str, path: str, lost: bool) -> None:
+    """A file for each source and thousand of ids, lines in order of id; ``lost`` changes some lines and moves some sources."""
+    source = F.coalesce("source", F.lit("none"))
+    key = F.when((hash_mod("lost", F.col("review_id"), 60) == 0) & F.lit(lost), "").otherwise(F.col("text_key"))
+    moved = F.when((hash_mod("moved", source, 6) == 0) & F.lit(lost), F.concat(source, F.lit("-moved"))).otherwise(source)
+    lines = reviews(spark, d).select(moved.alias("source"), F.floor(F.col("doc_id") / 1000).alias("block"), "doc_id", F.concat_ws(" ", "review_id", key).alias("value"))
+    dealt = lines.repartition("source", "block").sortWithinPartitions("source", "block", "doc_id").drop("doc_id")
+    dealt.write.partitionBy("source", "block").text(path)
+
+
+@query(sql((REV, LINES.format(bad="false")), f"SELECT {NAMED}, sha256(string_agg(line, '' ORDER BY doc_id)) AS sha256, CAST(sum(strlen(line)) AS BIGINT) AS length FROM f GROUP BY source, block"))
 def manifest(spark: SparkSession, d: str) -> DataFrame:
-    """Hash and length of each file of an exported run."""
-    path = folder(spark, "run")
-    export.export_run(spark, path, run_tables(spark, d))
-    return files.file_hashes(spark, f"{path}/*/part-*").select("file", "sha256", "length")
+    """A manifest of files (SHA-256 of their bytes, length), written and read back."""
+    path = folder(spark, "blocks")
+    write_blocks(spark, d, f"{path}/files", lost=False)
+    files.write_manifest(spark, f"{path}/files", f"{path}/manifest")
+    said = files.scan_jsonl(spark, f"{path}/manifest", "file string, sha256 string, length long")
+    return said.select(F.regexp_replace("file", "/[^/]*$", "").alias("file"), "sha256", "length")
+
+
+@query(sql((REV, LINES.format(bad=LOST), FAULTS), f"SELECT {NAMED}, CASE WHEN moved THEN 'missing' ELSE 'changed' END AS fault FROM m WHERE changed OR moved UNION ALL SELECT 'source=' || source || '-moved/block=' || block, 'unlisted' FROM m WHERE moved"))
+def manifest_check(spark: SparkSession, d: str) -> DataFrame:
+    """Files that are not what a manifest says: after it was written some lines were changed and some files moved."""
+    path = folder(spark, "blocks")
+    for name, lost in (("before", False), ("after", True)):
+        write_blocks(spark, d, f"{path}/{name}", lost)
+    hashes = files.file_hashes(spark, f"{path}/before", f"{path}/before").withColumn("file", F.regexp_replace("file", "/[^/]*$", ""))
+    files.write_jsonl(hashes, f"{path}/manifest")
+    return files.manifest_faults(spark, f"{path}/after", f"{path}/manifest", F.regexp_replace("file", "/[^/]*$", ""))
+
+
+def tree_sql(levels: int) -> str:
+    step = lambda i: f"t{i + 1} AS (SELECT p // 1024 AS p, sha256(string_agg(d, '' ORDER BY p)) AS d, CAST(sum(n) AS BIGINT) AS n FROM t{i} GROUP BY 1)"
+    return ", ".join(step(i) for i in range(levels))
+
+
+LEAVES = "t0 AS (SELECT row_number() OVER (ORDER BY doc_id, text_key) - 1 AS p, sha256(review_id || ' ' || text_key || ' ' || coalesce(source, '')) AS d, 1 AS n FROM rev)"
+
+
+@query(sql((REV, LEAVES, tree_sql(4)), "SELECT n AS records, d AS digest FROM t4"))
+def ordered_digest(spark: SparkSession, d: str) -> DataFrame:
+    """A digest of a table's rows in file order: a tree of hashes over the lines of its files."""
+    path = folder(spark, "ordered")
+    line = F.concat_ws(" ", "review_id", "text_key", F.coalesce("source", F.lit("")))
+    reviews(spark, d).select("doc_id", "text_key", line.alias("value")).orderBy("doc_id", "text_key").select("value").write.text(path)
+    return files.lines_digest(spark, path)
 
 
 RULES_SQL = f"{rules_sql(TOPIC_RULES, 'other')} AS topic, {rules_sql(INTENT_RULES, 'unclear')} AS intent"

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import hash_mod
-from tallyloom.operators import agreement, ledger, trace
+from tallyloom.operators import agreement, ledger, pacing, trace
 from tallyloom.plans import base
 from tallyloom.plans.base import BASE, CALLS, REV, calls, h, records, reviews, sql, table
 from tallyloom.plans.registry import query
@@ -172,6 +172,38 @@ def paced(spark: SparkSession, d: str) -> DataFrame:
     return ledger.paced(c, "user_id", "us", 1_000_000).select("request_id", "us", "slot")
 
 
+def micro(rate: Column) -> Column:
+    """Millionths, half up."""
+    return F.floor(rate * F.lit(1e6) + 0.5)
+
+
+LIMITS = {"ceiling": 2.0, "recover": 0.02, "tokens_per_second": 1000}
+#: Times are a thousandth of the events', so that requests come close enough together to wait.
+TIMED = "e AS (SELECT request_id, event_type, epoch_us(ts) // 1000 AS us, reserved_tokens, outcome FROM calls), slow AS (SELECT DISTINCT event_type, us FROM e WHERE outcome = 'failed')"
+HALVED = """later AS (SELECT s.event_type, s.us, (SELECT min(n.us) FROM slow n WHERE n.event_type = s.event_type AND n.us >= s.us + 10000000) AS next_us FROM slow s),
+  p AS (SELECT event_type, min(us) AS us, CAST(1.0 AS DOUBLE) AS rate FROM slow GROUP BY event_type
+    UNION ALL SELECT l.event_type, l.next_us, greatest(CAST(1.0 AS DOUBLE), least(CAST(2.0 AS DOUBLE), p.rate + CAST(0.02 AS DOUBLE) * (CAST(l.next_us - l.us AS DOUBLE) / CAST(1e6 AS DOUBLE))) / 2) FROM p JOIN later l ON l.event_type = p.event_type AND l.us = p.us WHERE l.next_us IS NOT NULL)"""
+SLOTS = """q AS (SELECT e.request_id, e.event_type, e.us, e.reserved_tokens, coalesce(least(CAST(2.0 AS DOUBLE), p.rate + CAST(0.02 AS DOUBLE) * (CAST(e.us - p.us AS DOUBLE) / CAST(1e6 AS DOUBLE))), CAST(2.0 AS DOUBLE)) AS rate FROM e ASOF LEFT JOIN p ON e.event_type = p.event_type AND e.us >= p.us),
+  w AS (SELECT *, greatest(CAST(floor(CAST(1e6 AS DOUBLE) / rate + 0.5) AS BIGINT), reserved_tokens * 1000) AS gap FROM q),
+  g AS (SELECT *, coalesce(sum(gap) OVER (PARTITION BY event_type ORDER BY us, request_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM w)"""
+
+
+@query(sql((f"RECURSIVE {CALLS}", TIMED, HALVED, SLOTS), "SELECT request_id, us, CAST(floor(rate * CAST(1e6 AS DOUBLE) + 0.5) AS BIGINT) AS micro_rate, CAST(max(us - g) OVER (PARTITION BY event_type ORDER BY us, request_id ROWS UNBOUNDED PRECEDING) + g AS BIGINT) AS slot FROM g"))
+def limiter(spark: SparkSession, d: str) -> DataFrame:
+    """When a limiter lets each request of a kind go: even pace, halved by failed calls at most once in ten seconds, recovering."""
+    c = calls(spark, d).select("request_id", "event_type", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000).alias("us"), "reserved_tokens", "outcome")
+    slow = c.filter("outcome = 'failed'").select("event_type", "us")
+    found = pacing.limited(c.drop("outcome"), slow, "event_type", "us", "reserved_tokens", **LIMITS)
+    return found.select("request_id", "us", micro(F.col("rate")).alias("micro_rate"), "slot")
+
+
+@query(sql((f"RECURSIVE {CALLS}", TIMED, HALVED), "SELECT event_type, us, CAST(floor(rate * CAST(1e6 AS DOUBLE) + 0.5) AS BIGINT) AS micro_rate FROM p"))
+def limiter_halvings(spark: SparkSession, d: str) -> DataFrame:
+    """When the rate of each kind of call halves, and to what."""
+    slow = calls(spark, d).filter("outcome = 'failed'").select("event_type", F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000).alias("us"))
+    return pacing.halvings(slow, "event_type", "us", ceiling=2.0, recover=0.02).select("event_type", "us", micro(F.col("rate")).alias("micro_rate"))
+
+
 DAYS = "t AS (SELECT session, count(*) AS n, sum(coalesce(input_tokens, 0)) AS k FROM calls GROUP BY session), r AS (SELECT session, sum(n) OVER w AS running_n, sum(k) OVER w AS running_k FROM t WINDOW w AS (ORDER BY session ROWS UNBOUNDED PRECEDING))"
 
 

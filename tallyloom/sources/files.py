@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+import re
+from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import urlparse
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tallyloom.functions.json import json_fault
+from tallyloom.operators.corpus import tree_digest
 from tallyloom.operators.trace import last_wins
 from tallyloom.session import drop_folder
+from tallyloom.sources import stores
 
 
 def scan_csv(spark: SparkSession, path: str, fields: Sequence[str], key: str | None = None) -> DataFrame:
@@ -99,9 +105,64 @@ def scan_needle(spark: SparkSession, path: str, needle: str, schema: str) -> Dat
     return spark.read.text(path).filter(F.contains("value", F.lit(needle))).select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
-def file_hashes(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 and length of each file."""
-    return spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.sha2("content", 256).alias("sha256"), "length")
+def placed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``place`` (from 0, over files by name and then lines) and ``value`` of the lines of text files of any size."""
+    lines = numbered_lines(spark, path)
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # a row a file
+    sizes = lines.groupBy("file").agg(F.count("*").alias("n"))
+    starts = sizes.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return lines.join(starts, "file").select((F.col("start") + F.col("line") - 1).alias("place"), "value")
+
+
+def lines_digest(spark: SparkSession, path: str) -> DataFrame:
+    """``records`` and ``digest`` of all lines of text files in file order."""
+    return tree_digest(placed_lines(spark, path).withColumn("d", F.sha2("value", 256)), "place", "d")
+
+
+def file_hashes(spark: SparkSession, path: str, within: str | None = None, block: int = 1 << 20) -> DataFrame:
+    """``file``, ``sha256`` and ``length`` of each file under ``path``, read in blocks of a megabyte, so of any size.
+
+    Spark lists the files; each is streamed by one task (SHA-256 has no other order) that
+    holds one block. Files are named by their path below ``within``, or by their last part.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    name = F.element_at(F.split("path", "/"), -1) if within is None else F.regexp_replace("path", "^.*?" + re.escape(urlparse(within).path.strip("/")) + "/", "")
+    if stores.scheme_of(spark, path) not in stores.STREAMED:  # read whole: up to Spark's 2 GB a value
+        return listed.select(name.alias("file"), F.sha2("content", 256).alias("sha256"), "length")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for uri in batch.column("path").to_pylist():
+                store, inner = stores.opened(uri)
+                digest = hashlib.sha256()
+                with store.open_input_stream(inner, compression=None) as stream:
+                    while piece := stream.read(block):
+                        digest.update(piece)
+                out.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(out, pa.string())], ["path", "length", "sha256"])
+
+    spread = listed.select("path", "length").repartition("path")
+    return spread.mapInArrow(hashed, "path string, length long, sha256 string").select(name.alias("file"), "sha256", "length")
+
+
+def write_manifest(spark: SparkSession, folder: str, to: str) -> None:
+    """Writes the hashes of all files of a folder, as JSON lines in the order of their names, to a folder beside it.
+
+    Marks that writers leave (names that start with ``_`` or ``.``) are no part of it.
+    """
+    write_jsonl(file_hashes(spark, folder, folder).orderBy("file"), to)
+
+
+def manifest_faults(spark: SparkSession, folder: str, manifest: str, name: Column | None = None) -> DataFrame:
+    """``file`` and ``fault`` where a folder is not what its manifest says: ``missing``, ``unlisted`` or ``changed``.
+
+    ``name`` makes the manifest's name of ``file``; without it they are the same.
+    """
+    said = scan_jsonl(spark, manifest, "file string, sha256 string, length long").select("file", F.struct("sha256", "length").alias("said"))
+    found = file_hashes(spark, folder, folder).select((F.col("file") if name is None else name).alias("file"), F.struct("sha256", "length").alias("found"))
+    fault = F.when(F.col("found").isNull(), "missing").when(F.col("said").isNull(), "unlisted").when(F.col("said") != F.col("found"), "changed")
+    return said.join(found, "file", "full").select("file", fault.alias("fault")).filter("fault IS NOT NULL")
 
 
 def write_jsonl(df: DataFrame, path: str, compressed: bool = False) -> None:

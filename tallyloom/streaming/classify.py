@@ -7,28 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+STORE, ROCKS = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def classify_stream(spark: SparkSession, source: str, schema: str, label: Callable[[DataFrame], DataFrame], out: str, checkpoint: str, files_per_batch: int = 4) -> DataFrame:
     """Labels the texts of all Parquet files in ``source`` and returns the labels so far.
 
-    Each micro-batch takes up to ``files_per_batch`` files, drops texts repeated in it
-    or already labelled (an anti join on ``text_key``), and writes its labels into a
-    folder of its own number, so a batch that runs again after a failure replaces its
-    own output. The query ends when the source is read; another call goes on from its
-    checkpoint.
+    Which texts came before is keyed state (RocksDB, on ``text_key``): a micro-batch of up
+    to ``files_per_batch`` files costs what it brings, however much was labelled earlier,
+    and no earlier output is read. Labels go into a folder of the batch's number. A batch
+    that runs again after a failure starts from the state of the batch before it, so it
+    brings the same texts and replaces its own output. The query ends when the source is
+    read; another call goes on from its checkpoint, whose number of state partitions stays
+    as at the start. A null ``text_key`` is a key. Without any file there are no labels.
     """
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-
-    def write(batch: DataFrame, number: int) -> None:
-        fresh = batch.dropDuplicates(["text_key"])
-        try:
-            done = spark.read.parquet(out).filter(F.col("batch") != number).select("text_key")
-            fresh = fresh.join(done, "text_key", "left_anti")
-        except Exception as error:  # nothing was written yet
-            if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-                raise
-        label(fresh).write.mode("overwrite").parquet(f"{out}/batch={number}")
-
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.read.parquet(out)
+    before = spark.conf.get(STORE)
+    spark.conf.set(STORE, ROCKS)
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+
+        def write(batch: DataFrame, number: int) -> None:
+            label(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+        fresh = stream.dropDuplicates(["text_key"])
+        query = fresh.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(STORE, before)
+    labelled = label(spark.createDataFrame([], schema))
+    return spark.read.schema(labelled.withColumn("batch", F.lit(0)).schema).option("basePath", out).parquet(out) if exists(spark, out) else labelled.withColumn("batch", F.lit(0))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
