@@ -124,6 +124,7 @@ def file_hashes(spark: SparkSession, path: str, within: str | None = None, block
 
     Spark lists the files; each is streamed by one task (SHA-256 has no other order) that
     holds one block. Files are named by their path below ``within``, or by their last part.
+    Spark's listing leaves out empty files, and so does this.
     """
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.element_at(F.split("path", "/"), -1) if within is None else F.regexp_replace("path", "^.*?" + re.escape(urlparse(within).path.strip("/")) + "/", "")

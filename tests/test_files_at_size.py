@@ -49,7 +49,8 @@ def test_digest_of_lines_sees_two_rows_swapped(spark, tmp_path):
 def test_manifest_by_blocks(spark, tmp_path):
     folder, said = tmp_path / "run", str(tmp_path / "manifest")
     (folder / "deep" / "er").mkdir(parents=True)
-    contents = {"a.bin": random.Random(1).randbytes(3_000_001), "deep/b c.txt": b"", "deep/er/c.gz": b"\x1f\x8bno gzip"}
+    contents = {"a.bin": random.Random(1).randbytes(3_000_001), "deep/b c.txt": b"x", "deep/er/c.gz": b"\x1f\x8bno gzip"}
+    (folder / "empty").write_bytes(b"")  # not listed
     for name, content in contents.items():
         (folder / name).write_bytes(content)
     hashes = {r["file"]: (r["sha256"], r["length"]) for r in files.file_hashes(spark, str(folder), str(folder), block=1 << 16).collect()}
