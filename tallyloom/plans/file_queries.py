@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+import zipfile
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from tallyloom.plans.base import BASE, RANKED, REV, calls, h, reviews, sql, tabl
 from tallyloom.plans.label_queries import ranked, rules_sql, with_issues
 from tallyloom.plans.registry import query
 from tallyloom.session import shared_dir
-from tallyloom.sources import files
+from tallyloom.sources import files, stores, zips
 from tallyloom.streaming.classify import classify_stream
 
 
@@ -207,6 +209,34 @@ def ordered_digest(spark: SparkSession, d: str) -> DataFrame:
     return files.lines_digest(spark, path)
 
 
+def write_zips(rows: DataFrame, path: str) -> None:
+    """A zip file for each thousand ids, made where its rows are, with a CSV member for each source."""
+
+    target = stores.qualified(rows.sparkSession, path)
+
+    def write(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
+        store, inner = stores.opened(f"{target}/{key[0]}.zip")
+        store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+        with store.open_output_stream(inner, compression=None) as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+            for source, part in found.sort_values("doc_id").groupby("source"):
+                archive.writestr(f"reviews/{source}.csv", part[["at", "id", "body"]].to_csv(index=False, lineterminator="\n"))
+        return found[[]].head(0)
+
+    rows.groupBy(F.floor(F.col("doc_id") / 1000)).applyInPandas(write, "").write.format("noop").mode("overwrite").save()
+
+
+DAY = "strftime(DATE '2024-01-01' + CAST(doc_id % 60 AS INTEGER), '%Y-%m-%d') || 'T08:00'"
+
+
+@query(sql((REV,), f"SELECT review_id, review_text, {DAY} AS ts FROM rev WHERE {DAY} >= '2024-01-15' AND {DAY} < '2024-02-20'"))
+def scan_zip(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of the CSV members of zip files, renamed, within a window of dates that the reader applies."""
+    path = folder(spark, "zips")
+    day = F.concat(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 60).cast("int")), "yyyy-MM-dd"), F.lit("T08:00"))
+    write_zips(reviews(spark, d).select("doc_id", F.coalesce("source", F.lit("none")).alias("source"), day.alias("at"), F.col("review_id").alias("id"), F.col("review_text").alias("body")), path)
+    return zips.scan_zip(spark, path, {"id": "review_id", "body": "review_text", "at": "ts"}, date="at", start="2024-01-15", end="2024-02-20")
+
+
 RULES_SQL = f"{rules_sql(TOPIC_RULES, 'other')} AS topic, {rules_sql(INTENT_RULES, 'unclear')} AS intent"
 LABELLED = f"SELECT *, CASE WHEN intent IN ('unclear', 'praise', 'request') THEN 1 ELSE 3 END AS severity, CASE WHEN intent = 'praise' THEN 0.5 WHEN intent IN ('unclear', 'request') THEN 0.0 ELSE -0.5 END::DOUBLE AS sentiment FROM (SELECT DISTINCT text_key, {RULES_SQL} FROM rev)"
 

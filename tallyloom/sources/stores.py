@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from urllib.parse import urlparse
 
 from pyarrow import fs
@@ -17,11 +16,17 @@ def scheme_of(spark: SparkSession, path: str) -> str:
     return urlparse(path).scheme or urlparse(spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")).scheme
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its scheme and authority, as ``opened`` wants it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toString()
+
+
 def opened(uri: str) -> tuple[fs.FileSystem, str]:
     """The store of a full URI and the path in it."""
-    scheme, rest = re.fullmatch("([a-z0-9]+):(.*)", uri, re.DOTALL).groups()
+    scheme, _, rest = uri.partition(":")
     if scheme not in STREAMED:
-        raise ValueError(f"no task can stream from {scheme}")
+        raise ValueError(f"no task can stream from {uri}")
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/")
     return fs.FileSystem.from_uri(f"{STREAMED[scheme]}:{rest}")
