@@ -35,6 +35,25 @@ def hash_sample(df: DataFrame, seed: str, n: int, id_column: str = "review_id")
     return picked.withColumn("place", F.row_number().over(Window.orderBy("order_key", id_column)) - 1)
 
 
+def repeated_draws(df: DataFrame, seed: str, n: int, rounds: int, id_column: str = "review_id") -> DataFrame:
+    """``rounds`` samples of ``n`` rows each without replacement (all rows if fewer): those of the least hashes of seed, round and id.
+
+    Only hashes that can be among the least are kept where the rows are: below a threshold
+    that lets ten standard deviations more than ``n`` through in the mean (the chance that a
+    round runs short is under 1e-20), so what is sorted grows with ``n`` and not with the
+    rows. Rows whose id is null are never drawn. Adds ``round`` (from 1).
+    """
+    given = df.filter(F.col(id_column).isNotNull())
+    room = (n + 10 * n**0.5 + 100) * float(1 << 32)
+    share = given.agg(F.least(F.lit(room) / F.greatest(F.count("*"), F.lit(1)), F.lit(float(1 << 32))).cast("long").alias("__least"))
+    key = lambda r: F.sha2(F.concat_ws(":", F.lit(seed), r.cast("string"), id_column), 256)
+    keyed = F.transform(F.sequence(F.lit(1), F.lit(rounds)), lambda r: F.struct(r.alias("round"), key(r).alias("key")))
+    near = F.filter(keyed, lambda s: F.conv(F.substring(s["key"], 1, 8), 16, 10).cast("long") < F.col("__least"))
+    kept = given.crossJoin(F.broadcast(share)).withColumn("__s", F.explode(near)).withColumns({"round": F.col("__s.round"), "__key": F.col("__s.key")})
+    placed = kept.withColumn("__n", F.row_number().over(Window.partitionBy("round").orderBy("__key", id_column)))
+    return placed.filter(F.col("__n") <= n).drop("__least", "__s", "__key", "__n")
+
+
 def nested_samples(df: DataFrame, seed: str, sizes: dict[str, tuple[int, int]], id_column: str = "review_id") -> DataFrame:
     """Samples that are ranges of places in one hash order; ``sizes`` gives from and to by name."""
     top = hash_sample(df, seed, max(b for _, b in sizes.values()), id_column)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyloom.functions.draws import poisson
 from tallyloom.functions.labels import FEATURES, MARKERS, STOP_WORDS
 from tallyloom.functions.numbers import wilson
 from tallyloom.functions.text import SENTENCE_END, canonical_json, entities, hash_mod, is_blank, lang_bucket, part_tags, pieces, row_sha, shuffled_options, token_estimate, trim_ws
@@ -371,17 +372,21 @@ def bootstrap(spark: SparkSession, d: str) -> DataFrame:
     """
     counts = reviews(spark, d).groupBy(F.length("review_text").alias("x")).agg(F.count("*").alias("k"))
     drawn = counts.select("x", "k", F.explode(F.sequence(F.lit(1), F.lit(200))).alias("round"))
+    weighed = drawn.withColumn("w", poisson(F.col("k"), "x", "round"))
+    return weighed.groupBy("round").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"))
 
-    def uniform(salt: str) -> Column:
-        return (F.pmod(F.xxhash64("x", "round", F.lit(salt)), F.lit(1 << 52)) + 1) / float((1 << 52) + 1)
 
-    # Poisson(k): by its normal limit from 50 on, below by the cumulative chances, which reach past what the seeds resolve
-    normal = F.sqrt(-2 * F.log(uniform("a"))) * F.cos(2 * 3.141592653589793 * uniform("b"))
-    step = lambda acc, i: F.struct((acc["t"] * F.col("k") / i).alias("t"), (acc["c"] + acc["t"] * F.col("k") / i).alias("c"), (acc["n"] + (uniform("a") > acc["c"]).cast("int")).alias("n"))
-    first = F.exp(-F.col("k").cast("double"))
-    small = F.aggregate(F.sequence(F.lit(1), F.lit(160)), F.struct(first.alias("t"), first.alias("c"), F.lit(0).alias("n")), step, lambda acc: acc["n"])
-    weight = F.when(F.col("k") >= 50, F.greatest(F.round(F.col("k") + F.sqrt("k") * normal), F.lit(0))).otherwise(small)
-    return drawn.withColumn("w", weight).groupBy("round").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"))
+DRAWS = """d AS (SELECT r.i AS round, lang, row_number() OVER (PARTITION BY r.i ORDER BY sha256('draw-v1:' || r.i || ':' || review_id), review_id) AS n FROM rev, range(1, 41) AS r(i)),
+  a AS (SELECT count(*) FILTER (lang = 'en') AS hits, count(*) AS total FROM rev)"""
+
+
+@query(sql((REV, DRAWS), "SELECT CAST(round AS INTEGER) AS round, count(*) AS drawn, count(*) FILTER (lang = 'en') AS hits, CAST(round(abs(count(*) FILTER (lang = 'en') / CAST(count(*) AS DOUBLE) - (SELECT hits / CAST(total AS DOUBLE) FROM a)), 6) AS DOUBLE) AS error FROM d WHERE n <= 150 GROUP BY round"))
+def monte_carlo(spark: SparkSession, d: str) -> DataFrame:
+    """How far the share of a language in 40 draws of 150 records, without replacement, lies from that of all."""
+    r = reviews(spark, d).select("review_id", "lang")
+    draws = order.repeated_draws(r, "draw-v1", 150, 40).groupBy("round").agg(F.count("*").alias("drawn"), F.count_if(F.col("lang") == "en").alias("hits"))
+    whole = r.agg((F.count_if(F.col("lang") == "en") / F.count("*")).alias("share"))
+    return draws.crossJoin(F.broadcast(whole)).select("round", "drawn", "hits", F.round(F.abs(F.col("hits") / F.col("drawn") - F.col("share")), 6).alias("error"))
 
 
 @query(sql((REV, "g AS (SELECT text_key, count(*) AS copies, min(length(review_text)) AS n FROM rev GROUP BY text_key HAVING count(*) > 1)"), "SELECT CASE WHEN n < 100 THEN 'a' WHEN n < 1000 THEN 'b' ELSE 'c' END AS length_class, count(*) AS groups, CAST(sum(copies) AS BIGINT) AS records, max(copies) AS most, max(n) AS longest FROM g GROUP BY 1"))
