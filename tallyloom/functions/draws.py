@@ -19,14 +19,15 @@ def uniform(*seeds: Column | str) -> Column:
 
 
 def _by_inversion(mean: Column, u: Column) -> Column:
-    """How many cumulative chances ``u`` passes; a mean below 10 has none left after 110 terms."""
+    """How many cumulative chances ``u`` passes; what is left after mean + 9 sqrt(mean) + 12 terms is below what ``u`` resolves."""
 
     def step(acc: Column, i: Column) -> Column:
         term = acc["t"] * mean / i
         return F.struct(term.alias("t"), (acc["c"] + term).alias("c"), (acc["n"] + (u > acc["c"]).cast("double")).alias("n"))
 
     first = F.exp(-mean)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(110)), F.struct(first.alias("t"), first.alias("c"), F.lit(0.0).alias("n")), step, lambda acc: acc["n"])
+    terms = F.sequence(F.lit(1), F.ceil(mean + 9 * F.sqrt(mean) + 12).cast("int"))
+    return F.aggregate(terms, F.struct(first.alias("t"), first.alias("c"), F.lit(0.0).alias("n")), step, lambda acc: acc["n"])
 
 
 def _log_chance(k: Column, mean: Column) -> Column:

@@ -371,7 +371,7 @@ def bootstrap(spark: SparkSession, d: str) -> DataFrame:
     Records are counted by length first, so rounds multiply lengths and not records.
     """
     counts = reviews(spark, d).groupBy(F.length("review_text").alias("x")).agg(F.count("*").alias("k"))
-    drawn = counts.select("x", "k", F.explode(F.sequence(F.lit(1), F.lit(200))).alias("round"))
+    drawn = counts.select("x", "k", F.explode(F.sequence(F.lit(1), F.lit(200))).alias("round")).repartition("round")
     weighed = drawn.withColumn("w", poisson(F.col("k"), "x", "round"))
     return weighed.groupBy("round").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"))
 
