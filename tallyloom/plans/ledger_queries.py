@@ -180,7 +180,7 @@ def micro(rate: Column) -> Column:
 LIMITS = {"ceiling": 2.0, "recover": 0.02, "tokens_per_second": 1000}
 #: Times are a thousandth of the events', so that requests come close enough together to wait.
 TIMED = "e AS (SELECT request_id, event_type, epoch_us(ts) // 1000 AS us, reserved_tokens, outcome FROM calls), slow AS (SELECT DISTINCT event_type, us FROM e WHERE outcome = 'failed')"
-HALVED = """later AS (SELECT s.event_type, s.us, (SELECT min(n.us) FROM slow n WHERE n.event_type = s.event_type AND n.us >= s.us + 10000000) AS next_us FROM slow s),
+HALVED = """later AS MATERIALIZED (SELECT event_type, us, min(us) OVER (PARTITION BY event_type ORDER BY us RANGE BETWEEN 10000000 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_us FROM slow),
   p AS (SELECT event_type, min(us) AS us, CAST(1.0 AS DOUBLE) AS rate FROM slow GROUP BY event_type
     UNION ALL SELECT l.event_type, l.next_us, greatest(CAST(1.0 AS DOUBLE), least(CAST(2.0 AS DOUBLE), p.rate + CAST(0.02 AS DOUBLE) * (CAST(l.next_us - l.us AS DOUBLE) / CAST(1e6 AS DOUBLE))) / 2) FROM p JOIN later l ON l.event_type = p.event_type AND l.us = p.us WHERE l.next_us IS NOT NULL)"""
 SLOTS = """q AS (SELECT e.request_id, e.event_type, e.us, e.reserved_tokens, coalesce(least(CAST(2.0 AS DOUBLE), p.rate + CAST(0.02 AS DOUBLE) * (CAST(e.us - p.us AS DOUBLE) / CAST(1e6 AS DOUBLE))), CAST(2.0 AS DOUBLE)) AS rate FROM e ASOF LEFT JOIN p ON e.event_type = p.event_type AND e.us >= p.us),
