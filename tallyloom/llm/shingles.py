@@ -32,38 +32,59 @@ def band_values(hashes: np.ndarray, bands: int, rows: int) -> list[int]:
     return [xxhash.xxh64_intdigest(part.tobytes(), seed=band) - (1 << 63) for band, part in enumerate(parts)]
 
 
+#: Bits of a text's parities, as longs.
+PARITY_WORDS = 16
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each of 1024 cells of hash values, whether it holds an odd number of the distinct hashes.
+
+    Two sets that differ in k hashes differ in k bits at most, so the bits in which they
+    differ never exceed what the sets do.
+    """
+    odd = np.bincount((hashes >> np.uint64(54)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def signatures(docs: DataFrame, *, width: int, bands: int, rows: int, key: str, text: str) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``size`` (distinct shingles), ``fingerprint`` (SimHash) and
-    ``bands`` of whole texts; null counts as empty."""
+    """``doc_id``, ``text_hash``, ``size`` (distinct shingles), ``fingerprint`` (SimHash), ``bands``
+    and ``parity`` of whole texts; null counts as empty."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, values = [], [], []
+            sizes, prints, values, odd = [], [], [], []
             for x in batch.column(2):
                 every = shingle_hashes(x.as_py(), width)
                 found = np.unique(every)
                 sizes.append(len(found))
                 prints.append(majority(every))
                 values.append(band_values(found, bands, rows))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["doc_id", "text_hash", "size", "fingerprint", "bands"])
+                odd.append(parities(found))
+            longs = pa.list_(pa.int64())
+            made = [pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(values, longs), pa.array(odd, longs)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], ["doc_id", "text_hash", "size", "fingerprint", "bands", "parity"])
 
     whole = F.coalesce(F.col(text), F.lit(""))
     given = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.cast("binary").alias("raw"))
-    return given.mapInArrow(hashed, "doc_id long, text_hash long, size long, fingerprint long, bands array<long>")
+    return given.mapInArrow(hashed, "doc_id long, text_hash long, size long, fingerprint long, bands array<long>, parity array<long>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, *, width: int, percent: int, text: str) -> DataFrame:
-    """The pairs (``a``, ``b``: text hashes) whose shingle sets have the Jaccard similarity, in whole percent."""
+def shingle_sets(nodes: DataFrame, docs: DataFrame, *, width: int, text: str) -> DataFrame:
+    """``node`` (text hash) and ``shingles`` (distinct hashes) of the texts of ``nodes``, each read once."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.unique(shingle_hashes(x.as_py(), width)).view(np.int64) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     whole = F.coalesce(F.col(text), F.lit(""))
-    texts = docs.select(F.xxhash64(whole).alias("node"), whole.cast("binary").alias("raw")).join(wanted, "node", "left_semi")
-    held = cut(texts.groupBy("node").agg(F.first("raw")).mapInArrow(sets, "node long, shingles array<long>"))
+    texts = docs.select(F.xxhash64(whole).alias("node"), whole.cast("binary").alias("raw")).join(nodes.select("node").distinct(), "node", "left_semi")
+    return cut(texts.groupBy("node").agg(F.first("raw")).mapInArrow(sets, "node long, shingles array<long>"))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, *, width: int, percent: int, text: str) -> DataFrame:
+    """The pairs (``a``, ``b``: text hashes) whose shingle sets have the Jaccard similarity, in whole percent."""
+    held = shingle_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), docs, width=width, text=text)
     met = pairs.join(held.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").join(held.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return met.filter(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
@@ -74,6 +95,13 @@ def _alike(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _near(percent: int) -> Column:
+    """Whether ``parity`` and ``parity_b`` of sets of ``size`` and ``size_b`` leave room for the
+    similarity: sets that have it differ in (100 - percent) / (100 + percent) of their sizes' sum at most."""
+    bits = sum((F.bit_count(F.col("parity")[i].bitwiseXOR(F.col("parity_b")[i])) for i in range(PARITY_WORDS)), F.lit(0))
+    return _alike("size", "size_b", percent) & ((100 + percent) * bits <= (100 - percent) * (F.col("size") + F.col("size_b")))
+
+
 def fingerprint_pairs(nodes: DataFrame, radius: int, percent: int) -> DataFrame:
     """Pairs (``a``, ``b``) of texts whose SimHashes differ in at most ``radius`` bits: texts of
     one fingerprint meet its least text, and least texts of linked fingerprints meet."""
@@ -97,12 +125,14 @@ def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: i
     In a band all texts meet one of them, then, ``turns`` times, those not linked to it
     yet meet another, drawn anew in each band; so a large family is joined by a link a
     text, and few are left apart. Once the bands that are left have no more pairs of texts apart
-    than there are rows, or the turns are over, all pairs within them are compared. Copies stand for one node. Null and blank texts have no shingles and are never
+    than there are rows, or the turns are over, all pairs within them that may be near are
+    compared: those whose parities (1024 bits a text) differ in no more bits than near sets
+    differ in shingles, which no near pair fails. Copies stand for one node. Null and blank texts have no shingles and are never
     near copies of other texts; equal texts always are. Repeated rows give repeated
     rows; other columns are ignored; an empty table gives an empty result.
     """
     given = cut(signatures(docs, width=width, bands=bands, rows=rows, key=key, text=text))
-    nodes = cut(given.groupBy(F.col("text_hash").alias("node")).agg(F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("fingerprint").alias("fingerprint"), F.first("bands").alias("bands")))
+    nodes = cut(given.groupBy(F.col("text_hash").alias("node")).agg(F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("fingerprint").alias("fingerprint"), F.first("bands").alias("bands"), F.first("parity").alias("parity")))
     some = nodes.filter("size > 0")
     emitted = some.select("node", "size", F.explode("bands").alias("band"))
     shared = emitted.groupBy("band").agg(F.min(F.struct("node", "size")).alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
@@ -134,8 +164,9 @@ def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: i
         if not last:
             pairs = left.filter("root <> p_root").filter(_alike("size", "p_size", percent)).select(F.col("p").alias("a"), F.col("node").alias("b"))
         else:
-            other = left.select("band", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
-            pairs = left.join(other, "band").filter("node < b AND root <> root_b").filter(_alike("size", "size_b", percent)).select(F.col("node").alias("a"), "b")
+            apart = cut(left.select("band", "node", "size", "root").join(nodes.select("node", "parity"), "node"))
+            other = apart.select("band", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "root", "parity")))
+            pairs = apart.join(other, "band").filter("node < node_b AND root <> root_b").filter(_near(percent)).select(F.col("node").alias("a"), F.col("node_b").alias("b"))
         new = fresh(pairs)
         links = cut(links.unionByName(met(new)))
         if last:
