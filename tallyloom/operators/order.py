@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -105,3 +107,19 @@ def running(df: DataFrame, group: str, bucket: Column, order: list[str], value:
     here = dealt.join(totals, [group, "__b"]).withColumn("__i", fold("__v").over(inside))
     whole = F.greatest("__o", "__i") if largest else F.coalesce("__o", F.lit(0)) + F.coalesce("__i", F.lit(0))
     return here.withColumn(out, whole).drop("__b", "__v", "__o", "__i")
+
+
+def top_words(dated: DataFrame, part: str, without: Sequence[str], k: int) -> DataFrame:
+    """The ``k`` words that most rows have, by ``part``: ``place``, ``word``, ``n``, the part's ``documents`` and their share.
+
+    ``words`` holds a row's distinct words. Only counts of words are ordered, and of these
+    the first ``k`` of each part are kept before they meet in one task. Ties go to the
+    smaller word; the share is in ten thousandths, half up.
+    """
+    words = dated.select(part, F.explode(F.array_except("words", F.array(*map(F.lit, without)))).alias("word"))
+    counts = words.groupBy(part, "word").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy(part).orderBy(F.desc("n"), "word"))
+    first = counts.withColumn("place", place).filter(F.col("place") <= k)
+    every = dated.groupBy(part).agg(F.count("*").alias("documents"))
+    share = F.expr("(2 * n * 10000 + documents) DIV (2 * documents)").alias("per_ten_thousand")
+    return first.join(every, part).select(part, F.col("place").cast("long").alias("place"), "word", "n", "documents", share)

@@ -366,13 +366,16 @@ def cutoff_by_reference(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-CUTOFF_CELLS = ("0.70", "0.7", "0.705", "1", "0", "1.2", "-0.1", "x", "")
+CUT = "CASE doc_id % 5 WHEN 0 THEN CAST(n_chars % 13 AS VARCHAR) WHEN 1 THEN '0.' || CAST(n_chars % 100 AS VARCHAR) WHEN 2 THEN '0.' || CAST(n_chars AS VARCHAR) WHEN 3 THEN '-0.' || CAST(n_chars % 10 AS VARCHAR) ELSE coalesce(lang, '') END"
 
 
-@query("SELECT cell, coalesce(TRY_CAST(cell AS DECIMAL(20,10)) BETWEEN 0 AND 1 AND TRY_CAST(cell AS DECIMAL(20,10)) * 100 = floor(TRY_CAST(cell AS DECIMAL(20,10)) * 100), false) AS valid FROM (SELECT unnest([" + ", ".join(f"'{c}'" for c in CUTOFF_CELLS) + "]) AS cell)")
+@query(sql((REV, f"c AS (SELECT review_id, {CUT} AS cell FROM rev)"), "SELECT review_id, cell, coalesce(TRY_CAST(cell AS DECIMAL(20,10)) BETWEEN 0 AND 1 AND TRY_CAST(cell AS DECIMAL(20,10)) * 100 = floor(TRY_CAST(cell AS DECIMAL(20,10)) * 100), false) AS valid FROM c"))
 def cutoff_validity(spark: SparkSession, d: str) -> DataFrame:
-    """Which cut-offs are numbers from 0 to 1 of at most two decimals."""
-    return spark.createDataFrame([(c,) for c in CUTOFF_CELLS], "cell string").select("cell", valid_cutoff(F.col("cell")).alias("valid"))
+    """Which cells are cut-offs, numbers from 0 to 1 of at most two decimals."""
+    n, kind = F.col("n_chars"), F.col("doc_id") % 5
+    after = lambda start, x: F.concat(F.lit(start), x.cast("string"))
+    cell = F.when(kind == 0, (n % 13).cast("string")).when(kind == 1, after("0.", n % 100)).when(kind == 2, after("0.", n)).when(kind == 3, after("-0.", n % 10)).otherwise(F.coalesce("lang", F.lit("")))
+    return reviews(spark, d).select("review_id", cell.alias("cell")).withColumn("valid", valid_cutoff(F.col("cell")))
 
 
 OPTIONS = ("billing", "access", "other", "support")
@@ -401,11 +404,29 @@ def revisions(spark: SparkSession, d: str) -> DataFrame:
     return paired(spark, d).select("review_id", revision(note).alias("r")).select("review_id", "r.field", "r.was")
 
 
-@query("SELECT guard, supplied OR guard <> 'one_topic' AS blocked, supplied FROM (SELECT unnest(['one_topic', 'none_flagged']) AS guard), (SELECT unnest([true, false]) AS supplied)")
+ACCEPTED = ("topic:billing", "topic:other", "source:a")
+FAILED = "f AS (SELECT guard FROM (SELECT unnest(['topic:' || topic, 'source:' || source]) AS guard, severity FROM rec) WHERE guard IS NOT NULL GROUP BY guard HAVING count(*) FILTER (severity = 5) * 11 < count(*))"
+
+
+@query(sql((*BASE, FAILED), "SELECT guard, supplied OR guard NOT IN (" + ", ".join(f"'{g}'" for g in ACCEPTED) + ") AS blocked, supplied FROM f, (SELECT unnest([true, false]) AS supplied)"))
 def guard_settlement(spark: SparkSession, d: str) -> DataFrame:
-    """Failed guards of a supplied and of an own labeler, of which one guard is accepted."""
-    failed = spark.createDataFrame([("one_topic",), ("none_flagged",)], "guard string")
-    return agreement.settled_guards(failed, True, ("one_topic",)).withColumn("supplied", F.lit(True)).unionByName(agreement.settled_guards(failed, False, ("one_topic",)).withColumn("supplied", F.lit(False)))
+    """Topics and sources with too few of the gravest records are failed guards, of a supplied and of an own labeler; some are accepted."""
+    guards = records(spark, d).select(F.explode(F.array(F.concat(F.lit("topic:"), "topic"), F.concat(F.lit("source:"), "source"))).alias("guard"), "severity").filter("guard IS NOT NULL")
+    failed = guards.groupBy("guard").agg(F.count("*").alias("n"), F.count_if(F.col("severity") == 5).alias("grave")).filter("grave * 11 < n")
+    parts = [agreement.settled_guards(failed, supplied, ACCEPTED).withColumn("supplied", F.lit(supplied)) for supplied in (True, False)]
+    return parts[0].unionByName(parts[1])
+
+
+NOISE = (0, 5, 10, 20)
+
+
+@query(sql(TWO, f"SELECT topic, noise, round(agree * (1 - noise / 100.0::DOUBLE) + (1 - agree) * (noise / 100.0::DOUBLE) / 7, 6) AS seen FROM (SELECT a_topic AS topic, CAST(count(*) FILTER (a_topic = b_topic) AS DOUBLE) / count(*) AS agree FROM p GROUP BY 1), (SELECT unnest({list(NOISE)}) AS noise)"))
+def noise_grid(spark: SparkSession, d: str) -> DataFrame:
+    """How noise in the truth, in percent, would lower the agreement of two labelers by topic: wrong labels fall on the seven others alike."""
+    agree = paired(spark, d).groupBy(F.col("a_topic").alias("topic")).agg((F.count_if(F.col("a_topic") == F.col("b_topic")) / F.count("*")).alias("agree"))
+    grid = agree.select("topic", "agree", F.explode(F.array(*map(F.lit, NOISE))).alias("noise"))
+    noise = F.col("noise") / 100
+    return grid.select("topic", "noise", F.round(F.col("agree") * (1 - noise) + (1 - F.col("agree")) * noise / 7, 6).alias("seen"))
 
 
 @query(sql(BASE, "SELECT lang, round(hits / n - 1.959964 * sqrt(hits / n * (1 - hits / n) / n), 6) AS low, round(hits / n + 1.959964 * sqrt(hits / n * (1 - hits / n) / n), 6) AS high FROM (SELECT lang, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (intent = 'complaint') AS DOUBLE) AS hits FROM rec GROUP BY lang)"))

@@ -322,6 +322,21 @@ def top_words(spark: SparkSession, d: str) -> DataFrame:
     return counts.withColumn("place", place).filter("place <= 10").select("part", F.col("place").cast("long").alias("place"), "word", "n")
 
 
+MONTH = "strftime(DATE '2024-01-01' + CAST(doc_id % 200 AS INTEGER), '%Y-%m')"
+LOW_WORDS = f"w AS (SELECT DISTINCT doc_id, {MONTH} AS month, unnest(regexp_extract_all(lower(review_text), '[a-z]+')) AS word FROM rev SEMI JOIN (SELECT doc_id FROM labels WHERE quality = 0) USING (doc_id))"
+BY_MONTH = f"k AS (SELECT month, word, count(*) AS n FROM w WHERE word NOT IN (SELECT unnest({LISTED(STOP_WORDS)})) GROUP BY month, word), o AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY n DESC, word) AS place FROM k), a AS (SELECT month, count(DISTINCT doc_id) AS documents FROM w GROUP BY month)"
+
+
+@query(sql((REV, LOW_WORDS, BY_MONTH), "SELECT month, place, word, n, documents, (2 * n * 10000 + documents) // (2 * documents) AS per_ten_thousand FROM o JOIN a USING (month) WHERE place <= 5"))
+def top_words_by_month(spark: SparkSession, d: str) -> DataFrame:
+    """Words that most documents of low quality have, by month, with the documents of the month that have words."""
+    low = table(spark, d, "labels").filter("quality = 0").select("doc_id")
+    month = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 200).cast("int")), "yyyy-MM")
+    found = F.array_distinct(F.regexp_extract_all(F.lower("review_text"), F.lit("[a-z]+"), F.lit(0)))
+    dated = reviews(spark, d).join(low, "doc_id", "left_semi").select(month.alias("month"), found.alias("words")).filter(F.size("words") > 0)
+    return order.top_words(dated, "month", STOP_WORDS, 5)
+
+
 @query(sql((REV, f"c AS (SELECT review_id, unnest(list_distinct(list_filter(regexp_extract_all(review_text || CASE WHEN {h('mark', 'review_id', 3)} = 0 THEN '“x”…' ELSE '¡' END, '\\pP'), lambda x: ord(x) > 127))) AS mark FROM rev)"), "SELECT mark, count(*) AS n FROM c GROUP BY mark"))
 def punct_rows(spark: SparkSession, d: str) -> DataFrame:
     """Records that hold each punctuation mark beyond ASCII; two kinds are planted."""

@@ -15,8 +15,8 @@ from tallyloom.operators import audit, export, labelling, memo, ranking
 from tallyloom.plans.base import BASE, RANKED, REV, calls, h, reviews, sql, table
 from tallyloom.plans.label_queries import ranked, rules_sql, with_issues
 from tallyloom.plans.registry import query
-from tallyloom.session import shared_dir
-from tallyloom.sources import files, stores, zips
+from tallyloom.session import drop_folder, shared_dir
+from tallyloom.sources import exports, files, sheets, stores, zips
 from tallyloom.streaming.classify import classify_stream
 
 
@@ -45,10 +45,25 @@ def sheet(spark: SparkSession, d: str) -> DataFrame:
 
 @query(CELLS)
 def scan_csv(spark: SparkSession, d: str) -> DataFrame:
-    """Rows written as CSV and read back exactly, quotes, line feeds and all."""
+    """Rows written as CSV and read back exactly by splits, quotes, line feeds and all."""
     path = folder(spark, "csv")
     files.write_csv(sheet(spark, d), path, FIELDS)
-    return files.scan_csv(spark, path, FIELDS, key="review_id")
+    return sheets.scan_csv(spark, path, FIELDS, key="review_id")
+
+
+BROKEN = h("broken", "review_id", 30)
+
+
+@query(sql((REV,), f"SELECT CASE {BROKEN} WHEN 0 THEN 'stray_quote' WHEN 1 THEN 'cells' WHEN 2 THEN 'bare_return' ELSE 'none' END AS fault, count(*) AS n FROM rev GROUP BY 1"))
+def csv_faults(spark: SparkSession, d: str) -> DataFrame:
+    """Records of CSV files that are broken on purpose, by what is wrong, read by splits."""
+    path = folder(spark, "csv")
+    cell = F.concat(F.lit('"'), F.replace("review_text", F.lit('"'), F.lit('""')), F.lit('"'))
+    at = hash_mod("broken", F.col("review_id"), 30)
+    more = F.when(at == 0, 'x"y"').when(at == 1, "x,y").when(at == 2, "x\ry").otherwise('"x ""y"""')
+    reviews(spark, d).select(F.concat_ws(",", "review_id", cell, more).alias("value")).write.option("lineSep", "\n").text(path)
+    found = sheets.csv_records(spark, path).select(F.coalesce(sheets.csv_fault(F.col("value"), 3), F.lit("none")).alias("fault"))
+    return found.groupBy("fault").agg(F.count("*").alias("n"))
 
 
 @query("SELECT CAST(doc_id AS VARCHAR) AS doc_id, quality, toxic FROM labels")
@@ -118,28 +133,51 @@ def export_ranking(spark: SparkSession, d: str) -> DataFrame:
     return files.scan_csv(spark, f"{path}/ranking.csv", ("issue_id", "rank", "priority_score"), key="issue_id")
 
 
-@query("SELECT unnest(['unreadable_file', 'ambiguous_file', 'malformed_jsonl', 'malformed_jsonl']) AS code, unnest(['claims.csv', 'records.jsonl', 'calls.jsonl:2', 'calls.jsonl:4']) AS detail")
-def form_audit(spark: SparkSession, d: str) -> DataFrame:
-    """An export folder that lacks a file, has one in two forms, and has lines that are no JSON."""
-    listed = spark.createDataFrame([("records.jsonl",), ("records.jsonl.gz",), ("calls.jsonl",)], "file string")
-    path = folder(spark, "calls")
-    spark.createDataFrame([('{"a":1}\n{"a":1,"a":2}\n{"a":{"b":1},"c":{"b":2}}\n[1]',)], "value string").coalesce(1).write.text(path)
-    lines = files.bad_lines(spark, path, "a string, c string")
-    return audit.form_violations(listed, ("records.jsonl", "calls.jsonl", "claims.csv"), lines.select(F.lit("calls.jsonl").alias("file"), "line"))
+AT = h("line", "CAST(event_id AS VARCHAR)", 50)
+BAD_LINES = f"l AS (SELECT row_number() OVER (ORDER BY event_id) AS line, {AT} AS kind FROM events)"
 
 
-@query("SELECT unnest(['deep', 'flat', 'inner', 'outer', 'text']) AS kind, unnest([true, true, false, false, true]) AS unique_keys")
+@query(f"WITH {BAD_LINES} SELECT 'malformed_jsonl' AS code, 'calls.jsonl:' || line AS detail FROM l WHERE kind < 3 UNION ALL SELECT 'unreadable_file', 'claims.csv' UNION ALL SELECT 'ambiguous_file', 'records.jsonl'")
+def form_audit(spark: SparkSession, d: str) -> DataFrame:
+    """An exported folder that lacks a file, has one in two forms, and has calls of which some lines are no strict JSON."""
+    path = folder(spark, "run")
+    export.export_run(spark, path, run_tables(spark, d), gzip_over=1000)
+    drop_folder(spark, f"{path}/claims.csv")
+    drop_folder(spark, f"{path}/calls.jsonl.gz")
+    spark.read.text(f"{path}/records.jsonl.gz").write.text(f"{path}/records.jsonl")
+    line, at = F.to_json(F.struct("event_id", "user_id")), hash_mod("line", F.col("event_id").cast("string"), 50)
+    broken = F.when(at == 0, F.concat(F.lit("["), line, F.lit("]"))).when(at == 1, F.regexp_replace(line, "user_id", "event_id")).when(at == 2, F.regexp_replace(line, "[}]$", "")).otherwise(line)
+    table(spark, d, "events").orderBy("event_id").select(broken.alias("value")).write.text(f"{path}/calls.jsonl")
+    listed = spark.createDataFrame([(x,) for x in exports.names_of(spark, path)], "file string")
+    read = files.strict_lines(files.placed_lines(spark, f"{path}/calls.jsonl"), "event_id long, user_id long").filter("fault IS NOT NULL")
+    return audit.form_violations(listed, ("records.jsonl", "calls.jsonl", "claims.csv"), read.select(F.lit("calls.jsonl").alias("file"), (F.col("place") + 1).alias("line")))
+
+
+@query(sql((REV,), f"SELECT review_id, {h('keys', 'review_id', 5)} NOT IN (2, 3) AS unique_keys FROM rev"))
 def json_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Whether objects name a key twice: equal keys of different objects are no repetition."""
-    rows = [("flat", '{"a":1,"b":"x"}'), ("deep", '{"a":{"x":1},"b":{"x":2},"c":[{"x":1},{"x":2}]}'), ("inner", '{"a":{"x":1,"x":2},"b":1}'), ("outer", '{"a":{"x":1},"a":2}'), ("text", '{"a":"{\\"b\\":1,\\"b\\":2}"}')]
-    return spark.createDataFrame(rows, "kind string, t string").select("kind", audit.unique_keys(F.col("t")).alias("unique_keys"))
+    """Whether objects made of the texts name a key twice: equal keys of different objects, or within a text, are no repetition."""
+    at = hash_mod("keys", F.col("review_id"), 5)
+    cell = F.to_json(F.struct(F.col("review_text").alias("a")))
+    said = F.concat(F.lit('"{'), F.lit(r'\"b\":1,\"b\":2'), F.lit('}"'))
+    line = (
+        F.when(at == 0, F.concat(F.lit('{"a":'), cell, F.lit(',"b":'), cell, F.lit(',"c":['), cell, F.lit(","), cell, F.lit("]}")))
+        .when(at == 1, F.concat(F.lit('{"a":'), said, F.lit(',"b":'), cell, F.lit("}")))
+        .when(at == 2, F.concat(F.lit('{"b":'), cell, F.lit(',"c":{"x":1,"x":'), cell, F.lit("}}")))
+        .when(at == 3, F.concat(F.lit('{"a":'), cell, F.lit(',"a":2}')))
+        .otherwise(cell)
+    )
+    return reviews(spark, d).select("review_id", audit.unique_keys(line).alias("unique_keys"))
+
+
+TOTALS = "SELECT count(*) AS n, CAST(sum(length(review_text)) AS BIGINT) AS chars, min(source) AS first, max(source) AS last FROM rev"
 
 
-@query("SELECT '{\"a\":2,\"n\":null,\"z\":{\"b\":\"x\",\"y\":1}}' AS document")
+@query(sql((REV, f"t AS ({TOTALS})"), """SELECT '{"chars":' || chars || ',"mean":null,"sources":{"first":"' || first || '","last":"' || last || '"},"total":' || n || '}' AS document FROM t"""))
 def sink_json(spark: SparkSession, d: str) -> DataFrame:
-    """A document with sorted keys at every level, written and read back; not a number is null."""
+    """A document of totals with sorted keys at every level, written and read back; not a number is null."""
     path = folder(spark, "document")
-    row = spark.range(1).select(F.struct(F.lit(1).alias("y"), F.lit("x").alias("b")).alias("z"), F.lit(2).alias("a"), F.lit(float("nan")).alias("n"))
+    ends = F.struct(F.max("source").alias("last"), F.min("source").alias("first"))
+    row = reviews(spark, d).agg(F.count("*").alias("total"), ends.alias("sources"), F.lit(float("nan")).alias("mean"), F.sum(F.length("review_text")).alias("chars"))
     files.write_document(row, path)
     return spark.read.text(path).select(F.col("value").alias("document"))
 

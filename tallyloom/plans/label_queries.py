@@ -296,10 +296,3 @@ def label_sanity(spark: SparkSession, d: str) -> DataFrame:
     """Fields where one label has nearly all records, or that have too few classes."""
     cells = F.array(*(F.struct(F.lit(k).alias("field"), v.alias("label")) for k, v in {"topic": F.col("topic"), "intent": F.col("intent"), "flag": (F.col("min_top") < 0.99).cast("string"), "fixed": F.lit("x")}.items()))
     return labelling.label_sanity(records(spark, d).select(F.explode(cells).alias("c")).select("c.*"))
-
-
-@query("SELECT agree / 100.0::DOUBLE AS agree, noise / 100.0::DOUBLE AS noise, round((agree / 100.0::DOUBLE) * (1 - noise / 100.0::DOUBLE) + (1 - agree / 100.0::DOUBLE) * (noise / 100.0::DOUBLE) / 7, 6) AS seen FROM (SELECT unnest([70, 80, 90]) AS agree), (SELECT unnest([0, 5, 10, 20]) AS noise)")
-def noise_grid(spark: SparkSession, d: str) -> DataFrame:
-    """How noise in the truth lowers the agreement that is seen: a fixed grid of twelve rows."""
-    grid = spark.range(1).select(F.explode(F.array(*map(F.lit, (0.7, 0.8, 0.9)))).alias("agree")).select("agree", F.explode(F.array(*map(F.lit, (0.0, 0.05, 0.1, 0.2)))).alias("noise"))
-    return grid.withColumn("seen", F.round(F.col("agree") * (1 - F.col("noise")) + (1 - F.col("agree")) * F.col("noise") / 7, 6))

@@ -35,7 +35,8 @@ class Export:
             raise AttributeError(name) from None
 
 
-def _names(spark: SparkSession, folder: str) -> set[str]:
+def names_of(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the files of a folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return {s.getPath().getName() for s in target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)}
 
@@ -74,7 +75,7 @@ def read_export(spark: SparkSession, folder: str) -> Export:
     an empty table and a fault; of one that is there plain and compressed the plain form
     is read and the fault is ``ambiguous_file``; bad lines are left out, each with a fault.
     Tables are parsed once and kept in the shared folder."""
-    there = _names(spark, folder)
+    there = names_of(spark, folder)
     tables, faults = {}, [spark.createDataFrame([], "code string, detail string")]
     for name in (*LINES, *SHEETS):
         forms = [n for n in (name, f"{name}.gz") if n in there]

@@ -26,6 +26,8 @@ def scan_csv(spark: SparkSession, path: str, fields: Sequence[str], key: str | N
     Refuses a header that repeats or lacks a field and, if ``key`` is given, repeated
     keys. Columns beyond ``fields`` are dropped; empty cells are empty strings. Rows
     with too few or too many cells fail when they are read, as all columns are parsed.
+    Rows come in file order from one task a file; ``sheets.scan_csv`` reads a file of any
+    size by its splits, in no order, and is stricter.
     """
     options = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "mode": "FAILFAST", "inferSchema": "false", "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "columnPruning": "false"}
     head = spark.read.options(**options | {"header": "false"}).csv(path).limit(1).collect()
