@@ -19,37 +19,27 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """``path``, ``line`` (from 1, the record's first) and ``value`` of the records of CSV files; a quoted cell may hold line feeds.
 
     A line starts within a quoted cell if the quotes before it in its file are odd: each
-    split counts its quotes and lines, and running sums over the splits of a file, a row
-    each, tell every split how it starts. So a file is read by as many tasks as it has splits.
-    Lines that are records themselves are passed on; others are joined within their split,
-    and of each split two pieces at most go on to be joined with those of its neighbours.
-    A quote that is never closed makes a record of all that follows.
+    split counts its quotes and lines, and where records begin last in it for either start;
+    running values over the splits of a file, a row each, tell every split how it starts
+    and which record is open there. So a file is read by as many tasks as it has splits,
+    and a task groups whole records. A quote that is never closed makes a record of all
+    that follows.
     """
-    quotes = _count(F.col("value"), '"')
     meta = F.col("_metadata")
-    lines = spark.read.option("lineSep", "\n").text(path).select("value", meta["file_path"].alias("path"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), quotes.alias("q"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = lines.groupBy("path", "block").agg(F.sum("q").alias("qs"), F.count("*").alias("n"))
-    starts = splits.select("path", "block", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("qs", "n")))
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", meta["file_path"].alias("path"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), _count(F.col("value"), '"').alias("q"))
     in_split = Window.partitionBy("path", "block").orderBy("at")
-    earlier = in_split.rowsBetween(Window.unboundedPreceding, -1)
-    placed = lines.join(starts, ["path", "block"]).select(
-        "path", "block", "value", (F.col("n_before") + F.row_number().over(in_split)).alias("line"),
-        ((F.col("qs_before") + F.coalesce(F.sum("q").over(earlier), F.lit(0))) % 2 == 0).alias("opens"), (F.col("q") % 2).alias("odd"),
-    ).withColumn("closes", F.col("opens") == (F.col("odd") == 0))
-    whole = placed.filter("opens AND closes").select("path", "line", "value")
-    of = F.max(F.when(F.col("opens"), F.col("line"))).over(Window.partitionBy("path", "block").orderBy("line"))
-
-    def joined(pieces: DataFrame, *by: str) -> DataFrame:
-        """The pieces of each group as one, in order."""
-        texts = F.transform(F.sort_array(F.collect_list(F.struct("line", "value"))), lambda x: x["value"])
-        return pieces.groupBy(*by).agg(F.array_join(texts, "\n").alias("value"), F.min("line").alias("line"), F.bool_or("closes").alias("closes"))
-
-    pieces = joined(placed.withColumn("first", of).filter("NOT (opens AND closes)"), "path", "block", "first")
-    inner = pieces.filter("first IS NOT NULL AND closes").select("path", "line", "value")
-    owner = F.last("first", ignorenulls=True).over(Window.partitionBy("path").orderBy("line"))
-    outer = joined(pieces.filter("first IS NULL OR NOT closes").withColumn("owner", owner), "path", "owner").select("path", "line", "value")
-    every = whole.unionByName(inner).unionByName(outer)
+    quotes = F.coalesce(F.sum("q").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = lines.select("path", "block", "q", (quotes % 2).alias("odd"), F.row_number().over(in_split).alias("k"))
+    begins = [F.max(F.when(F.col("odd") == odd, F.col("k"))) for odd in (0, 1)]
+    splits = counted.groupBy("path", "block").agg(F.sum("q").alias("q"), F.count("*").alias("n"), F.array(*begins).alias("begins"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    summed = splits.select("path", "block", "begins", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("q", "n")))
+    last = F.col("n_before") + F.get("begins", (F.col("q_before") % 2).cast("int"))
+    starts = summed.withColumn("last", last).select("path", "block", "q_before", "n_before", F.last("last", ignorenulls=True).over(before).alias("open"))
+    placed = lines.join(starts, ["path", "block"]).select("path", "block", "at", "value", "open", (F.col("n_before") + F.row_number().over(in_split)).alias("line"), ((F.col("q_before") + quotes) % 2 == 0).alias("begins"))
+    first = F.coalesce(F.max(F.when(F.col("begins"), F.col("line"))).over(in_split), F.col("open"))
+    pieces = F.transform(F.sort_array(F.collect_list(F.struct("line", "value"))), lambda x: x["value"])
+    every = placed.select("path", first.alias("first"), "line", "value").groupBy("path", F.col("first").alias("line")).agg(F.array_join(pieces, "\n").alias("value"))
     plain = F.when(F.col("line") == 1, F.ltrim("value", F.lit("﻿"))).otherwise(F.col("value"))
     ended = F.when(F.endswith(plain, F.lit("\r")), F.substring(plain, F.lit(1), F.char_length(plain) - 1)).otherwise(plain)
     return every.select("path", "line", ended.alias("value")).filter("value <> ''")  # a regex would mend bytes that are not UTF-8
