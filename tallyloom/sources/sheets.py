@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallyloom.session import settled
+
 PARSE = {"quote": '"', "escape": '"', "multiLine": "true", "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
@@ -104,8 +106,10 @@ def scan_csv(spark: SparkSession, path: str, fields: Sequence[str], key: str | N
     refused = F.raise_error(F.concat_ws(" ", F.lit("malformed CSV record:"), "fault", F.lit("in"), "file", F.lit("line"), F.col("line").cast("string")))
     good = read.filter(F.when(F.col("fault").isNull(), F.lit(True)).otherwise(refused.cast("boolean")))
     rows = good.select(*(F.col("cells")[names.index(f)].alias(f) for f in fields))
-    if key is not None and not rows.groupBy(key).count().filter("count > 1").isEmpty():
-        raise ValueError(f"{key} is repeated")
+    if key is not None:
+        rows = settled(rows)  # so that the check of keys does not read the files a second time
+        if not rows.groupBy(key).count().filter("count > 1").isEmpty():
+            raise ValueError(f"{key} is repeated")
     return rows
 
 
