@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -69,7 +70,7 @@ def closest(x: np.ndarray, book: np.ndarray) -> np.ndarray:
 def centres(x: np.ndarray, n: int, seed: int, rounds: int = 8) -> np.ndarray:
     """``n`` centres of the rows by k-means."""
     draw = np.random.default_rng(seed)
-    book = x[draw.choice(len(x), n, replace=len(x) < n)].astype(np.float32)
+    book = x[draw.choice(len(x), n, replace=len(x) < n)].copy()
     for _ in range(rounds):
         near = closest(x, book)
         order = np.argsort(near, kind="stable")
@@ -78,17 +79,51 @@ def centres(x: np.ndarray, n: int, seed: int, rounds: int = 8) -> np.ndarray:
     return book
 
 
+@dataclass(frozen=True)
+class Frame:
+    """Coordinates around the middle of a sample, in units of its median reach, in double
+    precision: neither a common offset nor a few huge vectors use up the digits of the rest.
+    Entries are held within 1e60, so squares are finite."""
+
+    first: float
+    middle: np.ndarray
+    second: float
+
+    @staticmethod
+    def of(sample: np.ndarray) -> Frame:
+        power = lambda v: 2.0 ** -min(max(math.frexp(v)[1], -1000), 1000)
+        first = power(float(np.abs(sample).max()))
+        middle = np.median(sample * first, axis=0)
+        reach = np.abs(sample * first - middle).max(axis=1)
+        return Frame(first, middle, power(float(np.median(reach[reach > 0]))) if (reach > 0).any() else 1.0)
+
+    def place(self, vectors: np.ndarray) -> np.ndarray:
+        return np.clip((vectors * self.first - self.middle) * self.second, -1e60, 1e60)
+
+
+def unit(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and lengths of rows; a zero row has the direction zero."""
+    size = np.sqrt(np.einsum("nd,nd->n", x, x))
+    return x / np.where(size > 0, size, 1)[:, None], size
+
+
 @dataclass(frozen=True)
 class Index:
-    """``lists`` are centres that every vector belongs to the nearest of; ``books`` code what a centre leaves over."""
+    """``lists`` are centres that every vector belongs to the nearest of; ``books`` code the direction of what a centre leaves over."""
 
     lists: np.ndarray
     books: Codebooks
 
     @staticmethod
     def fit(x: np.ndarray, lists: int, levels: int, codes: int) -> Index:
-        rough = centres(x, lists, 1)
-        return Index(rough, Codebooks.fit(x - rough[closest(x, rough)], levels, codes))
+        middle = np.zeros((1, x.shape[1]), x.dtype)  # where sizes differ by orders of magnitude, means of lists are far from most rows
+        rough = np.vstack([centres(x, lists - 1, 1), middle]) if lists > 1 else middle
+        return Index(rough, Codebooks.fit(unit(x - rough[closest(x, rough)])[0], levels, codes))
+
+    def near(self, asks: np.ndarray, own: np.ndarray, codes: np.ndarray, gain: np.ndarray) -> np.ndarray:
+        """Squared distances (asks x rows) to the vectors that codes stand for."""
+        there = self.lists[own] + gain[:, None] * self.books.decode(codes)
+        return np.stack([np.einsum("nd,nd->n", there - a, there - a) for a in asks])
 
     def probes(self, x: np.ndarray, k: int, share: float, asked: int = 256) -> int:
         """How many of the nearest lists hold ``share`` of the true neighbours of rows of the
@@ -130,10 +165,58 @@ def classes(rows: DataFrame, keep: int) -> DataFrame:
     return first.groupBy("h", "v").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("id"), "v", "ids")
 
 
-def fit_sample(vectors: DataFrame, most: int, scale: float) -> np.ndarray:
-    """At most ``most`` vectors, those of the least hashed ids, scaled, on the driver."""
+def fit_sample(vectors: DataFrame, most: int) -> np.ndarray:
+    """At most ``most`` vectors, those of the least hashed ids, on the driver."""
     picked = vectors.orderBy(F.xxhash64("id"), "id").limit(most).select("v")
-    return (np.array([r[0] for r in picked.collect()]) * scale).astype(np.float32)
+    return np.array([r[0] for r in picked.collect()])
+
+
+def effort(held: DataFrame, coded: DataFrame, wanted: DataFrame, frame: Frame, index: Index, k: int, share: float, probes: int, asked: int = 64) -> tuple[int, int, int]:
+    """What it takes to find ``share`` of the true neighbours of ``asked`` queries: lists
+    (``probes`` at least), places by coded distance among those lists, and places within a list.
+
+    The neighbours are found by brute force over all of ``held``, and their places are
+    counted over all of ``coded``: two scans, a row a neighbour to the driver.
+    """
+    picked = wanted.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(asked).collect()
+    if not picked:
+        return probes, 0, 0
+    ids, asks = np.array([r["id"] for r in picked]), frame.place(np.array([r["v"] for r in picked]))
+
+    def brute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own, x = batch["id"].to_numpy(), frame.place(np.stack(batch["v"].to_numpy())) if len(batch) else None
+            for i, ask in enumerate(asks if len(batch) else ()):
+                far = np.einsum("nd,nd->n", x - ask, x - ask)
+                far[own == ids[i]] = np.inf
+                best = np.argpartition(far, min(k, len(far)) - 1)[:k]
+                yield pd.DataFrame({"ask": i, "id": own[best], "far": far[best]})[lambda t: np.isfinite(t["far"])]
+
+    nearest_first = Window.partitionBy("ask").orderBy("far", "id")
+    true = held.select("id", "v").mapInPandas(brute, "ask int, id long, far double").withColumn("n", F.row_number().over(nearest_first)).filter(F.col("n") <= k)
+    found = coded.join(F.broadcast(true.select("ask", "id")), "id").toPandas()
+    if not len(found):
+        return probes, 0, 0
+    place = np.argsort(np.argsort(index.away(asks), axis=1), axis=1)
+    ask, own = found["ask"].to_numpy(), found["list"].to_numpy()
+    codes = np.frombuffer(b"".join(found["codes"]), np.uint8).reshape(len(found), -1)
+    reach = index.near(asks, own, codes, found["gain"].to_numpy())[ask, np.arange(len(found))] * (1 + 1e-9)
+    probes = max(probes, min(len(index.lists), int(np.quantile(place[ask, own], share)) + 1))
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((2, len(ask)), np.int64)
+        for batch in batches:
+            if len(batch):
+                lists = batch["list"].to_numpy()
+                near = index.near(asks, lists, np.frombuffer(b"".join(batch["codes"]), np.uint8).reshape(len(batch), -1), batch["gain"].to_numpy())
+                for j, a in enumerate(ask):
+                    below = lists[near[a] <= reach[j]]
+                    total[:, j] += np.count_nonzero(place[a, below] < probes), np.count_nonzero(below == own[j])
+        yield pd.DataFrame({"j": np.arange(len(ask)), "every": total[0], "within": total[1]})
+
+    sums = coded.mapInPandas(counted, "j int, every long, within long").groupBy("j").agg(F.sum("every").alias("every"), F.sum("within").alias("within")).toPandas().sort_values("j")
+    met = place[ask, own] < probes
+    return probes, math.ceil(np.quantile(sums["every"].to_numpy()[met], share)), math.ceil(np.quantile(sums["within"].to_numpy()[met], share))
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -154,50 +237,58 @@ def nearest(vectors: DataFrame, queries: str, *, key: str = "vec_id", vector: st
     """
     rows = cut(searchable(vectors, key, vector))
     found = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    for row in rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.max(F.array_max(F.transform("v", F.abs))).alias("most")).collect():
+    for row in rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).collect():
         same = rows.filter(F.size("v") == row["dim"])
-        scale = 2.0 ** -min(max(math.frexp(row["most"])[1], -1000), 1000)
-        found = found.unionByName(_nearest(same, queries, k, rerank or 300 + 4 * round(row["n"] ** (1 / 3)), scale, row["n"], **options))
+        found = found.unionByName(_nearest(same, queries, k, rerank or 300 + 4 * round(row["n"] ** (1 / 3)), row["n"], **options))
     return found
 
 
-def _nearest(rows: DataFrame, queries: str, k: int, rerank: int, scale: float, n: int, *, levels: int = 16, codes: int = 256, beam: int = 4, share: float = 0.98, list_rows: int = 2048, sample: int = 16384, rows_block: int = 32768, queries_block: int = 8192) -> DataFrame:
+def _nearest(rows: DataFrame, queries: str, k: int, rerank: int, n: int, *, levels: int = 16, codes: int = 256, beam: int = 4, share: float = 0.98, list_rows: int = 2048, sample: int = 16384, rows_block: int = 32768, queries_block: int = 8192) -> DataFrame:
     """``nearest`` among vectors of one length.
 
     The index is fitted on a ``sample`` of bounded size and covers every vector: a vector
     belongs to the list of its nearest centre, and beam search codes what that leaves
-    over; the norm of the sum is stored. A query asks the nearest lists, as many as
-    held ``share`` of the neighbours within the sample, and scores their codes by lookup
-    tables; a list sends four times its even share of ``rerank`` and ``k`` more, and the
-    ``rerank`` best of all are measured exactly. Lists grow in number
+    over as a direction; its length and the norm of the sum are stored. A query asks the
+    nearest lists, as many as held ``share`` of the neighbours within the sample, and
+    scores their codes by lookup tables; a list sends four times its even share of
+    ``rerank`` and ``k`` more, and the ``rerank`` best of all are measured exactly. All
+    three rise to what ``effort`` measures over the whole table. Lists grow in number
     with the table, up to an eighth of the sample. A list of over ``rows_block`` rows and
     the queries of a list are dealt over tasks in blocks of fixed size. Only the index
-    and a row a list are broadcast or come to the driver. ``scale`` is a power of two
-    that keeps single-precision squares finite.
+    and a row a list are broadcast or come to the driver.
     """
     held = cut(classes(rows, k + 1))
-    seen = fit_sample(held, sample, scale)
+    seen = fit_sample(held, sample)
+    frame = Frame.of(seen)
+    seen = frame.place(seen)
     index = Index.fit(seen, max(1, min(n // list_rows, len(seen) // 8)), levels, min(codes, len(seen)))
     probes = index.probes(seen, k, share)
-    most = min(rerank, math.ceil(4 * rerank / probes) + k)
     asked = rows.filter(queries).withColumn("h", F.xxhash64("v"))
     member = cut(asked.join(held.select(F.xxhash64("v").alias("h"), "v", F.col("id").alias("class")), ["h", "v"]).select(F.col("id").alias("query_id"), "class"))
     wanted = held.join(member.select(F.col("class").alias("id")).distinct(), "id", "left_semi").select("id", "v")
 
-    def single(v: pd.Series) -> np.ndarray:
-        return (np.stack(v.to_numpy()) * scale).astype(np.float32) if len(v) else np.zeros((0, seen.shape[1]), np.float32)
+    dim = seen.shape[1]
 
-    @F.pandas_udf("list int, codes binary, norm double")
+    def placed(v: pd.Series) -> np.ndarray:
+        return frame.place(np.stack(v.to_numpy())) if len(v) else np.zeros((0, dim))
+
+    @F.pandas_udf("list int, codes binary, gain double, norm double")
     def encoded(v: pd.Series) -> pd.DataFrame:
-        x = single(v)
+        x = placed(v)
         own = closest(x, index.lists) if len(x) else np.zeros(0, np.int64)
-        found = index.books.encode(x - index.lists[own], beam)
-        sums = (index.lists[own] + index.books.decode(found)).astype(np.float64)
-        return pd.DataFrame({"list": own.astype(np.int32), "codes": [c.tobytes() for c in found], "norm": np.einsum("nd,nd->n", sums, sums)})
+        way, gain = unit(x - index.lists[own])
+        found = index.books.encode(way, beam)
+        sums = gain[:, None] * index.books.decode(found)
+        return pd.DataFrame({"list": own.astype(np.int32), "codes": [c.tobytes() for c in found], "gain": gain, "norm": np.einsum("nd,nd->n", sums, sums)})
+
+    coded = cut(held.withColumn("e", encoded("v")).select("id", "e.*"))
+    probes, least, least_within = effort(held, coded, wanted, frame, index, k, (1 + share) / 2, probes)
+    most = min(rerank, math.ceil(4 * rerank / probes) + k)
+    rerank, most = max(rerank, least), max(most, least_within)
 
     @F.pandas_udf("array<int>")
     def nearby(v: pd.Series) -> pd.Series:
-        away = index.away(single(v))
+        away = index.away(placed(v))
         return pd.Series(list(np.argpartition(away, probes - 1, axis=1)[:, :probes].astype(np.int32)))
 
     def scored(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -206,15 +297,16 @@ def _nearest(rows: DataFrame, queries: str, k: int, rerank: int, scale: float, n
         found = np.frombuffer(b"".join(left["codes"]), np.uint8).reshape(len(left), -1)
         ids, norm, centre = left["id"].to_numpy(np.int64), left["norm"].to_numpy(), index.lists[left["list"].iloc[0]]
         by_id = np.argsort(ids)
-        found, ids, norm = found[by_id], ids[by_id], norm[by_id]
+        found, ids, norm, gain = found[by_id], ids[by_id], norm[by_id], left["gain"].to_numpy()[by_id]
         out = []
         for at in range(0, len(right), 64):
-            asks = single(right["ask"].iloc[at : at + 64])
-            tables, rough = -2 * np.einsum("qd,mkd->qmk", asks, index.books.tables), -2 * asks @ centre
+            asks = placed(right["ask"].iloc[at : at + 64]) - centre
+            tables, rough = -2 * np.einsum("qd,mkd->qmk", asks, index.books.tables), np.einsum("qd,qd->q", asks, asks)
             for i, query in enumerate(right["query_id"].iloc[at : at + 64]):
-                near = norm + rough[i]
+                along = np.zeros(len(ids))
                 for m in range(found.shape[1]):
-                    near += tables[i, m][found[:, m]]
+                    along += tables[i, m][found[:, m]]
+                near = rough[i] + norm + gain * along
                 top = np.arange(len(near))
                 if len(near) > most:  # of equal scores the smaller ids
                     last = np.partition(near, most - 1)[most - 1]
@@ -223,14 +315,13 @@ def _nearest(rows: DataFrame, queries: str, k: int, rerank: int, scale: float, n
                 out.append(pd.DataFrame({"query_id": np.full(len(top), query), "id": ids[top], "near": near[top]}))
         return pd.concat(out)
 
-    coded = cut(held.withColumn("e", encoded("v")).select("id", "e.*"))
     probed = cut(wanted.select(F.col("id").alias("query_id"), F.col("v").alias("ask"), F.explode(nearby("v")).alias("list")))
     parts = coded.groupBy("list").agg(F.ceil(F.count("*") / rows_block).cast("int").alias("r_parts"))
     ask_parts = probed.groupBy("list").agg(F.ceil(F.count("*") / queries_block).cast("int").alias("q_parts"))
     plan = F.broadcast(parts.join(ask_parts, "list"))  # a row a list
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     dealt = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
-    left = coded.join(plan, "list").select("list", "id", "codes", "norm", dealt("id", "r_parts").alias("r"), spread("q_parts").alias("q"))
+    left = coded.join(plan, "list").select("list", "id", "codes", "gain", "norm", dealt("id", "r_parts").alias("r"), spread("q_parts").alias("q"))
     right = probed.join(plan, "list").select(F.col("list").alias("at"), "query_id", "ask", dealt("query_id", "q_parts").alias("aq"), spread("r_parts").alias("ar"))
     met = left.groupBy("list", "r", "q").cogroup(right.groupBy("at", "ar", "aq")).applyInPandas(scored, "query_id long, id long, near double")
     best = Window.partitionBy("query_id").orderBy("near", "id")

@@ -53,6 +53,13 @@ def test_large_and_tiny_values(spark):
         assert recall(spark, x) == 1.0
 
 
+def test_recall_of_rows_far_from_zero_and_beside_a_huge_one(spark):
+    base = np.random.default_rng(5).normal(size=(3000, 32))
+    assert recall(spark, base * 0.01 + 300) >= 0.95
+    assert recall(spark, np.vstack([base[:-1], np.full((1, 32), 1e25)])) >= 0.95
+    assert recall(spark, base * np.exp(4 * np.random.default_rng(6).normal(size=(3000, 1)))) >= 0.9
+
+
 def test_lengths_are_searched_apart(spark):
     rows = [(i, [float(i)] * (2 if i % 3 else 3)) for i in range(1, 40)]
     got = lists(nearest(spark.createDataFrame(rows, SCHEMA), "id % 10 = 0", k=3))
