@@ -51,15 +51,22 @@ LABELS = ("topic", "intent", "severity", "sentiment", "evidence_quote")
 
 
 def met_records(records: DataFrame, source: DataFrame) -> DataFrame:
-    """Records beside their source (``true_sha``, ``review_text``) and their original (``o_``): one join each.
+    """Records beside their source (``true_sha``) and their original (``o``): one join each.
 
     Of rows that share an id one stands as the original, so a repeated original repeats nothing.
+    What the rules ask of texts is read off after the first join (``no_text``, ``no_quote``,
+    ``exact``; ``evidence_quote`` is its hash from then on), so no text is dealt by its
+    original; and records without an original, which are most, are dealt by their own ids.
     """
     known = source.select(ID, F.col("source_sha256").alias("true_sha"), "review_text")
     fields = ("cache_source_id", "text_key", *LABELS)
-    originals = records.groupBy(F.col(ID).alias("__id")).agg(F.min(F.struct(*fields)).alias("o"), F.lit(True).alias("o_there"))
-    met = records.join(known, ID, "left").join(originals, F.col("cache_source_id") == F.col("__id"), "left")
-    return met.select(*records.columns, "true_sha", "review_text", "o", F.coalesce("o_there", F.lit(False)).alias("o_there"))
+    hashed = {"evidence_quote": F.sha2("evidence_quote", 256)}
+    originals = records.withColumns(hashed).groupBy(F.concat(F.lit("="), ID).alias("__o")).agg(F.min(F.struct(*fields)).alias("o"), F.lit(True).alias("o_there"))
+    texts = {"no_text": is_blank(F.col("review_text")), "no_quote": is_blank(F.col("evidence_quote")), "exact": F.coalesce(F.contains("review_text", "evidence_quote"), F.lit(False))}
+    read = records.join(known, ID, "left").withColumns(texts).withColumns(hashed).drop("review_text")
+    dealt = F.coalesce(F.concat(F.lit("="), "cache_source_id"), F.concat(F.lit("-"), F.xxhash64(ID).cast("string")))
+    met = read.withColumn("__o", dealt).join(originals, "__o", "left")
+    return met.drop("__o").withColumn("o_there", F.coalesce("o_there", F.lit(False)))
 
 
 def record_rules() -> dict[str, Column]:
@@ -67,17 +74,17 @@ def record_rules() -> dict[str, Column]:
     c = F.col
     known, same = c("true_sha").isNotNull(), c("source_sha256").eqNullSafe(c("true_sha"))
     quarantined, completed = c("status").eqNullSafe("quarantined"), c("status").eqNullSafe("completed")
-    schema = F.coalesce(c("topic").isin(*TOPICS) & c("intent").isin(*INTENTS) & c("severity").between(1, 5) & c("sentiment").between(-1, 1) & ~is_blank(c("evidence_quote")), F.lit(False))
+    schema = F.coalesce(c("topic").isin(*TOPICS) & c("intent").isin(*INTENTS) & c("severity").between(1, 5) & c("sentiment").between(-1, 1) & ~c("no_quote"), F.lit(False))
     differs = reduce(lambda a, b: a | b, [~c(f).eqNullSafe(c(f"o.{f}")) for f in ("text_key", *LABELS)])
     reason = is_blank(c("reason"))
     return {
         "unknown_review_id": ~known,
         "source_mismatch": known & ~same,
         "quarantine_without_reason": known & same & quarantined & reason,
-        "incorrect_empty_reason": known & same & quarantined & ~reason & is_blank(c("review_text")) & (c("reason") != EMPTY_REASON),
+        "incorrect_empty_reason": known & same & quarantined & ~reason & c("no_text") & (c("reason") != EMPTY_REASON),
         "invalid_status": known & same & ~quarantined & ~completed,
         "invalid_schema": known & same & completed & ~schema,
-        "unsupported_quote": known & same & completed & schema & ~F.coalesce(F.contains("review_text", "evidence_quote"), F.lit(False)),
+        "unsupported_quote": known & same & completed & schema & ~c("exact"),
         "invalid_cache_reuse": c("cache_source_id").isNotNull() & (~c("o_there") | c("o.cache_source_id").isNotNull() | differs),
     }
 

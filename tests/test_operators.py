@@ -222,3 +222,21 @@ def test_part_tags_of_very_long_texts_are_counted(spark, monkeypatch):
     monkeypatch.setattr(corpus_queries, "reviews", lambda *_: table)
     got = {r["tag"]: r["n"] for r in corpus_queries.part_tag_counts(spark, "unused").collect()}
     assert got == {f"part_{chr(97 + i // 26)}{chr(97 + i % 26)}": sum(i < n for n in sizes) for i in range(5000)}
+
+
+def test_records_without_an_original_are_dealt_over_tasks_without_their_texts(spark):
+    rows = [(str(i), "k", "h", "completed", None, "billing", "praise", 1, 0.0, "some text", None) for i in range(400)]
+    schema = "review_id string, text_key string, source_sha256 string, status string, reason string, topic string, intent string, severity int, sentiment double, evidence_quote string, cache_source_id string"
+    source = spark.createDataFrame([(str(i), "h", "some text") for i in range(400)], "review_id string, source_sha256 string, review_text string")
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        met = audit.met_records(spark.createDataFrame(rows, schema), source)
+        tasks = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(tasks) == 400 and max(tasks) < 200
+    assert "review_text" not in met.columns
