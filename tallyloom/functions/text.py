@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 # The 29 characters that count as white space when a text is trimmed.
 WS = r"\x09-\x0D\x1C-\x20\x85\xA0  -     　"
+# The same characters one by one.
+WS_CHARS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 # Where sentences end: marks before white space, line breaks, and marks of scripts without spaces.
 SENTENCE_END = rf"(?<=[.!?])[{WS}]+|[\r\n]+|(?<=[।。！？؟۔])[{WS}]*"
 
 
 def trim_ws(text: Column) -> Column:
     """A text without white space at its ends."""
-    return F.regexp_replace(text, rf"^[{WS}]+|[{WS}]+\z", "")
+    return F.btrim(text, F.lit(WS_CHARS))
 
 
 def is_blank(text: Column) -> Column:
@@ -54,11 +56,23 @@ def canonical_json(**fields: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
-def pieces(text: Column) -> Column:
-    """Sentences that hold a letter or digit, each an exact part of the text; a text with none is one piece, trimmed."""
-    parts = F.transform(F.split(text, SENTENCE_END, -1), trim_ws)
-    content = F.filter(parts, lambda p: p.rlike(r"[\p{L}\p{N}]"))
-    return F.when(F.size(content) > 0, content).otherwise(F.array(trim_ws(text)))
+def has_content(part: Column) -> Column:
+    """Whether a part holds a letter or digit."""
+    return part.rlike(r"[\p{L}\p{N}]")
+
+
+def pieces(text: Column, parts: Column | None = None) -> Column:
+    """Sentences that hold a letter or digit, each an exact part of the text; a text with none is one piece, trimmed.
+
+    ``parts`` is the text as split already. The sentences are bound to a name, so that the text is split once.
+    """
+    content = F.transform(F.filter(F.split(text, SENTENCE_END, -1) if parts is None else parts, has_content), trim_ws)
+    return F.get(F.transform(F.array(content), lambda c: F.when(F.size(c) > 0, c).otherwise(F.array(trim_ws(text)))), 0)
+
+
+def piece_count(text: Column) -> Column:
+    """How many ``pieces`` a text has."""
+    return F.greatest(F.lit(1), F.size(F.filter(F.split(text, SENTENCE_END, -1), has_content)))
 
 
 def part_tags(parts: Column) -> Column:

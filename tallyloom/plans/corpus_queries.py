@@ -9,10 +9,11 @@ from pyspark.sql.window import Window
 from tallyloom.functions.draws import poisson
 from tallyloom.functions.labels import FEATURES, MARKERS, STOP_WORDS
 from tallyloom.functions.numbers import wilson
-from tallyloom.functions.text import SENTENCE_END, canonical_json, entities, hash_mod, is_blank, lang_bucket, part_tags, pieces, row_sha, shuffled_options, token_estimate, trim_ws
+from tallyloom.functions.text import SENTENCE_END, canonical_json, entities, has_content, hash_mod, is_blank, lang_bucket, part_tags, piece_count, pieces, row_sha, shuffled_options, token_estimate, trim_ws
 from tallyloom.operators import agreement, corpus, ledger, order
 from tallyloom.plans.base import BLANKED, CALLS, PIECES_SQL, REV, SEED, SPLIT_SQL, VERIFY_SEED, blanked, calls, h, reviews, sql, table
 from tallyloom.plans.registry import query
+from tallyloom.session import settled
 
 # What stands in for feature and stop words of the corpus' invented prose: terms that it has.
 TERMS = ("the", "ist", "los", "in", "le", "password", "of the")
@@ -174,8 +175,8 @@ HAS = lambda test: f"count(*) FILTER (len(list_filter(p, lambda x: {test})) > 0)
 @query(sql((REV, PIECES_SQL), f"SELECT max(len(p)) AS most, count(*) FILTER (len(p) = 1) AS single, {HAS('length(x) > 300')} AS with_long, {HAS('length(x) < 3')} AS with_tiny, {HAS(chr(39).join(['regexp_matches(x, ', '[.!?][A-Za-z]', ')']))} AS with_glued, {HAS('NOT contains(review_text, x)')} AS inexact, (SELECT count(*) FROM rev WHERE len(list_filter({SPLIT_SQL}, lambda x: x <> '' AND NOT regexp_matches(x, '[\\pL\\pN]'))) > 0) AS with_empty FROM pc"))
 def piece_quality(spark: SparkSession, d: str) -> DataFrame:
     """Records with long, tiny, glued and inexact pieces, and with parts that hold no letter or digit."""
-    raw = F.transform(F.split("review_text", SENTENCE_END, -1), trim_ws)
-    cut = reviews(spark, d).select(pieces(F.col("review_text")).alias("p"), "review_text", F.exists(raw, lambda x: (x != "") & ~x.rlike(r"[\p{L}\p{N}]")).alias("empty"))
+    split = reviews(spark, d).select("review_text", F.split("review_text", SENTENCE_END, -1).alias("parts"))
+    cut = split.select(pieces(F.col("review_text"), F.col("parts")).alias("p"), "review_text", F.exists("parts", lambda x: ~has_content(x) & ~is_blank(x)).alias("empty"))
     has = lambda test: F.count_if(F.exists("p", test))
     return cut.agg(
         F.max(F.size("p")).alias("most"), F.count_if(F.size("p") == 1).alias("single"), has(lambda x: F.length(x) > 300).alias("with_long"), has(lambda x: F.length(x) < 3).alias("with_tiny"),
@@ -186,7 +187,7 @@ def piece_quality(spark: SparkSession, d: str) -> DataFrame:
 @query(sql((REV, PIECES_SQL, "o AS (SELECT lang, list_sort(list(length(review_text)) FILTER (len(p) = 1)) AS l, count(*) AS n FROM pc GROUP BY lang)"), "SELECT lang, len(l) AS n, l[CAST(floor(len(l) * 0.5) AS BIGINT) + 1] AS p50, l[CAST(floor(len(l) * 0.9) AS BIGINT) + 1] AS p90, round(len(l) / CAST(n AS DOUBLE), 6) AS share FROM o WHERE len(l) > 0"))
 def single_pieces(spark: SparkSession, d: str) -> DataFrame:
     """Texts of one piece: their share, and lengths at places floor(share * n) of their sorted lengths, by language."""
-    cut = reviews(spark, d).select("lang", F.size(pieces(F.col("review_text"))).alias("k"), F.length("review_text").alias("size"))
+    cut = settled(reviews(spark, d).select("lang", piece_count(F.col("review_text")).alias("k"), F.length("review_text").alias("size")))  # texts are split once, then numbers are read
     at = {q: agreement.value_at(cut.filter("k = 1"), "lang", "size", q) for q in (0.5, 0.9)}
     share = cut.groupBy("lang").agg(F.round(F.count_if(F.col("k") == 1) / F.count("*"), 6).alias("share"))
     return at[0.5].select("lang", "n", F.col("at").alias("p50")).join(at[0.9].select("lang", F.col("at").alias("p90")), "lang").join(share, "lang")
@@ -195,14 +196,14 @@ def single_pieces(spark: SparkSession, d: str) -> DataFrame:
 @query(sql((REV, PIECES_SQL), f"SELECT review_id, NOT ({h('gap', 'review_id', 5)} = 0 AND len(p) >= 3) AS covered FROM pc"))
 def cover_check(spark: SparkSession, d: str) -> DataFrame:
     """Whether pieces follow each other through the text without leaving out a letter or digit; from some the second is taken away."""
-    every = pieces(F.col("review_text"))
+    every = F.col("every")
     gap = (hash_mod("gap", F.col("review_id"), 5) == 0) & (F.size(every) >= 3)
-    cut = reviews(spark, d).select("review_id", "review_text", F.when(gap, F.concat(F.slice(every, 1, 1), F.slice(every, 3, F.greatest(F.size(every) - 2, F.lit(0))))).otherwise(every).alias("p"))
+    cut = reviews(spark, d).select("review_id", "review_text", pieces(F.col("review_text")).alias("every")).select("review_id", "review_text", F.when(gap, F.concat(F.slice(every, 1, 1), F.slice(every, 3, F.greatest(F.size(every) - 2, F.lit(0))))).otherwise(every).alias("p"))
 
     def step(rest: Column, x: Column) -> Column:
         at = F.call_function("locate", x, rest)
         clean = (at > 0) & ~F.substring(rest, F.lit(1), at - 1).rlike(r"[\p{L}\p{N}]")
-        return F.when(clean, F.substring(rest, at + F.length(x), F.length(rest)))
+        return F.when(clean, F.substring(rest, at + F.length(x), F.lit(2**31 - 1)))
 
     rest = F.aggregate("p", F.col("review_text"), step)
     return cut.select("review_id", F.coalesce(~rest.rlike(r"[\p{L}\p{N}]"), F.lit(False)).alias("covered"))

@@ -240,3 +240,16 @@ def test_records_without_an_original_are_dealt_over_tasks_without_their_texts(sp
             spark.conf.set(k, v)
     assert sum(tasks) == 400 and max(tasks) < 200
     assert "review_text" not in met.columns
+
+
+def test_a_text_is_split_once_for_its_pieces(spark, capsys):
+    texts = spark.createDataFrame([("One. Two! 　\n...\n3",), (" ... ",), ("",)], "t string")
+    cut = texts.select(pieces(F.col("t")).alias("p"))
+    assert [r["p"] for r in cut.collect()] == [["One.", "Two!", "3"], ["..."], [""]]
+    cut.explain()
+    assert capsys.readouterr().out.count("split(") == 1
+
+
+def test_single_pieces_reads_texts_once(spark, capsys):
+    corpus_queries.single_pieces(spark, "/root/testdata/sf0.001").explain()
+    assert "split(" not in capsys.readouterr().out
