@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import hashlib
+import unicodedata
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import is_blank, order_key, text_key, trim_ws
+from tallyloom.functions.text import WS_CHARS, is_blank, order_key, text_key, trim_ws
 from tallyloom.operators.order import position
 
 EMPTY_REASON = "empty text"
@@ -52,25 +55,30 @@ def text_volume(reviews: DataFrame) -> DataFrame:
     return per_text.agg(F.sum("n").alias("records"), F.sum(F.col("n") * F.col("b")).alias("bytes"), F.count("*").alias("distinct_texts"), F.sum("b").alias("distinct_bytes"))
 
 
-def variants() -> dict[str, Column]:
-    """Normal forms under which texts may be equal; Spark has no case folding or composition, so these two run on Arrow batches."""
-    text = F.col("review_text")
-
-    @F.pandas_udf("string")
-    def folded(texts: pd.Series) -> pd.Series:
-        return texts.str.casefold()
-
-    @F.pandas_udf("string")
-    def composed(texts: pd.Series) -> pd.Series:
-        return texts.str.normalize("NFC")
-
-    return {"casefold": folded(trim_ws(text)), "nfc": composed(text), "exact": text, "stripped": trim_ws(text), "lowered": F.lower(trim_ws(text)), "collapsed": F.regexp_replace(F.lower(trim_ws(text)), r"[ \t\r\n]+", " ")}
+def folded_and_composed(texts: pa.Array) -> pa.Array:
+    """SHA-256 of the trimmed, case-folded text and of the composed one; only hashes are kept, a text at a time."""
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    made = ((None, None) if t is None else (sha(t.strip(WS_CHARS).casefold()), sha(unicodedata.normalize("NFC", t))) for t in (x.as_py() for x in texts))
+    folded, composed = map(list, zip(*made, strict=True)) if len(texts) else ([], [])
+    return pa.StructArray.from_arrays([pa.array(folded, pa.string()), pa.array(composed, pa.string())], ["casefold", "nfc"])
 
 
 def dedup_variants(reviews: DataFrame) -> DataFrame:
-    """How many distinct texts each normal form leaves: one scan, one hash a form."""
-    forms = variants()
-    row = reviews.agg(*(F.countDistinct(F.sha2(v, 256)).alias(k) for k, v in forms.items()))
+    """How many distinct texts each normal form leaves: one scan, one hash a form.
+
+    Spark has no case folding or composition, so texts beyond ASCII take these two from
+    Arrow batches; of an ASCII text the one is lower case and the other the text itself.
+    """
+    text = F.col("review_text")
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    read = reviews.select("review_text", ascii_only.alias("plain"), F.arrow_udf(folded_and_composed, "casefold string, nfc string")(F.when(~ascii_only, text)).alias("u"))
+    sha = lambda form: F.sha2(form, 256)
+    lowered = F.lower(trim_ws(text))
+    forms = {
+        "casefold": F.when(F.col("plain"), sha(lowered)).otherwise(F.col("u.casefold")), "nfc": F.when(F.col("plain"), sha(text)).otherwise(F.col("u.nfc")), "exact": sha(text),
+        "stripped": sha(trim_ws(text)), "lowered": sha(lowered), "collapsed": sha(F.regexp_replace(lowered, r"[ \t\r\n]+", " ")),
+    }
+    row = read.agg(*(F.countDistinct(v).alias(k) for k, v in forms.items()))
     return row.unpivot([], list(forms), "form", "distinct_texts")
 
 

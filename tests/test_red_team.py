@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 
 from tallyloom.functions.labels import TOPICS
-from tallyloom.operators import audit
+from tallyloom.operators import audit, corpus
 from tallyloom.session import shared_dir
 from tallyloom.sources.exports import SHEETS, read_export
 
@@ -200,3 +200,13 @@ def test_folder_raises_its_codes(raised, name):
 
 def test_bad_lines_are_named(raised):
     assert {r["detail"] for r in raised["lines that are no JSON"]} == {f"checkpoint_before.json:{n}" for n in (2, 3, 4, 5)}
+
+
+def test_only_texts_beyond_ascii_are_folded_in_python(spark):
+    import pyarrow as pa
+
+    texts = ["Straße", "STRASSE", " strasse　", "é", "é", "", "A b", "a  b"]
+    df = spark.createDataFrame([(t,) for t in texts], "review_text string")
+    found = {r["form"]: r["distinct_texts"] for r in corpus.dedup_variants(df).collect()}
+    assert found == {"casefold": 6, "nfc": 7, "exact": 8, "stripped": 8, "lowered": 7, "collapsed": 6}
+    assert corpus.folded_and_composed(pa.array([None, "x"])).to_pylist()[0] == {"casefold": None, "nfc": None}
