@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import unicodedata
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -55,12 +56,16 @@ def text_volume(reviews: DataFrame) -> DataFrame:
     return per_text.agg(F.sum("n").alias("records"), F.sum(F.col("n") * F.col("b")).alias("bytes"), F.count("*").alias("distinct_texts"), F.sum("b").alias("distinct_bytes"))
 
 
-def folded_and_composed(texts: pa.Array) -> pa.Array:
+def folded_and_composed() -> Callable[[pa.Array], pa.Array]:
     """SHA-256 of the trimmed, case-folded text and of the composed one; only hashes are kept, a text at a time."""
-    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
-    made = ((None, None) if t is None else (sha(t.strip(WS_CHARS).casefold()), sha(unicodedata.normalize("NFC", t))) for t in (x.as_py() for x in texts))
-    folded, composed = map(list, zip(*made, strict=True)) if len(texts) else ([], [])
-    return pa.StructArray.from_arrays([pa.array(folded, pa.string()), pa.array(composed, pa.string())], ["casefold", "nfc"])
+
+    def hashes(texts: pa.Array) -> pa.Array:
+        sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+        made = ((None, None) if t is None else (sha(t.strip(WS_CHARS).casefold()), sha(unicodedata.normalize("NFC", t))) for t in (x.as_py() for x in texts))
+        folded, composed = map(list, zip(*made, strict=True)) if len(texts) else ([], [])
+        return pa.StructArray.from_arrays([pa.array(folded, pa.string()), pa.array(composed, pa.string())], ["casefold", "nfc"])
+
+    return hashes
 
 
 def dedup_variants(reviews: DataFrame) -> DataFrame:
@@ -71,7 +76,7 @@ def dedup_variants(reviews: DataFrame) -> DataFrame:
     """
     text = F.col("review_text")
     ascii_only = F.octet_length(text) == F.char_length(text)
-    read = reviews.select("review_text", ascii_only.alias("plain"), F.arrow_udf(folded_and_composed, "casefold string, nfc string")(F.when(~ascii_only, text)).alias("u"))
+    read = reviews.select("review_text", ascii_only.alias("plain"), F.arrow_udf(folded_and_composed(), "casefold string, nfc string")(F.when(~ascii_only, text)).alias("u"))
     sha = lambda form: F.sha2(form, 256)
     lowered = F.lower(trim_ws(text))
     forms = {

@@ -209,4 +209,4 @@ def test_only_texts_beyond_ascii_are_folded_in_python(spark):
     df = spark.createDataFrame([(t,) for t in texts], "review_text string")
     found = {r["form"]: r["distinct_texts"] for r in corpus.dedup_variants(df).collect()}
     assert found == {"casefold": 6, "nfc": 7, "exact": 8, "stripped": 8, "lowered": 7, "collapsed": 6}
-    assert corpus.folded_and_composed(pa.array([None, "x"])).to_pylist()[0] == {"casefold": None, "nfc": None}
+    assert corpus.folded_and_composed()(pa.array([None, "x"])).to_pylist()[0] == {"casefold": None, "nfc": None}
