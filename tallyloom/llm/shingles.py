@@ -69,6 +69,10 @@ def signatures(docs: DataFrame, *, width: int, bands: int, rows: int, key: str,
     return given.mapInArrow(hashed, "doc_id long, text_hash long, size long, fingerprint long, bands array<long>, parity array<long>")
 
 
+#: Texts whose hashes are broadcast at most, so that other texts stay where they are; beyond that all are dealt by hash.
+MOST_SENT = 1 << 20
+
+
 def shingle_sets(nodes: DataFrame, docs: DataFrame, *, width: int, text: str) -> DataFrame:
     """``node`` (text hash) and ``shingles`` (distinct hashes) of the texts of ``nodes``, each read once."""
 
@@ -78,7 +82,10 @@ def shingle_sets(nodes: DataFrame, docs: DataFrame, *, width: int, text: str) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "shingles"])
 
     whole = F.coalesce(F.col(text), F.lit(""))
-    texts = docs.select(F.xxhash64(whole).alias("node"), whole.cast("binary").alias("raw")).join(nodes.select("node").distinct(), "node", "left_semi")
+    wanted = cut(nodes.select("node").distinct())
+    if wanted.count() <= MOST_SENT:
+        wanted = F.broadcast(wanted)
+    texts = docs.select(F.xxhash64(whole).alias("node"), whole.cast("binary").alias("raw")).join(wanted, "node", "left_semi")
     return cut(texts.groupBy("node").agg(F.first("raw")).mapInArrow(sets, "node long, shingles array<long>"))
 
 
@@ -113,7 +120,7 @@ def fingerprint_pairs(nodes: DataFrame, radius: int, percent: int) -> DataFrame:
     return same.unionByName(ends.filter(_alike("x.size", "y.size", percent)).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
 
 
-def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: int = 2, bands: int = 24, rows: int = 5, turns: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: int = 2, bands: int = 24, rows: int = 5, turns: int = 1, pivots: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row a document: ``doc_id``, ``text_hash`` and ``component_id``, the least doc_id that links reach.
 
     Texts are linked when the Jaccard similarity of their shingle sets is ``percent`` or
@@ -123,7 +130,7 @@ def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: i
     apart: of them, 24 bands of 5 miss one in 14,000, of closer ones fewer.
 
     In a band all texts meet one of them, then, ``turns`` times, those not linked to it
-    yet meet another, drawn anew in each band; so a large family is joined by a link a
+    yet meet ``pivots`` others, drawn anew; so a large family is joined by a link a
     text, and few are left apart. Once the bands that are left have no more pairs of texts apart
     than there are rows, or the turns are over, all pairs within them that may be near are
     compared: those whose parities (1024 bits a text) differ in no more bits than near sets
@@ -152,17 +159,18 @@ def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: i
     few = left.count()
     for turn in range(turns + 1):
         placed = left.join(components(links), "node", "left").select("band", "node", "size", F.coalesce("root", "node").alias("root"))
-        pivot = F.min(F.struct(F.xxhash64("node", F.lit(turn)), F.col("node").alias("p"), F.col("size").alias("p_size"), F.col("root").alias("p_root"))).alias("pivot")
-        by_root = placed.groupBy("band", "root").agg(F.count("*").alias("k"), pivot)
+        drawn = [F.struct(F.xxhash64("node", F.lit(turn * pivots + i)), F.col("node").alias("p"), F.col("size").alias("p_size"), F.col("root").alias("p_root")) for i in range(pivots)]
+        by_root = placed.groupBy("band", "root").agg(F.count("*").alias("k"), *(F.min(x).alias(f"p{i}") for i, x in enumerate(drawn)))
         pairs_apart = (F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2
-        split = by_root.groupBy("band").agg(F.count("*").alias("roots"), (pairs_apart / F.sum("k")).alias("a_row"), F.min("pivot").alias("pivot")).filter("roots > 1")
-        left = cut(placed.join(split.select("band", "a_row", "pivot.p", "pivot.p_size", "pivot.p_root"), "band"))
+        met_by = F.array_distinct(F.transform(F.array(*(F.min(f"p{i}") for i in range(pivots))), lambda x: F.struct(x["p"], x["p_size"], x["p_root"])))
+        split = by_root.groupBy("band").agg(F.count("*").alias("roots"), (pairs_apart / F.sum("k")).alias("a_row"), met_by.alias("pivots")).filter("roots > 1")
+        left = cut(placed.join(split.select("band", "a_row", "pivots"), "band"))
         total = left.agg(F.sum("a_row")).first()[0]
         if not total:
             break
         last = turn == turns or total <= few  # no more pairs than rows: no need to draw on
         if not last:
-            pairs = left.filter("root <> p_root").filter(_alike("size", "p_size", percent)).select(F.col("p").alias("a"), F.col("node").alias("b"))
+            pairs = left.select("node", "size", "root", F.inline("pivots")).filter("root <> p_root").filter(_alike("size", "p_size", percent)).select(F.col("p").alias("a"), F.col("node").alias("b"))
         else:
             apart = cut(left.select("band", "node", "size", "root").join(nodes.select("node", "parity"), "node"))
             other = apart.select("band", *(F.col(c).alias(f"{c}_b") for c in ("node", "size", "root", "parity")))

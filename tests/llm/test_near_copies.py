@@ -67,6 +67,18 @@ def test_strays_of_a_family_are_linked_as_by_brute_force(spark, monkeypatch):
     assert len(compared) == 3 and compared[-1] < 400  # of 7000 pairs
 
 
+def test_strays_are_linked_in_few_rounds_however_texts_are_dealt(spark, monkeypatch):
+    """Each turn costs a search of components, whose shuffles filled the disk; texts beyond the number that is broadcast are dealt by hash."""
+    rounds, search = [], shingles.components
+    monkeypatch.setattr(shingles, "components", lambda links: rounds.append(1) or search(links))
+    monkeypatch.setattr(shingles, "MOST_SENT", 0, raising=False)
+    texts = family(1, 120, 200, (3, 12)) + family(4, 30, 100, (0, 9))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_copies(docs).collect()}
+    assert found == dict(enumerate(brute(texts)))
+    assert len(rounds) <= 3
+
+
 def test_a_text_given_twice_and_nulls(spark):
     text = family(3, 1, 60, (0, 1))[0]
     docs = spark.createDataFrame([(5, text, 1), (5, text, 1), (3, text, 2), (9, None, 3), (8, "", 4), (7, " ", 5)], "doc_id long, text string, parity int")
