@@ -13,6 +13,10 @@ from tallyloom.session import settled
 PARSE = {"quote": '"', "escape": '"', "multiLine": "true", "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+#: Lines that are numbered together, as a power of two.
+CHUNK = 10
+
+
 def _count(text: Column, mark: str) -> Column:
     return F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
 
@@ -21,25 +25,27 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """``path``, ``line`` (from 1, the record's first) and ``value`` of the records of CSV files; a quoted cell may hold line feeds.
 
     A line starts within a quoted cell if the quotes before it in its file are odd: each
-    split counts its quotes and lines, and where records begin last in it for either start;
-    running values over the splits of a file, a row each, tell every split how it starts
-    and which record is open there. So a file is read by as many tasks as it has splits,
-    and a task groups whole records. A quote that is never closed makes a record of all
-    that follows.
+    chunk of a split (``CHUNK`` lines at most) counts its quotes and lines, and where records
+    begin last in it for either start; running values over the chunks of a file, a row each,
+    tell every chunk how it starts and which record is open there. So a file is read by as
+    many tasks as it has splits, what a task sorts is chunks and not splits, however large
+    these are, and a task groups whole records. A quote that is never closed makes a record
+    of all that follows.
     """
     meta = F.col("_metadata")
-    lines = spark.read.option("lineSep", "\n").text(path).select("value", meta["file_path"].alias("path"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), _count(F.col("value"), '"').alias("q"))
-    in_split = Window.partitionBy("path", "block").orderBy("at")
-    quotes = F.coalesce(F.sum("q").over(in_split.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    counted = lines.select("path", "block", "q", (quotes % 2).alias("odd"), F.row_number().over(in_split).alias("k"))
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", meta["file_path"].alias("path"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("at"), _count(F.col("value"), '"').alias("q")).withColumn("chunk", F.shiftright("at", CHUNK))
+    here = ["path", "block", "chunk"]  # ids rise within a split, so chunks do
+    in_chunk = Window.partitionBy(*here).orderBy("at")
+    quotes = F.coalesce(F.sum("q").over(in_chunk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counted = lines.select(*here, "q", (quotes % 2).alias("odd"), F.row_number().over(in_chunk).alias("k"))
     begins = [F.max(F.when(F.col("odd") == odd, F.col("k"))) for odd in (0, 1)]
-    splits = counted.groupBy("path", "block").agg(F.sum("q").alias("q"), F.count("*").alias("n"), F.array(*begins).alias("begins"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    summed = splits.select("path", "block", "begins", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("q", "n")))
+    chunks = counted.groupBy(*here).agg(F.sum("q").alias("q"), F.count("*").alias("n"), F.array(*begins).alias("begins"))
+    before = Window.partitionBy("path").orderBy("block", "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    summed = chunks.select(*here, "begins", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("q", "n")))
     last = F.col("n_before") + F.get("begins", (F.col("q_before") % 2).cast("int"))
-    starts = summed.withColumn("last", last).select("path", "block", "q_before", "n_before", F.last("last", ignorenulls=True).over(before).alias("open"))
-    placed = lines.join(starts, ["path", "block"]).select("path", "block", "at", "value", "open", (F.col("n_before") + F.row_number().over(in_split)).alias("line"), ((F.col("q_before") + quotes) % 2 == 0).alias("begins"))
-    first = F.coalesce(F.max(F.when(F.col("begins"), F.col("line"))).over(in_split), F.col("open"))
+    starts = summed.withColumn("last", last).select(*here, "q_before", "n_before", F.last("last", ignorenulls=True).over(before).alias("open"))
+    placed = lines.join(starts, here).select(*here, "at", "value", "open", (F.col("n_before") + F.row_number().over(in_chunk)).alias("line"), ((F.col("q_before") + quotes) % 2 == 0).alias("begins"))
+    first = F.coalesce(F.max(F.when(F.col("begins"), F.col("line"))).over(in_chunk), F.col("open"))
     pieces = F.transform(F.sort_array(F.collect_list(F.struct("line", "value"))), lambda x: x["value"])
     every = placed.select("path", first.alias("first"), "line", "value").groupBy("path", F.col("first").alias("line")).agg(F.array_join(pieces, "\n").alias("value"))
     plain = F.when(F.col("line") == 1, F.ltrim("value", F.lit("﻿"))).otherwise(F.col("value"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import random
+import re
 
 import pytest
 from pyspark.errors import PySparkException
@@ -46,6 +47,20 @@ def test_lines_of_records(spark, tmp_path):
     assert found == [(1, "id,text"), (2, '1,"x\ny"'), (5, "2,z"), (6, '3,"p\n\n\nq"'), (10, "4,last")]
 
 
+def test_lines_of_a_split_are_numbered_by_chunks(spark, tmp_path, monkeypatch):
+    """A split is no longer one group: two lines at most are here, and records run over many chunks."""
+    monkeypatch.setattr(sheets, "CHUNK", 1, raising=False)
+    draw, out = random.Random(5), io.StringIO(newline="")
+    rows = [["id", "text"]] + [[str(i), "".join(draw.choices(PIECES, k=draw.randrange(15)))] for i in range(300)]
+    csv.writer(out, lineterminator="\n").writerows(rows)
+    (tmp_path / "a.csv").write_bytes(out.getvalue().encode())
+    records = sheets.csv_records(spark, str(tmp_path))
+    dealt = re.findall(r"hashpartitioning\(path#\d+, block#\d+L?, ([a-z]+)", records._jdf.queryExecution().executedPlan().toString())
+    assert dealt and set(dealt) == {"chunk"}
+    got = sheets.scan_csv(spark, str(tmp_path), ("id", "text"))
+    assert sorted((r["id"], r["text"]) for r in got.collect()) == sorted(tuple(r) for r in rows[1:])
+
+
 FAULTS = {
     "not_utf8": b"id,text\n1,a\n2,\xff\n",
     "open_quote": b'id,text\n1,a\n2,"b\n3,c\n',
