@@ -255,12 +255,13 @@ def write_zips(rows: DataFrame, path: str) -> None:
     def write(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
         store, inner = stores.opened(f"{target}/{key[0]}.zip")
         store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-        with store.open_output_stream(inner, compression=None) as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as archive:
+        with store.open_output_stream(inner, compression=None) as file, zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
             for source, part in found.sort_values("doc_id").groupby("source"):
                 archive.writestr(f"reviews/{source}.csv", part[["at", "id", "body"]].to_csv(index=False, lineterminator="\n"))
         return found[[]].head(0)
 
-    rows.groupBy(F.floor(F.col("doc_id") / 1000)).applyInPandas(write, "").write.format("noop").mode("overwrite").save()
+    dealt = stores.spread(rows.withColumn("block", F.floor(F.col("doc_id") / 1000)), "block")
+    dealt.groupBy("block").applyInPandas(write, "").write.format("noop").mode("overwrite").save()
 
 
 DAY = "strftime(DATE '2024-01-01' + CAST(doc_id % 60 AS INTEGER), '%Y-%m-%d') || 'T08:00'"

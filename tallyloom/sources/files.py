@@ -128,7 +128,8 @@ def file_hashes(spark: SparkSession, path: str, within: str | None = None, block
     holds one block. Files are named by their path below ``within``, or by their last part.
     Spark's listing leaves out empty files, and so does this.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    with stores.listing_by_cores(spark):
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.element_at(F.split("path", "/"), -1) if within is None else F.regexp_replace("path", "^.*?" + re.escape(urlparse(within).path.strip("/")) + "/", "")
     if stores.scheme_of(spark, path) not in stores.STREAMED:  # read whole: up to Spark's 2 GB a value
         return listed.select(name.alias("file"), F.sha2("content", 256).alias("sha256"), "length")
@@ -145,8 +146,7 @@ def file_hashes(spark: SparkSession, path: str, within: str | None = None, block
                 out.append(digest.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(out, pa.string())], ["path", "length", "sha256"])
 
-    spread = listed.select("path", "length").repartition("path")
-    return spread.mapInArrow(hashed, "path string, length long, sha256 string").select(name.alias("file"), "sha256", "length")
+    return stores.spread(listed.select("path", "length"), "path").mapInArrow(hashed, "path string, length long, sha256 string").select(name.alias("file"), "sha256", "length")
 
 
 def write_manifest(spark: SparkSession, folder: str, to: str) -> None:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyarrow import fs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Stores that a task can stream from, by scheme, and pyarrow's name of each.
 STREAMED = {"file": "file", "hdfs": "hdfs", "s3a": "s3", "s3": "s3", "gs": "gs"}
@@ -30,3 +32,25 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/")
     return fs.FileSystem.from_uri(f"{STREAMED[scheme]}:{rest}")
+
+
+def spread(rows: DataFrame, *by: str) -> DataFrame:
+    """Rows dealt by hash over all shuffle partitions.
+
+    Such rows name files, so they are few bytes and much work: partitions without a number
+    would be merged by their bytes, and one task would do all.
+    """
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *by)
+
+
+@contextmanager
+def listing_by_cores(spark: SparkSession) -> Iterator[None]:
+    """Within it Spark lists folders with a task a core; otherwise it starts a task a folder, up to 10,000."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(2, spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -45,7 +45,8 @@ def scan_zip(spark: SparkSession, path: str, columns: dict[str, str], *, date: s
     of cells, closed quotes; a fault fails the read and names member and reason. Members
     that do not match ``members`` are left out; one with a header alone has no rows.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(path).select("path")
+    with stores.listing_by_cores(spark):
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.zip").load(path).select("path")
 
     def directory(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for zips in batches:
@@ -76,5 +77,5 @@ def scan_zip(spark: SparkSession, path: str, columns: dict[str, str], *, date: s
                     if held:
                         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held, strict=True)], schema=schema)
 
-    found = listed.repartition("path").mapInArrow(directory, "path string, member string")
-    return found.repartition("path", "member").mapInArrow(read, ", ".join(f"`{n}` string" for n in names))
+    found = stores.spread(listed, "path").mapInArrow(directory, "path string, member string")
+    return stores.spread(found, "path", "member").mapInArrow(read, ", ".join(f"`{n}` string" for n in names))

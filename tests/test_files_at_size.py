@@ -113,3 +113,17 @@ def test_zip_members_that_are_refused(spark, tmp_path, content, message):
     write_zip(tmp_path / "one.zip", {"b.csv": content})
     with pytest.raises(Exception, match=message):
         zips.scan_zip(spark, str(tmp_path), {"id": "id"}).collect()
+
+
+def test_members_and_files_are_read_by_many_tasks(spark, tmp_path):
+    """Names of files are few bytes, so partitions of them must not be merged by bytes; folders are listed by few tasks."""
+    for n in range(12):
+        (tmp_path / f"z{n}").mkdir()
+        with zipfile.ZipFile(tmp_path / f"z{n}" / "a.zip", "w") as archive:
+            archive.writestr("a.csv", f"id\n{n}\n")
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    rows = zips.scan_zip(spark, str(tmp_path), {"id": "id"})
+    hashes = files.file_hashes(spark, str(tmp_path))
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
+    assert sorted(int(r["id"]) for r in rows.collect()) == list(range(12))
+    assert rows.rdd.getNumPartitions() == 4 and hashes.rdd.getNumPartitions() == 4
