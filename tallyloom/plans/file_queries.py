@@ -205,8 +205,21 @@ def write_blocks(spark: SparkSession, d: str, path: str, lost: bool) -> None:
     key = F.when((hash_mod("lost", F.col("review_id"), 60) == 0) & F.lit(lost), "").otherwise(F.col("text_key"))
     moved = F.when((hash_mod("moved", source, 6) == 0) & F.lit(lost), F.concat(source, F.lit("-moved"))).otherwise(source)
     lines = reviews(spark, d).select(moved.alias("source"), F.floor(F.col("doc_id") / 1000).alias("block"), "doc_id", F.concat_ws(" ", "review_id", key).alias("value"))
-    dealt = lines.repartition("source", "block").sortWithinPartitions("source", "block", "doc_id").drop("doc_id")
-    dealt.write.partitionBy("source", "block").text(path)
+    target = stores.qualified(spark, path)
+    if stores.scheme_of(spark, path) not in stores.STREAMED:
+        dealt = stores.spread(lines, "source", "block").sortWithinPartitions("source", "block", "doc_id").drop("doc_id")
+        dealt.write.partitionBy("source", "block").text(path)
+        return
+
+    def write(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
+        for source, part in found.sort_values("doc_id").groupby("source"):
+            store, inner = stores.opened(f"{target}/source={source}/block={key[0]}/lines.txt")
+            store.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+            with store.open_output_stream(inner, compression=None) as file:
+                file.write("".join(f"{x}\n" for x in part["value"]).encode())
+        return found[[]].head(0)
+
+    stores.spread(lines, "block").groupBy("block").applyInPandas(write, "").write.format("noop").mode("overwrite").save()
 
 
 @query(sql((REV, LINES.format(bad="false")), f"SELECT {NAMED}, sha256(string_agg(line, '' ORDER BY doc_id)) AS sha256, CAST(sum(strlen(line)) AS BIGINT) AS length FROM f GROUP BY source, block"))

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators.corpus import tree_digest
+from tallyloom.plans.file_queries import write_blocks
 from tallyloom.sources import files, zips
 from tallyloom.streaming.classify import classify_stream
 
@@ -127,3 +128,15 @@ def test_members_and_files_are_read_by_many_tasks(spark, tmp_path):
     assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == before
     assert sorted(int(r["id"]) for r in rows.collect()) == list(range(12))
     assert rows.rdd.getNumPartitions() == 4 and hashes.rdd.getNumPartitions() == 4
+
+
+def test_blocks_are_written_by_their_tasks(spark, tmp_path):
+    """Thousands of small files are neither moved nor marked by a commit; each holds its lines in order of id."""
+    write_blocks(spark, "/root/testdata/sf0.001", str(tmp_path / "blocks"), lost=False)
+    found = {str(p.parent.relative_to(tmp_path / "blocks")): [int(x.split()[0]) for x in p.read_text().splitlines()] for p in (tmp_path / "blocks").rglob("*.txt")}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", F.coalesce("source", F.lit("none")).alias("source")).collect()
+    want: dict[str, list[int]] = {}
+    for r in sorted(docs):
+        want.setdefault(f"source={r['source']}/block={r['doc_id'] // 1000}", []).append(r["doc_id"])
+    assert found == want
+    assert not list((tmp_path / "blocks").rglob("_SUCCESS"))
