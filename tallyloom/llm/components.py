@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.shared import cut
+from tallyloom.llm.shared import cut, swept
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
 
     def state(df: DataFrame) -> tuple:
-        row = df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        row = swept(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))).collect()[0]
         return row[0], row[1]
 
     now = cut(edges.filter("a <> b").select("a", "b"))

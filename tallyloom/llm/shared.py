@@ -9,11 +9,27 @@ from pyspark.sql.window import Window
 from tallyloom.session import shared_dir
 
 
+#: Spark's setting by which the shuffle files of a run are deleted when it ends.
+SWEEP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def swept(df: DataFrame) -> DataFrame:
+    """``df`` to be run once: its shuffle files go when that run ends. Otherwise they stay until the
+    driver happens to collect its garbage, and an iteration's many small ones fill the disks."""
+    conf = df.sparkSession.conf
+    before = conf.get(SWEEP, "false")
+    conf.set(SWEEP, "true")
+    try:
+        return df.select("*")  # the setting is read where a frame is made
+    finally:
+        conf.set(SWEEP, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, so that what follows
-    neither repeats the work nor depends on the executors that did it."""
+    neither repeats the work nor depends on the executors that did it; its shuffle files go."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return swept(df).checkpoint(eager=True)
 
 
 def hash_bucket(columns: list[str | Column], buckets: int = 256) -> Column:

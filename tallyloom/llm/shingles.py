@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.components import components
-from tallyloom.llm.shared import cut
+from tallyloom.llm.shared import cut, swept
 from tallyloom.llm.simhash import SEED, ball_links, kept_rows, majority, shingle_hashes
 
 
@@ -165,7 +165,7 @@ def near_copies(docs: DataFrame, *, width: int = 5, percent: int = 80, radius: i
         met_by = F.array_distinct(F.transform(F.array(*(F.min(f"p{i}") for i in range(pivots))), lambda x: F.struct(x["p"], x["p_size"], x["p_root"])))
         split = by_root.groupBy("band").agg(F.count("*").alias("roots"), (pairs_apart / F.sum("k")).alias("a_row"), met_by.alias("pivots")).filter("roots > 1")
         left = cut(placed.join(split.select("band", "a_row", "pivots"), "band"))
-        total = left.agg(F.sum("a_row")).first()[0]
+        total = swept(left.agg(F.sum("a_row"))).collect()[0][0]
         if not total:
             break
         last = turn == turns or total <= few  # no more pairs than rows: no need to draw on

@@ -8,7 +8,8 @@ import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
 
-from tallyloom.llm import shingles
+from tallyloom.llm import shared, shingles
+from tallyloom.llm.components import components
 from tallyloom.llm.shingles import near_copies, parities
 
 
@@ -84,3 +85,26 @@ def test_a_text_given_twice_and_nulls(spark):
     docs = spark.createDataFrame([(5, text, 1), (5, text, 1), (3, text, 2), (9, None, 3), (8, "", 4), (7, " ", 5)], "doc_id long, text string, parity int")
     found = sorted((r["doc_id"], r["component_id"]) for r in near_copies(docs).collect())
     assert found == [(3, 3), (5, 3), (5, 3), (7, 7), (8, 8), (9, 8)]
+
+
+def shuffle_files(spark) -> set:
+    held, names = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator(), set()
+    while held.hasNext():
+        names.add(held.next().getName())
+    return {x for x in names if x.startswith("shuffle_")}
+
+
+def test_rounds_leave_no_shuffle_files(spark):
+    """Each round's files stayed until the driver collected its garbage; with many partitions they filled the disk."""
+    path = [(i, i + 1) for i in range(300)]
+    before = shuffle_files(spark)
+    found = components(spark.createDataFrame(path, "a long, b long"))
+    left = shuffle_files(spark) - before
+    assert found.count() == 301 and {r["root"] for r in found.collect()} == {0}
+    assert not left
+    conf = spark.conf.get(shared.SWEEP)
+    texts = family(1, 40, 200, (3, 12))
+    before = shuffle_files(spark)
+    near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert len({x.split("_")[1] for x in shuffle_files(spark) - before}) <= 8  # of counts; dozens before
+    assert spark.conf.get(shared.SWEEP) == conf == "false"
