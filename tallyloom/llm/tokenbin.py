@@ -73,9 +73,10 @@ def pack(values: np.ndarray) -> bytes:
     for choice in range(1, len(COUNTS)):
         where = np.flatnonzero(chosen == choice)
         if len(where):
-            held = np.arange(COUNTS[choice])
-            ids = padded[starts[where][:, None] + held] << (held * BITS[choice]).astype(np.uint64)
-            words[where] = np.bitwise_or.reduce(ids, axis=1) | np.uint64(choice << 60)
+            first, word = starts[where], np.full(len(where), choice << 60, np.uint64)
+            for held in range(COUNTS[choice]):
+                word |= padded[first + held] << np.uint64(held * BITS[choice])
+            words[where] = word
     return MAGIC + np.array([n, len(words), len(escapes)], "<u4").tobytes() + words.astype("<u8").tobytes() + escapes.astype("<u8").tobytes()
 
 

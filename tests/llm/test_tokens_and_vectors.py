@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tallyloom.llm.ann import Codebooks, nearest
-from tallyloom.llm.encode import encoder
+from tallyloom.llm.encode import Encoder, encoder
 from tallyloom.llm.packing import cutting_plan, pack_documents, token_pieces
 from tallyloom.llm.queries import QUERIES
 from tallyloom.llm.tokenbin import pack, read_tokens, unpack, write_tokens
@@ -161,6 +161,37 @@ def test_special_strings_get_the_ids_of_the_plain_library(kind):
         assert own(text or "").tolist() == plain.encode(text or "", add_special_tokens=False).ids, text
 
 
+class Counted:
+    """A pattern that notes how many characters it is asked to cut."""
+
+    def __init__(self, pattern):
+        self.pattern, self.read = pattern, 0
+
+    def findall(self, text):
+        self.read += len(text)
+        return self.pattern.findall(text)
+
+
+def test_words_are_cut_and_encoded_once(monkeypatch):
+    own, theirs, fresh = Encoder(public_tokenizers.path(FILES["word"]), "word"), library("word"), []
+    own.pattern, encoded = Counted(own.pattern), own._encoded
+    monkeypatch.setattr(own, "_encoded", lambda pieces: fresh.extend(pieces) or encoded(pieces))
+    texts = ["Übung übung, ÜBUNG\n" * 500, "Word word WORD " * 500]
+    assert [x.tolist() for x in own.stream(texts)] == [theirs(x) for x in texts]
+    assert own.pattern.read < 50 and sorted(x for x in fresh if x.strip()) == [",", "word", "übung"]
+
+
+@pytest.mark.parametrize("kind", ["byte", "word"])
+def test_texts_encoded_together_equal_the_library(kind):
+    path = public_tokenizers.path(FILES[kind])
+    plain = Tokenizer.from_file(path)
+    odd = ["", "H\u0331 h\u0331 I\u0307 K\u030c", "É\xa0È\x85µ ß ÿ", "a\x1cb\x1f c\0d", "1<|ENDOFTEXT|>2", "x <|endoftext|> y", "<|EndOfText|>\n", "ΑΣ Σ", " ", "it's IT'S Ça"]
+    texts = [x or "" for x in [*TEXTS, *odd, *reversed(TEXTS)]]
+    for chunk in (1, 100, 1 << 21):
+        got = list(Encoder(path, kind, specials=True).stream(texts, chunk))
+        assert [x.tolist() for x in got] == [plain.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_queries_give_special_ids(spark, tmp_path):
     text = "one  <|endoftext|> two"
     spark.createDataFrame([(1, text, "en", "a", len(text))], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
